@@ -31,6 +31,7 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "ti
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -52,3 +53,34 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), "tillflow", *parts, uuid.uuid4().hex)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tillflow`` importable on the executors (Python workers), once per context.
+
+    The package is zipped into the shared checkpoint folder and added with
+    ``addPyFile``, the same as ``spark-submit --py-files``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_path(spark, "pyfiles")
+    os.makedirs(target, exist_ok=True)
+    archive = os.path.join(target, "tillflow.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in base:
+                continue
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)

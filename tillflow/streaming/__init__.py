@@ -1,0 +1,5 @@
+"""Streaming sessions: Spark's session_window (closed sessions) and a stateful
+processor for early and closed panes."""
+
+from tillflow.streaming.sessions import closed_sessions  # noqa: F401
+from tillflow.streaming.panes import SessionPanes, session_panes_stream  # noqa: F401
