@@ -70,19 +70,24 @@ def parse_iso(text: Column | str) -> Column:
     return F.try_to_timestamp(_c(text))
 
 
-# Fixed value: text form of an instant, milliseconds and a literal Z, in UTC.
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+def _iso_of_ntz(ts: Column, digits: int) -> Column:
+    """ISO text of a UTC wall clock from its fields; no session zone is involved."""
+    us = F.pmod(F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts), F.lit(1_000_000))
+    frac = us if digits == 6 else F.floor(us / F.lit(10 ** (6 - digits)))
+    return F.format_string(
+        f"%04d-%02d-%02dT%02d:%02d:%02d.%0{digits}dZ",
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts), frac,
+    )
 
 
 def iso_millis(ts: Column | str) -> Column:
     """``1970-01-01T00:13:59.999Z`` text of an instant, independent of the session zone."""
-    return F.date_format(instant_to_ntz(ts), ISO_MILLIS)
+    return _iso_of_ntz(instant_to_ntz(ts), 3)
 
 
 def iso_micros_of_ntz(ts: Column | str) -> Column:
     """Exact ISO text (microseconds, ``Z``) of a UTC wall clock held as ``timestamp_ntz``."""
-    return F.date_format(_c(ts), ISO_MICROS)
+    return _iso_of_ntz(_c(ts), 6)
 
 
 def window_max_timestamp(end: Column | str) -> Column:

@@ -211,6 +211,9 @@ def session_panes_stream(
     window_open, event_count, and ``events`` (array of events, null unless
     ``include_events``). Run it in append mode.
     """
+    from tillflow.runtime import require_rocksdb_state
+
+    require_rocksdb_state(events.sparkSession)
     gap_us = gap_micros(gap)
     late_us = gap_micros(lateness)
     prepared = events.select(
