@@ -31,6 +31,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
@@ -74,7 +75,11 @@ _EVENT_COLS = [f.name for f in EVENT.fields]
 
 
 class SessionPanes(StatefulProcessor):
-    """Per user: merge events into gap sessions, emit open panes, close on timers."""
+    """Per user: merge events into gap sessions, emit open panes, close on a timer.
+
+    One event-time timer per user, at the earliest end among its open sessions;
+    when it fires every due session is closed and the next timer registered.
+    """
 
     def __init__(self, gap_us: int, per_event: bool = True, include_events: bool = False):
         self.gap_us = gap_us
@@ -88,108 +93,119 @@ class SessionPanes(StatefulProcessor):
             self.events = handle.getListState("session_events", _EVENT_STATE)
 
     # -- state helpers -------------------------------------------------
-    def _load(self) -> list[dict]:
-        if not self.open.exists():
-            return []
-        return [dict(zip(_SESSION_STATE.names, row)) for row in self.open.get()]
+    def _load(self) -> list[list]:
+        return [list(row) for row in self.open.get()]  # [start_us, last_us, first_id, total, n]
 
     def _load_events(self) -> list[dict]:
-        if not self.include_events or not self.events.exists():
+        if not self.include_events:
             return []
         return [dict(zip(_EVENT_STATE.names, row)) for row in self.events.get()]
 
-    def _save(self, sessions: list[dict], events: list[dict]) -> None:
-        for ts in list(self.handle.listTimers()):
-            self.handle.deleteTimer(ts)
+    def _timer(self, sessions: list[list]) -> int | None:
+        if not sessions:
+            return None
+        return -(-(min(s[1] for s in sessions) + self.gap_us) // 1000)  # ms, rounded up
+
+    def _save(self, sessions: list[list], events: list[dict], old_timer: int | None, fired: bool = False) -> None:
         if sessions:
-            self.open.put([tuple(s[c] for c in _SESSION_STATE.names) for s in sessions])
-            for s in sessions:
-                end_us = s["last_us"] + self.gap_us
-                self.handle.registerTimer(-(-end_us // 1000))  # ms, rounded up
+            self.open.put([tuple(s) for s in sessions])
         else:
             self.open.clear()
+        new_timer = self._timer(sessions)
+        if new_timer != old_timer or fired:
+            if old_timer is not None and not fired:
+                self.handle.deleteTimer(old_timer)
+            if new_timer is not None:
+                self.handle.registerTimer(new_timer)
         if self.include_events:
             if events:
                 self.events.put([tuple(e[c] for c in _EVENT_STATE.names) for e in events])
             else:
                 self.events.clear()
 
-    def _pane(self, key: str, s: dict, is_open: bool, events: list[dict]) -> dict:
-        end_us = s["last_us"] if is_open else s["last_us"] + self.gap_us - 1000
+    def _pane(self, key: str, s: list, is_open: bool, events: list[dict]) -> tuple:
+        start, last, first_id, total, n = s
+        end_us = last if is_open else last + self.gap_us - 1000
         evs = None
         if self.include_events:
-            mine = [e for e in events if s["start_us"] <= e["t_us"] <= s["last_us"]]
+            mine = [e for e in events if start <= e["t_us"] <= last]
             mine.sort(key=lambda e: (e["t_us"], e["event_id"]))
             evs = [{c: e[c] for c in _EVENT_COLS} for e in mine]
-        return {
-            "window_id": s["first_id"],
-            "user_id": key,
-            "start_us": s["start_us"],
-            "end_us": end_us,
-            "total_price": s["total"],
-            "window_open": is_open,
-            "event_count": s["n"],
-            "events": evs,
-        }
-
-    def _close_due(self, key: str, wm_us: int, sessions: list[dict], events: list[dict], out: list[dict]):
+        return (first_id, key, start, end_us, total, is_open, n, evs)
+
+    def _close_due(self, key: str, due_us: int, sessions: list[list], events: list[dict], out: list[tuple]):
         keep = []
-        for s in sorted(sessions, key=lambda s: s["start_us"]):
-            if s["last_us"] + self.gap_us <= wm_us:
+        for s in sorted(sessions, key=lambda s: s[0]):
+            if s[1] + self.gap_us <= due_us:
                 out.append(self._pane(key, s, False, events))
             else:
                 keep.append(s)
-        if self.include_events:
-            events = [e for e in events if any(s["start_us"] <= e["t_us"] <= s["last_us"] for s in keep)]
+        if self.include_events and len(keep) != len(sessions):
+            events = [e for e in events if any(s[0] <= e["t_us"] <= s[1] for s in keep)]
         return keep, events
 
     @staticmethod
-    def _frame(rows: list[dict]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=_PANE_COLS)
+    def _frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame.from_records(rows, columns=_PANE_COLS)
 
     # -- processor API -------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         user = key[0]
+        gap = self.gap_us
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         sessions, events = self._load(), self._load_events()
-        out: list[dict] = []
+        old_timer = self._timer(sessions)
+        out: list[tuple] = []
         sessions, events = self._close_due(user, wm_us, sessions, events, out)
 
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch[batch["t_us"] + self.gap_us > wm_us]  # late: own window already closed
-        batch = batch.sort_values(["t_us", "event_id"], kind="stable")
-        touched: list[dict] = []
-        for row in batch.itertuples(index=False):
-            t = int(row.t_us)
-            hit = [s for s in sessions if s["start_us"] - self.gap_us < t < s["last_us"] + self.gap_us]
-            merged = {"start_us": t, "last_us": t, "first_id": row.event_id, "total": float(row.price), "n": 1}
-            for s in hit:
-                if (s["start_us"], s["first_id"]) < (merged["start_us"], merged["first_id"]):
-                    merged["start_us"], merged["first_id"] = s["start_us"], s["first_id"]
-                merged["last_us"] = max(merged["last_us"], s["last_us"])
-                merged["total"] += s["total"]
-                merged["n"] += s["n"]
-            sessions = [s for s in sessions if not any(s is h for h in hit)] + [merged]
-            touched = [s for s in touched if not any(s is h for h in hit)] + [merged]
+        frames = list(rows)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        t_all = batch["t_us"].to_numpy()
+        ids_all = batch["event_id"].to_numpy()
+        keep_rows = np.flatnonzero(t_all + gap > wm_us)  # late: own window already closed
+        order = keep_rows[np.lexsort((ids_all[keep_rows], t_all[keep_rows]))]
+        prices = batch["price"].to_numpy()
+        touched: list[list] = []
+        for i in order:
+            t = int(t_all[i])
+            eid = ids_all[i]
+            merged = [t, t, eid, float(prices[i]), 1]
+            rest = []
+            for s in sessions:
+                if s[0] - gap < t < s[1] + gap:  # windows [t, t+gap) and [start, last+gap) overlap
+                    if (s[0], s[2]) < (merged[0], merged[2]):
+                        merged[0], merged[2] = s[0], s[2]
+                    merged[1] = max(merged[1], s[1])
+                    merged[3] += s[3]
+                    merged[4] += s[4]
+                    touched = [x for x in touched if x is not s]
+                else:
+                    rest.append(s)
+            sessions = rest + [merged]
+            touched.append(merged)
             if self.include_events:
-                events.append({**{c: getattr(row, c) for c in _EVENT_COLS}, "t_us": t})
+                events.append({**{c: batch[c].iat[i] for c in _EVENT_COLS}, "t_us": t})
             if self.per_event:
                 out.append(self._pane(user, merged, True, events))
         if not self.per_event:
             out.extend(self._pane(user, s, True, events) for s in touched)
-        self._save(sessions, events)
+        self._save(sessions, events, old_timer)
         if out:
             yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         user = key[0]
-        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        sessions, events = self._load(), self._load_events()
-        out: list[dict] = []
-        # a timer fires at its own time; close by the timer time as well as the watermark
-        due = max(wm_us, expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        sessions = self._load()
+        events = self._load_events()
+        out: list[tuple] = []
+        # the timer fires at its own time: close by it as well as by the watermark
+        due = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
+        before = len(sessions)
         sessions, events = self._close_due(user, due, sessions, events, out)
-        self._save(sessions, events)
+        if len(sessions) != before:
+            self._save(sessions, events, None, fired=True)
+        elif sessions:
+            self.handle.registerTimer(self._timer(sessions))
         if out:
             yield self._frame(out)
 
