@@ -463,13 +463,24 @@ def session_panes(
         F.lit(True).alias("window_open"),
         F.col("position").alias("event_count"),
     )
-    closed = sessions(events, gap_us, key, time_col, id_col, price_col, partitions).select(
-        "window_id",
-        "user_id",
-        "window_start",
-        window_max_timestamp(F.col("window_end")).alias("window_end"),
-        F.col("total_price").cast("float").alias("total_price"),
-        F.lit(False).alias("window_open"),
-        "event_count",
+    # Closed panes from the same (checkpointed) rows: the last event of each
+    # session carries its total. Partial aggregation collapses a hot session
+    # to one row per partition before the exchange.
+    closed = (
+        rows.groupBy(F.col(key).alias("user_id"), "window_id", "window_start")
+        .agg(
+            F.max(time_col).alias("last_event_time"),
+            F.max_by("running_total", "position").alias("total"),
+            F.max("position").alias("event_count"),
+        )
+        .select(
+            "window_id",
+            "user_id",
+            "window_start",
+            window_max_timestamp(F.col("last_event_time") + F.expr(f"INTERVAL {gap_us} MICROSECONDS")).alias("window_end"),
+            F.col("total").cast("float").alias("total_price"),
+            F.lit(False).alias("window_open"),
+            "event_count",
+        )
     )
     return open_panes.unionByName(closed)
