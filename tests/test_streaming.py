@@ -1,6 +1,7 @@
 import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, event, replay_dir
@@ -35,8 +36,9 @@ def _panes(spark, workdir, batches, **kw):
     return _run(spark, workdir, batches, lambda v: session_panes_stream(v, per_event=True, include_events=True, **kw))
 
 
-def test_golden_replay(spark, workdir):
-    out = _panes(spark, workdir, [[e] for e in GOLDEN] + [[FLUSH]]).where("user_id = '2'")
+@pytest.mark.parametrize("engine", ["group_state", "transform_with_state"])
+def test_golden_replay(spark, workdir, engine):
+    out = _panes(spark, workdir, [[e] for e in GOLDEN] + [[FLUSH]], engine=engine).where("user_id = '2'")
     rows = out.orderBy("window_open", "window_end").collect()
     closed, opens = rows[0], rows[1:]
     assert [r.window_end for r in opens] == [at(1), at(2), at(3), at(4)]
@@ -65,14 +67,15 @@ def test_out_of_order_gives_the_same_final_pane(spark, workdir):
         assert np.float32(r.total_price) == np.float32(46.2) and r.event_count == 4
 
 
-def test_late_rows(spark, workdir):
+@pytest.mark.parametrize("engine", ["group_state", "transform_with_state"])
+def test_late_rows(spark, workdir, engine):
     batches = [
         [event("s1", at(1), user="u")],
         [event("w", at(40), user="clock")],  # watermark -> 00:40
         [event("ok", at(32), user="late")],  # 00:32 + 10 min > 00:40: still in reach
         [event("no", at(29), user="later")],  # 00:29 + 10 min <= 00:40: late, dropped
     ]
-    out = _panes(spark, workdir, batches)
+    out = _panes(spark, workdir, batches, engine=engine)
     users = {r.user_id for r in out.collect()}
     assert "late" in users and "later" not in users
     closed = out.where("user_id = 'u' AND NOT window_open").collect()

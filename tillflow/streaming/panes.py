@@ -1,7 +1,11 @@
 """Early and closed session panes on a stream (the exact path).
 
 Spark's ``session_window`` cannot run in update mode, so early panes come from
-one stateful processor, keyed by user, with event-time timers:
+one stateful operator keyed by user, with one event-time timer per user (at the
+earliest end among its open sessions). Two engines run the same rules:
+``applyInPandasWithState`` (default; the state travels with the Arrow batches)
+and ``transformWithStateInPandas`` (list state and timers through the state
+server, needs the RocksDB state store). Output:
 
 * an **open** pane for every new event (``per_event=True``) or for every session
   a micro-batch touched: window_end is the newest event time so far;
@@ -29,6 +33,7 @@ pane, quadratic in session length, so it is off unless asked for.
 from __future__ import annotations
 
 import sys
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,56 +79,31 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _EVENT_COLS = [f.name for f in EVENT.fields]
 
 
-class SessionPanes(StatefulProcessor):
-    """Per user: merge events into gap sessions, emit open panes, close on a timer.
+def _py(v):
+    """A plain Python value (state is pickled for the JVM, which knows no numpy scalars)."""
+    return v.item() if isinstance(v, np.generic) else v
+
+
+class _SessionBook:
+    """The session rules, shared by both stateful engines below.
 
-    One event-time timer per user, at the earliest end among its open sessions;
-    when it fires every due session is closed and the next timer registered.
+    A session is ``[start, last, first_id, total, n]``. Events are applied in
+    (time, id) order; an event joins every open session whose window
+    ``[start, last + gap)`` overlaps its own ``[t, t + gap)``, merging them.
     """
 
-    def __init__(self, gap_us: int, per_event: bool = True, include_events: bool = False):
+    def __init__(self, gap_us: int, per_event: bool, include_events: bool):
         self.gap_us = gap_us
         self.per_event = per_event
         self.include_events = include_events
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getListState("open_sessions", _SESSION_STATE)
-        if self.include_events:
-            self.events = handle.getListState("session_events", _EVENT_STATE)
-
-    # -- state helpers -------------------------------------------------
-    def _load(self) -> list[list]:
-        return [list(row) for row in self.open.get()]  # [start_us, last_us, first_id, total, n]
-
-    def _load_events(self) -> list[dict]:
-        if not self.include_events:
-            return []
-        return [dict(zip(_EVENT_STATE.names, row)) for row in self.events.get()]
-
-    def _timer(self, sessions: list[list]) -> int | None:
+    def timer_ms(self, sessions: list[list]) -> int | None:
+        """Earliest end among the open sessions, in ms rounded up (the one timer of a user)."""
         if not sessions:
             return None
-        return -(-(min(s[1] for s in sessions) + self.gap_us) // 1000)  # ms, rounded up
-
-    def _save(self, sessions: list[list], events: list[dict], old_timer: int | None, fired: bool = False) -> None:
-        if sessions:
-            self.open.put([tuple(s) for s in sessions])
-        else:
-            self.open.clear()
-        new_timer = self._timer(sessions)
-        if new_timer != old_timer or fired:
-            if old_timer is not None and not fired:
-                self.handle.deleteTimer(old_timer)
-            if new_timer is not None:
-                self.handle.registerTimer(new_timer)
-        if self.include_events:
-            if events:
-                self.events.put([tuple(e[c] for c in _EVENT_STATE.names) for e in events])
-            else:
-                self.events.clear()
+        return -(-(min(s[1] for s in sessions) + self.gap_us) // 1000)
 
-    def _pane(self, key: str, s: list, is_open: bool, events: list[dict]) -> tuple:
+    def pane(self, key, s: list, is_open: bool, events: list[dict]) -> tuple:
         start, last, first_id, total, n = s
         end_us = last if is_open else last + self.gap_us - 1000
         evs = None
@@ -133,46 +113,34 @@ class SessionPanes(StatefulProcessor):
             evs = [{c: e[c] for c in _EVENT_COLS} for e in mine]
         return (first_id, key, start, end_us, total, is_open, n, evs)
 
-    def _close_due(self, key: str, due_us: int, sessions: list[list], events: list[dict], out: list[tuple]):
+    def close_due(self, key, due_us: int, sessions: list[list], events: list[dict], out: list[tuple]):
+        """Emit a closed pane for every session whose end is at or before ``due_us``."""
         keep = []
         for s in sorted(sessions, key=lambda s: s[0]):
             if s[1] + self.gap_us <= due_us:
-                out.append(self._pane(key, s, False, events))
+                out.append(self.pane(key, s, False, events))
             else:
                 keep.append(s)
         if self.include_events and len(keep) != len(sessions):
             events = [e for e in events if any(s[0] <= e["t_us"] <= s[1] for s in keep)]
         return keep, events
 
-    @staticmethod
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame.from_records(rows, columns=_PANE_COLS)
-
-    # -- processor API -------------------------------------------------
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        user = key[0]
+    def add(self, key, batch: pd.DataFrame, wm_us: int, sessions: list[list], events: list[dict],
+            out: list[tuple]):
+        """Apply one micro-batch of a user's events; late ones (``t + gap <= wm``) are dropped."""
         gap = self.gap_us
-        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        sessions, events = self._load(), self._load_events()
-        old_timer = self._timer(sessions)
-        out: list[tuple] = []
-        sessions, events = self._close_due(user, wm_us, sessions, events, out)
-
-        frames = list(rows)
-        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         t_all = batch["t_us"].to_numpy()
         ids_all = batch["event_id"].to_numpy()
-        keep_rows = np.flatnonzero(t_all + gap > wm_us)  # late: own window already closed
+        keep_rows = np.flatnonzero(t_all + gap > wm_us)
         order = keep_rows[np.lexsort((ids_all[keep_rows], t_all[keep_rows]))]
         prices = batch["price"].to_numpy()
         touched: list[list] = []
         for i in order:
             t = int(t_all[i])
-            eid = ids_all[i]
-            merged = [t, t, eid, float(prices[i]), 1]
+            merged = [t, t, _py(ids_all[i]), float(prices[i]), 1]
             rest = []
             for s in sessions:
-                if s[0] - gap < t < s[1] + gap:  # windows [t, t+gap) and [start, last+gap) overlap
+                if s[0] - gap < t < s[1] + gap:
                     if (s[0], s[2]) < (merged[0], merged[2]):
                         merged[0], merged[2] = s[0], s[2]
                     merged[1] = max(merged[1], s[1])
@@ -184,35 +152,131 @@ class SessionPanes(StatefulProcessor):
             sessions = rest + [merged]
             touched.append(merged)
             if self.include_events:
-                events.append({**{c: batch[c].iat[i] for c in _EVENT_COLS}, "t_us": t})
+                events.append({**{c: _py(batch[c].iat[i]) for c in _EVENT_COLS}, "t_us": t})
             if self.per_event:
-                out.append(self._pane(user, merged, True, events))
+                out.append(self.pane(key, merged, True, events))
         if not self.per_event:
-            out.extend(self._pane(user, s, True, events) for s in touched)
+            out.extend(self.pane(key, s, True, events) for s in touched)
+        return sessions, events
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame.from_records(rows, columns=_PANE_COLS)
+
+
+class SessionPanes(StatefulProcessor):
+    """``transformWithStateInPandas`` engine: list state per user and one event-time timer
+    at the earliest end among its open sessions."""
+
+    def __init__(self, gap_us: int, per_event: bool = True, include_events: bool = False):
+        self.book = _SessionBook(gap_us, per_event, include_events)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open_sessions", _SESSION_STATE)
+        if self.book.include_events:
+            self.events = handle.getListState("session_events", _EVENT_STATE)
+
+    def _load(self) -> tuple[list[list], list[dict]]:
+        sessions = [list(row) for row in self.open.get()]
+        events = []
+        if self.book.include_events:
+            events = [dict(zip(_EVENT_STATE.names, row)) for row in self.events.get()]
+        return sessions, events
+
+    def _save(self, sessions: list[list], events: list[dict], old_timer: int | None, fired: bool = False) -> None:
+        if sessions:
+            self.open.put([tuple(s) for s in sessions])
+        else:
+            self.open.clear()
+        new_timer = self.book.timer_ms(sessions)
+        if new_timer != old_timer or fired:
+            if old_timer is not None and not fired:
+                self.handle.deleteTimer(old_timer)
+            if new_timer is not None:
+                self.handle.registerTimer(new_timer)
+        if self.book.include_events:
+            if events:
+                self.events.put([tuple(e[c] for c in _EVENT_STATE.names) for e in events])
+            else:
+                self.events.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        user = key[0]
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        sessions, events = self._load()
+        old_timer = self.book.timer_ms(sessions)
+        out: list[tuple] = []
+        # input rows are handled before timers in a batch: close what is due first
+        sessions, events = self.book.close_due(user, wm_us, sessions, events, out)
+        frames = list(rows)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        sessions, events = self.book.add(user, batch, wm_us, sessions, events, out)
         self._save(sessions, events, old_timer)
         if out:
-            yield self._frame(out)
+            yield _frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         user = key[0]
-        sessions = self._load()
-        events = self._load_events()
+        sessions, events = self._load()
         out: list[tuple] = []
-        # the timer fires at its own time: close by it as well as by the watermark
         due = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
         before = len(sessions)
-        sessions, events = self._close_due(user, due, sessions, events, out)
+        sessions, events = self.book.close_due(user, due, sessions, events, out)
         if len(sessions) != before:
             self._save(sessions, events, None, fired=True)
         elif sessions:
-            self.handle.registerTimer(self._timer(sessions))
+            self.handle.registerTimer(self.book.timer_ms(sessions))
         if out:
-            yield self._frame(out)
+            yield _frame(out)
 
     def close(self) -> None:
         pass
 
 
+_GROUP_STATE = T.StructType(
+    [
+        T.StructField("sessions", T.ArrayType(_SESSION_STATE)),
+        T.StructField("events", T.ArrayType(_EVENT_STATE)),
+    ]
+)
+
+
+def _group_state_fn(gap_us: int, per_event: bool, include_events: bool):
+    """``applyInPandasWithState`` engine: state travels with the Arrow batches and the
+    event-time timeout is the user's one timer."""
+    book = _SessionBook(gap_us, per_event, include_events)
+
+    def run(key, frames, state):
+        warnings.filterwarnings("ignore", category=FutureWarning)  # pandas concat of an all-null column
+        user = key[0]
+        sessions, events = [], []
+        if state.exists:
+            raw_sessions, raw_events = state.get
+            sessions = [list(s) for s in (raw_sessions or [])]
+            events = [dict(zip(_EVENT_STATE.names, e)) for e in (raw_events or [])]
+        wm_ms = state.getCurrentWatermarkMs()
+        out: list[tuple] = []
+        if state.hasTimedOut:  # the watermark passed the earliest session end
+            sessions, events = book.close_due(user, wm_ms * 1000, sessions, events, out)
+        else:
+            sessions, events = book.close_due(user, wm_ms * 1000, sessions, events, out)
+            frames = list(frames)
+            if frames:
+                batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+                sessions, events = book.add(user, batch, wm_ms * 1000, sessions, events, out)
+        if sessions:
+            state.update(([tuple(s) for s in sessions],
+                          [tuple(e[c] for c in _EVENT_STATE.names) for e in events] if include_events else []))
+            state.setTimeoutTimestamp(book.timer_ms(sessions))
+        else:
+            state.remove()
+        if out:
+            yield _frame(out)
+
+    return run
+
+
 def session_panes_stream(
     events: DataFrame,
     gap: str | int = SESSION_GAP,
@@ -220,6 +284,7 @@ def session_panes_stream(
     per_event: bool = True,
     include_events: bool = False,
     time_col: str = "ts",
+    engine: str = "group_state",
 ) -> DataFrame:
     """Open and closed panes of a stream of valid events (feed columns plus an instant ``ts``).
 
@@ -237,12 +302,22 @@ def session_panes_stream(
         micros(F.col(time_col)).alias("t_us"),
         (F.col(time_col) + F.expr(f"INTERVAL {gap_us} MICROSECONDS")).alias("close_ts"),
     ).withWatermark("close_ts", f"{gap_us + late_us} microseconds")
-    raw = prepared.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=SessionPanes(gap_us, per_event, include_events),
-        outputStructType=_RAW_PANE,
-        outputMode="Append",
-        timeMode="EventTime",
-    )
+    grouped = prepared.groupBy("user_id")
+    if engine == "transform_with_state":
+        raw = grouped.transformWithStateInPandas(
+            statefulProcessor=SessionPanes(gap_us, per_event, include_events),
+            outputStructType=_RAW_PANE,
+            outputMode="Append",
+            timeMode="EventTime",
+        )
+    else:
+        raw = grouped.applyInPandasWithState(
+            _group_state_fn(gap_us, per_event, include_events),
+            outputStructType=_RAW_PANE,
+            stateStructType=_GROUP_STATE,
+            outputMode="append",
+            timeoutConf="EventTimeTimeout",
+        )
     return raw.select(
         "window_id",
         "user_id",
