@@ -105,12 +105,15 @@ def _is_ntz(events: DataFrame, time_col: str) -> bool:
 
 
 def _ranged(narrow: DataFrame, partitions: int | None) -> DataFrame:
-    n = partitions or int(narrow.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        narrow.repartitionByRange(n, "k", "t_us", "eid")
-        .sortWithinPartitions("k", "t_us", "eid")
-        .withColumn("pid", F.spark_partition_id())
-    )
+    """Range-partition and sort by (user, time, id); ``pid`` follows the global order.
+
+    Without ``partitions`` the count is ``spark.sql.shuffle.partitions`` and AQE
+    may coalesce small partitions; it only merges adjacent ranges, so partition
+    ids stay in global order, which is all the stitching needs.
+    """
+    ranged = (narrow.repartitionByRange(partitions, "k", "t_us", "eid") if partitions
+              else narrow.repartitionByRange("k", "t_us", "eid"))
+    return ranged.sortWithinPartitions("k", "t_us", "eid").withColumn("pid", F.spark_partition_id())
 
 
 def _segments(k: np.ndarray, t: np.ndarray, gap_us: int, carry) -> tuple[np.ndarray, bool]:

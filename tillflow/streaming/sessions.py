@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillflow.operators.sessions import SESSION_GAP, gap_micros
 
+LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 
 def closed_sessions(
     events: DataFrame,
@@ -43,6 +45,9 @@ def closed_sessions(
     Columns: user_id, window_id, window_start, window_end (exclusive), last_event_time,
     total_price (double), event_count.
     """
+    spark = events.sparkSession
+    if spark.conf.get(LOCAL_MERGE, "false") != "true":
+        spark.conf.set(LOCAL_MERGE, "true")  # pre-merge sessions before the shuffle
     gap_us = gap_micros(gap)
     late_us = gap_micros(lateness)
     marked = events.withWatermark(time_col, f"{gap_us + late_us} microseconds")
