@@ -71,3 +71,26 @@ def test_nan_price_is_kept(spark):
 def test_unknown_event_type_is_kept(spark):
     rows = [("x", "2019-01-01T12:22:22Z", "a1", 1.0, "SOMETHING_NEW")]
     assert valid_events(spark.createDataFrame(rows, EVENT)).collect()[0].event_type == "SOMETHING_NEW"
+
+
+def test_iso_text_is_the_same_in_any_session_zone(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tillflow.functions.time import iso_micros_of_ntz, iso_millis, ntz_to_instant
+
+    rows = [(dt.datetime(2024, 3, 10, 2, 30, 0, 120000),), (dt.datetime(1970, 1, 1, 0, 13, 59, 999000),),
+            (dt.datetime(2024, 1, 1, 0, 0, 0),)]
+    want = [("2024-03-10T02:30:00.120000Z", "2024-03-10T02:30:00.120Z"),
+            ("1970-01-01T00:13:59.999000Z", "1970-01-01T00:13:59.999Z"),
+            ("2024-01-01T00:00:00.000000Z", "2024-01-01T00:00:00.000Z")]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame(rows, "ts timestamp_ntz")
+            got = df.select(iso_micros_of_ntz(F.col("ts")), iso_millis(ntz_to_instant(F.col("ts")))).collect()
+            assert [tuple(r) for r in got] == want, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

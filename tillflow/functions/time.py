@@ -55,9 +55,25 @@ def micros(ts: Column | str) -> Column:
     return F.unix_micros(_c(ts))
 
 
+def ntz_micros(ts: Column | str) -> Column:
+    """Microseconds since the epoch of a ``timestamp_ntz`` wall clock read as UTC.
+
+    Built from fields (day number, hour, minute, seconds with fraction), which
+    are zone-free for ``timestamp_ntz``; ``timestamp_diff`` would go through the
+    session zone and shift wall clocks that fall in a daylight-saving gap.
+    """
+    t = _c(ts)
+    return (
+        F.unix_date(F.to_date(t)).cast("long") * F.lit(86_400_000_000)
+        + F.hour(t).cast("long") * F.lit(3_600_000_000)
+        + F.minute(t).cast("long") * F.lit(60_000_000)
+        + (F.extract(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("long")
+    )
+
+
 def ntz_to_instant(ts: Column | str) -> Column:
     """Read a ``timestamp_ntz`` wall clock as UTC; the result is a ``timestamp``."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(ts)))
+    return F.timestamp_micros(ntz_micros(ts))
 
 
 def instant_to_ntz(ts: Column | str) -> Column:
@@ -70,13 +86,32 @@ def parse_iso(text: Column | str) -> Column:
     return F.try_to_timestamp(_c(text))
 
 
+_UTC_ZONES = {"UTC", "GMT", "Z", "+00:00", "Etc/UTC", "Etc/GMT", "UCT", "Zulu", "Universal"}
+
+
+def _session_is_utc() -> bool:
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.session.timeZone") in _UTC_ZONES
+
+
 def _iso_of_ntz(ts: Column, digits: int) -> Column:
-    """ISO text of a UTC wall clock from its fields; no session zone is involved."""
-    us = F.pmod(F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts), F.lit(1_000_000))
-    frac = us if digits == 6 else F.floor(us / F.lit(10 ** (6 - digits)))
-    return F.format_string(
-        f"%04d-%02d-%02dT%02d:%02d:%02d.%0{digits}dZ",
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts), frac,
+    """ISO text of a UTC wall clock, independent of the session zone.
+
+    ``date_format`` reads a wall clock through the session zone, which can shift
+    times that fall in a daylight-saving gap; it is used only when the session
+    zone is UTC (it is the fastest). Otherwise the text is assembled from the
+    zone-free string form of the wall clock.
+    """
+    pattern = "yyyy-MM-dd'T'HH:mm:ss." + "S" * digits + "'Z'"
+    if _session_is_utc():
+        return F.date_format(ts, pattern)
+    text = ts.cast("string")  # 'yyyy-MM-dd HH:mm:ss[.f...]', trailing zeros dropped
+    frac = F.when(F.length(text) > 19, F.substring(text, 21, 6)).otherwise(F.lit(""))
+    return F.concat(
+        F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."),
+        F.substring(F.rpad(frac, 6, "0"), 1, digits), F.lit("Z"),
     )
 
 

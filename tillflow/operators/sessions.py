@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-from tillflow.functions.time import micros, window_max_timestamp
+from tillflow.functions.time import micros, ntz_micros, window_max_timestamp
 
 # Fixed value: the session gap of the reference job.
 SESSION_GAP = "10 minutes"
@@ -81,7 +81,7 @@ def _narrow(events: DataFrame, key: str, time_col: str, id_col: str, price_col:
     ts_type = events.schema[time_col].dataType
     t = F.col(time_col)
     if isinstance(ts_type, T.TimestampNTZType):
-        t_us = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), t)
+        t_us = ntz_micros(t)
     else:
         t_us = micros(t)
     return events.where(F.col(key).isNotNull() & t.isNotNull()).select(
