@@ -42,13 +42,14 @@ def start_session_job(
     per_event: bool = True,
     include_events: bool = False,
     fmt: str = "parquet",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 100,
     trigger: dict | None = None,
 ) -> SessionJob:
     """Start the two streaming queries and return their handles (does not wait).
 
     ``early_panes=False`` writes only closed sessions, with Spark's own session
-    window (cheaper; exact when no row arrives late).
+    window (cheaper; exact when no row arrives late). ``max_files_per_trigger``
+    bounds every micro-batch, and so what one user can bring to one task at once.
     """
     def feeds():
         books = read_event_feed(spark, book_feed, fmt, max_files_per_trigger)
