@@ -350,17 +350,22 @@ def sessions(
     )
     group = ["edge_k", "own_pid", "own_lsid"]
     chained = _edge_chains(frags, gap_us, [F.col(c) for c in group])
+    # The chain's head (its first fragment) names the session; taken in the
+    # window so that the aggregate keeps fixed-width buffers (hash aggregate).
+    upto = Window.partitionBy(*group).orderBy("pid", "lsid").rowsBetween(Window.unboundedPreceding, 0)
+    chained = chained.withColumn(
+        "head", F.last(F.when(~F.col("cont"), F.struct("first_t", "first_eid")), ignorenulls=True).over(upto)
+    )
     return (
-        chained.groupBy(*group, "chain")
+        chained.groupBy(*group, "chain", "k", F.col("head.first_t").alias("head_t"),
+                        F.col("head.first_eid").alias("head_eid"))
         .agg(
-            F.first("k").alias("k"),
-            F.min(F.struct("first_t", "first_eid")).alias("head"),
             F.max("last_t").alias("last_t"),
             F.sum("n").alias("n"),
             F.sum("total").alias("total"),
         )
         .select(
-            *_session_rows(F.col("k"), F.col("head.first_t"), F.col("head.first_eid"), F.col("last_t"),
+            *_session_rows(F.col("k"), F.col("head_t"), F.col("head_eid"), F.col("last_t"),
                            F.col("n"), F.col("total"), gap_us, _is_ntz(events, time_col))
         )
     )
@@ -399,14 +404,15 @@ def session_event_rows(
 
     # Fragment summaries. All rows of a fragment sit in one partition, so the
     # partial aggregate collapses each fragment to one row before the exchange.
-    frags = tagged.groupBy("pid", "lsid").agg(
-        F.first("k").alias("k"),
-        F.min("t_us").alias("first_t"),
+    # Every row of a fragment carries the same user and first event, so they are
+    # grouping keys and the buffers stay fixed-width (hash aggregate, no sort).
+    frags = tagged.groupBy(
+        "pid", "lsid", "k", F.col("frag_first_t").alias("first_t"), F.col("frag_first_eid").alias("first_eid")
+    ).agg(
         F.max("t_us").alias("last_t"),
-        F.min(F.struct("t_us", "eid")).alias("head"),
         F.count(F.lit(1)).alias("n"),
         F.sum("p").alias("total"),
-    )
+    ).withColumn("head", F.struct(F.col("first_t").alias("t_us"), F.col("first_eid").alias("eid")))
     last_of_pid = frags.groupBy("pid").agg(F.max("lsid").alias("max_lsid"))  # one row per partition
     frags = frags.join(F.broadcast(last_of_pid), "pid").withColumn("is_last", F.col("lsid") == F.col("max_lsid"))
     edges = frags.where((F.col("lsid") == 0) | F.col("is_last"))
