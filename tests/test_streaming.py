@@ -146,8 +146,13 @@ def test_idempotent_batches_and_session_job(spark, workdir):
                             os.path.join(workdir, "quarantine"), os.path.join(workdir, "chk"))
     job.await_termination()
     panes = spark.read.parquet(os.path.join(workdir, "panes"))
-    assert panes.where("user_id = '2' AND NOT window_open").count() == 1
     assert panes.where("user_id = '2' AND window_open").count() == 4
+    final = panes.where("user_id = '2' AND NOT window_open").collect()
+    assert len(final) == 1
+    assert (final[0].window_id, final[0].window_start, final[0].window_end) == (
+        "a1", "1970-01-01T00:01:00.000Z", "1970-01-01T00:13:59.999Z")
+    first = panes.where("user_id = '2' AND window_open").orderBy("event_count").first()
+    assert first.window_end == "1970-01-01T00:01:00.000Z"
     quarantine = spark.read.parquet(os.path.join(workdir, "quarantine")).collect()
     assert [(r.event_id, r.reason) for r in quarantine] == [("q", "no event time")]
     # foreachBatch delivery, one folder per batch id

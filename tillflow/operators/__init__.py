@@ -8,6 +8,7 @@ from tillflow.operators.cleaning import (  # noqa: F401
 )
 from tillflow.operators.weekly import side_totals, weekly_sales, weekly_sales_union  # noqa: F401
 from tillflow.operators.sessions import (  # noqa: F401
+    running_totals,
     session_event_rows,
     session_panes,
     sessions,

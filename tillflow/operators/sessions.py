@@ -445,6 +445,33 @@ def session_event_rows(
     )
 
 
+def _open_panes(rows: DataFrame, key: str, time_col: str) -> DataFrame:
+    return rows.select(
+        "window_id",
+        F.col(key).alias("user_id"),
+        "window_start",
+        F.col(time_col).alias("window_end"),
+        F.col("running_total").cast("float").alias("total_price"),
+        F.lit(True).alias("window_open"),
+        F.col("position").alias("event_count"),
+    )
+
+
+def running_totals(
+    events: DataFrame,
+    gap: str | int = SESSION_GAP,
+    key: str = "user_id",
+    time_col: str = "ts",
+    id_col: str = "event_id",
+    price_col: str = "price",
+    partitions: int | None = None,
+) -> DataFrame:
+    """The open pane after each event, as a batch: the session so far (window_id,
+    window_start, newest time as window_end, running total as float, event count)."""
+    rows = session_event_rows(events, gap_micros(gap), key, time_col, id_col, price_col, partitions=partitions)
+    return _open_panes(rows, key, time_col)
+
+
 def session_panes(
     events: DataFrame,
     gap: str | int = SESSION_GAP,
@@ -463,15 +490,7 @@ def session_panes(
     """
     gap_us = gap_micros(gap)
     rows = session_event_rows(events, gap_us, key, time_col, id_col, price_col, partitions=partitions)
-    open_panes = rows.select(
-        "window_id",
-        F.col(key).alias("user_id"),
-        "window_start",
-        F.col(time_col).alias("window_end"),
-        F.col("running_total").cast("float").alias("total_price"),
-        F.lit(True).alias("window_open"),
-        F.col("position").alias("event_count"),
-    )
+    open_panes = _open_panes(rows, key, time_col)
     # Closed panes from the same (checkpointed) rows: the last event of each
     # session carries its total. Partial aggregation collapses a hot session
     # to one row per partition before the exchange.

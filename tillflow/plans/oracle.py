@@ -71,12 +71,16 @@ SELECT user_id, window_id, window_start, window_end, last_event_time,
 FROM sess {where}"""
 
 
-def _panes_sql(gap: str, closed_where: str = "") -> str:
+def _open_panes_sql(gap: str) -> str:
     return f"""WITH {_islands(gap)}
 SELECT window_id, user_id, window_start, ts AS window_end,
        round(CAST(CAST(running_total AS FLOAT) AS DOUBLE), 2) AS total_price,
        true AS window_open, position AS event_count
-FROM ev
+FROM ev"""
+
+
+def _panes_sql(gap: str, closed_where: str = "") -> str:
+    return f"""{_open_panes_sql(gap)}
 UNION ALL
 SELECT window_id, user_id, window_start, window_end - INTERVAL 1 MILLISECOND AS window_end,
        round(CAST(CAST(total AS FLOAT) AS DOUBLE), 2) AS total_price,
@@ -139,6 +143,7 @@ FROM checked WHERE reason IS NOT NULL""",
 SELECT user_id, window_id, window_start, event_id, ts, round(CAST(price AS DOUBLE), 2) AS price,
        position, round(running_total, 2) AS running_total, event_type
 FROM ev""",
+    "running_session_totals": _open_panes_sql(LONG_GAP),
     "session_panes": _panes_sql(LONG_GAP),
     "streamed_sessions": _sessions_sql(GAP, f"WHERE window_end <= {_MAX_TS} - {GAP}"),
     "streamed_panes": _panes_sql(GAP, f"WHERE window_end <= {_MAX_TS}"),

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tillflow.functions.time import instant_to_ntz, week_bounds
 from tillflow.operators.cleaning import quarantined_events, valid_events, valid_sales
-from tillflow.operators.sessions import session_event_rows, session_panes, sessions
+from tillflow.operators.sessions import running_totals, session_event_rows, session_panes, sessions
 from tillflow.operators.weekly import side_totals, weekly_sales, weekly_sales_union
 from tillflow.runtime import checkpoint_root, scratch_path, ship_package
 from tillflow.schemas import WEEKLY_SALES
@@ -169,6 +169,11 @@ def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(rows, ("price", "running_total"))
 
 
+def running_session_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    return _shape(running_totals(_valid(spark, sf_dir), LONG_GAP), ("total_price",))
+
+
 def session_panes_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
     return _shape(session_panes(_valid(spark, sf_dir), LONG_GAP), ("total_price",))
@@ -223,6 +228,7 @@ QUERIES = {
     "user_sessions": user_sessions,
     "user_sessions_24h": user_sessions_24h,
     "session_events": session_events,
+    "running_session_totals": running_session_totals,
     "session_panes": session_panes_batch,
     "streamed_sessions": streamed_sessions,
     "streamed_panes": streamed_panes,

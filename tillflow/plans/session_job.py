@@ -11,7 +11,7 @@ from tillflow.operators.cleaning import quarantined_events, valid_events
 from tillflow.operators.sessions import SESSION_GAP
 from tillflow.sinks.streams import write_files
 from tillflow.sources.streams import read_event_feed, union_feeds
-from tillflow.streaming.panes import session_panes_stream
+from tillflow.streaming.panes import as_messages, session_panes_stream
 from tillflow.streaming.sessions import closed_sessions
 
 
@@ -48,7 +48,8 @@ def start_session_job(
     """Start the two streaming queries and return their handles (does not wait).
 
     ``early_panes=False`` writes only closed sessions, with Spark's own session
-    window (cheaper; exact when no row arrives late). ``max_files_per_trigger``
+    window (cheaper; exact when no row arrives late). Panes are published in the
+    message form (window bounds as ISO text). ``max_files_per_trigger``
     bounds every micro-batch, and so what one user can bring to one task at once.
     """
     def feeds():
@@ -58,7 +59,7 @@ def start_session_job(
 
     valid = valid_events(feeds())
     if early_panes:
-        out = session_panes_stream(valid, gap, lateness, per_event, include_events)
+        out = as_messages(session_panes_stream(valid, gap, lateness, per_event, include_events))
     else:
         out = closed_sessions(valid, gap, lateness)
     panes = write_files(out, panes_path, f"{checkpoint}/panes", trigger=trigger)

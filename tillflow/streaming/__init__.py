@@ -2,4 +2,4 @@
 processor for early and closed panes."""
 
 from tillflow.streaming.sessions import closed_sessions  # noqa: F401
-from tillflow.streaming.panes import SessionPanes, session_panes_stream  # noqa: F401
+from tillflow.streaming.panes import SessionPanes, as_messages, session_panes_stream  # noqa: F401

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tillflow.functions.time import micros
+from tillflow.functions.time import iso_millis, micros
 from tillflow.operators.sessions import SESSION_GAP, gap_micros
 from tillflow.schemas import EVENT
 
@@ -328,3 +328,11 @@ def session_panes_stream(
         "event_count",
         "events",
     )
+
+
+def as_messages(panes: DataFrame) -> DataFrame:
+    """Panes in the published message form: window bounds as ISO-8601 text with
+    milliseconds and ``Z`` (``1970-01-01T00:13:59.999Z``), other fields unchanged."""
+    return panes.withColumn("window_start", iso_millis(F.col("window_start"))).withColumn(
+        "window_end", iso_millis(F.col("window_end"))
+    )
