@@ -163,3 +163,21 @@ def test_idempotent_batches_and_session_job(spark, workdir):
     parts = sorted(os.listdir(os.path.join(workdir, "fb_out")))
     assert [p for p in parts if p.startswith("batch_id=")] == ["batch_id=0", "batch_id=1"]
     assert spark.read.parquet(os.path.join(workdir, "fb_out")).select(F.count("*")).first()[0] == 2
+
+
+@pytest.mark.parametrize("engine", ["group_state", "transform_with_state"])
+def test_hot_user_is_applied_chunk_by_chunk(spark, workdir, engine):
+    """A user's micro-batch arrives in many small Arrow chunks; results are unchanged."""
+    rows = [event(f"e{i:03d}", at(i * 0.5), user="hot", price=1.0) for i in range(60)]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = _run(spark, workdir, [rows, [FLUSH]],
+                   lambda v: session_panes_stream(v, per_event=True, engine=engine)).where("user_id = 'hot'")
+        opens = sorted(r.event_count for r in out.where("window_open").collect())
+        closed = out.where("NOT window_open").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert opens == list(range(1, 61))
+    assert len(closed) == 1 and closed[0].event_count == 60 and closed[0].total_price == 60.0
+    assert closed[0].window_end == at(29.5 + 10) - (at(0, 0, 1000) - at(0))

@@ -127,7 +127,9 @@ class _SessionBook:
 
     def add(self, key, batch: pd.DataFrame, wm_us: int, sessions: list[list], events: list[dict],
             out: list[tuple]):
-        """Apply one micro-batch of a user's events; late ones (``t + gap <= wm``) are dropped."""
+        """Apply one chunk of a user's events in (time, id) order; late ones
+        (``t + gap <= wm``) are dropped. A micro-batch may come in several chunks;
+        they are applied one after the other, as events arriving in that order."""
         gap = self.gap_us
         t_all = batch["t_us"].to_numpy()
         ids_all = batch["event_id"].to_numpy()
@@ -209,9 +211,11 @@ class SessionPanes(StatefulProcessor):
         out: list[tuple] = []
         # input rows are handled before timers in a batch: close what is due first
         sessions, events = self.book.close_due(user, wm_us, sessions, events, out)
-        frames = list(rows)
-        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        sessions, events = self.book.add(user, batch, wm_us, sessions, events, out)
+        for chunk in rows:  # Arrow-sized chunks: memory stays bounded for a hot user
+            sessions, events = self.book.add(user, chunk, wm_us, sessions, events, out)
+            if out:
+                yield _frame(out)
+                out = []
         self._save(sessions, events, old_timer)
         if out:
             yield _frame(out)
@@ -261,10 +265,11 @@ def _group_state_fn(gap_us: int, per_event: bool, include_events: bool):
             sessions, events = book.close_due(user, wm_ms * 1000, sessions, events, out)
         else:
             sessions, events = book.close_due(user, wm_ms * 1000, sessions, events, out)
-            frames = list(frames)
-            if frames:
-                batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-                sessions, events = book.add(user, batch, wm_ms * 1000, sessions, events, out)
+            for chunk in frames:  # Arrow-sized chunks: memory stays bounded for a hot user
+                sessions, events = book.add(user, chunk, wm_ms * 1000, sessions, events, out)
+                if out:
+                    yield _frame(out)
+                    out = []
         if sessions:
             state.update(([tuple(s) for s in sessions],
                           [tuple(e[c] for c in _EVENT_STATE.names) for e in events] if include_events else []))
