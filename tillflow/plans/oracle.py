@@ -136,6 +136,11 @@ SELECT event_id, event_time, user_id, round(CAST(price AS DOUBLE), 2) AS price,
 SELECT event_id, event_time, user_id, round(CAST(price AS DOUBLE), 2) AS price, event_type, ts FROM valid""",
     "quarantined_events": f"""WITH {_FEED}
 SELECT event_id, event_time, user_id, round(CAST(price AS DOUBLE), 2) AS price, event_type, reason
+FROM checked WHERE reason IS NOT NULL""",
+    "decoded_events": f"""WITH {_FEED}
+SELECT event_id, event_time, user_id, round(CAST(price AS DOUBLE), 2) AS price, event_type, ts FROM valid""",
+    "streamed_quarantine": f"""WITH {_FEED}
+SELECT event_id, event_time, user_id, round(CAST(price AS DOUBLE), 2) AS price, event_type, reason
 FROM checked WHERE reason IS NOT NULL""",
     "user_sessions": _sessions_sql(GAP),
     "user_sessions_24h": _sessions_sql(LONG_GAP),

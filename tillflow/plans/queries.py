@@ -19,10 +19,10 @@ from tillflow.operators.sessions import running_totals, session_event_rows, sess
 from tillflow.operators.weekly import side_totals, weekly_sales, weekly_sales_union
 from tillflow.runtime import checkpoint_root, scratch_path, ship_package
 from tillflow.schemas import WEEKLY_SALES
-from tillflow.sinks.tables import append_to_table
 from tillflow.sinks.streams import write_files
 from tillflow.sources import testdata as td
-from tillflow.sources.streams import read_event_feed, union_feeds
+from tillflow.plans.weekly_job import run_weekly_job
+from tillflow.sources.streams import decode_events, read_event_feed, union_feeds
 from tillflow.sources.tables import range_scan
 from tillflow.streaming.panes import session_panes_stream
 from tillflow.streaming.sessions import closed_sessions
@@ -121,13 +121,17 @@ def weekly_sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def appended_weekly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append the week's rows to an existing table, then read the table back."""
+    """The whole weekly job: two sales tables by name -> existing output table; read it back."""
     _ready(spark)
     location = scratch_path(spark, "weekly_table")
-    table = "tillflow_weekly_" + os.path.basename(location)
+    suffix = os.path.basename(location)
+    ev = _events(spark, sf_dir)
+    books, groceries, table = f"books_{suffix}", f"groceries_{suffix}", f"tillflow_weekly_{suffix}"
+    td.sales_table(ev, td.BOOKS_EVENT_TYPE).createOrReplaceTempView(books)
+    td.sales_table(ev, td.GROCERIES_EVENT_TYPE).createOrReplaceTempView(groceries)
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in WEEKLY_SALES)
     spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet LOCATION '{location}'")
-    append_to_table(weekly_sales_events(spark, sf_dir), table)
+    run_weekly_job(spark, books, groceries, table, as_of=td.EVENTS_WEEK_AS_OF)
     return _shape(spark.table(table), ("TotalSalesInWeek",))
 
 
@@ -148,6 +152,14 @@ def quarantined_feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(quarantined_events(_feeds(spark, sf_dir)), ("price",))
 
 
+def decoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed rows as JSON messages (as a message source would carry them), decoded and validated."""
+    _ready(spark)
+    feed = _feeds(spark, sf_dir)
+    messages = feed.select(F.to_json(F.struct(*feed.columns)).alias("value"))
+    return _shape(valid_events(decode_events(messages)), ("price",))
+
+
 # -- batch sessions -------------------------------------------------------
 
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,6 +218,13 @@ def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(_run_to_table(spark, out, "streamed_sessions"), ("total_price",))
 
 
+def streamed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine side of the session job, run as a stream into the file sink."""
+    _ready(spark)
+    out = quarantined_events(_feed_streams(spark, sf_dir))
+    return _shape(_run_to_table(spark, out, "streamed_quarantine"), ("price",))
+
+
 def streamed_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open pane per event and closed panes from the stateful stream."""
     _ready(spark)
@@ -225,11 +244,13 @@ QUERIES = {
     "all_events": all_events,
     "valid_events": valid_feed_events,
     "quarantined_events": quarantined_feed_events,
+    "decoded_events": decoded_events,
     "user_sessions": user_sessions,
     "user_sessions_24h": user_sessions_24h,
     "session_events": session_events,
     "running_session_totals": running_session_totals,
     "session_panes": session_panes_batch,
     "streamed_sessions": streamed_sessions,
+    "streamed_quarantine": streamed_quarantine,
     "streamed_panes": streamed_panes,
 }
