@@ -181,3 +181,28 @@ def test_hot_user_is_applied_chunk_by_chunk(spark, workdir, engine):
     assert opens == list(range(1, 61))
     assert len(closed) == 1 and closed[0].event_count == 60 and closed[0].total_price == 60.0
     assert closed[0].window_end == at(29.5 + 10) - (at(0, 0, 1000) - at(0))
+
+
+def test_arrival_order_does_not_change_closed_panes(spark, workdir):
+    """Events cut into time-ordered micro-batches (so none is late), each batch shuffled:
+    the closed panes equal those of one in-order delivery and of the batch sessions."""
+    rng = np.random.default_rng(17)
+    rows, t = [], 0.0
+    for i in range(240):
+        t += float(rng.choice([0.2, 1, 4, 9.9, 10, 25]))
+        rows.append(event(f"r{i:04d}", at(t), user=f"u{rng.integers(0, 4)}", price=float(rng.integers(1, 50))))
+    cuts = sorted(rng.choice(np.arange(1, len(rows)), size=7, replace=False))
+    batches = [list(b) for b in np.split(np.array(rows, dtype=object), cuts)]
+    for b in batches:
+        rng.shuffle(b)
+    flush = event("zz", at(t + 100), user="flush")  # moves the watermark past every session
+    batches = [[tuple(x) for x in b] for b in batches] + [[flush]]
+    shuffled = _panes(spark, os.path.join(workdir, "s"), batches).where("NOT window_open")
+    in_order = _panes(spark, os.path.join(workdir, "o"), [rows, [flush]]).where("NOT window_open")
+    key = lambda d: sorted((r.user_id, r.window_id, r.event_count, round(r.total_price, 3), r.window_end)
+                           for r in d.collect())
+    assert key(shuffled) == key(in_order)
+    df = valid_events(spark.createDataFrame(rows, "event_id string, event_time string, user_id string, "
+                                                  "price float, event_type string"))
+    batch = sorted((r.user_id, r.window_id, r.event_count) for r in sessions(df).collect())
+    assert sorted(x[:3] for x in key(in_order) if x[0] != "flush") == batch
