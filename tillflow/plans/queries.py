@@ -79,35 +79,36 @@ def valid_sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_sales(td.raw_sale_rows(_events(spark, sf_dir)))
 
 
-def _week_side(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
+def _week_side(events: DataFrame, event_type: str) -> DataFrame:
     start, end = _week()
-    table = td.sales_table(_events(spark, sf_dir), event_type)
-    return valid_sales(range_scan(table, start, end))
+    return valid_sales(range_scan(td.sales_table(events, event_type), start, end))
 
 
 def book_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
-    return _shape(side_totals(_week_side(spark, sf_dir, td.BOOKS_EVENT_TYPE), "total"), ("total",))
+    side = _week_side(_events(spark, sf_dir), td.BOOKS_EVENT_TYPE)
+    return _shape(side_totals(side, "total"), ("total",))
 
 
 def grocery_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
-    return _shape(side_totals(_week_side(spark, sf_dir, td.GROCERIES_EVENT_TYPE), "total"), ("total",))
+    side = _week_side(_events(spark, sf_dir), td.GROCERIES_EVENT_TYPE)
+    return _shape(side_totals(side, "total"), ("total",))
 
 
 def weekly_sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
     start, end = _week()
-    b = _week_side(spark, sf_dir, td.BOOKS_EVENT_TYPE)
-    g = _week_side(spark, sf_dir, td.GROCERIES_EVENT_TYPE)
+    ev = _events(spark, sf_dir)
+    b, g = _week_side(ev, td.BOOKS_EVENT_TYPE), _week_side(ev, td.GROCERIES_EVENT_TYPE)
     return _shape(weekly_sales(b, g, start, end, T.TimestampNTZType()), ("TotalSalesInWeek",))
 
 
 def weekly_sales_events_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
     start, end = _week()
-    b = _week_side(spark, sf_dir, td.BOOKS_EVENT_TYPE)
-    g = _week_side(spark, sf_dir, td.GROCERIES_EVENT_TYPE)
+    ev = _events(spark, sf_dir)
+    b, g = _week_side(ev, td.BOOKS_EVENT_TYPE), _week_side(ev, td.GROCERIES_EVENT_TYPE)
     return _shape(weekly_sales_union(b, g, start, end, T.TimestampNTZType()), ("TotalSalesInWeek",))
 
 
@@ -196,7 +197,7 @@ def session_panes_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _feed_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two feeds as streams over the events file (one data batch each)."""
     path = f"{sf_dir}/events.parq*"
-    raw_schema = td.load(spark, sf_dir, "events").schema
+    raw_schema = td.EVENTS_SCHEMA
     books = td.book_feed(read_event_feed(spark, path, schema=raw_schema))
     groceries = td.grocery_feed(read_event_feed(spark, path, schema=raw_schema))
     return union_feeds(books, groceries)

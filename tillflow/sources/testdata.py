@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tillflow.functions.time import iso_micros_of_ntz
 from tillflow.schemas import BOOK_SALE, GROCERY_SALE
@@ -30,6 +31,19 @@ ORDERS_GROCERIES_PRIORITY = "2-HIGH"
 ORDERS_PERIOD = (dt.datetime(1996, 1, 1), dt.datetime(1997, 1, 1))
 
 
+# Fixed value: schema of the driver's events table (a stream needs it up front).
+EVENTS_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
