@@ -90,8 +90,9 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 
 def require_rocksdb_state(spark: SparkSession) -> None:
-    """Stateful processors keep several state variables per key, which needs the
-    RocksDB state store; set it for queries started from now on if it is not set."""
+    """Use the RocksDB state store for the stateful session operators started from
+    now on: state lives off-heap and on local disk with incremental checkpoints,
+    and ``transformWithStateInPandas`` (several state variables per key) needs it."""
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
