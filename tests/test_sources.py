@@ -23,3 +23,13 @@ def test_union_keeps_duplicates(spark):
     a = spark.createDataFrame([("x", 1)], "k string, v int")
     b = spark.createDataFrame([("x", 1), ("y", 2)], "k string, v int")
     assert union_feeds(a, b).count() == 3
+
+
+def test_kafka_source_is_gated_on_its_connector(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from tillflow.sources.streams import read_kafka_feed
+
+    with pytest.raises(AnalysisException, match="kafka"):
+        read_kafka_feed(spark, "localhost:1", "events")

@@ -28,6 +28,7 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "ti
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

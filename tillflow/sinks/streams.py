@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -32,3 +32,18 @@ def write_batches_idempotent(df: DataFrame, path: str, checkpoint: str, fmt: str
 
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
     return _trigger(w, trigger).start()
+
+
+def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str, key_col: str = "user_id",
+                trigger: dict | None = None) -> StreamingQuery:
+    """Publish each row as a JSON message keyed by ``key_col`` (at-least-once, as Kafka
+    sinks are). Needs the Spark Kafka connector on the classpath."""
+    messages = df.select(F.col(key_col).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+    w = (
+        messages.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+    )
+    return _trigger(w, trigger).start()

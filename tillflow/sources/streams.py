@@ -35,3 +35,22 @@ def decode_events(raw: DataFrame, payload_col: str = "value") -> DataFrame:
 def union_feeds(*feeds: DataFrame) -> DataFrame:
     """One feed from several, duplicates kept; works on batch and streaming frames."""
     return reduce(lambda a, b: a.unionByName(b), feeds)
+
+
+def read_kafka_feed(spark: SparkSession, bootstrap_servers: str, topic: str,
+                    max_offsets_per_trigger: int | None = None, starting_offsets: str = "earliest") -> DataFrame:
+    """Events from a Kafka topic whose messages are JSON events.
+
+    Needs the Spark Kafka connector on the classpath (not bundled with PySpark);
+    without it this raises ``DATA_SOURCE_NOT_FOUND``. ``max_offsets_per_trigger``
+    bounds each micro-batch.
+    """
+    reader = (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", starting_offsets)
+    )
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    return decode_events(reader.load(), "value")
