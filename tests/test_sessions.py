@@ -127,3 +127,16 @@ def test_session_plan_shuffles_events_once(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange rangepartitioning") == 1
     assert "MapInPandas" in plan
+
+
+def test_session_aggregates_are_hash_based(spark):
+    """String-valued fields ride as grouping keys, so no aggregate sorts the events."""
+    pdf = _hot_user_events(n_hot=40, n_cold=40)
+    df = _to_spark(spark, pdf)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for out in (sessions(df), session_event_rows(df)):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "SortAggregate" not in plan and "HashAggregate" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
