@@ -36,18 +36,26 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "ti
     return spark
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names storage every executor can reach. Only when it
-    is unset (local tests) a fresh folder is made and recorded in the session.
+    On a cluster the setting names storage every executor can reach, and it is
+    only read here. Only when it is unset (local tests) a fresh folder is made,
+    once per application, and given to ``SparkContext.setCheckpointDir`` (the
+    setting itself cannot be changed at run time).
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    root = sc.getConf().get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tillflow-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        root = _OWN_ROOTS.get(sc.applicationId)
+        if root is None:
+            root = tempfile.mkdtemp(prefix="tillflow-ckpt-")
+            _OWN_ROOTS[sc.applicationId] = root
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
