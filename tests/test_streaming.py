@@ -206,3 +206,19 @@ def test_arrival_order_does_not_change_closed_panes(spark, workdir):
                                                   "price float, event_type string"))
     batch = sorted((r.user_id, r.window_id, r.event_count) for r in sessions(df).collect())
     assert sorted(x[:3] for x in key(in_order) if x[0] != "flush") == batch
+
+
+def test_fast_and_exact_paths_differ_only_after_a_session_closed(spark, workdir):
+    """A row that is not late but comes after the exact path closed its session:
+    the exact path (like the reference, whose closed window state is gone) starts a
+    new session; the fast path, which closes one gap later, still merges it."""
+    batches = [
+        [event("a", at(10), user="u"), event("b", at(19), user="u")],
+        [event("w", at(35), user="clock")],  # exact path closes [00:10, 00:29) here
+        [event("c", at(28), user="u")],  # 00:28 + 10 min > 00:35: not late
+        [event("z", at(120), user="flush")],
+    ]
+    exact = _panes(spark, os.path.join(workdir, "x"), batches).where("user_id = 'u' AND NOT window_open")
+    fast = _run(spark, os.path.join(workdir, "f"), batches, closed_sessions).where("user_id = 'u'")
+    assert sorted((r.window_id, r.event_count) for r in exact.collect()) == [("a", 2), ("c", 1)]
+    assert sorted((r.window_id, r.event_count) for r in fast.collect()) == [("a", 3)]

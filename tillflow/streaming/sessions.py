@@ -16,10 +16,14 @@ Boundary: ``session_window`` merges windows that only touch, so it is asked for
 ``gap - 1 µs`` and the microsecond is added back to the end; events exactly one
 gap apart then start a new session, events closer than that share one.
 
-Known difference from :mod:`tillflow.streaming.panes` (the exact path): Spark
-filters late rows against the previous micro-batch's watermark, so within one
-micro-batch a row that is already late can still join a session. No early
-(open) panes are produced here; use the exact path for those.
+Known difference from :mod:`tillflow.streaming.panes` (the exact path): both
+drop the same late rows, but this path closes a session one gap later. A row
+that is not late yet arrives after the exact path has closed its session (the
+watermark passed the session's end) still joins the session here, while the
+exact path, like the reference whose closed window state is gone, starts a new
+session with it (tested). With in-order input the two agree. Both judge lateness
+against the watermark at the start of the micro-batch. No early (open) panes
+are produced here; use the exact path for those.
 """
 
 from __future__ import annotations
