@@ -222,3 +222,22 @@ def test_fast_and_exact_paths_differ_only_after_a_session_closed(spark, workdir)
     fast = _run(spark, os.path.join(workdir, "f"), batches, closed_sessions).where("user_id = 'u'")
     assert sorted((r.window_id, r.event_count) for r in exact.collect()) == [("a", 2), ("c", 1)]
     assert sorted((r.window_id, r.event_count) for r in fast.collect()) == [("a", 3)]
+
+
+def test_late_row_next_batch_exact_drops_fast_path_stretches(spark, workdir):
+    """Session [00:01, 00:15), watermark 00:40, then an event at 00:12 in the next batch:
+    00:12 + 10 min <= 00:40, so it is late. The exact path drops it. Spark's own session
+    window filters late rows with the previous batch's watermark, so in this one batch
+    the row gets in and stretches the session to 00:22 (the documented band)."""
+    batches = [
+        [event("s1", at(1), user="u"), event("s2", at(5), user="u")],
+        [event("w", at(40), user="clock")],
+        [event("late", at(12), user="u")],
+        [event("z", at(120), user="flush")],
+    ]
+    exact = _panes(spark, os.path.join(workdir, "x"), batches).where("user_id = 'u'")
+    fast = _run(spark, os.path.join(workdir, "f"), batches, closed_sessions).where("user_id = 'u'")
+    closed = exact.where("NOT window_open").collect()
+    assert [(r.window_id, r.event_count, r.window_end) for r in closed] == [("s1", 2, at(14, 59, 999_000))]
+    assert exact.where("window_open").count() == 2  # no pane for the late row
+    assert [(r.window_id, r.event_count, r.window_end) for r in fast.collect()] == [("s1", 3, at(22))]

@@ -8,22 +8,31 @@ user sends its merged sessions, not its rows.
 
 Watermark: on the event time with delay ``gap + lateness``. Spark drops a row
 whose time is at or below the watermark, i.e. with ``ts + gap <= max_ts -
-lateness``: exactly the rows whose own window is already behind the event-time
-progress, which is the late rule of the reference job. A session is written when
-``end <= watermark``, one gap after the newest event could still have reached it.
+lateness``: the rows whose own window is already behind the event-time
+progress, which is the late rule of the reference job (applied one micro-batch
+late, see below). A session is written when ``end <= watermark``, one gap after
+the newest event could still have reached it.
 
 Boundary: ``session_window`` merges windows that only touch, so it is asked for
 ``gap - 1 µs`` and the microsecond is added back to the end; events exactly one
 gap apart then start a new session, events closer than that share one.
 
-Known difference from :mod:`tillflow.streaming.panes` (the exact path): both
-drop the same late rows, but this path closes a session one gap later. A row
-that is not late yet arrives after the exact path has closed its session (the
-watermark passed the session's end) still joins the session here, while the
-exact path, like the reference whose closed window state is gone, starts a new
-session with it (tested). With in-order input the two agree. Both judge lateness
-against the watermark at the start of the micro-batch. No early (open) panes
-are produced here; use the exact path for those.
+Known differences from :mod:`tillflow.streaming.panes` (the exact path), both
+tested:
+
+* Late rows: Spark's stateful operators filter late input with the previous
+  micro-batch's watermark and evict with the current one. In the first batch
+  after the watermark moves, a late row can still join a session and stretch
+  it (a session [00:01, 00:15) becomes [00:01, 00:22) with a row at 00:12 once
+  the watermark is at 00:40). The exact path checks lateness itself against the
+  current watermark and drops it, as the reference does.
+* Closing: this path closes a session one gap later, so a row that is not late
+  but comes after the exact path closed its session still joins it here; the
+  exact path, like the reference whose closed window state is gone, starts a
+  new session.
+
+With in-order input the two agree. No early (open) panes are produced here;
+use the exact path for those.
 """
 
 from __future__ import annotations
