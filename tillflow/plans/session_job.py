@@ -65,3 +65,34 @@ def start_session_job(
     panes = write_files(out, panes_path, f"{checkpoint}/panes", trigger=trigger)
     quarantine = write_files(quarantined_events(feeds()), quarantine_path, f"{checkpoint}/quarantine", trigger=trigger)
     return SessionJob(panes, quarantine)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m tillflow.plans.session_job --books P1 --groceries P2 --panes P3 --quarantine P4 --checkpoint P5``"""
+    import argparse
+
+    from tillflow.runtime import build_session
+
+    ap = argparse.ArgumentParser(description="Sessionise two event feeds into open and closed panes.")
+    ap.add_argument("--books", required=True, help="books feed folder")
+    ap.add_argument("--groceries", required=True, help="groceries feed folder")
+    ap.add_argument("--panes", required=True, help="output folder for panes")
+    ap.add_argument("--quarantine", required=True, help="output folder for rejected events")
+    ap.add_argument("--checkpoint", required=True, help="checkpoint folder (shared storage)")
+    ap.add_argument("--format", default="parquet", choices=["parquet", "json"])
+    ap.add_argument("--gap", default=SESSION_GAP)
+    ap.add_argument("--lateness", default="0 seconds")
+    ap.add_argument("--include-events", action="store_true")
+    ap.add_argument("--closed-only", action="store_true", help="only closed sessions (Spark's session window)")
+    ap.add_argument("--trigger", default="availableNow", help="'availableNow' or a processing-time interval")
+    args = ap.parse_args(argv)
+    trigger = {"availableNow": True} if args.trigger == "availableNow" else {"processingTime": args.trigger}
+    spark = build_session()
+    job = start_session_job(spark, args.books, args.groceries, args.panes, args.quarantine, args.checkpoint,
+                            gap=args.gap, lateness=args.lateness, early_panes=not args.closed_only,
+                            include_events=args.include_events, fmt=args.format, trigger=trigger)
+    job.await_termination()
+
+
+if __name__ == "__main__":
+    main()

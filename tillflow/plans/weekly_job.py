@@ -33,3 +33,25 @@ def run_weekly_job(spark: SparkSession, books_source: str, groceries_source: str
     books = read_table(spark, books_source)
     groceries = read_table(spark, groceries_source)
     append_to_table(weekly_result(books, groceries, start, end, time_col), output_table)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m tillflow.plans.weekly_job --books T1 --groceries T2 --output T3 [--as-of YYYY-MM-DD]``"""
+    import argparse
+
+    from tillflow.runtime import build_session
+
+    ap = argparse.ArgumentParser(description="Append last week's sales per user to an existing table.")
+    ap.add_argument("--books", required=True, help="book sales table name or path")
+    ap.add_argument("--groceries", required=True, help="grocery sales table name or path")
+    ap.add_argument("--output", required=True, help="existing weekly sales table")
+    ap.add_argument("--as-of", type=dt.date.fromisoformat, default=None, help="week ends at this midnight (UTC)")
+    ap.add_argument("--days", type=int, default=7)
+    ap.add_argument("--time-col", default="date_time")
+    args = ap.parse_args(argv)
+    spark = build_session()
+    run_weekly_job(spark, args.books, args.groceries, args.output, args.as_of, args.days, args.time_col)
+
+
+if __name__ == "__main__":
+    main()
