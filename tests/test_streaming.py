@@ -241,3 +241,40 @@ def test_late_row_next_batch_exact_drops_fast_path_stretches(spark, workdir):
     assert [(r.window_id, r.event_count, r.window_end) for r in closed] == [("s1", 2, at(14, 59, 999_000))]
     assert exact.where("window_open").count() == 2  # no pane for the late row
     assert [(r.window_id, r.event_count, r.window_end) for r in fast.collect()] == [("s1", 3, at(22))]
+
+
+def test_message_time_places_sessions_payload_time_names_them(spark, workdir):
+    """Sessions follow the message (publish) time; order, name and pane bounds follow the
+    payload's event time, as in the reference (two parameters, both the event time by default)."""
+    from pyspark.sql import types as T
+
+    from tillflow.functions.time import parse_iso
+    from tillflow.schemas import EVENT
+
+    schema = T.StructType(list(EVENT.fields) + [T.StructField("publish_time", T.StringType())])
+    rows = [("p1", "1970-01-01T00:10:00.000Z", "u", 1.0, "BOOK_SALE", "1970-01-01T00:01:00.000Z"),
+            ("p2", "1970-01-01T00:09:00.000Z", "u", 2.0, "BOOK_SALE", "1970-01-01T00:02:00.000Z"),
+            ("p3", "1970-01-01T00:08:00.000Z", "u", 4.0, "BOOK_SALE", "1970-01-01T00:03:00.000Z")]
+    flush = ("z", "1970-01-01T02:00:00.000Z", "flush", 1.0, "BOOK_SALE", "1970-01-01T02:00:00.000Z")
+    src = replay_dir(spark, os.path.join(workdir, "src"), [rows, [flush]], schema=schema)
+    stream = read_event_feed(spark, src, max_files_per_trigger=1, schema=schema)
+    valid = valid_events(stream).withColumn("publish_ts", parse_iso(F.col("publish_time")))
+
+    def run(df, name):
+        q = write_files(df, os.path.join(workdir, name), os.path.join(workdir, name + "_chk"))
+        q.awaitTermination()
+        assert q.exception() is None
+        return spark.read.parquet(os.path.join(workdir, name)).where("user_id = 'u'")
+
+    panes = run(session_panes_stream(valid, time_col="publish_ts", order_col="ts", include_events=True), "exact")
+    closed = panes.where("NOT window_open").collect()
+    assert len(closed) == 1
+    c = closed[0]
+    assert (c.window_id, c.window_start, c.window_end, c.event_count) == ("p3", at(8), at(12, 59, 999_000), 3)
+    assert [e.event_id for e in c.events] == ["p3", "p2", "p1"]
+    opens = panes.where("window_open").orderBy("event_count").collect()
+    assert [(r.window_id, r.window_start, r.window_end) for r in opens] == [
+        ("p1", at(10), at(10)), ("p2", at(9), at(10)), ("p3", at(8), at(10))]
+    fast = run(closed_sessions(valid, time_col="publish_ts", order_col="ts"), "fast").collect()
+    assert [(r.window_id, r.window_start, r.last_event_time, r.window_end, r.event_count) for r in fast] == [
+        ("p3", at(8), at(10), at(13), 3)]

@@ -49,14 +49,17 @@ from tillflow.schemas import EVENT
 
 _SESSION_STATE = T.StructType(
     [
-        T.StructField("start_us", T.LongType()),
+        T.StructField("start_us", T.LongType()),  # session time: merging, lateness, timers
         T.StructField("last_us", T.LongType()),
-        T.StructField("first_id", T.StringType()),
+        T.StructField("first_id", T.StringType()),  # oldest event by (order time, id)
         T.StructField("total", T.DoubleType()),
         T.StructField("n", T.LongType()),
+        T.StructField("first_o_us", T.LongType()),  # order time: naming and pane bounds
+        T.StructField("last_o_us", T.LongType()),
     ]
 )
-_EVENT_STATE = T.StructType(list(EVENT.fields) + [T.StructField("t_us", T.LongType())])
+_EVENT_STATE = T.StructType(list(EVENT.fields) + [T.StructField("t_us", T.LongType()),
+                                                  T.StructField("o_us", T.LongType())])
 
 _RAW_PANE = T.StructType(
     [
@@ -87,9 +90,13 @@ def _py(v):
 class _SessionBook:
     """The session rules, shared by both stateful engines below.
 
-    A session is ``[start, last, first_id, total, n]``. Events are applied in
-    (time, id) order; an event joins every open session whose window
-    ``[start, last + gap)`` overlaps its own ``[t, t + gap)``, merging them.
+    A session is ``[start, last, first_id, total, n, first_o, last_o]``. Two
+    times per event, as in the reference: the *session time* ``t`` (the message
+    time there) places it in a session, drives lateness and the timer; the
+    *order time* ``o`` (the payload's event time) orders the events, names the
+    session and gives the pane bounds. By default both are the event time.
+    Events are applied in (t, id) order; an event joins every open session whose
+    window ``[start, last + gap)`` overlaps its own ``[t, t + gap)``, merging them.
     """
 
     def __init__(self, gap_us: int, per_event: bool, include_events: bool):
@@ -104,14 +111,15 @@ class _SessionBook:
         return -(-(min(s[1] for s in sessions) + self.gap_us) // 1000)
 
     def pane(self, key, s: list, is_open: bool, events: list[dict]) -> tuple:
-        start, last, first_id, total, n = s
-        end_us = last if is_open else last + self.gap_us - 1000
+        start, last, first_id, total, n, first_o, last_o = s
+        # open: newest order time so far; closed: the window's last instant (end - 1 ms)
+        end_us = last_o if is_open else last + self.gap_us - 1000
         evs = None
         if self.include_events:
             mine = [e for e in events if start <= e["t_us"] <= last]
-            mine.sort(key=lambda e: (e["t_us"], e["event_id"]))
+            mine.sort(key=lambda e: (e["o_us"], e["event_id"]))
             evs = [{c: e[c] for c in _EVENT_COLS} for e in mine]
-        return (first_id, key, start, end_us, total, is_open, n, evs)
+        return (first_id, key, first_o, end_us, total, is_open, n, evs)
 
     def close_due(self, key, due_us: int, sessions: list[list], events: list[dict], out: list[tuple]):
         """Emit a closed pane for every session whose end is at or before ``due_us``."""
@@ -132,20 +140,23 @@ class _SessionBook:
         they are applied one after the other, as events arriving in that order."""
         gap = self.gap_us
         t_all = batch["t_us"].to_numpy()
+        o_all = batch["o_us"].to_numpy()
         ids_all = batch["event_id"].to_numpy()
         keep_rows = np.flatnonzero(t_all + gap > wm_us)
         order = keep_rows[np.lexsort((ids_all[keep_rows], t_all[keep_rows]))]
         prices = batch["price"].to_numpy()
         touched: list[list] = []
         for i in order:
-            t = int(t_all[i])
-            merged = [t, t, _py(ids_all[i]), float(prices[i]), 1]
+            t, o = int(t_all[i]), int(o_all[i])
+            merged = [t, t, _py(ids_all[i]), float(prices[i]), 1, o, o]
             rest = []
             for s in sessions:
                 if s[0] - gap < t < s[1] + gap:
-                    if (s[0], s[2]) < (merged[0], merged[2]):
-                        merged[0], merged[2] = s[0], s[2]
+                    merged[0] = min(merged[0], s[0])
                     merged[1] = max(merged[1], s[1])
+                    if (s[5], s[2]) < (merged[5], merged[2]):
+                        merged[5], merged[2] = s[5], s[2]
+                    merged[6] = max(merged[6], s[6])
                     merged[3] += s[3]
                     merged[4] += s[4]
                     touched = [x for x in touched if x is not s]
@@ -154,7 +165,7 @@ class _SessionBook:
             sessions = rest + [merged]
             touched.append(merged)
             if self.include_events:
-                events.append({**{c: _py(batch[c].iat[i]) for c in _EVENT_COLS}, "t_us": t})
+                events.append({**{c: _py(batch[c].iat[i]) for c in _EVENT_COLS}, "t_us": t, "o_us": o})
             if self.per_event:
                 out.append(self.pane(key, merged, True, events))
         if not self.per_event:
@@ -290,12 +301,18 @@ def session_panes_stream(
     include_events: bool = False,
     time_col: str = "ts",
     engine: str = "group_state",
+    order_col: str | None = None,
 ) -> DataFrame:
     """Open and closed panes of a stream of valid events (feed columns plus an instant ``ts``).
 
     Columns: window_id, user_id, window_start, window_end, total_price (float),
     window_open, event_count, and ``events`` (array of events, null unless
     ``include_events``). Run it in append mode.
+
+    ``time_col`` is the session time (sessions, lateness, watermark; in the
+    reference, the message's publish time) and ``order_col`` the order time
+    (naming, pane bounds, event order; the payload's event time). ``order_col``
+    defaults to ``time_col``.
     """
     from tillflow.runtime import require_rocksdb_state
 
@@ -305,6 +322,7 @@ def session_panes_stream(
     prepared = events.select(
         *[F.col(c) for c in _EVENT_COLS],
         micros(F.col(time_col)).alias("t_us"),
+        micros(F.col(order_col or time_col)).alias("o_us"),
         (F.col(time_col) + F.expr(f"INTERVAL {gap_us} MICROSECONDS")).alias("close_ts"),
     ).withWatermark("close_ts", f"{gap_us + late_us} microseconds")
     grouped = prepared.groupBy("user_id")

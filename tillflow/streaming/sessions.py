@@ -52,12 +52,17 @@ def closed_sessions(
     time_col: str = "ts",
     id_col: str = "event_id",
     price_col: str = "price",
+    order_col: str | None = None,
 ) -> DataFrame:
     """Sessions of a (streaming or batch) frame of valid events with an instant ``time_col``.
 
     Columns: user_id, window_id, window_start, window_end (exclusive), last_event_time,
-    total_price (double), event_count.
+    total_price (double), event_count. ``time_col`` places events in sessions;
+    ``order_col`` (default: the same) names them and gives window_start and
+    last_event_time, as the message time and the payload's event time do in the
+    reference.
     """
+    order = F.col(order_col or time_col)
     spark = events.sparkSession
     if spark.conf.get(LOCAL_MERGE, "false") != "true":
         spark.conf.set(LOCAL_MERGE, "true")  # pre-merge sessions before the shuffle
@@ -66,15 +71,15 @@ def closed_sessions(
     marked = events.withWatermark(time_col, f"{gap_us + late_us} microseconds")
     window = F.session_window(F.col(time_col), f"{gap_us - 1} microseconds")
     agg = marked.groupBy(F.col(key), window.alias("session")).agg(
-        F.min(F.struct(F.col(time_col), F.col(id_col))).alias("head"),
-        F.max(time_col).alias("last_event_time"),
+        F.min(F.struct(order.alias("o"), F.col(id_col).alias("id"))).alias("head"),
+        F.max(order).alias("last_event_time"),
         F.sum(F.col(price_col).cast("double")).alias("total_price"),
         F.count(F.lit(1)).alias("event_count"),
     )
     return agg.select(
         F.col(key).alias("user_id"),
-        F.col(f"head.{id_col}").alias("window_id"),
-        F.col("session.start").alias("window_start"),
+        F.col("head.id").alias("window_id"),
+        F.col("head.o").alias("window_start"),
         (F.col("session.end") + F.expr("INTERVAL 1 MICROSECOND")).alias("window_end"),
         "last_event_time",
         "total_price",
