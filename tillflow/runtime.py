@@ -70,8 +70,11 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``tillflow`` importable on the executors (Python workers), once per context.
 
-    The package is zipped into the shared checkpoint folder and added with
-    ``addPyFile``, the same as ``spark-submit --py-files``.
+    The package is zipped and added with ``addPyFile``, the same as
+    ``spark-submit --py-files``: Spark uploads the archive from the driver to
+    every executor. Only the driver reads the archive, so it is written under the
+    checkpoint folder when that is a local path, else in a driver-side folder
+    (an ``hdfs://`` or ``s3a://`` root cannot be written with local file calls).
     """
     import zipfile
 
@@ -80,8 +83,12 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target = scratch_path(spark, "pyfiles")
-    os.makedirs(target, exist_ok=True)
+    root = checkpoint_root(spark)
+    if "://" in root and not root.startswith("file:"):
+        target = tempfile.mkdtemp(prefix="tillflow-pyfiles-")
+    else:
+        target = scratch_path(spark, "pyfiles").removeprefix("file:")
+        os.makedirs(target, exist_ok=True)
     archive = os.path.join(target, "tillflow.zip")
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
         for base, _dirs, files in os.walk(pkg_dir):
