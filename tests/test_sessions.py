@@ -140,3 +140,19 @@ def test_session_aggregates_are_hash_based(spark):
             assert "SortAggregate" not in plan and "HashAggregate" in plan
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_copies_of_one_event_spread_over_partitions(spark):
+    """A third of all rows (and more) are copies of one event: range partitioning must
+    still cut them, and every copy is counted in the one session."""
+    from tillflow.operators.sessions import _narrow, _ranged
+
+    rows = [("dup", "hot", at(5), 1.0)] * 3000 + [(f"e{i}", f"u{i % 7}", at(i % 50), 2.0) for i in range(1500)]
+    df = _events(spark, rows)
+    sizes = (_ranged(_narrow(df, "user_id", "ts", "event_id", "price", ()), 8)
+             .groupBy("pid").count().toPandas()["count"])
+    assert sizes.max() <= 0.3 * len(rows)
+    hot = sessions(df, partitions=8).where("user_id = 'hot'").collect()
+    assert [(r.window_id, r.event_count, r.total_price) for r in hot] == [("dup", 3000, 3000.0)]
+    pos = sorted(r.position for r in session_event_rows(df, partitions=8).where("user_id = 'hot'").collect())
+    assert pos == list(range(1, 3001))

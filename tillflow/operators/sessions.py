@@ -8,9 +8,10 @@ by the id of its oldest event, ties in time broken by the smaller id.
 
 Plan, built so that no user's rows ever go to one task:
 
-1. ``repartitionByRange(P, user, ts, id)`` + ``sortWithinPartitions``. The range
-   bounds come from a sample, so a user holding a third of all rows is cut into
-   many consecutive partitions, each about 1/P of the data. This is the only
+1. ``repartitionByRange(P, user, ts, id, position)`` + ``sortWithinPartitions``.
+   The range bounds come from a sample, so a user holding a third of all rows
+   (or a third of all rows being copies of one event) is cut into many
+   consecutive partitions, each about 1/P of the data. This is the only
    shuffle of event rows.
 2. ``mapInPandas`` walks each sorted partition once, vectorised per Arrow batch,
    carrying only the open session across batches. It emits one *fragment* per
@@ -84,10 +85,14 @@ def _narrow(events: DataFrame, key: str, time_col: str, id_col: str, price_col:
         t_us = ntz_micros(t)
     else:
         t_us = micros(t)
+    # ``dup`` tells exact copies apart (same user, time and id), so that even a
+    # third of all rows being copies of one event splits over many partitions. It
+    # comes from the row's input position, so a retried task gets the same value.
     return events.where(F.col(key).isNotNull() & t.isNotNull()).select(
         F.col(key).alias("k"),
         t_us.alias("t_us"),
         F.col(id_col).alias("eid"),
+        F.monotonically_increasing_id().alias("dup"),
         F.col(price_col).cast("double").alias("p"),
         *extra,
     )
@@ -111,9 +116,9 @@ def _ranged(narrow: DataFrame, partitions: int | None) -> DataFrame:
     may coalesce small partitions; it only merges adjacent ranges, so partition
     ids stay in global order, which is all the stitching needs.
     """
-    ranged = (narrow.repartitionByRange(partitions, "k", "t_us", "eid") if partitions
-              else narrow.repartitionByRange("k", "t_us", "eid"))
-    return ranged.sortWithinPartitions("k", "t_us", "eid").withColumn("pid", F.spark_partition_id())
+    keys = ("k", "t_us", "eid", "dup")
+    ranged = narrow.repartitionByRange(partitions, *keys) if partitions else narrow.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys).drop("dup").withColumn("pid", F.spark_partition_id())
 
 
 def _segments(k: np.ndarray, t: np.ndarray, gap_us: int, carry) -> tuple[np.ndarray, bool]:
