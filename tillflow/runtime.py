@@ -11,14 +11,23 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(master: str | None = None, partitions: int = 8, app: str = "tillflow") -> SparkSession:
-    """Session for tests, the bench and local runs. On a cluster pass no master."""
+def build_session(master: str | None = None, partitions: int | None = None, app: str = "tillflow") -> SparkSession:
+    """Session for tests, the bench and local runs, or a cluster (no master).
+
+    ``partitions`` sets ``spark.sql.shuffle.partitions`` (tests: the core count).
+    On a cluster leave it to the cluster's settings; size
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` for the data
+    (about input bytes / 128 MB) and let AQE merge small partitions.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    elif master and master.startswith("local"):
+        builder = builder.config("spark.sql.shuffle.partitions", "8")
     spark = (
-        builder.config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
