@@ -156,3 +156,16 @@ def test_copies_of_one_event_spread_over_partitions(spark):
     assert [(r.window_id, r.event_count, r.total_price) for r in hot] == [("dup", 3000, 3000.0)]
     pos = sorted(r.position for r in session_event_rows(df, partitions=8).where("user_id = 'hot'").collect())
     assert pos == list(range(1, 3001))
+
+
+def test_planned_partitions_follow_spark_settings(spark):
+    from tillflow.operators.sessions import planned_partitions
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert planned_partitions(spark, 17) == 17
+    assert planned_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(key, "64")
+    try:
+        assert planned_partitions(spark) == 64
+    finally:
+        spark.conf.unset(key)

@@ -109,6 +109,21 @@ def _is_ntz(events: DataFrame, time_col: str) -> bool:
     return isinstance(events.schema[time_col].dataType, T.TimestampNTZType)
 
 
+def planned_partitions(spark, partitions: int | None = None) -> int:
+    """How many range partitions the session plan gets: ``partitions`` if given,
+    else Spark's shuffle partition number (with AQE coalescing on, its initial
+    partition number when that is set)."""
+    if partitions:
+        return int(partitions)
+    conf = spark.conf
+    aqe = conf.get("spark.sql.adaptive.enabled", "true") == "true"
+    coalesce = conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true") == "true"
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    if aqe and coalesce and initial:
+        return int(initial)
+    return int(conf.get("spark.sql.shuffle.partitions"))
+
+
 def _ranged(narrow: DataFrame, partitions: int | None) -> DataFrame:
     """Range-partition and sort by (user, time, id); ``pid`` follows the global order.
 
@@ -399,7 +414,7 @@ def session_event_rows(
     gap_us = gap_micros(gap)
     extra = tuple(extra)
     narrow = _narrow(events, key, time_col, id_col, price_col, extra)
-    n_parts = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = planned_partitions(events.sparkSession, partitions)
     checkpoint_root(events.sparkSession)
     tagged = (
         _ranged(narrow, n_parts)
