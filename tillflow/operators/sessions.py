@@ -417,7 +417,7 @@ def session_event_rows(
     n_parts = planned_partitions(events.sparkSession, partitions)
     checkpoint_root(events.sparkSession)
     tagged = (
-        _ranged(narrow, n_parts)
+        _ranged(narrow, partitions)  # n_parts is the upper bound: AQE may only merge ranges
         .mapInPandas(_event_scan(gap_us, extra), _event_schema(narrow, extra))
         .checkpoint(eager=True)
     )
