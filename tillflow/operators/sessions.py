@@ -41,8 +41,9 @@ from tillflow.functions.time import micros, ntz_micros, window_max_timestamp
 # Fixed value: the session gap of the reference job.
 SESSION_GAP = "10 minutes"
 
-# Continued fragments are at most P - 1 rows; above this many partitions the
-# mapping is joined with a shuffle instead of being broadcast.
+# Per-partition tables (last fragment per partition, offsets of continued
+# fragments) have at most P rows; above this many partitions they are joined
+# with a shuffle instead of being broadcast.
 MAX_BROADCAST_PARTITIONS = 200_000
 
 
@@ -434,7 +435,9 @@ def session_event_rows(
         F.sum("p").alias("total"),
     ).withColumn("head", F.struct(F.col("first_t").alias("t_us"), F.col("first_eid").alias("eid")))
     last_of_pid = frags.groupBy("pid").agg(F.max("lsid").alias("max_lsid"))  # one row per partition
-    frags = frags.join(F.broadcast(last_of_pid), "pid").withColumn("is_last", F.col("lsid") == F.col("max_lsid"))
+    if n_parts <= MAX_BROADCAST_PARTITIONS:
+        last_of_pid = F.broadcast(last_of_pid)  # at most P rows
+    frags = frags.join(last_of_pid, "pid").withColumn("is_last", F.col("lsid") == F.col("max_lsid"))
     edges = frags.where((F.col("lsid") == 0) | F.col("is_last"))
     chains = _edge_chains(edges, gap_us, [F.col("k")])
 
