@@ -278,3 +278,11 @@ def test_message_time_places_sessions_payload_time_names_them(spark, workdir):
     fast = run(closed_sessions(valid, time_col="publish_ts", order_col="ts"), "fast").collect()
     assert [(r.window_id, r.window_start, r.last_event_time, r.window_end, r.event_count) for r in fast] == [
         ("p3", at(8), at(10), at(13), 3)]
+
+
+def test_pane_output_matches_the_declared_schema(spark, workdir):
+    from tillflow.schemas import SESSION_PANE
+
+    src = replay_dir(spark, os.path.join(workdir, "src"), [GOLDEN])
+    out = session_panes_stream(valid_events(read_event_feed(spark, src)), include_events=True)
+    assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in SESSION_PANE]
