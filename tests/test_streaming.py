@@ -286,3 +286,17 @@ def test_pane_output_matches_the_declared_schema(spark, workdir):
     src = replay_dir(spark, os.path.join(workdir, "src"), [GOLDEN])
     out = session_panes_stream(valid_events(read_event_feed(spark, src)), include_events=True)
     assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in SESSION_PANE]
+
+
+def test_allowed_lateness_moves_the_late_line(spark, workdir):
+    """lateness=5 min: the watermark trails the newest event by 5 minutes."""
+    batches = [
+        [event("w", at(40), user="clock")],
+        [event("in", at(28), user="a"), event("out", at(24), user="b")],
+        [event("z", at(200), user="flush")],
+    ]
+    out = _panes(spark, workdir, batches, lateness="5 minutes")
+    users = {r.user_id for r in out.collect()}
+    assert "a" in users and "b" not in users
+    closed = out.where("user_id = 'clock' AND NOT window_open").collect()
+    assert len(closed) == 1 and closed[0].window_end == at(49, 59, 999_000)
