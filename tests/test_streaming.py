@@ -300,3 +300,18 @@ def test_allowed_lateness_moves_the_late_line(spark, workdir):
     assert "a" in users and "b" not in users
     closed = out.where("user_id = 'clock' AND NOT window_open").collect()
     assert len(closed) == 1 and closed[0].window_end == at(49, 59, 999_000)
+
+
+def test_session_job_reads_json_lines_feeds(spark, workdir):
+    from tillflow.schemas import EVENT
+
+    books, groceries = os.path.join(workdir, "books"), os.path.join(workdir, "groceries")
+    spark.createDataFrame(GOLDEN[:2], EVENT).coalesce(1).write.json(books)
+    spark.createDataFrame(GOLDEN[2:] + [FLUSH], EVENT).coalesce(1).write.json(groceries)
+    job = start_session_job(spark, books, groceries, os.path.join(workdir, "panes"),
+                            os.path.join(workdir, "quarantine"), os.path.join(workdir, "chk"), fmt="json")
+    job.await_termination()
+    panes = spark.read.parquet(os.path.join(workdir, "panes")).where("user_id = '2'")
+    assert panes.where("window_open").count() == 4
+    final = panes.where("NOT window_open").first()
+    assert (final.window_id, final.event_count, final.window_end) == ("a1", 4, "1970-01-01T00:13:59.999Z")
