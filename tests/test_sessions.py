@@ -169,3 +169,25 @@ def test_planned_partitions_follow_spark_settings(spark):
         assert planned_partitions(spark) == 64
     finally:
         spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("batch_rows", [1, 7, 64])
+def test_sessions_carry_across_arrow_batches(spark, batch_rows):
+    """Partitions arrive in many Arrow batches; an open session is carried from one to the next."""
+    pdf = _hot_user_events(seed=5, n_hot=600, n_cold=150)
+    gap = "10 minutes"
+    want = brute_sessions(pdf, gap_micros(gap))
+    expect = {eid: (s.window_id, pos, run) for s in want.itertuples(index=False) for (eid, pos, run) in s.pos}
+    df = _to_spark(spark, pdf)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    try:
+        got = sessions(df, gap, partitions=3).toPandas()
+        rows = session_event_rows(df, gap, partitions=3).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert sorted(zip(got.user_id, got.window_id, got.event_count)) == sorted(zip(want.user_id, want.window_id, want.n))
+    assert np.allclose(sorted(got.total_price), sorted(want.total), atol=1e-6)
+    for r in rows.itertuples(index=False):
+        wid, pos, run = expect[r.event_id]
+        assert (r.window_id, r.position) == (wid, pos) and abs(r.running_total - run) < 1e-6
