@@ -191,3 +191,15 @@ def test_sessions_carry_across_arrow_batches(spark, batch_rows):
     for r in rows.itertuples(index=False):
         wid, pos, run = expect[r.event_id]
         assert (r.window_id, r.position) == (wid, pos) and abs(r.running_total - run) < 1e-6
+
+
+def test_degenerate_inputs(spark):
+    empty = _events(spark, [])
+    assert sessions(empty).count() == 0 and session_event_rows(empty).count() == 0
+    one = _events(spark, [("x", "u", at(0), 2.5)])
+    r = sessions(one).collect()
+    assert [(s.window_id, s.event_count, s.window_start, s.window_end) for s in r] == [("x", 1, at(0), at(10))]
+    early = _events(spark, [("a", "u", dt.datetime(1969, 12, 31, 23, 55), 1.0), ("b", "u", at(2), 1.0)])
+    assert [(s.window_id, s.event_count) for s in sessions(early).collect()] == [("a", 2)]
+    nulls = _events(spark, [("n1", None, at(1), 1.0), ("n2", "u", None, 1.0), ("ok", "u", at(1), 1.0)])
+    assert [s.window_id for s in sessions(nulls).collect()] == ["ok"]
