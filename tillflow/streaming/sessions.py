@@ -54,7 +54,10 @@ def closed_sessions(
     price_col: str = "price",
     order_col: str | None = None,
 ) -> DataFrame:
-    """Sessions of a (streaming or batch) frame of valid events with an instant ``time_col``.
+    """Sessions of a streaming frame of valid events with an instant ``time_col``.
+
+    It also runs on a batch frame, but there Spark's session window puts each
+    user in one task; for batches use :func:`tillflow.operators.sessions.sessions`.
 
     Columns: user_id, window_id, window_start, window_end (exclusive), last_event_time,
     total_price (double), event_count. ``time_col`` places events in sessions;
