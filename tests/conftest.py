@@ -1,9 +1,15 @@
 import os
 import sys
 import tempfile
+import time
 
 import pytest
 
+# collect() turns instants into Python datetimes in the process's local zone;
+# the expected values here are UTC wall clocks.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tillflow.runtime import build_session  # noqa: E402
