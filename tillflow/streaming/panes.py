@@ -82,6 +82,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _EVENT_COLS = [f.name for f in EVENT.fields]
 
 
+_QUIET = []
+
+
+def _quiet_pandas_concat() -> None:
+    """Silence, once per worker, the pandas warning about concatenating an all-null
+    column (the ``events`` column when events are not requested)."""
+    if not _QUIET:
+        warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty or all-NA.*")
+        _QUIET.append(True)
+
+
 def _py(v):
     """A plain Python value (state is pickled for the JVM, which knows no numpy scalars)."""
     return v.item() if isinstance(v, np.generic) else v
@@ -263,7 +274,7 @@ def _group_state_fn(gap_us: int, per_event: bool, include_events: bool):
     book = _SessionBook(gap_us, per_event, include_events)
 
     def run(key, frames, state):
-        warnings.filterwarnings("ignore", category=FutureWarning)  # pandas concat of an all-null column
+        _quiet_pandas_concat()
         user = key[0]
         sessions, events = [], []
         if state.exists:
