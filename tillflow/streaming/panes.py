@@ -32,6 +32,7 @@ pane, quadratic in session length, so it is off unless asked for.
 
 from __future__ import annotations
 
+import bisect
 import sys
 import warnings
 from collections.abc import Iterator
@@ -148,7 +149,13 @@ class _SessionBook:
             out: list[tuple]):
         """Apply one chunk of a user's events in (time, id) order; late ones
         (``t + gap <= wm``) are dropped. A micro-batch may come in several chunks;
-        they are applied one after the other, as events arriving in that order."""
+        they are applied one after the other, as events arriving in that order.
+
+        Open sessions never overlap, so they are kept sorted by start and an
+        event can only touch the (at most two) sessions next to it: a binary
+        search finds them, and a user with many open sessions costs
+        O(log sessions) per event, not O(sessions).
+        """
         gap = self.gap_us
         t_all = batch["t_us"].to_numpy()
         o_all = batch["o_us"].to_numpy()
@@ -156,31 +163,37 @@ class _SessionBook:
         keep_rows = np.flatnonzero(t_all + gap > wm_us)
         order = keep_rows[np.lexsort((ids_all[keep_rows], t_all[keep_rows]))]
         prices = batch["price"].to_numpy()
-        touched: list[list] = []
+        sessions = sorted(sessions, key=lambda x: x[0])
+        starts = [x[0] for x in sessions]
+        touched: dict[int, list] = {}
         for i in order:
             t, o = int(t_all[i]), int(o_all[i])
             merged = [t, t, _py(ids_all[i]), float(prices[i]), 1, o, o]
-            rest = []
-            for s in sessions:
-                if s[0] - gap < t < s[1] + gap:
-                    merged[0] = min(merged[0], s[0])
-                    merged[1] = max(merged[1], s[1])
-                    if (s[5], s[2]) < (merged[5], merged[2]):
-                        merged[5], merged[2] = s[5], s[2]
-                    merged[6] = max(merged[6], s[6])
-                    merged[3] += s[3]
-                    merged[4] += s[4]
-                    touched = [x for x in touched if x is not s]
-                else:
-                    rest.append(s)
-            sessions = rest + [merged]
-            touched.append(merged)
+            j = bisect.bisect_left(starts, t + gap)  # sessions[:j] start before t + gap
+            hits = [h for h in (j - 2, j - 1) if h >= 0 and sessions[h][1] + gap > t]
+            for h in hits:
+                s = sessions[h]
+                merged[0] = min(merged[0], s[0])
+                merged[1] = max(merged[1], s[1])
+                if (s[5], s[2]) < (merged[5], merged[2]):
+                    merged[5], merged[2] = s[5], s[2]
+                merged[6] = max(merged[6], s[6])
+                merged[3] += s[3]
+                merged[4] += s[4]
+                touched.pop(id(s), None)
+            for h in reversed(hits):
+                del sessions[h]
+                del starts[h]
+            k = bisect.bisect_left(starts, merged[0])
+            sessions.insert(k, merged)
+            starts.insert(k, merged[0])
+            touched[id(merged)] = merged
             if self.include_events:
                 events.append({**{c: _py(batch[c].iat[i]) for c in _EVENT_COLS}, "t_us": t, "o_us": o})
             if self.per_event:
                 out.append(self.pane(key, merged, True, events))
         if not self.per_event:
-            out.extend(self.pane(key, s, True, events) for s in touched)
+            out.extend(self.pane(key, s, True, events) for s in touched.values())
         return sessions, events
 
 
