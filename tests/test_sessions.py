@@ -119,14 +119,23 @@ def test_golden_panes_as_a_batch(spark):
 
 
 def test_session_plan_shuffles_events_once(spark):
+    """Events move once (range exchange, in the checkpointed scan); afterwards only edge
+    fragments are shuffled, keyed by user."""
+    from tillflow.operators.sessions import _fragment_scan, _fragment_schema, _narrow, _ranged
+
     pdf = _hot_user_events(n_hot=50, n_cold=50)
+    df = _to_spark(spark, pdf)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = sessions(_to_spark(spark, pdf))._jdf.queryExecution().executedPlan().toString()
+        narrow = _narrow(df, "user_id", "ts", "event_id", "price", ())
+        scan = _ranged(narrow, 8).mapInPandas(_fragment_scan(600_000_000), _fragment_schema(narrow))
+        scan_plan = scan._jdf.queryExecution().executedPlan().toString()
+        final_plan = sessions(df)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert plan.count("Exchange rangepartitioning") == 1
-    assert "MapInPandas" in plan
+    assert scan_plan.count("Exchange rangepartitioning") == 1 and "MapInPandas" in scan_plan
+    assert "Scan ExistingRDD" in final_plan and "rangepartitioning" not in final_plan
+    assert final_plan.count("Exchange hashpartitioning") == 1
 
 
 def test_session_aggregates_are_hash_based(spark):

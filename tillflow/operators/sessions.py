@@ -16,11 +16,11 @@ Plan, built so that no user's rows ever go to one task:
 2. ``mapInPandas`` walks each sorted partition once, vectorised per Arrow batch,
    carrying only the open session across batches. It emits one *fragment* per
    local session (or the events tagged with their fragment). Memory is one batch.
-3. Only the first and the last fragment of a partition can continue across a
-   partition edge, so at most ``2P`` *edge* fragments are stitched with a window
-   over the user's edges (a user spanning m partitions has at most 2m edges).
-   Edge chains are summed with a grouped aggregate; inner fragments are already
-   whole sessions.
+3. The scan's output is checkpointed once to the shared folder. Only the first
+   and the last fragment of a partition can continue across a partition edge,
+   so at most ``2P`` *edge* fragments are stitched with a window over the
+   user's edges (a user spanning m partitions has at most 2m edges) and summed;
+   inner fragments are already whole sessions and are not shuffled at all.
 4. For per-event results, each continued fragment (at most ``P - 1`` rows, a
    bound fixed by the plan, not by the data) is broadcast back to the events.
 
@@ -354,42 +354,45 @@ def sessions(
     """One row per session: user_id, window_id, window_start, window_end (exclusive,
     last event + gap), last_event_time, total_price (double sum), event_count.
 
-    Rows with a null key or time are not sessionised. One branch: the scan's
-    fragments go through one window whose partitions are the user for edge
-    fragments (at most 2 per range partition) and the fragment itself otherwise,
-    then one grouped sum; the range shuffle is read exactly once.
+    Rows with a null key or time are not sessionised. The scan's fragments are
+    checkpointed once; inner fragments are final sessions (no shuffle), edge
+    fragments (at most two per range partition) are chained with a window per
+    user and summed.
     """
+    from tillflow.runtime import checkpoint_root
+
     gap_us = gap_micros(gap)
+    ntz = _is_ntz(events, time_col)
     narrow = _narrow(events, key, time_col, id_col, price_col, ())
-    frags = _ranged(narrow, partitions).mapInPandas(_fragment_scan(gap_us), _fragment_schema(narrow))
+    checkpoint_root(events.sparkSession)
+    # Written once: both reads below see the same range partitioning, and a lost
+    # executor does not force the scan again.
+    frags = (
+        _ranged(narrow, partitions)
+        .mapInPandas(_fragment_scan(gap_us), _fragment_schema(narrow))
+        .checkpoint(eager=True)
+    )
     edge = (F.col("lsid") == 0) | F.col("is_last")
-    frags = frags.select(
-        "*",
-        F.when(edge, F.col("k")).alias("edge_k"),
-        F.when(~edge, F.col("pid")).alias("own_pid"),
-        F.when(~edge, F.col("lsid")).alias("own_lsid"),
+    # Inner fragments are whole sessions: no shuffle.
+    inner = frags.where(~edge).select(
+        *_session_rows(F.col("k"), F.col("first_t"), F.col("first_eid"), F.col("last_t"), F.col("n"),
+                       F.col("total"), gap_us, ntz)
     )
-    group = ["edge_k", "own_pid", "own_lsid"]
-    chained = _edge_chains(frags, gap_us, [F.col(c) for c in group])
-    # The chain's head (its first fragment) names the session; taken in the
-    # window so that the aggregate keeps fixed-width buffers (hash aggregate).
-    upto = Window.partitionBy(*group).orderBy("pid", "lsid").rowsBetween(Window.unboundedPreceding, 0)
+    # Edge fragments (at most two per partition) are chained per user.
+    chained = _edge_chains(frags.where(edge), gap_us, [F.col("k")])
+    upto = Window.partitionBy("k").orderBy("pid", "lsid").rowsBetween(Window.unboundedPreceding, 0)
     chained = chained.withColumn(
         "head", F.last(F.when(~F.col("cont"), F.struct("first_t", "first_eid")), ignorenulls=True).over(upto)
     )
-    return (
-        chained.groupBy(*group, "chain", "k", F.col("head.first_t").alias("head_t"),
-                        F.col("head.first_eid").alias("head_eid"))
-        .agg(
-            F.max("last_t").alias("last_t"),
-            F.sum("n").alias("n"),
-            F.sum("total").alias("total"),
-        )
+    stitched = (
+        chained.groupBy("k", "chain", F.col("head.first_t").alias("head_t"), F.col("head.first_eid").alias("head_eid"))
+        .agg(F.max("last_t").alias("last_t"), F.sum("n").alias("n"), F.sum("total").alias("total"))
         .select(
             *_session_rows(F.col("k"), F.col("head_t"), F.col("head_eid"), F.col("last_t"),
-                           F.col("n"), F.col("total"), gap_us, _is_ntz(events, time_col))
+                           F.col("n"), F.col("total"), gap_us, ntz)
         )
     )
+    return inner.unionByName(stitched)
 
 
 def session_event_rows(
@@ -423,22 +426,24 @@ def session_event_rows(
         .checkpoint(eager=True)
     )
 
-    # Fragment summaries. All rows of a fragment sit in one partition, so the
-    # partial aggregate collapses each fragment to one row before the exchange.
-    # Every row of a fragment carries the same user and first event, so they are
-    # grouping keys and the buffers stay fixed-width (hash aggregate, no sort).
-    frags = tagged.groupBy(
-        "pid", "lsid", "k", F.col("frag_first_t").alias("first_t"), F.col("frag_first_eid").alias("first_eid")
+    # Only the first and the last fragment of each partition can continue across
+    # a partition edge. Find the last one per partition (one row per partition),
+    # keep only edge fragments' rows, and summarise those: every row of a
+    # fragment carries the same user and first event, so they are grouping keys
+    # and the buffers stay fixed-width (hash aggregate); the partial aggregate
+    # leaves one row per fragment, so the exchange moves at most 2 rows per partition.
+    last_of_pid = tagged.groupBy("pid").agg(F.max("lsid").alias("max_lsid"))
+    if n_parts <= MAX_BROADCAST_PARTITIONS:
+        last_of_pid = F.broadcast(last_of_pid)  # at most P rows
+    edge_rows = tagged.join(last_of_pid, "pid").where((F.col("lsid") == 0) | (F.col("lsid") == F.col("max_lsid")))
+    edges = edge_rows.groupBy(
+        "pid", "lsid", "k", F.col("frag_first_t").alias("first_t"), F.col("frag_first_eid").alias("first_eid"),
+        (F.col("lsid") == F.col("max_lsid")).alias("is_last"),
     ).agg(
         F.max("t_us").alias("last_t"),
         F.count(F.lit(1)).alias("n"),
         F.sum("p").alias("total"),
     ).withColumn("head", F.struct(F.col("first_t").alias("t_us"), F.col("first_eid").alias("eid")))
-    last_of_pid = frags.groupBy("pid").agg(F.max("lsid").alias("max_lsid"))  # one row per partition
-    if n_parts <= MAX_BROADCAST_PARTITIONS:
-        last_of_pid = F.broadcast(last_of_pid)  # at most P rows
-    frags = frags.join(last_of_pid, "pid").withColumn("is_last", F.col("lsid") == F.col("max_lsid"))
-    edges = frags.where((F.col("lsid") == 0) | F.col("is_last"))
     chains = _edge_chains(edges, gap_us, [F.col("k")])
 
     chain_w = Window.partitionBy("k", "chain").orderBy("pid", "lsid")
