@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -74,6 +75,7 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -85,12 +87,18 @@ def ship_package(spark: SparkSession) -> None:
     checkpoint folder when that is a local path, else in a driver-side folder
     (an ``hdfs://`` or ``s3a://`` root cannot be written with local file calls).
     """
-    import zipfile
-
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
-        return
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        _ship(spark, sc)
+        _SHIPPED.add(app)
+
+
+def _ship(spark: SparkSession, sc) -> None:
+    import zipfile
+
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = checkpoint_root(spark)
     if "://" in root and not root.startswith("file:"):
@@ -108,7 +116,6 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, name)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(archive)
-    _SHIPPED.add(app)
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
