@@ -33,3 +33,19 @@ def test_kafka_source_is_gated_on_its_connector(spark):
 
     with pytest.raises(AnalysisException, match="kafka"):
         read_kafka_feed(spark, "localhost:1", "events")
+
+
+def test_kafka_sink_is_gated_on_its_connector(spark, workdir):
+    import os
+
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from tillflow.schemas import EVENT
+    from tillflow.sinks.streams import write_kafka
+    from tillflow.sources.streams import read_event_feed
+
+    src = os.path.join(workdir, "src")
+    spark.createDataFrame([("a", "2019-01-01T12:22:22Z", "a1", 1.0, "BOOK_SALE")], EVENT).write.parquet(src)
+    with pytest.raises(AnalysisException, match="kafka"):
+        write_kafka(read_event_feed(spark, src), "localhost:1", "panes", os.path.join(workdir, "chk"))

@@ -99,3 +99,10 @@ def test_append_to_missing_table_fails(spark):
     )
     with pytest.raises(AnalysisException, match="TABLE_OR_VIEW_NOT_FOUND"):
         append_to_table(df, "no_such_weekly_table")
+
+
+def test_default_week_ends_at_todays_midnight_utc():
+    start, end = week_bounds()
+    today = dt.datetime.now(dt.timezone.utc).date()
+    assert end == dt.datetime(today.year, today.month, today.day)
+    assert end - start == dt.timedelta(days=7)
