@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
@@ -212,3 +213,12 @@ def test_degenerate_inputs(spark):
     assert [(s.window_id, s.event_count) for s in sessions(early).collect()] == [("a", 2)]
     nulls = _events(spark, [("n1", None, at(1), 1.0), ("n2", "u", None, 1.0), ("ok", "u", at(1), 1.0)])
     assert [s.window_id for s in sessions(nulls).collect()] == ["ok"]
+
+
+def test_null_price_counts_as_zero_nan_propagates(spark):
+    df = _events(spark, [("a", "u", at(1), 2.0), ("b", "u", at(2), None), ("c", "v", at(1), float("nan"))])
+    got = {r.user_id: r.total_price for r in sessions(df).collect()}
+    assert got["u"] == 2.0 and math.isnan(got["v"])
+    rows = {r.event_id: r for r in session_event_rows(df).collect()}
+    assert rows["a"].running_total == 2.0 and rows["b"].running_total == 2.0
+    assert math.isnan(rows["c"].price) and math.isnan(rows["c"].running_total)

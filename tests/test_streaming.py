@@ -1,3 +1,4 @@
+import math
 import os
 
 import numpy as np
@@ -315,3 +316,9 @@ def test_session_job_reads_json_lines_feeds(spark, workdir):
     assert panes.where("window_open").count() == 4
     final = panes.where("NOT window_open").first()
     assert (final.window_id, final.event_count, final.window_end) == ("a1", 4, "1970-01-01T00:13:59.999Z")
+
+
+def test_nan_price_gives_a_nan_total(spark, workdir):
+    out = _panes(spark, workdir, [[event("n", at(1), user="u", price=float("nan")), event("m", at(2), user="u")],
+                                  [FLUSH]]).where("user_id = 'u' AND NOT window_open").collect()
+    assert len(out) == 1 and math.isnan(out[0].total_price) and out[0].event_count == 2

@@ -94,7 +94,8 @@ def _narrow(events: DataFrame, key: str, time_col: str, id_col: str, price_col:
         t_us.alias("t_us"),
         F.col(id_col).alias("eid"),
         F.monotonically_increasing_id().alias("dup"),
-        F.col(price_col).cast("double").alias("p"),
+        # A null price counts as 0, as sum() skips nulls; NaN stays NaN.
+        F.coalesce(F.col(price_col).cast("double"), F.lit(0.0)).alias("p"),
         *extra,
     )
 
@@ -150,6 +151,23 @@ def _segments(k: np.ndarray, t: np.ndarray, gap_us: int, carry) -> tuple[np.ndar
 
 _FRAG_COLS = ["pid", "lsid", "k", "first_t", "last_t", "first_eid", "n", "total", "is_last"]
 
+# pandas -> Arrow turns NaN into null, so the scans also emit a NaN flag next to
+# each float they compute, and the value is restored right after the scan.
+_NAN = float("nan")
+
+
+def _with_nan_flags(pdf: pd.DataFrame, cols: tuple[str, ...]) -> pd.DataFrame:
+    for c in cols:
+        pdf[c + "_nan"] = np.isnan(pdf[c].to_numpy(dtype=np.float64))
+    return pdf
+
+
+def _restore_nan(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
+    out = df
+    for c in cols:
+        out = out.withColumn(c, F.when(F.col(c + "_nan"), F.lit(_NAN)).otherwise(F.col(c))).drop(c + "_nan")
+    return out
+
 
 def _fragment_scan(gap_us: int):
     """Per sorted partition: one row per local session (fragment)."""
@@ -209,10 +227,10 @@ def _fragment_scan(gap_us: int):
                 "is_last": False,
             }
             if len(done):
-                yield done[_FRAG_COLS]
+                yield _with_nan_flags(done[_FRAG_COLS].copy(), ("total",))
         if carry is not None:
             carry["is_last"] = True
-            yield pd.DataFrame([carry])[_FRAG_COLS]
+            yield _with_nan_flags(pd.DataFrame([carry])[_FRAG_COLS], ("total",))
 
     return run
 
@@ -263,6 +281,7 @@ def _event_scan(gap_us: int, extra: tuple[str, ...]):
             )
             for c in extra:
                 out[c] = pdf[c].to_numpy()
+            _with_nan_flags(out, ("p", "frag_running"))
             last = len(t) - 1
             carry = {
                 "k": k[last],
@@ -291,6 +310,7 @@ def _fragment_schema(narrow: DataFrame) -> T.StructType:
             T.StructField("n", T.LongType()),
             T.StructField("total", T.DoubleType()),
             T.StructField("is_last", T.BooleanType()),
+            T.StructField("total_nan", T.BooleanType()),
         ]
     )
 
@@ -310,6 +330,7 @@ def _event_schema(narrow: DataFrame, extra: tuple[str, ...]) -> T.StructType:
         T.StructField("frag_running", T.DoubleType()),
     ]
     fields += [T.StructField(c, s[c].dataType) for c in extra]
+    fields += [T.StructField("p_nan", T.BooleanType()), T.StructField("frag_running_nan", T.BooleanType())]
     return T.StructType(fields)
 
 
@@ -367,11 +388,9 @@ def sessions(
     checkpoint_root(events.sparkSession)
     # Written once: both reads below see the same range partitioning, and a lost
     # executor does not force the scan again.
-    frags = (
-        _ranged(narrow, partitions)
-        .mapInPandas(_fragment_scan(gap_us), _fragment_schema(narrow))
-        .checkpoint(eager=True)
-    )
+    frags = _restore_nan(
+        _ranged(narrow, partitions).mapInPandas(_fragment_scan(gap_us), _fragment_schema(narrow)), ("total",)
+    ).checkpoint(eager=True)
     edge = (F.col("lsid") == 0) | F.col("is_last")
     # Inner fragments are whole sessions: no shuffle.
     inner = frags.where(~edge).select(
@@ -420,11 +439,11 @@ def session_event_rows(
     narrow = _narrow(events, key, time_col, id_col, price_col, extra)
     n_parts = planned_partitions(events.sparkSession, partitions)
     checkpoint_root(events.sparkSession)
-    tagged = (
+    tagged = _restore_nan(
         _ranged(narrow, partitions)  # n_parts is the upper bound: AQE may only merge ranges
-        .mapInPandas(_event_scan(gap_us, extra), _event_schema(narrow, extra))
-        .checkpoint(eager=True)
-    )
+        .mapInPandas(_event_scan(gap_us, extra), _event_schema(narrow, extra)),
+        ("p", "frag_running"),
+    ).checkpoint(eager=True)
 
     # Only the first and the last fragment of each partition can continue across
     # a partition edge. Find the last one per partition (one row per partition),

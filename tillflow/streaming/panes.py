@@ -72,9 +72,10 @@ _RAW_PANE = T.StructType(
         T.StructField("window_open", T.BooleanType()),
         T.StructField("event_count", T.LongType()),
         T.StructField("events", T.ArrayType(EVENT), True),
+        T.StructField("total_nan", T.BooleanType()),  # pandas -> Arrow turns NaN into null
     ]
 )
-_PANE_COLS = [f.name for f in _RAW_PANE.fields]
+_PANE_COLS = [f.name for f in _RAW_PANE.fields][:-1]
 
 # The processor is also unpickled by the driver-side Python runner that Spark
 # starts for stateful operators, which does not see ``--py-files``; ship this
@@ -198,7 +199,9 @@ class _SessionBook:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame.from_records(rows, columns=_PANE_COLS)
+    pdf = pd.DataFrame.from_records(rows, columns=_PANE_COLS)
+    pdf["total_nan"] = np.isnan(pdf["total_price"].to_numpy(dtype=np.float64))
+    return pdf
 
 
 class SessionPanes(StatefulProcessor):
@@ -370,7 +373,8 @@ def session_panes_stream(
         "user_id",
         F.timestamp_micros("start_us").alias("window_start"),
         F.timestamp_micros("end_us").alias("window_end"),
-        F.col("total_price").cast("float").alias("total_price"),
+        F.when(F.col("total_nan"), F.lit(float("nan"))).otherwise(F.col("total_price")).cast("float")
+        .alias("total_price"),
         "window_open",
         "event_count",
         "events",
