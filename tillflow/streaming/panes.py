@@ -26,8 +26,14 @@ State per user: the open sessions (a handful: they close as the watermark
 moves) and, only with ``include_events``, their events. Keyed state puts one
 user on one task; what that task holds is bounded by the user's open sessions,
 and what it reads per batch by the trigger size (``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``). The events array re-sends the whole session on every
-pane, quadratic in session length, so it is off unless asked for.
+``maxOffsetsPerTrigger``). The input of a user is applied chunk by chunk as
+Arrow delivers it, and open sessions are kept sorted so an event finds the
+sessions it touches by binary search. The events array re-sends the whole
+session on every pane, quadratic in session length, so it is off unless asked for.
+
+Two times per event: ``time_col`` places it in a session (the message time in
+the reference) and ``order_col`` orders and names (the payload's event time);
+both default to the event time. A NaN price gives a NaN total.
 """
 
 from __future__ import annotations
