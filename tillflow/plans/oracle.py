@@ -88,6 +88,21 @@ SELECT window_id, user_id, window_start, window_end - INTERVAL 1 MILLISECOND AS
 FROM sess {closed_where}"""
 
 
+def _pane_messages_sql(gap: str, closed_where: str) -> str:
+    iso = "strftime({}, '%Y-%m-%dT%H:%M:%S.%gZ')"
+    return f"""WITH {_islands(gap)}
+SELECT window_id, user_id, {iso.format("window_start")} AS window_start, {iso.format("ts")} AS window_end,
+       round(CAST(CAST(running_total AS FLOAT) AS DOUBLE), 2) AS total_price,
+       true AS window_open, position AS event_count
+FROM ev
+UNION ALL
+SELECT window_id, user_id, {iso.format("window_start")} AS window_start,
+       {iso.format("window_end - INTERVAL 1 MILLISECOND")} AS window_end,
+       round(CAST(CAST(total AS FLOAT) AS DOUBLE), 2) AS total_price,
+       false AS window_open, event_count
+FROM sess {closed_where}"""
+
+
 def _side(event_type: str) -> str:
     return f"""SELECT user_id, sum(value) AS t FROM events
   WHERE event_type = '{event_type}' AND ts >= {WEEK_START} AND ts < {WEEK_END}
@@ -152,4 +167,5 @@ FROM ev""",
     "session_panes": _panes_sql(LONG_GAP),
     "streamed_sessions": _sessions_sql(GAP, f"WHERE window_end <= {_MAX_TS} - {GAP}"),
     "streamed_panes": _panes_sql(GAP, f"WHERE window_end <= {_MAX_TS}"),
+    "streamed_pane_messages": _pane_messages_sql(GAP, f"WHERE window_end <= {_MAX_TS}"),
 }

@@ -24,7 +24,7 @@ from tillflow.sources import testdata as td
 from tillflow.plans.weekly_job import run_weekly_job
 from tillflow.sources.streams import decode_events, read_event_feed, union_feeds
 from tillflow.sources.tables import range_scan
-from tillflow.streaming.panes import session_panes_stream
+from tillflow.streaming.panes import as_messages, session_panes_stream
 from tillflow.streaming.sessions import closed_sessions
 
 # Gaps of the session checks. The reference job's gap is 10
@@ -219,6 +219,13 @@ def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(_run_to_table(spark, out, "streamed_sessions"), ("total_price",))
 
 
+def streamed_pane_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panes as published: window bounds as ISO-8601 text with milliseconds and Z."""
+    _ready(spark)
+    out = as_messages(session_panes_stream(valid_events(_feed_streams(spark, sf_dir)), GAP, per_event=True))
+    return _shape(_run_to_table(spark, out.drop("events"), "streamed_pane_messages"), ("total_price",))
+
+
 def streamed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarantine side of the session job, run as a stream into the file sink."""
     _ready(spark)
@@ -254,4 +261,5 @@ QUERIES = {
     "streamed_sessions": streamed_sessions,
     "streamed_quarantine": streamed_quarantine,
     "streamed_panes": streamed_panes,
+    "streamed_pane_messages": streamed_pane_messages,
 }
