@@ -322,3 +322,27 @@ def test_nan_price_gives_a_nan_total(spark, workdir):
     out = _panes(spark, workdir, [[event("n", at(1), user="u", price=float("nan")), event("m", at(2), user="u")],
                                   [FLUSH]]).where("user_id = 'u' AND NOT window_open").collect()
     assert len(out) == 1 and math.isnan(out[0].total_price) and out[0].event_count == 2
+
+
+def test_session_job_with_message_time(spark, workdir):
+    """The job places events by a message-time column and names sessions by payload time."""
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    from tillflow.schemas import EVENT
+
+    schema = T.StructType(list(EVENT.fields) + [T.StructField("message_time", T.TimestampType())])
+    m = lambda minutes: dt.datetime(1970, 1, 1) + dt.timedelta(minutes=minutes)
+    rows = [("p1", "1970-01-01T00:10:00.000Z", "u", 1.0, "BOOK_SALE", m(1)),
+            ("p2", "1970-01-01T00:09:00.000Z", "u", 2.0, "BOOK_SALE", m(2)),
+            ("p3", "1970-01-01T00:08:00.000Z", "u", 4.0, "BOOK_SALE", m(3))]
+    flush = ("z", "1970-01-01T02:00:00.000Z", "flush", 1.0, "BOOK_SALE", m(120))
+    books = replay_dir(spark, os.path.join(workdir, "b"), [rows], schema=schema)
+    groceries = replay_dir(spark, os.path.join(workdir, "g"), [[flush]], schema=schema)
+    job = start_session_job(spark, books, groceries, os.path.join(workdir, "panes"), os.path.join(workdir, "q"),
+                            os.path.join(workdir, "chk"), session_time="message_time", schema=schema)
+    job.await_termination()
+    final = spark.read.parquet(os.path.join(workdir, "panes")).where("user_id = 'u' AND NOT window_open").collect()
+    assert [(r.window_id, r.window_start, r.window_end, r.event_count) for r in final] == [
+        ("p3", "1970-01-01T00:08:00.000Z", "1970-01-01T00:12:59.999Z", 3)]

@@ -44,6 +44,9 @@ def start_session_job(
     fmt: str = "parquet",
     max_files_per_trigger: int | None = 100,
     trigger: dict | None = None,
+    session_time: str | None = None,
+    engine: str = "group_state",
+    schema=None,
 ) -> SessionJob:
     """Start the two streaming queries and return their handles (does not wait).
 
@@ -51,17 +54,27 @@ def start_session_job(
     window (cheaper; exact when no row arrives late). Panes are published in the
     message form (window bounds as ISO text). ``max_files_per_trigger``
     bounds every micro-batch, and so what one user can bring to one task at once.
+    ``session_time`` names a message-time column (timestamp) that places events
+    in sessions while the payload's event time orders and names them, as in the
+    reference; by default both are the event time. ``schema`` is the feed schema
+    (default: the event schema).
     """
+    from tillflow.schemas import EVENT
+
+    feed_schema = schema or EVENT
+
     def feeds():
-        books = read_event_feed(spark, book_feed, fmt, max_files_per_trigger)
-        groceries = read_event_feed(spark, grocery_feed, fmt, max_files_per_trigger)
+        books = read_event_feed(spark, book_feed, fmt, max_files_per_trigger, schema=feed_schema)
+        groceries = read_event_feed(spark, grocery_feed, fmt, max_files_per_trigger, schema=feed_schema)
         return union_feeds(books, groceries)
 
     valid = valid_events(feeds())
+    time_col = session_time or "ts"
     if early_panes:
-        out = as_messages(session_panes_stream(valid, gap, lateness, per_event, include_events))
+        out = as_messages(session_panes_stream(valid, gap, lateness, per_event, include_events,
+                                               time_col=time_col, engine=engine, order_col="ts"))
     else:
-        out = closed_sessions(valid, gap, lateness)
+        out = closed_sessions(valid, gap, lateness, time_col=time_col, order_col="ts")
     panes = write_files(out, panes_path, f"{checkpoint}/panes", trigger=trigger)
     quarantine = write_files(quarantined_events(feeds()), quarantine_path, f"{checkpoint}/quarantine", trigger=trigger)
     return SessionJob(panes, quarantine)
@@ -85,12 +98,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--include-events", action="store_true")
     ap.add_argument("--closed-only", action="store_true", help="only closed sessions (Spark's session window)")
     ap.add_argument("--trigger", default="availableNow", help="'availableNow' or a processing-time interval")
+    ap.add_argument("--engine", default="group_state", choices=["group_state", "transform_with_state"])
     args = ap.parse_args(argv)
     trigger = {"availableNow": True} if args.trigger == "availableNow" else {"processingTime": args.trigger}
     spark = build_session()
     job = start_session_job(spark, args.books, args.groceries, args.panes, args.quarantine, args.checkpoint,
                             gap=args.gap, lateness=args.lateness, early_panes=not args.closed_only,
-                            include_events=args.include_events, fmt=args.format, trigger=trigger)
+                            include_events=args.include_events, fmt=args.format, trigger=trigger,
+                            engine=args.engine)
     job.await_termination()
 
 

@@ -22,14 +22,16 @@ def read_event_feed(spark: SparkSession, path: str, fmt: str = "parquet", max_fi
     return reader.load(path)
 
 
-def decode_events(raw: DataFrame, payload_col: str = "value") -> DataFrame:
+def decode_events(raw: DataFrame, payload_col: str = "value", keep: dict[str, str] | None = None) -> DataFrame:
     """Decode a text/bytes payload column (JSON) into the event columns.
 
     Used for message sources such as Kafka, whose ``value`` holds the message.
     Undecodable messages give a row of nulls, which the validator rejects.
+    ``keep`` carries message columns along, renamed (``{"timestamp": "message_time"}``).
     """
     payload = F.col(payload_col).cast("string")
-    return raw.select(F.from_json(payload, EVENT).alias("e")).select("e.*")
+    kept = [F.col(src).alias(dst) for src, dst in (keep or {}).items()]
+    return raw.select(F.from_json(payload, EVENT).alias("e"), *kept).select("e.*", *(keep or {}).values())
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:
@@ -39,7 +41,8 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
 
 def read_kafka_feed(spark: SparkSession, bootstrap_servers: str, topic: str,
                     max_offsets_per_trigger: int | None = None, starting_offsets: str = "earliest") -> DataFrame:
-    """Events from a Kafka topic whose messages are JSON events.
+    """Events from a Kafka topic whose messages are JSON events, with the message's
+    own timestamp as ``message_time`` (the time sessions follow in the reference).
 
     Needs the Spark Kafka connector on the classpath (not bundled with PySpark);
     without it this raises ``DATA_SOURCE_NOT_FOUND``. ``max_offsets_per_trigger``
@@ -53,4 +56,4 @@ def read_kafka_feed(spark: SparkSession, bootstrap_servers: str, topic: str,
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
-    return decode_events(reader.load(), "value")
+    return decode_events(reader.load(), "value", keep={"timestamp": "message_time"})
