@@ -106,3 +106,15 @@ def test_default_week_ends_at_todays_midnight_utc():
     today = dt.datetime.now(dt.timezone.utc).date()
     assert end == dt.datetime(today.year, today.month, today.day)
     assert end - start == dt.timedelta(days=7)
+
+
+def test_append_matches_columns_by_name(spark, workdir):
+    table = "weekly_order_" + os.path.basename(workdir).replace("-", "_")
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in WEEKLY_SALES)
+    spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet LOCATION '{os.path.join(workdir, 't')}'")
+    start, end = week_bounds(dt.date(2024, 1, 17))
+    df = spark.createDataFrame([(end, start, 3.5, "u1")], "EndOfWeek timestamp, StartOfWeek timestamp, "
+                                                          "TotalSalesInWeek double, UserID string")
+    append_to_table(df, table)
+    r = spark.table(table).first()
+    assert (r.UserID, r.TotalSalesInWeek, r.StartOfWeek, r.EndOfWeek) == ("u1", 3.5, start, end)

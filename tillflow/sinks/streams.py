@@ -22,15 +22,21 @@ def write_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
     return _trigger(w, trigger).start()
 
 
+def batch_writer(path: str, fmt: str = "parquet"):
+    """The ``foreachBatch`` function: overwrite the folder of this batch id."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(os.path.join(path, f"batch_id={batch_id}"))
+
+    return write
+
+
 def write_batches_idempotent(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                              trigger: dict | None = None) -> StreamingQuery:
     """``foreachBatch`` delivery: each micro-batch overwrites its own ``batch_id=N``
     folder, so a batch replayed after a failure replaces, not duplicates, its rows."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(os.path.join(path, f"batch_id={batch_id}"))
-
-    w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+    w = df.writeStream.foreachBatch(batch_writer(path, fmt)).option("checkpointLocation", checkpoint).outputMode("append")
     return _trigger(w, trigger).start()
 
 
