@@ -118,3 +118,18 @@ def test_append_matches_columns_by_name(spark, workdir):
     append_to_table(df, table)
     r = spark.table(table).first()
     assert (r.UserID, r.TotalSalesInWeek, r.StartOfWeek, r.EndOfWeek) == ("u1", 3.5, start, end)
+
+
+def test_weekly_job_command_line(spark, workdir):
+    from tillflow.plans.weekly_job import main
+
+    rows = [("1", 20.1, dt.datetime(2024, 1, 12)), ("1", 20.0, dt.datetime(2024, 1, 13))]
+    books, groceries = os.path.join(workdir, "b"), os.path.join(workdir, "g")
+    spark.createDataFrame(rows, RAW).write.parquet(books)
+    spark.createDataFrame([("1", 85.0, dt.datetime(2024, 1, 16))], RAW).write.parquet(groceries)
+    table = "weekly_cli_" + os.path.basename(workdir).replace("-", "_")
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in WEEKLY_SALES)
+    spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet LOCATION '{os.path.join(workdir, 'out')}'")
+    main(["--books", books, "--groceries", groceries, "--output", table, "--as-of", "2024-01-17"])
+    r = spark.table(table).collect()
+    assert [(x.UserID, round(x.TotalSalesInWeek, 6)) for x in r] == [("1", 125.1)]
