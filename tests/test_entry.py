@@ -19,7 +19,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    own = {n for n in entry.queries() if n not in entry.LLM_QUERIES}
+    assert own <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def _norm(pdf):
