@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tillflow.llm import decontamination, near_duplicates, quality_rules, resharding, url_filter
 from tillflow.llm.bpe_codec import encode_texts
 from tillflow.llm.text import table
 from tillflow.llm.token_counts import count_tokens
@@ -16,14 +17,43 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.filter_urls(url_filter.page_captures(pages), url_filter.derived_entries(pages))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_decontamination": op2_decontamination,
+    "op3_resharding": op3_resharding,
+    "op4_minhash_dedup": op4_minhash_dedup,
     "op7_bpe_codec": op7_bpe_codec,
+    "op8_url_filter": op8_url_filter,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 #: DuckDB SQL over the raw tables, where SQL can express the operator.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_url_filter": url_filter.SQL,
+    "op9_quality_rules": quality_rules.SQL,
+}
