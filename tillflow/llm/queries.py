@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import decontamination, near_duplicates, quality_rules, resharding, url_filter
+from tillflow.llm import decontamination, near_duplicates, quality_rules, repeats, resharding, url_filter
 from tillflow.llm.bpe_codec import encode_texts
 from tillflow.llm.text import table
 from tillflow.llm.token_counts import count_tokens
@@ -42,6 +42,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe_codec": op7_bpe_codec,
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 #: DuckDB SQL over the raw tables, where SQL can express the operator.
