@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import decontamination, near_duplicates, quality_rules, repeats, resharding, url_filter
+from tillflow.llm import decontamination, lm_scoring, near_duplicates, quality_rules, repeats, resharding, url_filter
 from tillflow.llm.bpe_codec import encode_texts
 from tillflow.llm.text import table
 from tillflow.llm.token_counts import count_tokens
@@ -29,6 +29,10 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_resharding": op3_resharding,
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op5_lm_scoring": op5_lm_scoring,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
