@@ -161,5 +161,5 @@ def leak_report(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", i
 
 def clean_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **columns) -> DataFrame:
     """The rows of ``docs`` without a hit, all columns unchanged."""
-    hits = contaminated_texts(docs, benchmark, text_col, **columns).select(F.col("key").alias("leak_key"))
+    hits = small_side(staged(contaminated_texts(docs, benchmark, text_col, **columns).select(F.col("key").alias("leak_key")), "leaks"), 48)
     return docs.join(hits, F.md5(docs[text_col]) == hits["leak_key"], "left_anti")

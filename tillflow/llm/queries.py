@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import decontamination, lm_scoring, near_duplicates, quality_rules, repeats, resharding, url_filter
+from tillflow.llm import decontamination, html_extraction, lm_scoring, near_duplicates, quality_rules, repeats, resharding, url_filter
 from tillflow.llm.bpe_codec import encode_texts
 from tillflow.llm.text import table
 from tillflow.llm.token_counts import count_tokens
@@ -33,6 +33,10 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.held_out_scores(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_resharding": op3_resharding,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_html_extraction": op6_html_extraction,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
