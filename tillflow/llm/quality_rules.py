@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.llm.text import small_side, staged
+
 #: Fixed values of the base rules.
 GAP = "[ \\t-\\r]+"
 SYMBOLS = "[#*$%&|<>]"
@@ -141,15 +143,26 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", **limits) -> DataFram
     return rated.select(F.col(id_col), *[F.col(f"{q}.{f}").alias(f) for f in fields])
 
 
-def kept_texts(docs: DataFrame, text_col: str = "text", chars_col: str | None = None, **limits) -> DataFrame:
+def kept_texts(docs: DataFrame, text_col: str = "text", host_col: str = "source", chars_col: str | None = None, **limits) -> DataFrame:
     """The rows of ``docs`` that are kept, without their removed lines; texts that lose
-    none are unchanged. ``chars_col``, if given, gets the new number of characters."""
-    rated, q = assess(docs, text_col=text_col, **limits)
-    line_kept = lambda x: ~F.array_contains(F.col(f"{q}.hashes"), F.xxhash64(normal_line(x)))
-    cleaned = F.array_join(F.filter(F.split(F.col(text_col), "\n"), line_kept), "\n")
-    text = F.when(F.col(f"{q}.hashes").isNull(), F.col(text_col)).otherwise(cleaned)
-    out = rated.filter(F.col(f"{q}.kept")).withColumn(text_col, text).select(*docs.columns)
-    return out.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType)) if chars_col else out
+    none are unchanged. ``chars_col``, if given, gets the new number of characters.
+
+    The verdicts are written first: a filter on them would be pushed down into the
+    counts and evaluate them many times over.
+    """
+    rated, q = assess(docs, text_col=text_col, host_col=host_col, **limits)
+    text, host = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(host_col).cast("string"), F.lit(""))
+    key = F.struct(host.alias("host"), F.unhex(F.md5(text)).alias("tid"))
+    verdicts = staged(rated.select(key.alias("rated_key"), F.col(f"{q}.kept").alias("kept"), F.col(f"{q}.hashes").alias("hashes")), "quality_verdicts")
+    rejected = small_side(verdicts.filter("not kept").select("rated_key").distinct(), 64)
+    shortened = small_side(verdicts.filter("kept and hashes is not null").groupBy("rated_key").agg(F.any_value("hashes").alias("gone")), 256)
+    line_kept = lambda x: ~F.array_contains("gone", F.xxhash64(normal_line(x)))
+    cleaned = F.array_join(F.filter(F.split(docs[text_col], "\n"), line_kept), "\n")
+    own_key = F.struct(F.coalesce(docs[host_col].cast("string"), F.lit("")).alias("host"), F.unhex(F.md5(F.coalesce(docs[text_col], F.lit("")))).alias("tid"))
+    kept = docs.join(rejected, own_key == rejected["rated_key"], "left_anti").join(shortened, own_key == shortened["rated_key"], "left")
+    out = F.when(F.col("gone").isNull(), docs[text_col]).otherwise(cleaned)
+    chars = lambda c: F.when(F.col("gone").isNull(), docs[c]).otherwise(F.length(cleaned).cast(docs.schema[c].dataType))
+    return kept.select(*[out.alias(c) if c == text_col else chars(c).alias(c) if c == chars_col else docs[c] for c in docs.columns])
 
 
 #: The same rows in DuckDB SQL, over ``documents``.
