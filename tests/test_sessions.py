@@ -120,8 +120,8 @@ def test_golden_panes_as_a_batch(spark):
 
 
 def test_session_plan_shuffles_events_once(spark):
-    """Events move once (range exchange, in the checkpointed scan); afterwards only edge
-    fragments are shuffled, keyed by user."""
+    """Events move once (range exchange, in the written scan); afterwards only edge
+    fragments are shuffled, keyed by user, at any number of partitions."""
     from tillflow.operators.sessions import _fragment_scan, _fragment_schema, _narrow, _ranged
 
     pdf = _hot_user_events(n_hot=50, n_cold=50)
@@ -129,14 +129,18 @@ def test_session_plan_shuffles_events_once(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         narrow = _narrow(df, "user_id", "ts", "event_id", "price", ())
-        scan = _ranged(narrow, 8).mapInPandas(_fragment_scan(600_000_000), _fragment_schema(narrow))
+        scan = _ranged(narrow, 8).mapInArrow(_fragment_scan(600_000_000), _fragment_schema(narrow))
         scan_plan = scan._jdf.queryExecution().executedPlan().toString()
-        final_plan = sessions(df)._jdf.queryExecution().executedPlan().toString()
+        final_plan, event_plan, pane_plan = (out._jdf.queryExecution().executedPlan().toString()
+                                             for out in (sessions(df), session_event_rows(df), session_panes(df)))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert scan_plan.count("Exchange rangepartitioning") == 1 and "MapInPandas" in scan_plan
-    assert "Scan ExistingRDD" in final_plan and "rangepartitioning" not in final_plan
+    assert scan_plan.count("Exchange rangepartitioning") == 1 and "MapInArrow" in scan_plan
+    for plan in (final_plan, event_plan, pane_plan):
+        assert "FileScan parquet" in plan and "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+    # the edges by user; for panes also one row for each session and partition
     assert final_plan.count("Exchange hashpartitioning") == 1
+    assert "PartitionFilters: [isnotnull(edge" in event_plan
 
 
 def test_session_aggregates_are_hash_based(spark):
@@ -145,9 +149,11 @@ def test_session_aggregates_are_hash_based(spark):
     df = _to_spark(spark, pdf)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        for out in (sessions(df), session_event_rows(df)):
+        for out in (sessions(df), session_panes(df)):
             plan = out._jdf.queryExecution().executedPlan().toString()
             assert "SortAggregate" not in plan and "HashAggregate" in plan
+        plan = session_event_rows(df)._jdf.queryExecution().executedPlan().toString()
+        assert "Aggregate" not in plan  # the scan sums up its own edges
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
@@ -168,19 +174,6 @@ def test_copies_of_one_event_spread_over_partitions(spark):
     assert pos == list(range(1, 3001))
 
 
-def test_planned_partitions_follow_spark_settings(spark):
-    from tillflow.operators.sessions import planned_partitions
-
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert planned_partitions(spark, 17) == 17
-    assert planned_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(key, "64")
-    try:
-        assert planned_partitions(spark) == 64
-    finally:
-        spark.conf.unset(key)
-
-
 @pytest.mark.parametrize("batch_rows", [1, 7, 64])
 def test_sessions_carry_across_arrow_batches(spark, batch_rows):
     """Partitions arrive in many Arrow batches; an open session is carried from one to the next."""
@@ -222,3 +215,37 @@ def test_null_price_counts_as_zero_nan_propagates(spark):
     rows = {r.event_id: r for r in session_event_rows(df).collect()}
     assert rows["a"].running_total == 2.0 and rows["b"].running_total == 2.0
     assert math.isnan(rows["c"].price) and math.isnan(rows["c"].running_total)
+
+
+@pytest.mark.parametrize("batch_rows", [1, 2, 10_000])
+def test_nan_stays_in_the_running_total(spark, batch_rows):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(batch_rows))
+    try:
+        df = _events(spark, [("a", "u", at(1), 1.0), ("b", "u", at(2), float("nan")), ("c", "u", at(3), 2.0), ("d", "v", at(3), 5.0)])
+        running = {r.event_id: r.running_total for r in session_event_rows(df, partitions=2).collect()}
+        closed = {r.user_id: r.total_price for r in session_panes(df).where("not window_open").collect()}
+        whole = {r.user_id: r.total_price for r in sessions(df).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert running["a"] == 1.0 and math.isnan(running["b"]) and math.isnan(running["c"]) and running["d"] == 5.0
+    assert math.isnan(closed["u"]) and math.isnan(whole["u"]) and closed["v"] == whole["v"] == 5.0
+
+
+@pytest.mark.parametrize("batch_rows", [1, 10_000])
+def test_large_ids_and_nulls_survive(spark, batch_rows):
+    big = 9007199254740993
+    rows = [(big, 1, at(1), 1.0, big + 2), (None, 1, at(2), 1.0, None), (big + 2, 1, at(3), 1.0, big), (None, big, at(3), 1.0, big), (5, big, at(3), 1.0, None)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, price double, n long")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(batch_rows))
+    try:
+        got = session_event_rows(df, extra=("n",), partitions=3).collect()
+        whole = {r.user_id: (r.window_id, r.event_count) for r in sessions(df, partitions=3).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(((r.event_id, r.user_id, r.n) for r in got), key=repr) == sorted(((r[0], r[1], r[4]) for r in rows), key=repr)
+    assert {(r.user_id, r.window_id) for r in got} == {(1, big), (big, None)}
+    assert whole == {1: (big, 3), big: (None, 2)}

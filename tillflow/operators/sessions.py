@@ -13,14 +13,16 @@ Plan, built so that no user's rows ever go to one task:
    (or a third of all rows being copies of one event) is cut into many
    consecutive partitions, each about 1/P of the data. This is the only
    shuffle of event rows.
-2. ``mapInPandas`` walks each sorted partition once, vectorised per Arrow batch,
+2. ``mapInArrow`` walks each sorted partition once, vectorised per Arrow batch,
    carrying only the open session across batches. It emits one *fragment* per
-   local session (or the events tagged with their fragment). Memory is one batch.
-3. The scan's output is checkpointed once to the shared folder. Only the first
-   and the last fragment of a partition can continue across a partition edge,
-   so at most ``2P`` *edge* fragments are stitched with a window over the
-   user's edges (a user spanning m partitions has at most 2m edges) and summed;
-   inner fragments are already whole sessions and are not shuffled at all.
+   local session (or the events tagged with their fragment, and at the end of the
+   partition a summary of its first and last fragment). Memory is one batch, and
+   ids, keys and extra columns never leave Arrow, so nulls and large integers stay.
+3. The scan's output is written once to the shared folder, edges and the rest
+   apart. Only the first and the last fragment of a partition can continue across
+   a partition edge, so at most ``2P`` *edge* fragments are stitched with a window
+   over the user's edges (a user spanning m partitions has at most 2m edges) and
+   summed; inner fragments are already whole sessions and are not shuffled at all.
 4. For per-event results, each continued fragment (at most ``P - 1`` rows, a
    bound fixed by the plan, not by the data) is broadcast back to the events.
 
@@ -33,6 +35,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
@@ -41,11 +45,6 @@ from tillflow.functions.time import micros, ntz_micros, window_max_timestamp
 # Fixed value: the session gap of the reference job.
 SESSION_GAP = "10 minutes"
 
-# Per-partition tables (last fragment per partition, offsets of continued
-# fragments) have at most P rows; above this many partitions they are joined
-# with a shuffle instead of being broadcast.
-MAX_BROADCAST_PARTITIONS = 200_000
-
 
 def gap_micros(gap: str | int) -> int:
     """A gap as microseconds: an int is taken as microseconds, text as a Spark interval."""
@@ -111,21 +110,6 @@ def _is_ntz(events: DataFrame, time_col: str) -> bool:
     return isinstance(events.schema[time_col].dataType, T.TimestampNTZType)
 
 
-def planned_partitions(spark, partitions: int | None = None) -> int:
-    """How many range partitions the session plan gets: ``partitions`` if given,
-    else Spark's shuffle partition number (with AQE coalescing on, its initial
-    partition number when that is set)."""
-    if partitions:
-        return int(partitions)
-    conf = spark.conf
-    aqe = conf.get("spark.sql.adaptive.enabled", "true") == "true"
-    coalesce = conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true") == "true"
-    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    if aqe and coalesce and initial:
-        return int(initial)
-    return int(conf.get("spark.sql.shuffle.partitions"))
-
-
 def _ranged(narrow: DataFrame, partitions: int | None) -> DataFrame:
     """Range-partition and sort by (user, time, id); ``pid`` follows the global order.
 
@@ -138,181 +122,145 @@ def _ranged(narrow: DataFrame, partitions: int | None) -> DataFrame:
     return ranged.sortWithinPartitions(*keys).drop("dup").withColumn("pid", F.spark_partition_id())
 
 
-def _segments(k: np.ndarray, t: np.ndarray, gap_us: int, carry) -> tuple[np.ndarray, bool]:
+def _segments(k: pa.Array, t: np.ndarray, gap_us: int, carry) -> tuple[np.ndarray, bool]:
     """Start offsets of the local sessions in one sorted batch, and whether the first continues ``carry``."""
     n = len(t)
-    new = np.empty(n, dtype=bool)
+    new = np.ones(n, dtype=bool)
     if n > 1:
-        new[1:] = (k[1:] != k[:-1]) | ((t[1:] - t[:-1]) >= gap_us)
+        other = pc.not_equal(k.slice(1), k.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        new[1:] = other | ((t[1:] - t[:-1]) >= gap_us)
     cont = carry is not None and k[0] == carry["k"] and (t[0] - carry["last_t"]) < gap_us
-    new[0] = True
     return np.flatnonzero(new), cont
 
 
-_FRAG_COLS = ["pid", "lsid", "k", "first_t", "last_t", "first_eid", "n", "total", "is_last"]
+def _one(value: pa.Scalar) -> pa.Array:
+    """A one-row array of a scalar's own type."""
+    return pa.array([value.as_py()], value.type) if not pa.types.is_decimal(value.type) else pa.array([value])
+
 
-# pandas -> Arrow turns NaN into null, so the scans also emit a NaN flag next to
-# each float they compute, and the value is restored right after the scan.
-_NAN = float("nan")
+def _columns(batch: pa.RecordBatch, *names: str) -> list[pa.Array]:
+    return [batch.column(batch.schema.get_field_index(n)) for n in names]
 
 
-def _with_nan_flags(pdf: pd.DataFrame, cols: tuple[str, ...]) -> pd.DataFrame:
-    for c in cols:
-        pdf[c + "_nan"] = np.isnan(pdf[c].to_numpy(dtype=np.float64))
-    return pdf
+_FRAG_COLS = ["pid", "lsid", "k", "first_t", "last_t", "first_eid", "n", "total", "edge"]
 
 
-def _restore_nan(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
-    out = df
-    for c in cols:
-        out = out.withColumn(c, F.when(F.col(c + "_nan"), F.lit(_NAN)).otherwise(F.col(c))).drop(c + "_nan")
-    return out
+def _fragment_batch(pid: int, rows: list[tuple]) -> pa.RecordBatch:
+    """Fragments (lsid, k, first_t, last_t, first_eid, n, total, edge) whose columns are arrays, one after the other."""
+    joined = [pa.concat_arrays([r[i] if isinstance(r[i], pa.Array) else pa.array(r[i]) for r in rows]) for i in range(8)]
+    return pa.record_batch([pa.array(np.full(len(joined[0]), pid, np.int32)), *joined], _FRAG_COLS)
 
 
 def _fragment_scan(gap_us: int):
-    """Per sorted partition: one row per local session (fragment)."""
+    """Per sorted partition: one row per local session (fragment); ``edge`` on its first and last."""
+
+    def closed(c: dict, edge: bool) -> tuple:
+        return (np.array([c["lsid"]]), _one(c["k"]), np.array([c["first_t"]]), np.array([c["last_t"]]), _one(c["first_eid"]),
+                np.array([c["n"]]), np.array([c["total"]]), np.array([edge]))
 
     def run(batches):
         carry = None  # the fragment still open at the end of the previous batch
         next_lsid = 0
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            pid = int(pdf["pid"].iat[0])
-            k = pdf["k"].to_numpy()
-            t = pdf["t_us"].to_numpy(dtype=np.int64)
-            e = pdf["eid"].to_numpy()
-            p = pdf["p"].to_numpy(dtype=np.float64)
+            k, e, t, p, pids = _columns(batch, "k", "eid", "t_us", "p", "pid")
+            pid, t, p = pids[0].as_py(), t.to_numpy(), p.to_numpy()
             starts, cont = _segments(k, t, gap_us, carry)
             ends = np.r_[starts[1:], len(t)]
-            cnt = ends - starts
             tot = np.add.reduceat(p, starts)
-            first = 0
+            first = int(cont)
             if cont:
                 carry["last_t"] = int(t[ends[0] - 1])
-                carry["n"] += int(cnt[0])
+                carry["n"] += int(ends[0])
                 carry["total"] += float(tot[0])
-                first = 1
             m = len(starts) - first
             if m == 0:
                 continue
-            idx = starts[first:]
-            seg = pd.DataFrame(
-                {
-                    "pid": pid,
-                    "lsid": np.arange(next_lsid, next_lsid + m, dtype=np.int64),
-                    "k": k[idx],
-                    "first_t": t[idx],
-                    "last_t": t[ends[first:] - 1],
-                    "first_eid": e[idx],
-                    "n": cnt[first:].astype(np.int64),
-                    "total": tot[first:],
-                    "is_last": False,
-                }
-            )
+            rows = [] if carry is None else [closed(carry, carry["lsid"] == 0)]
+            lsid = np.arange(next_lsid, next_lsid + m)
             next_lsid += m
-            done = seg.iloc[:-1]
-            if carry is not None:
-                done = pd.concat([pd.DataFrame([carry]), done], ignore_index=True)
-            tail = seg.iloc[-1]
-            carry = {
-                "pid": pid,
-                "lsid": int(tail["lsid"]),
-                "k": tail["k"],
-                "first_t": int(tail["first_t"]),
-                "last_t": int(tail["last_t"]),
-                "first_eid": tail["first_eid"],
-                "n": int(tail["n"]),
-                "total": float(tail["total"]),
-                "is_last": False,
-            }
-            if len(done):
-                yield _with_nan_flags(done[_FRAG_COLS].copy(), ("total",))
+            if m > 1:
+                idx, end = starts[first:-1], ends[first:-1]
+                at = pa.array(idx)
+                rows.append((lsid[:-1], k.take(at), t[idx], t[end - 1], e.take(at), end - idx, tot[first:-1], lsid[:-1] == 0))
+            if rows:
+                yield _fragment_batch(pid, rows)
+            last = int(starts[-1])
+            carry = {"lsid": int(lsid[-1]), "k": k[last], "first_t": int(t[last]), "last_t": int(t[-1]), "first_eid": e[last],
+                     "n": len(t) - last, "total": float(tot[-1])}
         if carry is not None:
-            carry["is_last"] = True
-            yield _with_nan_flags(pd.DataFrame([carry])[_FRAG_COLS], ("total",))
+            yield _fragment_batch(pid, [closed(carry, True)])
 
     return run
 
 
 def _event_scan(gap_us: int, extra: tuple[str, ...]):
-    """Per sorted partition: every event tagged with its fragment, position and running total."""
+    """Per sorted partition: every event tagged with its fragment, position and running
+    total; then a row ``edge`` for the partition's first and last fragment, with the
+    fragment's last time, size and total in these columns."""
+    names = ["pid", "lsid", "k", "t_us", "eid", "p", "frag_first_t", "frag_first_eid", "frag_pos", "frag_running", "edge", *extra]
 
     def run(batches):
         carry = None
         lsid = -1
-        for pdf in batches:
-            if pdf.empty:
+        head_edge = None  # the first fragment, once it has ended
+        kinds = []
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            k = pdf["k"].to_numpy()
-            t = pdf["t_us"].to_numpy(dtype=np.int64)
-            e = pdf["eid"].to_numpy()
-            p = pdf["p"].to_numpy(dtype=np.float64)
+            k, e, t, p, pids = _columns(batch, "k", "eid", "t_us", "p", "pid")
+            passing = _columns(batch, *extra)
+            kinds = [c.type for c in passing]
+            pid, t, values = pids[0].as_py(), t.to_numpy(), p.to_numpy()
             starts, cont = _segments(k, t, gap_us, carry)
-            seg_no = np.zeros(len(t), dtype=np.int64)
-            seg_no[starts[1:]] = 1
-            seg_no = np.cumsum(seg_no)
-            base_lsid = lsid if cont else lsid + 1
-            frag = base_lsid + seg_no
-            pos = np.arange(len(t), dtype=np.int64) - starts[seg_no] + 1
-            run_total = pd.Series(p).groupby(seg_no).cumsum().to_numpy()
+            seg_no = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(t)]))
+            frag = (lsid if cont else lsid + 1) + seg_no
+            pos = np.arange(len(t)) - starts[seg_no] + 1
+            # a NaN price stays in its session's total from then on
+            running = pd.Series(values).groupby(seg_no).cumsum(skipna=False).to_numpy(copy=True)
             first_t = t[starts][seg_no]
-            first_e = e[starts][seg_no]
+            first_e = e.take(pa.array(starts[seg_no]))
             if cont:
                 head = seg_no == 0
                 pos[head] += carry["n"]
-                run_total[head] += carry["total"]
+                running[head] += carry["total"]
                 first_t[head] = carry["first_t"]
-                first_e = first_e.copy()
-                first_e[head] = carry["first_eid"]
-            out = pd.DataFrame(
-                {
-                    "pid": pdf["pid"].to_numpy(),
-                    "lsid": frag,
-                    "k": k,
-                    "t_us": t,
-                    "eid": e,
-                    "p": p,
-                    "frag_first_t": first_t,
-                    "frag_first_eid": first_e,
-                    "frag_pos": pos,
-                    "frag_running": run_total,
-                }
+                first_e = pa.concat_arrays([_one(carry["first_eid"]), e]).take(pa.array(np.where(head, 0, starts[seg_no] + 1)))
+            if carry is not None and carry["lsid"] == 0 and (not cont or len(starts) > 1):
+                done = int(starts[1]) - 1 if cont else None
+                head_edge = carry if done is None else _fragment_end(0, k, t, first_t, first_e, pos, running, done)
+            elif carry is None and len(starts) > 1:
+                head_edge = _fragment_end(0, k, t, first_t, first_e, pos, running, int(starts[1]) - 1)
+            yield pa.record_batch(
+                [pids, pa.array(frag), k, pa.array(t), e, p, pa.array(first_t), first_e, pa.array(pos), pa.array(running),
+                 pa.array(np.zeros(len(t), bool)), *passing],
+                names,
+            )
+            lsid = int(frag[-1])
+            carry = _fragment_end(lsid, k, t, first_t, first_e, pos, running, len(t) - 1)
+        if carry is None:
+            return
+        for c in [carry] if head_edge is None else [head_edge, carry]:
+            none = _one(pa.scalar(None, c["first_eid"].type))
+            yield pa.record_batch(
+                [pa.array([pid], pa.int32()), pa.array([c["lsid"]]), _one(c["k"]), pa.array([c["last_t"]]), none, pa.array([0.0]), pa.array([c["first_t"]]),
+                 _one(c["first_eid"]), pa.array([c["n"]]), pa.array([c["total"]]), pa.array([True]), *[pa.nulls(1, kind) for kind in kinds]],
+                names,
             )
-            for c in extra:
-                out[c] = pdf[c].to_numpy()
-            _with_nan_flags(out, ("p", "frag_running"))
-            last = len(t) - 1
-            carry = {
-                "k": k[last],
-                "last_t": int(t[last]),
-                "first_t": int(first_t[last]),
-                "first_eid": first_e[last],
-                "n": int(pos[last]),
-                "total": float(run_total[last]),
-            }
-            lsid = int(frag[last])
-            yield out
 
     return run
 
 
+def _fragment_end(lsid: int, k: pa.Array, t, first_t, first_e: pa.Array, pos, running, at: int) -> dict:
+    """A fragment as its last event in this batch shows it."""
+    return {"lsid": lsid, "k": k[at], "last_t": int(t[at]), "first_t": int(first_t[at]), "first_eid": first_e[at], "n": int(pos[at]), "total": float(running[at])}
+
+
 def _fragment_schema(narrow: DataFrame) -> T.StructType:
     s = narrow.schema
-    return T.StructType(
-        [
-            T.StructField("pid", T.IntegerType()),
-            T.StructField("lsid", T.LongType()),
-            T.StructField("k", s["k"].dataType),
-            T.StructField("first_t", T.LongType()),
-            T.StructField("last_t", T.LongType()),
-            T.StructField("first_eid", s["eid"].dataType),
-            T.StructField("n", T.LongType()),
-            T.StructField("total", T.DoubleType()),
-            T.StructField("is_last", T.BooleanType()),
-            T.StructField("total_nan", T.BooleanType()),
-        ]
-    )
+    kinds = [T.IntegerType(), T.LongType(), s["k"].dataType, T.LongType(), T.LongType(), s["eid"].dataType, T.LongType(), T.DoubleType(), T.BooleanType()]
+    return T.StructType([T.StructField(c, kind) for c, kind in zip(_FRAG_COLS, kinds)])
 
 
 def _event_schema(narrow: DataFrame, extra: tuple[str, ...]) -> T.StructType:
@@ -328,10 +276,23 @@ def _event_schema(narrow: DataFrame, extra: tuple[str, ...]) -> T.StructType:
         T.StructField("frag_first_eid", s["eid"].dataType),
         T.StructField("frag_pos", T.LongType()),
         T.StructField("frag_running", T.DoubleType()),
+        T.StructField("edge", T.BooleanType()),
     ]
-    fields += [T.StructField(c, s[c].dataType) for c in extra]
-    fields += [T.StructField("p_nan", T.BooleanType()), T.StructField("frag_running_nan", T.BooleanType())]
-    return T.StructType(fields)
+    return T.StructType(fields + [T.StructField(c, s[c].dataType) for c in extra])
+
+
+def _staged_scan(ranged: DataFrame, scan, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The scan's output written once as Parquet, its edge rows in a folder of their own;
+    returns the other rows and the edges. A lost executor repeats no scan, and the
+    edges are read without the events."""
+    from tillflow.runtime import scratch_path
+
+    spark = ranged.sparkSession
+    path = scratch_path(spark, "session_scan")
+    ranged.mapInArrow(scan, schema).write.partitionBy("edge").parquet(path)
+    rows = T.StructType([f for f in schema if f.name != "edge"])
+    read = spark.read.schema(T.StructType([*rows, schema["edge"]])).parquet(path)
+    return read.where(~F.col("edge")).drop("edge"), read.where(F.col("edge")).drop("edge")
 
 
 def _edge_chains(edges: DataFrame, gap_us: int, partition_by: list[Column]) -> DataFrame:
@@ -376,29 +337,21 @@ def sessions(
     last event + gap), last_event_time, total_price (double sum), event_count.
 
     Rows with a null key or time are not sessionised. The scan's fragments are
-    checkpointed once; inner fragments are final sessions (no shuffle), edge
+    written once; inner fragments are final sessions (no shuffle), edge
     fragments (at most two per range partition) are chained with a window per
     user and summed.
     """
-    from tillflow.runtime import checkpoint_root
-
     gap_us = gap_micros(gap)
     ntz = _is_ntz(events, time_col)
     narrow = _narrow(events, key, time_col, id_col, price_col, ())
-    checkpoint_root(events.sparkSession)
-    # Written once: both reads below see the same range partitioning, and a lost
-    # executor does not force the scan again.
-    frags = _restore_nan(
-        _ranged(narrow, partitions).mapInPandas(_fragment_scan(gap_us), _fragment_schema(narrow)), ("total",)
-    ).checkpoint(eager=True)
-    edge = (F.col("lsid") == 0) | F.col("is_last")
+    whole, edges = _staged_scan(_ranged(narrow, partitions), _fragment_scan(gap_us), _fragment_schema(narrow))
     # Inner fragments are whole sessions: no shuffle.
-    inner = frags.where(~edge).select(
+    inner = whole.select(
         *_session_rows(F.col("k"), F.col("first_t"), F.col("first_eid"), F.col("last_t"), F.col("n"),
                        F.col("total"), gap_us, ntz)
     )
     # Edge fragments (at most two per partition) are chained per user.
-    chained = _edge_chains(frags.where(edge), gap_us, [F.col("k")])
+    chained = _edge_chains(edges, gap_us, [F.col("k")])
     upto = Window.partitionBy("k").orderBy("pid", "lsid").rowsBetween(Window.unboundedPreceding, 0)
     chained = chained.withColumn(
         "head", F.last(F.when(~F.col("cont"), F.struct("first_t", "first_eid")), ignorenulls=True).over(upto)
@@ -427,42 +380,17 @@ def session_event_rows(
     """Every event with its session: user_id, window_id, window_start, event_id, ts,
     price, position (1-based, in (time, id) order) and running_total (sum so far).
 
-    ``extra`` columns of the events are carried through. The tagged scan output
-    is read twice (fragment summaries, then the events themselves), so it is
-    checkpointed once to the shared checkpoint folder: both reads then see the
-    same range partitioning, and a lost executor does not force the scan again.
+    ``extra`` columns of the events are carried through. The tagged scan output is
+    written once to the shared folder, with the edge fragments apart from the events.
     """
-    from tillflow.runtime import checkpoint_root
-
     gap_us = gap_micros(gap)
     extra = tuple(extra)
     narrow = _narrow(events, key, time_col, id_col, price_col, extra)
-    n_parts = planned_partitions(events.sparkSession, partitions)
-    checkpoint_root(events.sparkSession)
-    tagged = _restore_nan(
-        _ranged(narrow, partitions)  # n_parts is the upper bound: AQE may only merge ranges
-        .mapInPandas(_event_scan(gap_us, extra), _event_schema(narrow, extra)),
-        ("p", "frag_running"),
-    ).checkpoint(eager=True)
-
-    # Only the first and the last fragment of each partition can continue across
-    # a partition edge. Find the last one per partition (one row per partition),
-    # keep only edge fragments' rows, and summarise those: every row of a
-    # fragment carries the same user and first event, so they are grouping keys
-    # and the buffers stay fixed-width (hash aggregate); the partial aggregate
-    # leaves one row per fragment, so the exchange moves at most 2 rows per partition.
-    last_of_pid = tagged.groupBy("pid").agg(F.max("lsid").alias("max_lsid"))
-    if n_parts <= MAX_BROADCAST_PARTITIONS:
-        last_of_pid = F.broadcast(last_of_pid)  # at most P rows
-    edge_rows = tagged.join(last_of_pid, "pid").where((F.col("lsid") == 0) | (F.col("lsid") == F.col("max_lsid")))
-    edges = edge_rows.groupBy(
-        "pid", "lsid", "k", F.col("frag_first_t").alias("first_t"), F.col("frag_first_eid").alias("first_eid"),
-        (F.col("lsid") == F.col("max_lsid")).alias("is_last"),
-    ).agg(
-        F.max("t_us").alias("last_t"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum("p").alias("total"),
-    ).withColumn("head", F.struct(F.col("first_t").alias("t_us"), F.col("first_eid").alias("eid")))
+    tagged, summaries = _staged_scan(_ranged(narrow, partitions), _event_scan(gap_us, extra), _event_schema(narrow, extra))
+    edges = summaries.select(
+        "pid", "lsid", "k", F.col("frag_first_t").alias("first_t"), F.col("t_us").alias("last_t"), F.col("frag_pos").alias("n"),
+        F.col("frag_running").alias("total"), F.struct(F.col("frag_first_t").alias("t_us"), F.col("frag_first_eid").alias("eid")).alias("head"),
+    )
     chains = _edge_chains(edges, gap_us, [F.col("k")])
 
     chain_w = Window.partitionBy("k", "chain").orderBy("pid", "lsid")
@@ -475,13 +403,12 @@ def session_event_rows(
         .select("pid", "lsid", "off_n", "off_total",
                 F.col("chain_head.t_us").alias("h_first_t"), F.col("chain_head.eid").alias("h_first_eid"))
     )
-    if n_parts <= MAX_BROADCAST_PARTITIONS:
-        moved = F.broadcast(moved)  # only first fragments of partitions: at most P - 1 rows
+    moved = F.broadcast(moved)  # only first fragments of partitions: at most P - 1 rows
     joined = tagged.join(moved, ["pid", "lsid"], "left")
     ntz = _is_ntz(events, time_col)
     return joined.select(
         F.col("k").alias(key),
-        F.coalesce(F.col("h_first_eid"), F.col("frag_first_eid")).alias("window_id"),
+        F.when(F.col("h_first_t").isNull(), F.col("frag_first_eid")).otherwise(F.col("h_first_eid")).alias("window_id"),  # an id may be null
         _time_of(F.coalesce(F.col("h_first_t"), F.col("frag_first_t")), ntz).alias("window_start"),
         F.col("eid").alias(id_col),
         _time_of(F.col("t_us"), ntz).alias(time_col),
