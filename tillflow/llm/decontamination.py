@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm.text import LETTERED, LOWER, gram_hashes, list_column, small_side, staged, text_slices, word_hashes, word_spans
@@ -125,7 +125,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     distinct_items = items.select("item", "item_text").distinct()
     kinds = schemes(lengths)
     item_prints = fingerprint_rows(distinct_items.select(F.col("item").alias("key"), "item_text"), kinds).select(F.col("key").alias("item"), "fp", F.col("pos").alias("item_pos"))
-    texts = docs.select(F.md5(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).filter(F.col("key").isNotNull())
+    texts = docs.filter(F.col(text_col).isNotNull()).select(F.md5(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
     # the benchmark is the small side: Spark broadcasts it under its own size limit, else shuffles
     hits = fingerprint_rows(texts, kinds).join(item_prints, "fp").select("key", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct()
     hits = staged(hits, "leak_hits")
@@ -138,8 +138,15 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     return named.groupBy("key", "n_hit").agg(F.size(ids).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", F.array_sort(ids)), 256).alias("items_sha256"))
 
 
-def n_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(id, key, n_words) of a table (id, key, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [np.diff(word_spans(LOWER[data], offs, LETTERED)[2]) for _, _, data, offs in text_slices(batch.column(2))]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(np.concatenate(counts))], ["id", "key", "n_words"])
+
+    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, key string, n_words long")
 
 
 def leak_report(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -151,7 +158,7 @@ def leak_report(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", i
     nothing is hit, an empty table gives an empty result, other columns are ignored.
     """
     hits = contaminated_texts(docs, benchmark, text_col, item_col, item_text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.md5(F.col(text_col)).alias("key"), n_words(F.col(text_col)).alias("n_words"))
+    rows = word_counts(docs.select(F.col(id_col).alias("id"), F.md5(F.col(text_col)).alias("key"), F.col(text_col).alias("text")))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
     return rows.join(hits, "key", "left").select(
         F.col("id").alias(id_col), "n_words", zero("n_hit"), zero("n_items"),
