@@ -94,3 +94,36 @@ def test_iso_text_is_the_same_in_any_session_zone(spark):
             assert [tuple(r) for r in got] == want, tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_event_times_are_full_and_zone_free(spark):
+    from pyspark.sql import functions as F
+
+    from tillflow.functions.time import parse_iso
+
+    texts = {"2019-01-01T12:22:22Z": 1546345342, "2019-01-01T12:22:22": 1546345342, "2019-01-01 12:22:22.5+02:00": 1546338142.5,
+             "12:22:22": None, "2019": None, "2019-01-01": None, " 2019-01-01T12:22:22Z": None, "2019-01-01T12:22:22Z ": None,
+             "2019-13-01T12:22:22Z": None, "T12:22:22Z": None, "": None, None: None}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame([(t,) for t in texts], "t string")
+            got = {r.t: r.s for r in df.select("t", (F.unix_micros(parse_iso("t")) / 1e6).alias("s")).collect()}
+            assert got == texts, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_undecodable_messages_are_quarantined_with_their_payload(spark):
+    from tillflow.functions.checks import REASON_BAD_MESSAGE, REASON_NO_SESSION_TIME
+    from tillflow.sources.streams import decode_events
+
+    good = '{"event_id":"a","event_time":"2019-01-01T12:22:22Z","user_id":"u","price":1.5,"event_type":"x"}'
+    rows = [(good, None), ("{broken", None), (None, None), ('{"event_id":"b"}', None)]
+    raw = spark.createDataFrame(rows, "value string, timestamp timestamp")
+    events = decode_events(raw, keep={"timestamp": "message_time"}, keep_payload=True)
+    assert [r.event_id for r in valid_events(events).collect()] == ["a"]
+    assert "bad_payload" not in valid_events(events).columns
+    bad = {(r.event_id, r.bad_payload, r.reason) for r in quarantined_events(events, "message_time").collect()}
+    assert bad == {(None, "{broken", REASON_BAD_MESSAGE), (None, "", REASON_BAD_MESSAGE), ("b", None, REASON_NO_USER), ("a", None, REASON_NO_SESSION_TIME)}

@@ -140,7 +140,8 @@ def test_restart_from_checkpoint_neither_loses_nor_repeats(spark, workdir):
 
 
 def test_idempotent_batches_and_session_job(spark, workdir):
-    books = replay_dir(spark, os.path.join(workdir, "books"), [[GOLDEN[0], GOLDEN[2]]])
+    # both feeds must pass the session's end: the slower one holds the watermark
+    books = replay_dir(spark, os.path.join(workdir, "books"), [[GOLDEN[0], GOLDEN[2]], [FLUSH]])
     groceries = replay_dir(spark, os.path.join(workdir, "groc"),
                            [[GOLDEN[1], GOLDEN[3], event("q", "", user="x")], [FLUSH]])
     job = start_session_job(spark, books, groceries, os.path.join(workdir, "panes"),
@@ -307,7 +308,7 @@ def test_session_job_reads_json_lines_feeds(spark, workdir):
     from tillflow.schemas import EVENT
 
     books, groceries = os.path.join(workdir, "books"), os.path.join(workdir, "groceries")
-    spark.createDataFrame(GOLDEN[:2], EVENT).coalesce(1).write.json(books)
+    spark.createDataFrame(GOLDEN[:2] + [FLUSH], EVENT).coalesce(1).write.json(books)
     spark.createDataFrame(GOLDEN[2:] + [FLUSH], EVENT).coalesce(1).write.json(groceries)
     job = start_session_job(spark, books, groceries, os.path.join(workdir, "panes"),
                             os.path.join(workdir, "quarantine"), os.path.join(workdir, "chk"), fmt="json")
@@ -338,7 +339,7 @@ def test_session_job_with_message_time(spark, workdir):
             ("p2", "1970-01-01T00:09:00.000Z", "u", 2.0, "BOOK_SALE", m(2)),
             ("p3", "1970-01-01T00:08:00.000Z", "u", 4.0, "BOOK_SALE", m(3))]
     flush = ("z", "1970-01-01T02:00:00.000Z", "flush", 1.0, "BOOK_SALE", m(120))
-    books = replay_dir(spark, os.path.join(workdir, "b"), [rows], schema=schema)
+    books = replay_dir(spark, os.path.join(workdir, "b"), [rows, [flush]], schema=schema)
     groceries = replay_dir(spark, os.path.join(workdir, "g"), [[flush]], schema=schema)
     job = start_session_job(spark, books, groceries, os.path.join(workdir, "panes"), os.path.join(workdir, "q"),
                             os.path.join(workdir, "chk"), session_time="message_time", schema=schema)
@@ -346,3 +347,111 @@ def test_session_job_with_message_time(spark, workdir):
     final = spark.read.parquet(os.path.join(workdir, "panes")).where("user_id = 'u' AND NOT window_open").collect()
     assert [(r.window_id, r.window_start, r.window_end, r.event_count) for r in final] == [
         ("p3", "1970-01-01T00:08:00.000Z", "1970-01-01T00:12:59.999Z", 3)]
+
+
+@pytest.mark.parametrize("engine", ["group_state", "transform_with_state", "session_window"])
+def test_the_slower_feed_loses_nothing(spark, workdir, engine):
+    """Books are an hour ahead of groceries: each feed has its own watermark."""
+    from tillflow.sources.streams import union_feeds
+    from tillflow.streaming import closed_panes, closed_sessions, mark_feed, mark_feed_time
+
+    books = replay_dir(spark, os.path.join(workdir, "b"), [[event("b1", at(1))], [event("b2", at(60))], [event("b3", at(300))]])
+    groceries = replay_dir(spark, os.path.join(workdir, "g"), [[event(f"g{i}", at(i))] for i in (2, 3, 4, 5)] + [[event("g9", at(300))]])
+    mark = mark_feed_time if engine == "session_window" else mark_feed
+    valid = union_feeds(*[mark(valid_events(read_event_feed(spark, f, max_files_per_trigger=1))) for f in (books, groceries)])
+    if engine == "session_window":
+        out = closed_panes(closed_sessions(valid, marked=True))
+    else:
+        out = session_panes_stream(valid, engine=engine, marked=True)
+    path = os.path.join(workdir, "out")
+    write_files(out, path, os.path.join(workdir, "chk")).awaitTermination()
+    rows = spark.read.schema(out.schema).parquet(path)
+    closed = rows.where("NOT window_open").orderBy("window_start").collect()
+    assert [(r.window_id, r.event_count) for r in closed] == [("b1", 5), ("b2", 1)]
+    if engine != "session_window":
+        assert rows.where("window_open").count() == 8
+
+
+@pytest.mark.parametrize("engine", ["group_state", "transform_with_state"])
+def test_panes_do_not_depend_on_arrow_batches_or_partitions(spark, workdir, engine):
+    rng = np.random.default_rng(5)
+    rows = [event(f"e{i:03d}", at(float(rng.choice([0.5, 3, 12])) * i), user="ab"[i % 2], price=float(i)) for i in range(40)]
+    rng.shuffle(rows)
+    seen = set()
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        for n, (size, parts) in enumerate([("1", "4"), ("7", "1"), ("10000", "8")]):
+            spark.conf.set(keys[0], size)
+            spark.conf.set(keys[1], parts)
+            folder = os.path.join(workdir, str(n))
+            os.makedirs(folder)
+            out = _run(spark, folder, [[tuple(r) for r in rows], [event("zz", at(9999), user="flush")]], lambda v: session_panes_stream(v, engine=engine))
+            seen.add(repr(sorted(map(repr, out.drop("events").where("user_id <> 'flush'").collect()))))
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+    assert len(seen) == 1
+
+
+def test_runs_as_arrays_equal_events_one_by_one():
+    """The array path against the event-by-event path over random batches and lateness."""
+    import pandas as pd
+
+    from tillflow.streaming.panes import _SessionBook
+
+    class EachOne(_SessionBook):
+        def add(self, key, batch, wm_us, sessions, events, out):
+            order = np.lexsort((batch["event_id"].to_numpy(), batch["t_us"].to_numpy()))
+            run = [i for i in order if batch["t_us"].to_numpy()[i] + self.gap_us > wm_us]
+            sessions = sorted(sessions, key=lambda s: s[0])
+            touched = {}
+            self._add_each(key, batch, run, sessions, [s[0] for s in sessions], touched, events, out)
+            if not self.per_event:
+                out.extend(self.pane(key, s, True, events) for s in touched.values())
+            return sessions, events
+
+    rng = np.random.default_rng(11)
+    for trial in range(200):
+        books = [cls(10, bool(trial % 2), False) for cls in (_SessionBook, EachOne)]
+        open_ = [[], []]
+        for b in range(4):
+            n = int(rng.integers(1, 12))
+            t = rng.integers(b * 20, b * 20 + 60, n)
+            batch = pd.DataFrame({"t_us": t, "o_us": t if trial % 3 else t + rng.integers(-3, 4, n), "event_id": [f"{b}-{i}" for i in rng.permutation(n)],
+                                  "price": np.where(rng.random(n) < 0.1, np.nan, rng.integers(1, 9, n)).astype(np.float32)})
+            outs = [[], []]
+            for i, book in enumerate(books):
+                open_[i], _ = book.add("u", batch, b * 15, open_[i], [], outs[i])
+            assert repr(sorted(outs[0], key=repr)) == repr(sorted(outs[1], key=repr))
+            assert repr(sorted(open_[0])) == repr(sorted(open_[1]))
+
+
+def test_job_flags_and_failing_query(spark, workdir):
+    from tillflow.plans.session_job import SessionJob, main
+
+    schema = "event_id string, event_time string, user_id string, price float, event_type string, sent timestamp"
+    rows = [(*event("p1", at(10)), at(1)), (*event("p2", at(9)), at(2)), (*event("p3", at(8)), None), (*event("z", at(500), user="flush"), at(500))]
+    feeds = []
+    for name in ("b", "g"):
+        feeds.append(os.path.join(workdir, name))
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(feeds[-1])
+    for extra, opens in (["--closed-only"], 0), (["--per-session"], None):
+        base = os.path.join(workdir, extra[0].strip("-"))
+        main(["--books", feeds[0], "--groceries", feeds[1], "--panes", f"{base}/p", "--quarantine", f"{base}/q", "--checkpoint", f"{base}/c",
+              "--session-time", "sent", "--max-files", "1", *extra])
+        panes = spark.read.parquet(f"{base}/p").where("user_id = '2'")
+        closed = panes.where("NOT window_open").collect()
+        assert [(r.window_id, r.event_count, r.window_end) for r in closed] == [("p2", 4, "1970-01-01T00:11:59.999Z")]
+        assert opens is None or panes.where("window_open").count() == opens
+        assert {(r.event_id, r.reason) for r in spark.read.parquet(f"{base}/q").collect()} == {("p3", "no session time")}
+
+    def fail(batch, _):
+        raise RuntimeError("no")
+
+    source = lambda: read_event_feed(spark, feeds[0])
+    bad = source().writeStream.foreachBatch(fail).option("checkpointLocation", os.path.join(workdir, "bad")).start()
+    good = write_files(source(), os.path.join(workdir, "ok"), os.path.join(workdir, "okc"), trigger={"processingTime": "1 second"})
+    with pytest.raises(Exception, match="no"):
+        SessionJob(good, bad).await_termination(60)
+    assert not good.isActive

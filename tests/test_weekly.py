@@ -133,3 +133,22 @@ def test_weekly_job_command_line(spark, workdir):
     main(["--books", books, "--groceries", groceries, "--output", table, "--as-of", "2024-01-17"])
     r = spark.table(table).collect()
     assert [(x.UserID, round(x.TotalSalesInWeek, 6)) for x in r] == [("1", 125.1)]
+
+
+def test_append_by_name_to_a_table_with_other_column_order(spark, workdir):
+    table = "weekly_permuted_" + os.path.basename(workdir).replace("-", "_")
+    spark.sql(f"CREATE TABLE {table} (UserID string, TotalSalesInWeek double, EndOfWeek timestamp, StartOfWeek timestamp) "
+              f"USING parquet LOCATION '{os.path.join(workdir, 't')}'")
+    start, end = week_bounds(dt.date(2024, 1, 17))
+    df = spark.createDataFrame([(end, start, 3.5, "u1")], "EndOfWeek timestamp, StartOfWeek timestamp, TotalSalesInWeek double, UserID string")
+    append_to_table(df, table)
+    append_to_table(df, table)
+    assert [(r.UserID, r.StartOfWeek, r.EndOfWeek) for r in spark.table(table).collect()] == [("u1", start, end)] * 2
+
+
+def test_sales_columns_of_other_names(spark):
+    start, end = week_bounds(dt.date(2024, 1, 17))
+    rows = [("1", 2.0, dt.datetime(2024, 1, 12)), (None, 1.0, dt.datetime(2024, 1, 12)), ("1", None, dt.datetime(2024, 1, 12))]
+    sales = spark.createDataFrame(rows, "UserID string, Price double, SoldAt timestamp")
+    got = weekly_result(sales, sales, start, end, "SoldAt", "UserID", "Price").collect()
+    assert [(r.UserID, r.TotalSalesInWeek) for r in got] == [("1", 4.0)]

@@ -9,6 +9,8 @@ REASON_NO_USER = "no user id"
 REASON_NO_TIME = "no event time"
 REASON_NO_PRICE = "no price"
 REASON_BAD_TIME = "bad event time"
+REASON_BAD_MESSAGE = "bad message"
+REASON_NO_SESSION_TIME = "no session time"
 
 
 def is_blank(col: Column) -> Column:

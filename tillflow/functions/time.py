@@ -81,9 +81,18 @@ def instant_to_ntz(ts: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), _epoch_ntz())
 
 
+_DATE_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?$"
+
+
 def parse_iso(text: Column | str) -> Column:
-    """ISO-8601 text with an offset (``2019-01-01T12:22:22Z``) to an instant; null if malformed."""
-    return F.try_to_timestamp(_c(text))
+    """ISO-8601 date and time (``2019-01-01T12:22:22Z``) to an instant; null if malformed.
+
+    Only a full date with a time counts, without padding; a missing offset reads
+    as UTC, so the result depends on neither the session zone nor today's date.
+    """
+    t = _c(text)
+    zoned = F.when(t.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), t).otherwise(F.concat(t, F.lit("Z")))
+    return F.when(t.rlike(_DATE_TIME), F.try_to_timestamp(zoned))
 
 
 _UTC_ZONES = {"UTC", "GMT", "Z", "+00:00", "Etc/UTC", "Etc/GMT", "UCT", "Zulu", "Universal"}

@@ -36,8 +36,23 @@ checked AS (
 valid AS (SELECT event_id, event_time, user_id, price, event_type, ts FROM checked WHERE reason IS NULL)"""
 
 
-def _islands(gap: str) -> str:
-    return f"""{_FEED},
+# The same with a third of the rows on one user.
+_HOT_FEED = _FEED.replace(
+    "ELSE CAST(user_id AS VARCHAR) END AS user_id",
+    "WHEN event_id % 3 = 0 THEN '1' ELSE CAST(user_id AS VARCHAR) END AS user_id",
+)
+# The same with malformed event times, and no time where they are.
+_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
+_DIRTY_FEED = _FEED.replace(
+    f"ELSE {_TIME} END AS event_time",
+    f"""WHEN event_id % 20 = 0 THEN ' ' || {_TIME} WHEN event_id % 20 = 1 THEN substr({_TIME}, 12, 8)
+              WHEN event_id % 20 = 2 THEN substr({_TIME}, 1, 4) WHEN event_id % 20 = 3 THEN rtrim({_TIME}, 'Z')
+              ELSE {_TIME} END AS event_time""",
+).replace("WHEN ts IS NULL THEN", "WHEN CAST(event_id AS BIGINT) % 20 < 3 THEN")
+
+
+def _islands(gap: str, feed: str = _FEED) -> str:
+    return f"""{feed},
 marked AS (
   SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= {gap} THEN 1 ELSE 0 END AS starts
   FROM valid WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
@@ -64,8 +79,8 @@ ev AS (
   FROM numbered WINDOW s AS (PARTITION BY user_id, sid ORDER BY ts, event_id))"""
 
 
-def _sessions_sql(gap: str, where: str = "") -> str:
-    return f"""WITH {_islands(gap)}
+def _sessions_sql(gap: str, where: str = "", feed: str = _FEED) -> str:
+    return f"""WITH {_islands(gap, feed)}
 SELECT user_id, window_id, window_start, window_end, last_event_time,
        round(total, 2) AS total_price, event_count
 FROM sess {where}"""
@@ -168,4 +183,34 @@ FROM ev""",
     "streamed_sessions": _sessions_sql(GAP, f"WHERE window_end <= {_MAX_TS} - {GAP}"),
     "streamed_panes": _panes_sql(GAP, f"WHERE window_end <= {_MAX_TS}"),
     "streamed_pane_messages": _pane_messages_sql(GAP, f"WHERE window_end <= {_MAX_TS}"),
+    "quarantined_dirty_events": f"""WITH {_DIRTY_FEED}
+SELECT event_id, event_time, user_id, round(CAST(price AS DOUBLE), 2) AS price, event_type, reason
+FROM checked WHERE reason IS NOT NULL""",
+    "quarantined_messages": f"""WITH {_FEED},
+cut AS (SELECT *, CAST(event_id AS BIGINT) % 13 IN (5, 6) AS bad FROM checked)
+SELECT CASE WHEN NOT bad THEN event_id END AS event_id, CASE WHEN NOT bad THEN event_time END AS event_time,
+       CASE WHEN NOT bad THEN user_id END AS user_id, CASE WHEN NOT bad THEN round(CAST(price AS DOUBLE), 2) END AS price,
+       CASE WHEN NOT bad THEN event_type END AS event_type,
+       CASE CAST(event_id AS BIGINT) % 13 WHEN 5 THEN '{{"event_id":"' || event_id WHEN 6 THEN '' END AS bad_payload,
+       CASE WHEN bad THEN 'bad message' ELSE reason END AS reason
+FROM cut WHERE bad OR reason IS NOT NULL""",
+    "hot_user_sessions": _sessions_sql(GAP, feed=_HOT_FEED),
+    "hot_user_session_events": f"""WITH {_islands(LONG_GAP, _HOT_FEED)}
+SELECT user_id, window_id, window_start, event_id, ts, round(CAST(price AS DOUBLE), 2) AS price,
+       position, round(running_total, 2) AS running_total, event_type
+FROM ev""",
+    "streamed_panes_24h": _panes_sql(LONG_GAP, f"WHERE window_end <= {_MAX_TS}"),
+    "streamed_session_events": f"""WITH {_islands(LONG_GAP)}
+SELECT ev.window_id, ev.user_id, position, event_id, event_time, round(CAST(price AS DOUBLE), 2) AS price, event_type
+FROM (SELECT ev.*, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time FROM ev) ev JOIN sess USING (user_id, sid)
+WHERE window_end <= {_MAX_TS}""",
+    "streamed_panes_two_feeds": f"""WITH {_islands(LONG_GAP)}
+SELECT window_id, user_id, window_start, window_end - INTERVAL 1 MILLISECOND AS window_end,
+       round(CAST(CAST(total AS FLOAT) AS DOUBLE), 2) AS total_price, false AS window_open, event_count
+FROM sess WHERE window_end <= least((SELECT max(ts) FROM valid WHERE event_type = 'BOOK_SALE'),
+                                    (SELECT max(ts) FROM valid WHERE event_type <> 'BOOK_SALE'))""",
+    "streamed_closed_panes": f"""WITH {_islands(GAP)}
+SELECT window_id, user_id, window_start, window_end - INTERVAL 1 MILLISECOND AS window_end,
+       round(CAST(CAST(total AS FLOAT) AS DOUBLE), 2) AS total_price, false AS window_open, event_count
+FROM sess WHERE window_end <= {_MAX_TS} - {GAP}""",
 }

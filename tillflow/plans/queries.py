@@ -24,8 +24,8 @@ from tillflow.sources import testdata as td
 from tillflow.plans.weekly_job import run_weekly_job
 from tillflow.sources.streams import decode_events, read_event_feed, union_feeds
 from tillflow.sources.tables import range_scan
-from tillflow.streaming.panes import as_messages, session_panes_stream
-from tillflow.streaming.sessions import closed_sessions
+from tillflow.streaming.panes import as_messages, mark_feed, session_panes_stream
+from tillflow.streaming.sessions import closed_panes, closed_sessions
 
 # Gaps of the session checks. The reference job's gap is 10
 # minutes; at that gap nearly every test event is its own session, so 24 hours
@@ -161,6 +161,18 @@ def decoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(valid_events(decode_events(messages)), ("price",))
 
 
+def quarantined_dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected events of a feed that also holds malformed event times."""
+    _ready(spark)
+    return _shape(quarantined_events(td.dirty_times(_feeds(spark, sf_dir))), ("price",))
+
+
+def quarantined_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected messages, with the payload of those that can't be decoded."""
+    _ready(spark)
+    return _shape(quarantined_events(decode_events(td.messages(_feeds(spark, sf_dir)), keep_payload=True)), ("price",))
+
+
 # -- batch sessions -------------------------------------------------------
 
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,6 +204,18 @@ def session_panes_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(session_panes(_valid(spark, sf_dir), LONG_GAP), ("total_price",))
 
 
+def hot_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions with a third of all rows on one user."""
+    _ready(spark)
+    return _shape(sessions(valid_events(td.hot_user(_feeds(spark, sf_dir))), GAP), ("total_price",))
+
+
+def hot_user_session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    rows = session_event_rows(valid_events(td.hot_user(_feeds(spark, sf_dir))), LONG_GAP, extra=("event_type",))
+    return _shape(rows, ("price", "running_total"))
+
+
 # -- streams over the events file -----------------------------------------
 
 def _feed_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +264,51 @@ def streamed_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(_run_to_table(spark, out, "streamed_panes"), ("total_price",))
 
 
+def _replay(spark: SparkSession, sf_dir: str, types: str, empty_first: int = 0, files: int = 4) -> DataFrame:
+    """The events for which ``types`` holds as a stream of time-ordered files, one for each
+    trigger, after ``empty_first`` files without rows."""
+    path = scratch_path(spark, "replay")
+    events = td.load(spark, sf_dir, "events")
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    for i in range(-empty_first, files):
+        at = lambda k: lo + (hi - lo) * k / files
+        part = F.lit(False) if i < 0 else (F.col("ts") >= F.lit(at(i)).cast("timestamp_ntz")) & ((F.col("ts") < F.lit(at(i + 1)).cast("timestamp_ntz")) | F.lit(i == files - 1))
+        events.where(F.expr(types) & part).coalesce(1).write.mode("append").parquet(path)
+    return read_event_feed(spark, path, max_files_per_trigger=1, schema=td.EVENTS_SCHEMA)
+
+
+def streamed_panes_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open and closed panes over several micro-batches, with a gap that merges events."""
+    _ready(spark)
+    out = session_panes_stream(valid_events(td.feed_rows(_replay(spark, sf_dir, "true"))), LONG_GAP).drop("events")
+    return _shape(_run_to_table(spark, out, "streamed_panes_24h"), ("total_price",))
+
+
+def streamed_session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events array of the closed panes, with each event's place in it."""
+    _ready(spark)
+    stream = session_panes_stream(valid_events(td.feed_rows(_replay(spark, sf_dir, "true"))), LONG_GAP, per_event=False, include_events=True)
+    closed = _run_to_table(spark, stream, "streamed_session_events").where(~F.col("window_open"))
+    return _shape(closed.select("window_id", "user_id", F.posexplode("events").alias("place", "e")).select("window_id", "user_id", (F.col("place") + 1).alias("position"), "e.event_id", "e.event_time", "e.price", "e.event_type"), ("price",))
+
+
+def streamed_panes_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed panes of two feeds, one of which lags a micro-batch behind: nothing is late."""
+    _ready(spark)
+    books = td.feed_rows(_replay(spark, sf_dir, f"event_type = '{td.BOOKS_EVENT_TYPE}'"))
+    groceries = td.feed_rows(_replay(spark, sf_dir, f"event_type <> '{td.BOOKS_EVENT_TYPE}'", empty_first=1))
+    valid = union_feeds(*[mark_feed(valid_events(feed), LONG_GAP) for feed in (books, groceries)])
+    out = session_panes_stream(valid, LONG_GAP, per_event=False, marked=True).drop("events")
+    return _shape(_run_to_table(spark, out, "streamed_two_feeds").where(~F.col("window_open")), ("total_price",))
+
+
+def streamed_closed_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed sessions of the fast path, in the shape of panes."""
+    _ready(spark)
+    out = closed_panes(closed_sessions(valid_events(_feed_streams(spark, sf_dir)), GAP)).drop("events")
+    return _shape(_run_to_table(spark, out, "streamed_closed_panes"), ("total_price",))
+
+
 QUERIES = {
     "sales_range_scan": sales_range_scan,
     "valid_sales": valid_sales_rows,
@@ -262,4 +331,12 @@ QUERIES = {
     "streamed_quarantine": streamed_quarantine,
     "streamed_panes": streamed_panes,
     "streamed_pane_messages": streamed_pane_messages,
+    "quarantined_dirty_events": quarantined_dirty_events,
+    "quarantined_messages": quarantined_messages,
+    "hot_user_sessions": hot_user_sessions,
+    "hot_user_session_events": hot_user_session_events,
+    "streamed_panes_24h": streamed_panes_24h,
+    "streamed_session_events": streamed_session_events,
+    "streamed_panes_two_feeds": streamed_panes_two_feeds,
+    "streamed_closed_panes": streamed_closed_panes,
 }

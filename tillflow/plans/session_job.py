@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.operators.cleaning import quarantined_events, valid_events
 from tillflow.operators.sessions import SESSION_GAP
-from tillflow.sinks.streams import write_files
-from tillflow.sources.streams import read_event_feed, union_feeds
-from tillflow.streaming.panes import as_messages, session_panes_stream
-from tillflow.streaming.sessions import closed_sessions
+from tillflow.schemas import EVENT
+from tillflow.sinks.streams import write_files, write_kafka
+from tillflow.sources.streams import read_event_feed, read_kafka_feed, union_feeds
+from tillflow.streaming.panes import as_messages, mark_feed, session_panes_stream
+from tillflow.streaming.sessions import closed_panes, closed_sessions, mark_feed_time
 
 
 @dataclass
@@ -21,8 +24,19 @@ class SessionJob:
     quarantine: StreamingQuery
 
     def await_termination(self, timeout: float | None = None) -> None:
-        self.panes.awaitTermination(timeout)
-        self.quarantine.awaitTermination(timeout)
+        """Waits until both queries have ended, or ``timeout`` seconds; raises as soon as
+        either has failed, and stops the other then."""
+        end = None if timeout is None else time.monotonic() + timeout
+        queries = [self.panes, self.quarantine]
+        while any(q.isActive for q in queries) and (end is None or time.monotonic() < end):
+            for q in queries:
+                if not q.isActive and q.exception() is not None:
+                    self.stop()
+                    raise q.exception()
+            next(q for q in queries if q.isActive).awaitTermination(1)
+        for q in queries:
+            if q.exception() is not None:
+                raise q.exception()
 
     def stop(self) -> None:
         self.panes.stop()
@@ -47,36 +61,44 @@ def start_session_job(
     session_time: str | None = None,
     engine: str = "group_state",
     schema=None,
+    kafka: str | None = None,
+    max_offsets_per_trigger: int | None = None,
 ) -> SessionJob:
     """Start the two streaming queries and return their handles (does not wait).
 
-    ``early_panes=False`` writes only closed sessions, with Spark's own session
-    window (cheaper; exact when no row arrives late). Panes are published in the
-    message form (window bounds as ISO text). ``max_files_per_trigger``
-    bounds every micro-batch, and so what one user can bring to one task at once.
-    ``session_time`` names a message-time column (timestamp) that places events
-    in sessions while the payload's event time orders and names them, as in the
+    Both paths publish panes in one shape and the message form (window bounds as
+    ISO text); ``early_panes=False`` writes only closed ones, with Spark's own
+    session window (cheaper; exact when no row arrives late). Each feed carries its
+    own watermark and the slower one holds the job's, so a feed that lags behind
+    loses nothing. ``max_files_per_trigger`` (or ``max_offsets_per_trigger``) bounds
+    every micro-batch, and so what one user can bring to one task at once.
+    ``session_time`` names a message-time column (timestamp) that places events in
+    sessions while the payload's event time orders and names them, as in the
     reference; by default both are the event time. ``schema`` is the feed schema
-    (default: the event schema).
+    (default: the event schema). With ``kafka`` (bootstrap servers; needs Spark's
+    Kafka connector) the feeds and ``panes_path`` are topics; ``session_time`` may
+    then be "message_time".
     """
-    from tillflow.schemas import EVENT
 
-    feed_schema = schema or EVENT
+    def feed(source: str):
+        if kafka:
+            return read_kafka_feed(spark, kafka, source, max_offsets_per_trigger)
+        return read_event_feed(spark, source, fmt, max_files_per_trigger, schema=schema or EVENT)
 
-    def feeds():
-        books = read_event_feed(spark, book_feed, fmt, max_files_per_trigger, schema=feed_schema)
-        groceries = read_event_feed(spark, grocery_feed, fmt, max_files_per_trigger, schema=feed_schema)
-        return union_feeds(books, groceries)
-
-    valid = valid_events(feeds())
+    feeds = (book_feed, grocery_feed)
     time_col = session_time or "ts"
+    mark = mark_feed if early_panes else mark_feed_time
+    valid = union_feeds(*[mark(valid_events(feed(f), session_time), gap, lateness, time_col) for f in feeds])
     if early_panes:
-        out = as_messages(session_panes_stream(valid, gap, lateness, per_event, include_events,
-                                               time_col=time_col, engine=engine, order_col="ts"))
+        out = session_panes_stream(valid, gap, lateness, per_event, include_events, time_col=time_col, engine=engine, order_col="ts", marked=True)
+    else:
+        out = closed_panes(closed_sessions(valid, gap, lateness, time_col=time_col, order_col="ts", marked=True))
+    if kafka:
+        panes = write_kafka(as_messages(out), kafka, panes_path, f"{checkpoint}/panes", trigger=trigger)
     else:
-        out = closed_sessions(valid, gap, lateness, time_col=time_col, order_col="ts")
-    panes = write_files(out, panes_path, f"{checkpoint}/panes", trigger=trigger)
-    quarantine = write_files(quarantined_events(feeds()), quarantine_path, f"{checkpoint}/quarantine", trigger=trigger)
+        panes = write_files(as_messages(out), panes_path, f"{checkpoint}/panes", trigger=trigger)
+    rejected = quarantined_events(union_feeds(*[feed(f) for f in feeds]), session_time)
+    quarantine = write_files(rejected, quarantine_path, f"{checkpoint}/quarantine", trigger=trigger)
     return SessionJob(panes, quarantine)
 
 
@@ -99,13 +121,23 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--closed-only", action="store_true", help="only closed sessions (Spark's session window)")
     ap.add_argument("--trigger", default="availableNow", help="'availableNow' or a processing-time interval")
     ap.add_argument("--engine", default="group_state", choices=["group_state", "transform_with_state"])
+    ap.add_argument("--session-time", default=None, help="message-time column that places events in sessions")
+    ap.add_argument("--per-session", action="store_true", help="one open pane per touched session and batch, not per event")
+    ap.add_argument("--max-files", type=int, default=100, help="files of each feed in a micro-batch")
+    ap.add_argument("--kafka", default=None, help="bootstrap servers; the feeds and --panes are then topics")
+    ap.add_argument("--max-offsets", type=int, default=None, help="messages of each topic in a micro-batch")
     args = ap.parse_args(argv)
+    schema = EVENT
+    if args.session_time and not args.kafka:
+        schema = T.StructType([*EVENT, T.StructField(args.session_time, T.TimestampType())])
     trigger = {"availableNow": True} if args.trigger == "availableNow" else {"processingTime": args.trigger}
     spark = build_session()
     job = start_session_job(spark, args.books, args.groceries, args.panes, args.quarantine, args.checkpoint,
                             gap=args.gap, lateness=args.lateness, early_panes=not args.closed_only,
                             include_events=args.include_events, fmt=args.format, trigger=trigger,
-                            engine=args.engine)
+                            engine=args.engine, session_time=args.session_time, per_event=not args.per_session,
+                            max_files_per_trigger=args.max_files, schema=schema, kafka=args.kafka,
+                            max_offsets_per_trigger=args.max_offsets)
     job.await_termination()
 
 

@@ -50,16 +50,20 @@ _OWN_ROOTS: dict[str, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or given to ``setCheckpointDir``.
 
-    On a cluster the setting names storage every executor can reach, and it is
-    only read here. Only when it is unset (local tests) a fresh folder is made,
-    once per application, and given to ``SparkContext.setCheckpointDir`` (the
-    setting itself cannot be changed at run time).
+    On a cluster it names storage every executor can reach, and it is only read
+    here; without one this raises. Only with a ``local`` master (tests) a fresh
+    folder is made, once per application, and given to ``SparkContext.setCheckpointDir``
+    (the setting itself cannot be changed at run time).
     """
     sc = spark.sparkContext
     root = sc.getConf().get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
+    if not root and sc.applicationId not in _OWN_ROOTS:
+        root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         root = _OWN_ROOTS.get(sc.applicationId)
         if root is None:
             root = tempfile.mkdtemp(prefix="tillflow-ckpt-")

@@ -25,6 +25,6 @@ def append_to_table(df: DataFrame, table: str, schema: T.StructType = WEEKLY_SAL
 
     The table is never created: a missing table fails with
     ``TABLE_OR_VIEW_NOT_FOUND``. Re-running for the same period appends again
-    (no deduplication).
+    (no deduplication). Columns are matched by name, whatever the table's order.
     """
-    conform(df, schema).write.insertInto(table, overwrite=False)
+    df.sparkSession.sql("INSERT INTO IDENTIFIER(:target) BY NAME SELECT * FROM {rows}", args={"target": table}, rows=conform(df, schema))

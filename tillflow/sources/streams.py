@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tillflow.schemas import EVENT
 
@@ -22,16 +23,23 @@ def read_event_feed(spark: SparkSession, path: str, fmt: str = "parquet", max_fi
     return reader.load(path)
 
 
-def decode_events(raw: DataFrame, payload_col: str = "value", keep: dict[str, str] | None = None) -> DataFrame:
+def decode_events(raw: DataFrame, payload_col: str = "value", keep: dict[str, str] | None = None,
+                  keep_payload: bool = False) -> DataFrame:
     """Decode a text/bytes payload column (JSON) into the event columns.
 
     Used for message sources such as Kafka, whose ``value`` holds the message.
-    Undecodable messages give a row of nulls, which the validator rejects.
-    ``keep`` carries message columns along, renamed (``{"timestamp": "message_time"}``).
+    Undecodable messages give a row of nulls, which the validator rejects; with
+    ``keep_payload`` their text is kept in ``bad_payload`` (null for the others, "" for a
+    missing payload). ``keep`` carries message columns along, renamed
+    (``{"timestamp": "message_time"}``).
     """
     payload = F.col(payload_col).cast("string")
     kept = [F.col(src).alias(dst) for src, dst in (keep or {}).items()]
-    return raw.select(F.from_json(payload, EVENT).alias("e"), *kept).select("e.*", *(keep or {}).values())
+    schema = T.StructType([*EVENT, T.StructField("bad_payload", T.StringType())])
+    decoded = F.from_json(payload, schema, {"columnNameOfCorruptRecord": "bad_payload"}).alias("e")
+    out = raw.select(decoded, payload.alias("_payload"), *kept)
+    bad = F.when(F.col("e").isNull(), F.coalesce("_payload", F.lit(""))).otherwise(F.col("e.bad_payload")).alias("bad_payload")
+    return out.select(*[F.col(f"e.{c}") for c in EVENT.names], *([bad] if keep_payload else []), *(keep or {}).values())
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:
@@ -56,4 +64,4 @@ def read_kafka_feed(spark: SparkSession, bootstrap_servers: str, topic: str,
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
-    return decode_events(reader.load(), "value", keep={"timestamp": "message_time"})
+    return decode_events(reader.load(), "value", keep={"timestamp": "message_time"}, keep_payload=True)

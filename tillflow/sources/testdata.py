@@ -97,3 +97,24 @@ def book_feed(events: DataFrame) -> DataFrame:
 def grocery_feed(events: DataFrame) -> DataFrame:
     """The groceries feed: views, plus the non-sale noise the validator removes."""
     return feed_rows(events.where(F.col("event_type") != BOOKS_EVENT_TYPE))
+
+
+def dirty_times(feed: DataFrame) -> DataFrame:
+    """Feed rows some of whose event times are no full date and time, by event id:
+    padded, a time alone, a year alone; and some without an offset, which are fine."""
+    n, t = F.col("event_id").cast("long") % 20, F.col("event_time")
+    dirty = F.when(n == 0, F.concat(F.lit(" "), t)).when(n == 1, F.substring(t, 12, 8)).when(n == 2, F.substring(t, 1, 4))
+    clean = F.when(n == 3, F.regexp_replace(t, "Z$", "")).otherwise(t)
+    return feed.withColumn("event_time", F.when(t == "", t).otherwise(F.coalesce(dirty, clean)))
+
+
+def messages(feed: DataFrame) -> DataFrame:
+    """Feed rows as JSON payloads, some cut off and some missing, by event id."""
+    n = F.col("event_id").cast("long") % 13
+    cut = F.concat(F.lit('{"event_id":"'), F.col("event_id"))
+    return feed.select(F.when(n == 5, cut).when(n != 6, F.to_json(F.struct(*feed.columns))).alias("value"))
+
+
+def hot_user(feed: DataFrame) -> DataFrame:
+    """A third of the rows on one user."""
+    return feed.withColumn("user_id", F.when((F.col("event_id").cast("long") % 3 == 0) & (F.col("user_id") != ""), F.lit("1")).otherwise(F.col("user_id")))

@@ -26,10 +26,17 @@ State per user: the open sessions (a handful: they close as the watermark
 moves) and, only with ``include_events``, their events. Keyed state puts one
 user on one task; what that task holds is bounded by the user's open sessions,
 and what it reads per batch by the trigger size (``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``). The input of a user is applied chunk by chunk as
-Arrow delivers it, and open sessions are kept sorted so an event finds the
-sessions it touches by binary search. The events array re-sends the whole
-session on every pane, quadratic in session length, so it is off unless asked for.
+``maxOffsetsPerTrigger``). A user's rows of one micro-batch are sorted as a whole
+before they are applied, so panes don't depend on how Arrow cuts them. Rows that
+follow the open sessions in time are applied as arrays; only a run that reaches
+into or bridges open sessions is applied event by event. The events array
+re-sends the whole session on every pane, quadratic in session length, so it is
+off unless asked for.
+
+Several feeds: mark each with :func:`mark_feed` before the union and pass
+``marked=True``. Each feed then has its own watermark and the slowest holds the
+job's (Spark's ``multipleWatermarkPolicy`` is "min" by default), so rows of a feed
+that lags behind another are not late.
 
 Two times per event: ``time_col`` places it in a session (the message time in
 the reference) and ``order_col`` orders and names (the payload's event time);
@@ -154,26 +161,62 @@ class _SessionBook:
 
     def add(self, key, batch: pd.DataFrame, wm_us: int, sessions: list[list], events: list[dict],
             out: list[tuple]):
-        """Apply one chunk of a user's events in (time, id) order; late ones
-        (``t + gap <= wm``) are dropped. A micro-batch may come in several chunks;
-        they are applied one after the other, as events arriving in that order.
-
-        Open sessions never overlap, so they are kept sorted by start and an
-        event can only touch the (at most two) sessions next to it: a binary
-        search finds them, and a user with many open sessions costs
-        O(log sessions) per event, not O(sessions).
+        """Apply a user's events of one micro-batch in (time, id) order; late ones
+        (``t + gap <= wm``) are dropped.
+
+        Open sessions never overlap, so they are kept sorted by start. The events are
+        cut into runs (local sessions); a run that meets no open session, or only
+        the one it continues in time, is applied as arrays.
         """
         gap = self.gap_us
-        t_all = batch["t_us"].to_numpy()
-        o_all = batch["o_us"].to_numpy()
-        ids_all = batch["event_id"].to_numpy()
+        t_all, o_all = batch["t_us"].to_numpy(), batch["o_us"].to_numpy()
+        ids_all, prices = batch["event_id"].to_numpy(), batch["price"].to_numpy()
         keep_rows = np.flatnonzero(t_all + gap > wm_us)
+        if not len(keep_rows):
+            return sessions, events
         order = keep_rows[np.lexsort((ids_all[keep_rows], t_all[keep_rows]))]
-        prices = batch["price"].to_numpy()
+        times = t_all[order]
         sessions = sorted(sessions, key=lambda x: x[0])
         starts = [x[0] for x in sessions]
         touched: dict[int, list] = {}
-        for i in order:
+        cuts = np.flatnonzero(np.diff(times) >= gap) + 1
+        for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(order)]):
+            run = order[lo:hi]
+            j = bisect.bisect_left(starts, int(times[hi - 1]) + gap)  # sessions[:j] start before the run's end
+            met = [s for s in sessions[max(0, j - 2) : j] if s[1] + gap > times[lo]]
+            later = len(met) > 1 or met and (met[0][1] > times[lo] or met[0][6] > o_all[run[0]])
+            if self.include_events or later or (o_all[run] != t_all[run]).any():
+                self._add_each(key, batch, run, sessions, starts, touched, events, out)
+                continue
+            if met:
+                s = met[0]
+            else:
+                first = int(times[lo])
+                s = [first, first, _py(ids_all[run[0]]), 0.0, 0, first, first]
+                k = bisect.bisect_left(starts, first)
+                sessions.insert(k, s)
+                starts.insert(k, first)
+            if met and (int(o_all[run[0]]), _py(ids_all[run[0]])) < (s[5], s[2]):
+                s[5], s[2] = int(o_all[run[0]]), _py(ids_all[run[0]])
+            totals = np.cumsum(np.r_[s[3], prices[run].astype(np.float64)])[1:]
+            if self.per_event:
+                counts = range(s[4] + 1, s[4] + 1 + len(run))
+                out.extend((s[2], key, s[5], t, total, True, n, None) for t, total, n in zip(times[lo:hi].tolist(), totals.tolist(), counts))
+            last = int(times[hi - 1])
+            s[1], s[6], s[3], s[4] = max(s[1], last), max(s[6], last), float(totals[-1]), s[4] + len(run)
+            touched[id(s)] = s
+        if not self.per_event:
+            out.extend(self.pane(key, s, True, events) for s in touched.values())
+        return sessions, events
+
+    def _add_each(self, key, batch: pd.DataFrame, run: np.ndarray, sessions: list[list], starts: list, touched: dict,
+                  events: list[dict], out: list[tuple]) -> None:
+        """Apply sorted events one by one; each can only touch the (at most two)
+        open sessions next to it, found by binary search."""
+        gap = self.gap_us
+        t_all, o_all = batch["t_us"].to_numpy(), batch["o_us"].to_numpy()
+        ids_all, prices = batch["event_id"].to_numpy(), batch["price"].to_numpy()
+        for i in run:
             t, o = int(t_all[i]), int(o_all[i])
             merged = [t, t, _py(ids_all[i]), float(prices[i]), 1, o, o]
             j = bisect.bisect_left(starts, t + gap)  # sessions[:j] start before t + gap
@@ -199,9 +242,6 @@ class _SessionBook:
                 events.append({**{c: _py(batch[c].iat[i]) for c in _EVENT_COLS}, "t_us": t, "o_us": o})
             if self.per_event:
                 out.append(self.pane(key, merged, True, events))
-        if not self.per_event:
-            out.extend(self.pane(key, s, True, events) for s in touched.values())
-        return sessions, events
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
@@ -210,6 +250,18 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pdf
 
 
+def _frames(rows: list[tuple], size: int = 50_000) -> Iterator[pd.DataFrame]:
+    """Output frames of bounded size."""
+    for i in range(0, len(rows), size):
+        yield _frame(rows[i : i + size])
+
+
+def _whole(chunks) -> pd.DataFrame:
+    """A user's rows of this micro-batch in one frame, however Arrow cut them (the trigger bounds them)."""
+    parts = list(chunks)
+    return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+
+
 class SessionPanes(StatefulProcessor):
     """``transformWithStateInPandas`` engine: list state per user and one event-time timer
     at the earliest end among its open sessions."""
@@ -255,14 +307,9 @@ class SessionPanes(StatefulProcessor):
         out: list[tuple] = []
         # input rows are handled before timers in a batch: close what is due first
         sessions, events = self.book.close_due(user, wm_us, sessions, events, out)
-        for chunk in rows:  # Arrow-sized chunks: memory stays bounded for a hot user
-            sessions, events = self.book.add(user, chunk, wm_us, sessions, events, out)
-            if out:
-                yield _frame(out)
-                out = []
+        sessions, events = self.book.add(user, _whole(rows), wm_us, sessions, events, out)
         self._save(sessions, events, old_timer)
-        if out:
-            yield _frame(out)
+        yield from _frames(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         user = key[0]
@@ -275,8 +322,7 @@ class SessionPanes(StatefulProcessor):
             self._save(sessions, events, None, fired=True)
         elif sessions:
             self.handle.registerTimer(self.book.timer_ms(sessions))
-        if out:
-            yield _frame(out)
+        yield from _frames(out)
 
     def close(self) -> None:
         pass
@@ -309,23 +355,26 @@ def _group_state_fn(gap_us: int, per_event: bool, include_events: bool):
             sessions, events = book.close_due(user, wm_ms * 1000, sessions, events, out)
         else:
             sessions, events = book.close_due(user, wm_ms * 1000, sessions, events, out)
-            for chunk in frames:  # Arrow-sized chunks: memory stays bounded for a hot user
-                sessions, events = book.add(user, chunk, wm_ms * 1000, sessions, events, out)
-                if out:
-                    yield _frame(out)
-                    out = []
+            sessions, events = book.add(user, _whole(frames), wm_ms * 1000, sessions, events, out)
         if sessions:
             state.update(([tuple(s) for s in sessions],
                           [tuple(e[c] for c in _EVENT_STATE.names) for e in events] if include_events else []))
             state.setTimeoutTimestamp(book.timer_ms(sessions))
         else:
             state.remove()
-        if out:
-            yield _frame(out)
+        yield from _frames(out)
 
     return run
 
 
+def mark_feed(events: DataFrame, gap: str | int = SESSION_GAP, lateness: str | int = "0 seconds", time_col: str = "ts") -> DataFrame:
+    """One feed of valid events with its own watermark, for the union given to
+    ``session_panes_stream(..., marked=True)``."""
+    gap_us = gap_micros(gap)
+    close = F.col(time_col) + F.expr(f"INTERVAL {gap_us} MICROSECONDS")
+    return events.withColumn("close_ts", close).withWatermark("close_ts", f"{gap_us + gap_micros(lateness)} microseconds")
+
+
 def session_panes_stream(
     events: DataFrame,
     gap: str | int = SESSION_GAP,
@@ -335,6 +384,7 @@ def session_panes_stream(
     time_col: str = "ts",
     engine: str = "group_state",
     order_col: str | None = None,
+    marked: bool = False,
 ) -> DataFrame:
     """Open and closed panes of a stream of valid events (feed columns plus an instant ``ts``).
 
@@ -345,19 +395,19 @@ def session_panes_stream(
     ``time_col`` is the session time (sessions, lateness, watermark; in the
     reference, the message's publish time) and ``order_col`` the order time
     (naming, pane bounds, event order; the payload's event time). ``order_col``
-    defaults to ``time_col``.
+    defaults to ``time_col``. ``marked`` says that the events come from feeds marked
+    with ``mark_feed`` (same gap, lateness and time column).
     """
     from tillflow.runtime import require_rocksdb_state
 
     require_rocksdb_state(events.sparkSession)
     gap_us = gap_micros(gap)
-    late_us = gap_micros(lateness)
-    prepared = events.select(
+    prepared = (events if marked else mark_feed(events, gap, lateness, time_col)).select(
         *[F.col(c) for c in _EVENT_COLS],
         micros(F.col(time_col)).alias("t_us"),
         micros(F.col(order_col or time_col)).alias("o_us"),
-        (F.col(time_col) + F.expr(f"INTERVAL {gap_us} MICROSECONDS")).alias("close_ts"),
-    ).withWatermark("close_ts", f"{gap_us + late_us} microseconds")
+        "close_ts",
+    )
     grouped = prepared.groupBy("user_id")
     if engine == "transform_with_state":
         raw = grouped.transformWithStateInPandas(

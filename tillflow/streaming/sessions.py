@@ -38,12 +38,31 @@ use the exact path for those.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
+from tillflow.functions.time import window_max_timestamp
 from tillflow.operators.sessions import SESSION_GAP, gap_micros
+from tillflow.schemas import EVENT
 
 LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
+def mark_feed_time(events: DataFrame, gap: str | int = SESSION_GAP, lateness: str | int = "0 seconds", time_col: str = "ts") -> DataFrame:
+    """One feed with its own watermark, for the union given to ``closed_sessions(..., marked=True)``:
+    the slowest feed then holds the watermark."""
+    return events.withWatermark(time_col, f"{gap_micros(gap) + gap_micros(lateness)} microseconds")
+
+
+def closed_panes(sessions: DataFrame) -> DataFrame:
+    """Closed sessions in the shape of the exact path's panes: window_end is the last
+    instant (end - 1 ms), the total is narrowed to float; ``events`` is null."""
+    return sessions.select(
+        "window_id", "user_id", "window_start", window_max_timestamp("window_end").alias("window_end"),
+        F.col("total_price").cast("float").alias("total_price"), F.lit(False).alias("window_open"), "event_count",
+        F.lit(None).cast(T.ArrayType(EVENT)).alias("events"),
+    )
+
+
 def closed_sessions(
     events: DataFrame,
     gap: str | int = SESSION_GAP,
@@ -53,6 +72,7 @@ def closed_sessions(
     id_col: str = "event_id",
     price_col: str = "price",
     order_col: str | None = None,
+    marked: bool = False,
 ) -> DataFrame:
     """Sessions of a streaming frame of valid events with an instant ``time_col``.
 
@@ -63,17 +83,16 @@ def closed_sessions(
     total_price (double), event_count. ``time_col`` places events in sessions;
     ``order_col`` (default: the same) names them and gives window_start and
     last_event_time, as the message time and the payload's event time do in the
-    reference.
+    reference. ``marked``: the events come from feeds marked with ``mark_feed_time``.
     """
     order = F.col(order_col or time_col)
     spark = events.sparkSession
     if spark.conf.get(LOCAL_MERGE, "false") != "true":
         spark.conf.set(LOCAL_MERGE, "true")  # pre-merge sessions before the shuffle
     gap_us = gap_micros(gap)
-    late_us = gap_micros(lateness)
-    marked = events.withWatermark(time_col, f"{gap_us + late_us} microseconds")
+    watched = events if marked else mark_feed_time(events, gap, lateness, time_col)
     window = F.session_window(F.col(time_col), f"{gap_us - 1} microseconds")
-    agg = marked.groupBy(F.col(key), window.alias("session")).agg(
+    agg = watched.groupBy(F.col(key), window.alias("session")).agg(
         F.min(F.struct(order.alias("o"), F.col(id_col).alias("id"))).alias("head"),
         F.max(order).alias("last_event_time"),
         F.sum(F.col(price_col).cast("double")).alias("total_price"),
