@@ -25,7 +25,9 @@ HEADLINE = [
     "quarantined_events",
     "user_sessions",
     "user_sessions_24h",
+    "hot_user_sessions",
     "session_events",
+    "hot_user_session_events",
     "session_panes",
     "streamed_sessions",
     "streamed_panes",
