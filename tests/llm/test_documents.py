@@ -95,6 +95,45 @@ def test_signature_index_guarantee():
     assert near_duplicates.chunk_of(limit - 2)[-1] < chunk[-1]
 
 
+def test_pairs_are_taken_where_they_meet_first(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    chunk = near_duplicates.chunk_of(near_duplicates.distance_limit(80))
+    rows = []
+    for i in range(400):
+        mask = [0] * 128
+        for p in rng.sample(range(128), rng.choice([0, 1, 30, 45, 49])) if i > 128 else [i] if i < 128 else []:
+            mask[p] = 1
+        errors = [[p for p in range(128) if chunk[p] == c and mask[p]] for c in range(chunk[-1] + 1)]
+        c = next((c for c, e in enumerate(errors) if len(e) <= 1), None)
+        want = None if c is None else errors[c][0] if errors[c] else int((chunk == c).argmax())
+        words = [sum(b << j for j, b in enumerate(mask[h : h + 64])) for h in (0, 64)]
+        rows.append((*[w - (1 << 64) if w >> 63 else w for w in words], want))
+    # a mask with all chunks but one of two errors or more, and the sign bit alone
+    frame = spark.createDataFrame(rows, "low long, high long, want int")
+    got = frame.select("want", near_duplicates.first_meeting(F.col("low"), F.col("high"), chunk).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+
+
+@pytest.mark.parametrize("gather", [0, 10**6])
+def test_components(spark, gather):
+    rng = random.Random(gather)
+    edges = [(i, i + 1) for i in range(60)] + [(100 + i, 100) for i in range(40)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(5, 5), (300, 301), (301, 300)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.node: r.root for r in near_duplicates.components(spark.createDataFrame(edges, "a long, b long"), gather).collect()}
+    assert got == {x: find(x) for x in root if find(x) != x}
+
+
 def test_a_large_group_without_a_common_center(spark, docs_of):
     """A chain of windows over one long text: only neighbours are similar."""
     words = prose(random.Random(1), 2000, 10**6).split()

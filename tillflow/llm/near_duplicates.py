@@ -11,18 +11,21 @@ signature distance and then confirmed on the full shingle sets.
 
 Equal sets are one class, with one row in everything below. Links are wanted only
 up to connection, so no group is expanded into pairs: first each class is compared
-with the smallest class that shares a whole chunk with it, which joins the bulk of
-a group; then all pairs of the index are compared except those already connected.
+with a few classes that share many keys with it, which joins the bulk of a group, in
+some rounds; then all pairs of the index are compared except those already
+connected, each pair once. The rounds only save comparisons: what they miss, the
+last step finds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.text import LOWER, SPACED, gram_hashes, list_column, mix, small_side, staged, text_key, text_slices, word_hashes, word_spans
@@ -31,10 +34,18 @@ HASHES = 128
 SYMBOL_BITS = 8
 CHUNK_ERRORS = 1
 MISS = 1e-6
+#: Rounds of comparing each class with few others before all remaining pairs are
+#: compared, and how many others: by whole chunks first, then by the full index.
+STAR_ROUNDS = 1
+FIRST_CENTERS, CENTERS = 4, 64
+#: Links of up to so many rows are connected in one task, more of them by shuffles.
+GATHER_ROWS = 200_000
 _RNG = np.random.default_rng(41)
 MULTIPLIERS = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SYMBOL_VALUES = _RNG.integers(0, 1 << 63, (HASHES, 1 << SYMBOL_BITS), dtype=np.uint64)
 KEY_SEEDS = _RNG.integers(0, 1 << 63, 2 * HASHES, dtype=np.uint64)
+#: Keys have 48 bits: fewer bytes to shuffle; two that are equal by chance cost a comparison.
+KEY_SHIFT = np.uint64(16)
 
 
 def distance_limit(percent: int, hashes: int = HASHES, miss: float = MISS) -> int:
@@ -114,24 +125,48 @@ def signed_documents(docs: DataFrame, id_col: str, text_col: str, k: int) -> Dat
 
 
 def index_keys(classes: DataFrame, chunk: np.ndarray, errors: int) -> DataFrame:
-    """Rows (key, cid, comp) for (cid, comp, sig): one for each chunk (errors 0), or for
-    each chunk with one of its symbols left out (errors 1)."""
+    """Rows (pos, key, cid, comp) for (cid, comp, sig): one for each chunk (errors 0), or
+    one for each symbol, with that symbol left out of its chunk (errors 1)."""
     starts = np.flatnonzero(np.diff(chunk, prepend=-1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            symbols = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8)
-            symbols = symbols.reshape(n, HASHES)
-            keys = np.empty((n, HASHES if errors else len(starts)), np.uint64)
-            for i in range(0, n, 2000):
+            symbols = signature_matrix(batch.column(2))
+            for i in range(0, len(symbols), 2000):
                 terms = SYMBOL_VALUES[np.arange(HASHES), symbols[i : i + 2000]]
                 totals = np.add.reduceat(terms, starts, axis=1)
-                keys[i : i + 2000] = totals[:, chunk] - terms + KEY_SEEDS[:HASHES] if errors else totals + KEY_SEEDS[HASHES : HASHES + len(starts)]
-            lists = list_column(pa.array(mix(keys.reshape(-1)).view(np.int64)), np.full(n, keys.shape[1]))
-            yield pa.record_batch([batch.column(0), batch.column(1), lists], ["cid", "comp", "keys"])
+                keys = totals[:, chunk] - terms + KEY_SEEDS[:HASHES] if errors else totals + KEY_SEEDS[HASHES : HASHES + len(starts)]
+                lists = list_column(pa.array((mix(keys.reshape(-1)) >> KEY_SHIFT).view(np.int64)), np.full(len(terms), keys.shape[1]))
+                yield pa.record_batch([batch.column(0).slice(i, len(terms)), batch.column(1).slice(i, len(terms)), lists], ["cid", "comp", "keys"])
 
-    return classes.select("cid", "comp", "sig").mapInArrow(run, "cid long, comp long, keys array<long>").select(F.explode("keys").alias("key"), "cid", "comp")
+    # each class becomes many rows: small tasks, so that none spills
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = classes.select("cid", "comp", "sig").repartition(parts).mapInArrow(run, "cid long, comp long, keys array<long>")
+    return rows.select(F.posexplode("keys").alias("pos", "key"), "cid", "comp")
+
+
+def signature_matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), HASHES)
+
+
+def mixed_buckets(rows: DataFrame) -> DataFrame:
+    """The rows (key, cid, comp, ...) whose key stands in more than one component."""
+    mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    return rows.join(small_side(staged(mixed, "near_mixed"), 16), "key")
+
+
+def star_pairs(rows: DataFrame, seed: int, centers: int) -> DataFrame:
+    """Pairs (a, b) of classes of different components from the index rows: each key
+    names one of its classes by a hash, and each class a of a smaller component is
+    paired with the ``centers`` classes that its keys name most often, which are
+    similar ones as a rule."""
+    sizes = rows.select("cid", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size"))
+    sized = rows.join(sizes, "comp")
+    named = sized.groupBy("key").agg(F.max(F.struct(F.xxhash64("cid", "key", F.lit(seed)).alias("h"), "cid", F.struct("size", "comp").alias("rank"))).alias("c"))
+    smaller = F.struct("size", "comp") < F.col("c.rank")
+    met = sized.join(named, "key").filter(smaller).groupBy("cid", F.col("c.cid").alias("b")).agg(F.count("*").alias("times"))
+    place = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("times"), F.xxhash64("b", F.lit(seed))))
+    return met.withColumn("place", place).filter(F.col("place") <= centers).select(F.col("cid").alias("a"), "b")
 
 
 def similar_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -159,27 +194,36 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
     return both.filter(shared * 100 >= (F.size("xs") + F.size("ys") - shared) * percent).select("a", "b")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, gather_rows: int | None = None) -> DataFrame:
     """(node, root) for every node of the undirected edges (a, b), root the smallest node
-    connected with it, by alternating large-star and small-star steps until nothing changes."""
+    connected with it, by alternating large-star and small-star steps until nothing changes.
+
+    The steps are joins and grouped minima. While the counted edges are few, they
+    stand in one partition and need no exchange; with more they are shuffled.
+    """
+    limit = GATHER_ROWS if gather_rows is None else gather_rows
 
     def toward_least(sym: DataFrame, keep: Column) -> DataFrame:
         least = sym.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
         return sym.join(least, "u").filter(keep)
 
-    current = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "near_edges")
+    current = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v"), "near_edges")
     state = None
     while True:
-        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = toward_least(both, F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = toward_least(large, F.lit(True))
-        small = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct()
-        current = staged(small, "near_edges")
-        now = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = now
+        if now[0] <= limit:
+            current = current.coalesce(1)
+        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = both.coalesce(1) if now[0] <= limit else both
+        large = toward_least(both, F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = toward_least(large, F.lit(True))
+        small = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = small.coalesce(1) if now[0] <= limit else small
+        current = staged(small.filter("u <> v").distinct(), "near_edges")
 
 
 def labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -188,8 +232,51 @@ def labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
     return classes.join(roots, classes["cid"] == roots["node"], "left").select(*[classes[c] for c in classes.columns], F.coalesce("root", "cid").alias("comp"))
 
 
+def difference(a: str, b: str) -> list[Column]:
+    """Two 64-bit words: which symbols of the signatures ``a`` and ``b`` (bit planes) differ."""
+    differ = [F.col(a)[i].bitwiseXOR(F.col(b)[i]) for i in range(2 * SYMBOL_BITS)]
+    return [reduce(lambda x, y: x.bitwiseOR(y), differ[half::2]) for half in (0, 1)]
+
+
+def near_pairs(pairs: DataFrame, planes: DataFrame, limit: int, percent: int) -> DataFrame:
+    """The pairs (a, b) within the distance limit and of similar size."""
+    one = planes.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
+    two = planes.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
+    low, high = difference("pa", "pb")
+    return pairs.join(one, "a").join(two, "b").filter(similar_sizes(F.col("na"), F.col("nb"), percent) & (F.bit_count(low) + F.bit_count(high) <= limit)).select("a", "b")
+
+
+def index_pairs(members: DataFrame, planes: DataFrame, chunk: np.ndarray, limit: int, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components that meet in the index and are within the
+    limit, each once: where it meets first."""
+    met = members.join(planes, "cid")
+    one = met.select("key", "pos", F.col("comp").alias("ca"), F.col("cid").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
+    two = met.select("key", F.col("comp").alias("cb"), F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
+    low, high = difference("pa", "pb")
+    near = F.bit_count(low) + F.bit_count(high) <= limit
+    # evaluated for near pairs only; in a lambda, so that the two words are computed once
+    first = F.exists(F.array(F.struct(low.alias("low"), high.alias("high"))), lambda w: first_meeting(w["low"], w["high"], chunk) == F.col("pos"))
+    return one.join(two, "key").filter((F.col("ca") < F.col("cb")) & similar_sizes(F.col("na"), F.col("nb"), percent) & near & first).select("a", "b")
+
+
+def first_meeting(low: Column, high: Column, chunk: np.ndarray) -> Column:
+    """The first index position at which two signatures meet that differ in these symbols."""
+    cases = None
+    for c in range(chunk[-1] + 1):
+        inside = [int(i) for i in np.flatnonzero(chunk == c)]
+        masks = [sum(1 << (i - 64 * half) for i in inside if i // 64 == half) for half in (0, 1)]
+        parts = [(word.bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)), 64 * half) for half, (word, m) in enumerate(zip((low, high), masks)) if m]
+        differing = reduce(lambda x, y: x + y, [F.bit_count(part) for part, _ in parts])
+        # without a difference they meet at all symbols of the chunk; with one, where it is left out
+        # (the place of the one bit set; the sign bit has no value below it)
+        zeros = lambda part: F.coalesce(F.bit_count(F.try_subtract(part, F.lit(1)).bitwiseAND(F.bitwise_not(part))), F.lit(63))
+        place = F.coalesce(*[F.when(part != 0, zeros(part) + base) for part, base in parts])
+        cases = (F if cases is None else cases).when(differing == 0, F.lit(inside[0])).when(differing == 1, place)
+    return cases
+
+
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """(id, tk, n, component) for every row: set size and the smallest id of its group.
+    """(id, tk, n, grp, component) for every row: set size, group and the group's smallest id.
 
     Rows are linked if their sets of ``k``-word shingles share at least ``percent``
     percent of their union (A-Z lower-cased; words by ASCII white space), and a group
@@ -203,42 +290,36 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     classes = signed.filter("n > 0").groupBy("cid").agg(F.min(F.struct("id", "tk")).alias("r"), F.min("id").alias("least"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"))
     classes = staged(classes.select("cid", "r.id", "r.tk", "least", "n", "sig"), "near_classes")
 
-    # each class with the smallest one that shares a whole chunk
-    keys = index_keys(classes.withColumn("comp", F.col("cid")), chunk, 0)
-    smallest = keys.groupBy("key").agg(F.min("cid").alias("center"), F.count("*").alias("size")).filter("size > 1").drop("size")
-    stars = keys.join(smallest, "key").filter("cid <> center").groupBy("cid").agg(F.min("center").alias("center"))
-    stars = staged(stars.select(F.col("cid").alias("a"), F.col("center").alias("b")), "near_stars")
+    # each class with some that share whole chunks
+    keys = index_keys(classes.withColumn("comp", F.col("cid")), chunk, 0).drop("pos")
+    stars = staged(star_pairs(staged(mixed_buckets(keys), "near_shared"), 0, FIRST_CENTERS), "near_stars")
     links = staged(confirmed(stars, classes, docs, id_col, text_col, k, percent), "near_links")
 
-    # every other pair that meets in the index and is not connected yet
+    # what meets in the index and is not connected yet: again some for each, then all
     grouped = staged(labelled(classes.select("cid", "sig", "n"), links), "near_grouped")
-    keys = index_keys(grouped, chunk, 1)
-    mixed = keys.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    members = staged(keys.join(mixed, "key"), "near_members")
-    planes = grouped.select("cid", "n", "sig").mapInArrow(_plane_rows, "cid long, n long, p array<long>")
-    met = members.join(planes, "cid")
-    one = met.select("key", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("p").alias("pa"))
-    two = met.select("key", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-    differ = [F.col("pa")[i].bitwiseXOR(F.col("pb")[i]) for i in range(2 * SYMBOL_BITS)]
-    low, high = differ[0], differ[1]
-    for b in range(1, SYMBOL_BITS):
-        low, high = low.bitwiseOR(differ[2 * b]), high.bitwiseOR(differ[2 * b + 1])
-    near = (F.bit_count(low) + F.bit_count(high)) <= limit
-    pairs = one.join(two, "key").filter((F.col("ca") < F.col("cb")) & similar_sizes(F.col("na"), F.col("nb"), percent) & near).select("a", "b").distinct()
-    pairs = staged(pairs, "near_pairs")
+    members = staged(mixed_buckets(index_keys(grouped, chunk, 1)), "near_members")
+    planes = staged(grouped.join(members.select("cid").distinct(), "cid", "left_semi").select("cid", "n", "sig").mapInArrow(_plane_rows, "cid long, n long, p array<long>"), "near_planes")
+    for seed in range(1, STAR_ROUNDS + 1):
+        stars = staged(near_pairs(star_pairs(members, seed, CENTERS), planes, limit, percent), "near_stars")
+        more = staged(confirmed(stars, classes, docs, id_col, text_col, k, percent), "near_links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        comps = labelled(classes.select("cid"), links)
+        members = staged(mixed_buckets(members.drop("comp").join(comps, "cid")), "near_members")
+    pairs = staged(index_pairs(members, planes, chunk, limit, percent), "near_pairs")
     links = links.unionByName(confirmed(pairs, classes, docs, id_col, text_col, k, percent))
 
     final = staged(labelled(classes.select("cid", "least"), links), "near_final")
     names = final.groupBy("comp").agg(F.min("least").alias("component"))
-    named = final.join(names, "comp").select(F.col("cid").alias("ccid"), "component")
+    named = final.join(names, "comp").select(F.col("cid").alias("ccid"), F.col("comp").alias("grp"), "component")
     rows = signed.select("id", "tk", "n", F.when(F.col("n") > 0, F.col("cid")).alias("ccid"))
-    return rows.join(named, "ccid", "left").select("id", "tk", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+    return rows.join(named, "ccid", "left").select("id", "tk", "n", "grp", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
 
 
 def _plane_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        symbols = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(batch.num_rows, HASHES)
-        planes = bit_planes(symbols)
+        planes = bit_planes(signature_matrix(batch.column(2)))
         yield pa.record_batch([batch.column(0), batch.column(1), list_column(pa.array(planes.reshape(-1)), np.full(batch.num_rows, planes.shape[1]))], ["cid", "n", "p"])
 
 
@@ -248,3 +329,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are ignored."""
     groups = near_duplicate_groups(docs, id_col, text_col, k, percent)
     return groups.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the row with the smallest
+    id stays, and of its exact repetitions one; wordless texts all stay. Columns are unchanged."""
+    groups = staged(near_duplicate_groups(docs, id_col, text_col, k, percent).filter("n > 0"), "near_groups")
+    stay = groups.filter(F.col("id").eqNullSafe(F.col("component"))).groupBy("grp").agg(F.min(F.struct("id", "tk")).alias("stay"))
+    rows = groups.groupBy("id", "tk").agg(F.any_value("grp").alias("grp"), F.count("*").alias("times"))
+    rated = rows.join(stay, "grp").withColumn("stays", F.struct("id", "tk").eqNullSafe(F.col("stay")))
+    rated = staged(rated.filter("not stays or times > 1").select(F.struct("id", "tk").alias("near_key"), "stays"), "near_rated")
+    key = F.struct(docs[id_col].alias("id"), text_key(docs[text_col]).alias("tk"))
+    touched, repeated = small_side(rated, 40), small_side(rated.filter("stays"), 40)
+    others = docs.join(touched, key.eqNullSafe(touched["near_key"]), "left_anti")
+    again = docs.join(repeated, key.eqNullSafe(repeated["near_key"])).dropDuplicates(["near_key"]).select(*[docs[c] for c in docs.columns])
+    return others.unionByName(again)
