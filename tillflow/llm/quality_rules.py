@@ -42,7 +42,7 @@ def normal_line(line: Column) -> Column:
 
 def word_lines(text: Column) -> Column:
     """The \\n-split lines that have a word."""
-    return F.filter(F.split(text, "\n"), lambda x: F.length(normal_line(x)) > 0)
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
 
 
 def with_metrics(docs: DataFrame, text: Column, name: str) -> DataFrame:
@@ -55,15 +55,16 @@ def with_metrics(docs: DataFrame, text: Column, name: str) -> DataFrame:
     step = docs.withColumn(name, F.struct(text.alias("text"), words_of(text).alias("words"), word_lines(text).alias("lines")))
     c = lambda field: F.col(f"{name}.{field}")
     step = step.withColumn(name, F.struct(
-        c("words"),
+        F.transform(c("words"), lambda w: F.xxhash64(w)).alias("hashes"),
         F.size(c("words")).cast("long").alias("n_words"),
         F.length(F.array_join(c("words"), "")).cast("long").alias("word_chars"),
         F.regexp_count(c("text"), F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(c("lines")) - F.size(F.array_distinct(c("lines")))).cast("long").alias("n_dup_lines"),
     ))
     counts = [c(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines")]
-    windows = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), (n - WINDOW + 1).cast("int")), lambda i: F.xxhash64(F.slice(c("words"), i, WINDOW))))
-    step = step.withColumn(name, F.struct(*counts, windows.alias("windows")))
+    from_here = F.transform(c("hashes"), lambda h, i: F.xxhash64(h, *[F.get(c("hashes"), i + j) for j in range(1, WINDOW)]))
+    step = step.withColumn(name, F.struct(*counts, F.when(n >= WINDOW, from_here).alias("windows")))
+    step = step.withColumn(name, F.struct(*counts, F.slice(c("windows"), F.lit(1), (n - WINDOW + 1).cast("int")).alias("windows")))
     repeats = F.size(F.array_distinct(c("windows"))) < F.size(c("windows"))
     ordered = F.when(repeats, F.array_sort(F.transform(c("windows"), lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
     step = step.withColumn(name, F.struct(*counts, ordered.alias("ordered")))
@@ -90,7 +91,7 @@ def removed_lines(docs: DataFrame, host: Column, text: Column, max_share: float,
     texts = docs.select(host.alias("host"), F.unhex(F.md5(text)).alias("tid"), text.alias("text"))
     copies = texts.groupBy("host", "tid").agg(F.count("*").alias("copies"))
     hosts = copies.groupBy("host").agg(F.count("*").alias("n_texts"))
-    line = F.transform(word_lines(F.col("text")), normal_line)
+    line = F.filter(F.transform(F.split("text", "\n"), normal_line), lambda x: x != "")
     lines = (
         texts.select("host", "tid", F.explode(line).alias("line"))
         .select("host", "tid", F.xxhash64("line").alias("h"), F.size(F.split("line", " ")).alias("n"))
