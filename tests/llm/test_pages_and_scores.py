@@ -167,3 +167,16 @@ def test_held_out_texts_score_better_than_the_base(docs_of):
     frame = docs_of([(i, t) for i, t in lm_docs() if i is not None])
     rows = [r for r in lm_scoring.held_out_scores(frame, gram_share=1e-3, word_share=1e-3).collect() if r.held_out]
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_rare_grams_count_in_a_large_training_part(docs_of):
+    """A phrase that occurs twice is learnt however many other tokens there are."""
+    training = [i for i in range(40) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held_out = next(i for i in range(40) if i not in training)
+    phrase = "one rare phrase of six words"
+    docs = [(training[0], phrase), (training[1], f"so {phrase} again"), (held_out, f"and {phrase}")] + [(i, "the cat sat " * 4000) for i in training[2:]]
+    scores = model([t for i, t in docs if i != held_out], gram_share=0, word_share=0)
+    got = {r.doc_id: tuple(r)[2:] for r in lm_scoring.held_out_scores(docs_of(docs)).collect()}
+    assert len(got) == len(docs) and got[held_out][2] > 3e5
+    for i, t in docs[:3]:
+        assert all(math.isclose(a, b, abs_tol=1e-6) for a, b in zip(got[i], scores(t)))

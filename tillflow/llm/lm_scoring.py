@@ -1,13 +1,13 @@
 """Language-model scoring by a weighted backoff automaton.
 
-n-grams are counted over the whole training part in Spark. Words and n-grams with at
-least a fixed share of all tokens become the automaton: states are contexts, arcs
-carry discounted log-probabilities, and each state has a failure arc with its
-backoff weight to the state of the next shorter context. As the shares of all words
-sum to one, there are at most 1 / share of them, whatever the corpus: that bounds
-what is broadcast. All other words are met at the root, where only their own count
-matters; those counts are joined in Spark. One left-to-right traversal of a text
-carries the state and adds up the log-probabilities.
+All words and n-grams of the training part are counted by shuffle; an n-gram that
+occurs MIN_COUNT times or more has an arc with its discounted log-probability, and
+each context with arcs has a failure arc with its backoff weight to the next shorter
+one. These live in a written table by the n-gram's hash, which grows with the input;
+nothing of it is broadcast. Texts are read in blocks of some megabytes: a block's
+distinct n-grams are looked up by a join, which gives the part of the automaton that
+the block can reach, and one left-to-right traversal of its texts carries the state
+and adds up the log-probabilities.
 """
 
 from __future__ import annotations
@@ -16,32 +16,45 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.text import LOWER, SPACED, list_column, staged, text_key, text_slices, word_hashes, word_spans
+from tillflow.llm.text import LOWER, SPACED, mix, staged, text_slices, utf8, word_hashes, word_spans
 
-#: A word or an n-gram with at least this share of all tokens is in the automaton.
-WORD_SHARE = 1e-6
-GRAM_SHARE = 1e-5
+#: Least share of all tokens that a word or an n-gram in the automaton has: none.
+WORD_SHARE = 0.0
+GRAM_SHARE = 0.0
+#: Least count of an n-gram (n above 1) in the automaton, whatever the input's size.
+MIN_COUNT = 2
 ORDER = 3
 #: Taken from each n-gram's count for the failure arc (n above 1).
 DISCOUNT = 0.5
 #: Tokens that one lane of the traversal goes through.
 LANE = 256
-#: Fixed value that stands for the end of a text among the words' hashes.
+#: Bytes of text in a block, one text at least.
+BLOCK_BYTES = 8 << 20
+#: Fixed values that stand for the beginning and the end of a text among the words' hashes.
+BEGIN = np.uint64(0x2B7E151628AED2A6)
 END = np.uint64(0x5EED0FE0D0F7E575)
 
 
 def token_stream(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens, an END after each text's words, and the texts' token offsets."""
+    """Hashes of all tokens, each text's words between a BEGIN and an END, and the texts' token offsets."""
     data = LOWER[data]
     starts, ends, first = word_spans(data, offs, SPACED)
     n = len(offs) - 1
-    tokens = np.full(len(starts) + n, END, np.uint64)
+    tokens = np.full(len(starts) + 2 * n, END, np.uint64)
     owner = np.repeat(np.arange(n), np.diff(first))
-    tokens[np.arange(len(starts)) + owner] = word_hashes(data, starts, ends)
-    return tokens, first + np.arange(n + 1)
+    tokens[np.arange(len(starts)) + 2 * owner + 1] = word_hashes(data, starts, ends)
+    firsts = first + 2 * np.arange(n + 1)
+    tokens[firsts[:-1]] = BEGIN
+    return tokens, firsts
+
+
+def gram_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Key of an n-gram by those of the two (n-1)-grams that it begins and ends with."""
+    return mix(context * np.uint64(0x9E6C63D0876A9A99) + suffix)
 
 
 def lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -52,130 +65,94 @@ def lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-class Counts:
-    """Frequent words and n-grams of the training part.
+class Grams:
+    """The distinct n-grams of some texts, level 1 being the words with BEGIN and END.
 
-    ``words``: sorted hashes, ``word_counts``; a text's beginning is word number
-    len(words), with ``texts`` as its count. ``grams[m]`` for m from 2: sorted keys
-    (number of the context's (m-1)-gram) * width + (number of the last word), and ``gram_counts[m]``.
+    For each level m: ``keys[m]`` sorted, ``counts[m]``, and the places of the
+    (m-1)-grams that each begins and ends with (``context[m]``, ``suffix[m]``) and of
+    its last word (``last[m]``). ``ids``: the place of each token among the words.
     """
 
-    def __init__(self, words: np.ndarray, word_counts: np.ndarray, tokens: int, types: int, singles: int, doubles: int, texts: int):
-        self.words, self.word_counts = words, word_counts
-        self.tokens, self.types, self.texts = tokens, types, texts
-        self.width = len(words) + 1
-        self.grams: dict[int, np.ndarray] = {}
-        self.gram_counts: dict[int, np.ndarray] = {}
-        #: Ney's estimate from the words that occur once and twice.
-        self.word_discount = min(0.9, singles / (singles + 2 * doubles)) if singles else 0.5
-
-    def word_score(self, counts: np.ndarray) -> np.ndarray:
-        """log10 of a word's probability at the root by its count; what the discounts
-        leave is the probability of meeting an unknown word."""
-        if not self.tokens:
-            return np.zeros(len(counts))
-        unknown = self.word_discount * self.types
-        return np.log10(np.where(counts > 0, counts - self.word_discount, unknown) / self.tokens)
-
-    def base_score(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 1.0) / (self.tokens + self.types + 1.0))
-
-    def contexts(self, ids: np.ndarray, offs: np.ndarray, level: int) -> np.ndarray:
-        """Before each token: the number of the ``level``-gram that precedes it, -1 if not frequent."""
-        before = np.full(len(ids), -1)
-        before[1:] = ids[:-1]
-        begins = offs[:-1]
-        before[begins] = len(self.words)
-        if level == 1:
-            return before
-        shorter = self.contexts(ids, offs, level - 1)
-        ended = np.where((shorter >= 0) & (ids >= 0), lookup(self.grams[level], shorter * self.width + ids), -1)
-        before[1:] = ended[:-1]
-        before[begins] = -1
-        return before
-
-    def count_level(self, tokens: np.ndarray, offs: np.ndarray, level: int, least: float) -> np.ndarray:
-        """Keys of the ``level``-grams of these texts that can reach ``least`` occurrences."""
-        ids = lookup(self.words, tokens)
-        context = self.contexts(ids, offs, level - 1)
-        frequent = np.append(self.word_counts >= least, True)
-        fit = (ids >= 0) & (context >= 0)
-        fit[fit] &= frequent[ids[fit]]
-        if level == 2:
-            fit[fit] &= frequent[context[fit]]
-        return context[fit] * self.width + ids[fit]
+    def __init__(self, tokens: np.ndarray, firsts: np.ndarray, order: int):
+        self.keys, self.counts, self.context, self.suffix, self.last = {}, {}, {}, {}, {}
+        self.keys[1], self.ids, self.counts[1] = np.unique(tokens, return_inverse=True, return_counts=True)
+        place = np.arange(len(tokens)) - np.repeat(firsts[:-1], np.diff(firsts))
+        before = self.ids
+        for m in range(2, order + 1):
+            ends = np.flatnonzero(place >= m - 1)
+            # one number for each pair of places, so that the sort is on those and not on hashes
+            pair = before[ends - 1] * len(self.keys[m - 1]) + before[ends]
+            _, at, inverse, counts = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
+            context, suffix = before[ends[at] - 1], before[ends[at]]
+            keys = gram_keys(self.keys[m - 1][context], self.keys[m - 1][suffix])
+            by = np.argsort(keys)
+            rank = np.empty(len(by), np.int64)
+            rank[by] = np.arange(len(by))
+            self.keys[m], self.counts[m] = keys[by], counts[by]
+            self.context[m], self.suffix[m], self.last[m] = context[by], suffix[by], self.ids[ends[at]][by]
+            before = np.zeros(len(tokens), np.int64)
+            before[ends] = rank[inverse]
 
 
 class Automaton:
-    """States are numbers, 0 the root. An arc's key is state * width + word."""
-
-    def __init__(self, counts: Counts, order: int):
-        self.counts, self.width, self.order = counts, counts.width, order
-        words = len(counts.words)
-        self.word_logp = counts.word_score(counts.word_counts)
-        self.backoff, self.fail = np.zeros(1), np.zeros(1, np.int64)
-        self.arcs, self.arc_logp, self.arc_next = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
-        self.word_next = np.zeros(words, np.int64)
-        # for each n-gram of a level: the state of its longest suffix that has arcs; the next shorter n-gram
-        state = [np.zeros(words + 1, np.int64)]
-        shorter = [np.zeros(words + 1, np.int64)]
-        occurs = np.append(counts.word_counts, counts.texts)
-        level_arcs: list[tuple[np.ndarray, np.ndarray]] = []
+    """The part of the automaton that some texts can reach. States are numbers, 0 the
+    root. An arc's key is state * width + word.
+
+    ``found``: sorted keys of the model's rows for these texts, their log10
+    probabilities and backoff weights (NaN for an n-gram without arcs).
+    """
+
+    def __init__(self, grams: Grams, order: int, found: np.ndarray, logp: np.ndarray, backoff: np.ndarray, unknown: float):
+        self.order, self.width = order, len(grams.keys[1])
+        at = {m: lookup(found, grams.keys[m]) for m in range(1, order + 1)}
+        pick = lambda values, m, absent: np.where(at[m] >= 0, values[at[m]], absent) if len(found) else np.full(len(at[m]), absent)
+        self.word_logp = pick(logp, 1, unknown)
+        weights, fails = [np.zeros(1)], [np.zeros(1, np.int64)]
+        own: dict[int, np.ndarray] = {}  # the n-gram's own state, -1 if it has no arcs
+        longest: dict[int, np.ndarray] = {}  # the state of its longest suffix that has arcs, itself included
+        states = 1
+        for m in range(1, order + 1):
+            below = longest[m - 1][grams.suffix[m]] if m > 1 else np.zeros(self.width, np.int64)
+            weight = pick(backoff, m, np.nan)
+            has = ~np.isnan(weight) if m < order else np.zeros(len(weight), bool)
+            own[m] = np.where(has, states + np.cumsum(has) - 1, -1)
+            states += int(has.sum())
+            weights.append(weight[has])
+            fails.append(below[has])
+            longest[m] = np.where(has, own[m], below)
+        self.backoff, self.fail = np.concatenate(weights), np.concatenate(fails)
+        keys, probs, following = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]
         for m in range(2, order + 1):
-            keys, n = counts.grams[m], counts.gram_counts[m]
-            context, word = keys // self.width, keys % self.width
-            inner = np.unique(context)  # contexts of this level that have arcs become states
-            new = len(self.backoff) + np.arange(len(inner))
-            below = state[-1][inner]
-            p = (n - DISCOUNT) / occurs[context]
-            owner = np.searchsorted(inner, context)
-            low = 10 ** self.step(below[owner], word)[0]
-            left = np.maximum(1 - np.bincount(owner, p, len(inner)), 1e-9)
-            free = np.maximum(1 - np.bincount(owner, low, len(inner)), 1e-9)
-            self.backoff = np.append(self.backoff, np.log10(left / free))
-            self.fail = np.append(self.fail, below)
-            state[-1] = state[-1].copy()
-            state[-1][inner] = new
-            level_arcs.append((new[owner] * self.width + word, np.log10(p)))
-            # the n-gram's next shorter one: the context's shorter context and the same word
-            suffix = lookup(counts.grams[m - 1], shorter[-1][context] * self.width + word) if m > 2 else word
-            shorter.append(suffix)
-            state.append(np.where(suffix >= 0, state[-1][suffix], 0))
-            occurs = n
-            self._set_arcs(level_arcs, state)
-        self.word_next = state[0][:words]
-        self.begin = int(state[0][words])
-
-    def _set_arcs(self, level_arcs: list, state: list[np.ndarray]) -> None:
-        keys = np.concatenate([k for k, _ in level_arcs])
-        order = np.argsort(keys)
-        self.arcs = keys[order]
-        self.arc_logp = np.concatenate([p for _, p in level_arcs])[order]
-        self.arc_next = np.concatenate([state[i + 1] for i in range(len(level_arcs))])[order]
+            arc = at[m] >= 0
+            keys.append(own[m - 1][grams.context[m][arc]] * self.width + grams.last[m][arc])
+            probs.append(logp[at[m][arc]])
+            following.append(longest[m][arc])
+        arcs = np.concatenate(keys)
+        by = np.argsort(arcs)
+        self.arcs, self.arc_logp, self.arc_next = arcs[by], np.concatenate(probs)[by], np.concatenate(following)[by]
+        self.word_next = longest[1]
 
     def step(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One token for each lane: log10 probabilities and next states. A word that is
-        not in the automaton (-1) adds only the failure arcs down to the root."""
+        """One token for each lane: log10 probabilities and next states."""
         logp, following = np.zeros(len(states)), np.zeros(len(states), np.int64)
         at = states.copy()
         open_ = np.arange(len(states))
         while len(open_):
             here, word = at[open_], words[open_]
-            arc = np.where(word >= 0, lookup(self.arcs, here * self.width + word), -1)
+            arc = lookup(self.arcs, here * self.width + word)
             hit = arc >= 0
             logp[open_[hit]] += self.arc_logp[arc[hit]]
             following[open_[hit]] = self.arc_next[arc[hit]]
             root = ~hit & (here == 0)
-            known = root & (word >= 0)
-            logp[open_[known]] += self.word_logp[word[known]]
-            following[open_[known]] = self.word_next[word[known]]
+            logp[open_[root]] += self.word_logp[word[root]]
+            following[open_[root]] = self.word_next[word[root]]
             open_ = open_[~hit & ~root]
             logp[open_] += self.backoff[at[open_]]
             at[open_] = self.fail[at[open_]]
         return logp, following
 
-    def traverse(self, ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        """log10 probability of each token, read left to right.
+    def traverse(self, ids: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """log10 probability of each token, read left to right; 0 for each text's BEGIN.
 
         The tokens are dealt to lanes that run side by side; a state depends on no more
         than the last order - 1 tokens of its text, so a lane that starts inside a
@@ -187,8 +164,8 @@ class Automaton:
         lane = np.arange(0, len(ids), LANE)
         end = np.minimum(lane + LANE, len(ids))
         begins = np.zeros(len(ids), bool)
-        begins[offs[:-1]] = True
-        text_begin = offs[:-1][np.searchsorted(offs[:-1], lane, "right") - 1]
+        begins[firsts[:-1]] = True
+        text_begin = firsts[:-1][np.searchsorted(firsts[:-1], lane, "right") - 1]
         at = np.maximum(lane - (self.order - 1), text_begin)
         states = np.zeros(len(lane), np.int64)
         while True:
@@ -196,9 +173,8 @@ class Automaton:
             if not len(going):
                 return out
             here = at[going]
-            now = np.where(begins[here], self.begin, states[going])
-            logp, states[going] = self.step(now, ids[here])
-            counted = here >= lane[going]
+            logp, states[going] = self.step(np.where(begins[here], 0, states[going]), ids[here])
+            counted = (here >= lane[going]) & ~begins[here]
             out[here[counted]] = logp[counted]
             at[going] += 1
 
@@ -207,39 +183,89 @@ def is_training(id_col: Column, folds: int = 7, held_out: int = 2) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))), F.lit(folds)) != held_out
 
 
-def _count_rows(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
-    """Distinct keys of the training texts of each batch with their counts; the text is column 0."""
+def signed(keys: np.ndarray) -> pa.Array:
+    return pa.array(keys.view(np.int64))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (.., text) with the number of their block, in runs of about BLOCK_BYTES."""
+    number, filled = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        _, offs = utf8(batch.column(batch.num_columns - 1))
+        blocks = np.empty(batch.num_rows, np.int64)
+        for i, size in enumerate(np.diff(offs).tolist()):
+            if filled and filled + size > BLOCK_BYTES:
+                number, filled = number + 1, 0
+            blocks[i] = number
+            filled += size + 1
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks)], [*batch.schema.names, "block"])
+
+
+def _gram_rows(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+    """(m, context, suffix, n) for the distinct n-grams of each slice of texts; a word is a suffix without context."""
     for batch in batches:
-        parts = [keys_of(*token_stream(data, offs)) for _, _, data, offs in text_slices(batch.column(0))]
-        keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-        yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
-
-
-def collected(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The bounded table (key, n) as arrays, sorted by key read as unsigned."""
-    got = rows.select("key", "n").toArrow()
-    keys = got["key"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], got["n"].to_numpy().astype(np.int64)[order]
-
-
-def learn(training: DataFrame, order: int, word_share: float, gram_share: float) -> tuple[Counts, DataFrame]:
-    """Counts for the automaton, and the staged table (key, n) of all words, of a table (text)."""
-    grouped = lambda rows: rows.groupBy("key").agg(F.sum("n").alias("n"))
-    words = staged(grouped(training.mapInArrow(lambda b: _count_rows(b, lambda tokens, offs: tokens), "key long, n long")), "lm_words")
-    ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
-    end = F.sum(F.when(F.col("key") == int(END.view(np.int64)), F.col("n")))
-    total, types, singles, doubles, texts = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), ones, twos, F.coalesce(end, F.lit(0))).first()
-    # at most 1 / share rows come to the driver, by the shares' sum
-    counts = Counts(*collected(words.filter(F.col("n") >= max(1.0, word_share * total))), total, types, singles, doubles, texts)
-    least = max(2.0, gram_share * total)
-    for level in range(2, order + 1):
-        held = training.sparkSession.sparkContext.broadcast(counts)
-        keys_of = lambda tokens, offs, held=held, level=level: held.value.count_level(tokens, offs, level, least)
-        rows = grouped(training.mapInArrow(lambda b, f=keys_of: _count_rows(b, f), "key long, n long")).filter(F.col("n") >= least)
-        keys, counts.gram_counts[level] = collected(rows)
-        counts.grams[level] = keys.view(np.int64)
-    return counts, words
+        for _, _, data, offs in text_slices(batch.column(0), BLOCK_BYTES):
+            grams = Grams(*token_stream(data, offs), order)
+            for m in range(1, order + 1):
+                words = grams.keys[1] if m == 1 else grams.keys[m - 1][grams.suffix[m]]
+                before = np.zeros(len(words), np.uint64) if m == 1 else grams.keys[m - 1][grams.context[m]]
+                yield pa.record_batch([pa.array(np.full(len(words), m, np.int32)), signed(before), signed(words), pa.array(grams.counts[m])], ["m", "context", "suffix", "n"])
+
+
+def _wanted_rows(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+    """(block, key) for the distinct n-grams of each block's texts (block, text) in a batch."""
+    for batch in batches:
+        blocks = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+        for a, b in zip(cuts, cuts[1:]):
+            for _, _, data, offs in text_slices(batch.column(1).slice(a, b - a), 2 * BLOCK_BYTES):
+                for keys in Grams(*token_stream(data, offs), order).keys.values():
+                    yield pa.record_batch([pa.array(np.full(len(keys), blocks[a])), signed(keys)], ["block", "key"])
+
+
+def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        level, context, suffix, _ = (c.to_numpy() for c in batch.columns)
+        keys = np.where(level == 1, suffix.view(np.uint64), gram_keys(context.view(np.uint64), suffix.view(np.uint64)))
+        yield pa.RecordBatch.from_arrays([*batch.columns, signed(keys)], [*batch.schema.names, "key"])
+
+
+class Model:
+    """``rows``: the staged table (key, n, logp, backoff), n being a word's count."""
+
+    def __init__(self, training: DataFrame, order: int, word_share: float, gram_share: float):
+        n = F.col("n")
+        grams = training.mapInArrow(lambda b: _gram_rows(b, order), "m int, context long, suffix long, n long")
+        grams = grams.groupBy("m", "context", "suffix").agg(F.sum("n").alias("n")).filter((F.col("m") == 1) | (n >= MIN_COUNT))
+        grams = staged(grams.mapInArrow(_with_keys, "m int, context long, suffix long, n long, key long"), "lm_grams")
+        begin = F.col("key") == int(BEGIN.view(np.int64))
+        words = grams.filter("m = 1")
+        ones, twos = F.count_if(n == 1), F.count_if(n == 2)
+        self.tokens, self.types, singles, doubles = words.filter(~begin).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), ones, twos).first()
+        #: Ney's estimate from the words that occur once and twice.
+        discount = min(0.9, singles / (singles + 2 * doubles)) if singles else 0.5
+        #: log10 of what the discounts leave, the probability of meeting an unknown word.
+        self.unknown = float(np.log10(discount * self.types / self.tokens)) if self.tokens else 0.0
+        least = max(float(MIN_COUNT), gram_share * self.tokens)
+        least_word = max(least, word_share * self.tokens)
+        chance = F.when(begin, 0.0).otherwise((n - discount) / F.lit(float(max(self.tokens, 1))))
+        words = words.select("key", "n", chance.alias("p"))
+        level = words.filter((n >= least_word) | begin)
+        chances, weights = [words.select("key", "n", F.when(begin, 0.0).otherwise(F.log10("p")).alias("logp"))], []
+        for m in range(2, order + 1):
+            context = level.select(F.col("key").alias("context"), F.col("n").alias("occurs"))
+            suffix = level.filter(~begin).select(F.col("key").alias("suffix"), F.col("p").alias("low"))
+            level = grams.filter((F.col("m") == m) & (n >= least)).join(context, "context").join(suffix, "suffix")
+            level = staged(level.select("key", "context", "n", "low", ((n - DISCOUNT) / F.col("occurs")).alias("p")), "lm_arcs")
+            rest = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-9))
+            weights.append(level.groupBy(F.col("context").alias("key")).agg(F.log10(rest("p") / rest("low")).alias("backoff")))
+            chances.append(level.select("key", F.lit(None).cast("long").alias("n"), F.log10("p").alias("logp")))
+        both = chances[0]
+        for more in chances[1:]:
+            both = both.unionAll(more)
+        for i, more in enumerate(weights):
+            weights[0] = weights[0].unionAll(more) if i else more
+        self.rows = staged(both.join(weights[0], "key", "left") if weights else both.withColumn("backoff", F.lit(None).cast("double")), "lm_model")
 
 
 def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE) -> DataFrame:
@@ -250,61 +276,40 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
     Words are split by ASCII white space, A-Z lower-cased; each text ends with one end
     token, so a null or empty text is one token. Without training rows the scores are
     0. Repeated rows count and are scored each, a null id stays null, an empty table
-    gives an empty result, other columns are ignored.
+    gives an empty result, other columns are ignored. ``word_share`` and ``gram_share``,
+    if given, leave rarer words and n-grams out of the automaton.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    counts, words = learn(docs.filter(training).select(text.alias("text")), order, word_share, gram_share)
-    model = docs.sparkSession.sparkContext.broadcast(Automaton(counts, order))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = model.value
-        known = auto.counts
-        word_base = known.base_score(known.word_counts)
-        for batch in batches:
-            for lo, hi, data, offs in text_slices(batch.column(2)):
-                tokens, firsts = token_stream(data, offs)
-                ids = lookup(known.words, tokens)
-                inside = ids >= 0
-                logp = auto.traverse(ids, firsts)
-                base = np.where(inside, word_base[ids] if len(word_base) else 0.0, 0.0)
-                # the other words of each text, with the number of their occurrences
-                owner = np.repeat(np.arange(hi - lo), np.diff(firsts))[~inside]
-                rest = tokens[~inside]
-                by = np.lexsort((rest, owner))
-                owner, rest = owner[by], rest[by]
-                new = np.ones(len(rest), bool)
-                new[1:] = (rest[1:] != rest[:-1]) | (owner[1:] != owner[:-1])
-                at = np.flatnonzero(new)
-                times = np.diff(np.append(at, len(rest)))
-                others = pa.StructArray.from_arrays([pa.array(rest[at].view(np.int64)), pa.array(times)], ["key", "times"])
-                sums = lambda x: np.add.reduceat(x, firsts[:-1])
-                yield pa.record_batch(
-                    [
-                        batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(np.diff(firsts)),
-                        pa.array(sums(inside.astype(np.int64))), pa.array(sums(base)), pa.array(sums(logp)),
-                        list_column(others, np.bincount(owner[at], minlength=hi - lo)),
-                    ],
-                    ["id", "rk", "n_tokens", "n_inside", "base", "logp", "others"],
-                )
-
     kind = docs.schema[id_col].dataType.simpleString()
-    # rk stands for a row in the join below; equal rows have equal scores
-    keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text_key(F.col(text_col))).alias("rk"), text.alias("text"))
-    schema = f"id {kind}, rk long, n_tokens long, n_inside long, base double, logp double, others array<struct<key:long,times:long>>"
-    rows = staged(keyed.mapInArrow(run, schema), "lm_rows")
-    n = F.coalesce(F.col("n"), F.lit(0))
-    others = rows.select("rk", F.inline("others")).join(words, "key", "left")
-    base = F.log10((n + 1.0) / (counts.tokens + counts.types + 1.0))
-    unknown = counts.word_discount * counts.types
-    logp = F.log10(F.when(n > 0, n - counts.word_discount).otherwise(unknown) / counts.tokens) if counts.tokens else F.lit(0.0)
-    times = F.col("times")
-    sums = others.groupBy("rk").agg(F.sum(F.when(n > 0, times).otherwise(0)).alias("n_other"), F.sum(base * times).alias("base_other"), F.sum(logp * times).alias("logp_other"))
-    copies = rows.groupBy("rk").agg(F.count("*").alias("copies"))
-    zero = lambda c: F.coalesce(F.col(c) / F.col("copies"), F.lit(0.0))
-    return rows.drop("others").join(sums.join(copies, "rk"), "rk", "left").select(
-        F.col("id").alias(id_col), "n_tokens", (F.col("n_inside") + zero("n_other").cast("long")).alias("n_known"),
-        F.lit(counts.tokens).cast("long").alias("train_tokens"), (F.col("base") + zero("base_other")).alias("base_score"), (F.col("logp") + zero("logp_other")).alias("score"),
-    )
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(training, F.lit(False)).alias("training"), text.alias("text"))
+    rows = staged(rows.mapInArrow(_blocks, f"id {kind}, training boolean, text string, block long"), "lm_blocks")
+    model = Model(rows.filter("training").select("text"), order, word_share, gram_share)
+    wanted = rows.select("block", "text").mapInArrow(lambda b: _wanted_rows(b, order), "block long, key long")
+    found = wanted.join(model.rows, "key")
+    tokens, types, unknown = model.tokens, model.types, model.unknown
+
+    def run(texts: pa.Table, part: pa.Table) -> pa.Table:
+        keys, first = np.unique(part["key"].to_numpy().view(np.uint64), return_index=True)
+        columns = {c: part[c].to_numpy()[first].astype(float) for c in ("n", "logp", "backoff")}
+        data, offs = utf8(texts["text"])
+        data, offs = data[offs[0] : offs[-1]], offs - offs[0]
+        stream, firsts = token_stream(data, offs)
+        grams = Grams(stream, firsts, order)
+        auto = Automaton(grams, order, keys, columns["logp"], columns["backoff"], unknown)
+        at = lookup(keys, grams.keys[1])
+        counts = np.where(at >= 0, columns["n"][at], 0.0) if len(keys) else np.zeros(len(at))
+        base = np.log10((counts + 1.0) / (tokens + types + 1.0))
+        words = np.ones(len(stream), bool)
+        words[firsts[:-1]] = False
+        sums = lambda x: pa.array(np.add.reduceat(np.where(words, x, 0), firsts[:-1]))
+        known = sums((counts > 0)[grams.ids].astype(np.int64))
+        total = pa.array(np.full(len(offs) - 1, tokens, np.int64))
+        out = [texts["id"], pa.array(np.diff(firsts) - 1), known, total, sums(base[grams.ids]), sums(auto.traverse(grams.ids, firsts))]
+        return pa.table(out, names)
+
+    names = [id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    schema = f"`{id_col}` {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return rows.select("id", "text", "block").groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
 
 
 def held_out_scores(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
