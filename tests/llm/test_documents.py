@@ -216,6 +216,24 @@ def test_quality_rules(docs_of):
     assert ordered((r.doc_id, r.text) for r in texts.collect()) == ordered((w[0], left if w[7] else t) for (w, left), (_, t, _) in zip(want, docs) if w[8])
 
 
+def test_near_copies_keep_their_lines(docs_of):
+    """A large group of near copies stays, whole; a line of otherwise different texts still goes."""
+    rng = random.Random(12)
+    footer = "all rights reserved by the owner of this site"
+    docs = [(i, "\n".join([prose(rng, 12, 10**6) for _ in range(4)] + [footer]), "one") for i in range(60)]
+    base = [prose(rng, 12, 10**6) for _ in range(10)]
+    for i in range(60):
+        lines = list(base)
+        lines[rng.randrange(10)] = prose(rng, 12, 10**6)
+        docs.append((100 + i, "\n".join(lines), "one"))
+    docs.append((200, footer + "\n" + footer + " " + "\n" + footer, "one"))
+    frame = docs_of(docs, "doc_id long, text string, source string")
+    got = {r.doc_id: (r.n_removed_words, r.kept) for r in quality_rules.quality_rules(frame).collect()}
+    assert got == {i: (0, True) if 100 <= i < 200 else (27, False) if i == 200 else (9, True) for i, _, _ in docs}
+    texts = {r.doc_id: r.text for r in quality_rules.kept_texts(frame).collect()}
+    assert texts == {i: t if i >= 100 else t.removesuffix("\n" + footer) for i, t, _ in docs if i != 200}
+
+
 def test_quality_rules_of_an_empty_table(docs_of):
     assert quality_rules.quality_rules(docs_of([], "doc_id long, text string, source string")).collect() == []
 

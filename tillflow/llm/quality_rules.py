@@ -4,7 +4,8 @@ Each line is normalised (A-Z lower-cased, white space runs to one space, trimmed
 and hashed; per host the distinct texts that hold it are counted. Lines above the
 host's limit are removed, and a text that loses too large a share of its words is
 rejected, as is one that fails the base rules. A text's copies on a host count
-once, so copies don't turn their own lines into boilerplate.
+once, and near copies that share nearly all their lines about once, so neither turn
+their own lines into boilerplate.
 """
 
 from __future__ import annotations
@@ -81,32 +82,46 @@ def with_metrics(docs: DataFrame, text: Column, name: str) -> DataFrame:
     return step.withColumn(name, F.struct(*counts, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words")))
 
 
-def removed_lines(docs: DataFrame, host: Column, text: Column, max_share: float, min_docs: int) -> DataFrame:
+def removed_lines(docs: DataFrame, host: Column, text: Column, max_share: float, min_docs: int, min_left: float) -> DataFrame:
     """For each (host, text) with lines above the limit: their hashes and the words they take.
 
     A line is above the limit if more than ``min_docs`` and more than ``max_share``
-    of the host's distinct texts hold it. Counting is by partial sums, so a host or
-    a line with a third of all rows is combined before it is shuffled.
+    of the host's distinct texts hold it. Texts that such lines would leave with less
+    than the share ``min_left`` of their words may be near copies of each other: they
+    are counted again as one text for each smallest hash of their lines above the
+    limit, so a line goes only if it recurs in otherwise different texts. Counting is
+    by partial sums, so a host or a line with a third of all rows is combined before
+    it is shuffled.
     """
     texts = docs.select(host.alias("host"), F.unhex(F.md5(text)).alias("tid"), text.alias("text"))
     copies = texts.groupBy("host", "tid").agg(F.count("*").alias("copies"))
     hosts = copies.groupBy("host").agg(F.count("*").alias("n_texts"))
     line = F.filter(F.transform(F.split("text", "\n"), normal_line), lambda x: x != "")
+    counted_line = lambda x: F.struct(F.xxhash64(x).alias("h"), F.size(F.split(x, " ")).cast("long").alias("n"))
+    rows = texts.select("host", "tid", F.transform(line, counted_line).alias("lines"))
+    words = F.aggregate("lines", F.lit(0).cast("long"), lambda total, x: total + x["n"])
     lines = (
-        texts.select("host", "tid", F.explode(line).alias("line"))
-        .select("host", "tid", F.xxhash64("line").alias("h"), F.size(F.split("line", " ")).alias("n"))
-        .groupBy("host", "tid", "h").agg(F.sum("n").alias("n"))
+        rows.select("host", "tid", words.alias("words"), F.inline("lines"))
+        .groupBy("host", "tid", "h").agg(F.sum("n").alias("n"), F.any_value("words").alias("words"))
     )
-    counted = lines.groupBy("host", "h").agg(F.count("*").alias("n_docs"))
-    above = (
-        counted.filter(F.col("n_docs") > min_docs).join(hosts, "host")
-        .filter(F.col("n_docs") > F.col("n_texts") * max_share).select("host", "h")
+
+    def above(counted: DataFrame) -> DataFrame:
+        counted = counted.filter(F.col("n_docs") > min_docs).join(hosts, "host")
+        return counted.filter(F.col("n_docs") > F.col("n_texts") * max_share).select("host", "h")
+
+    hits = (
+        lines.join(above(lines.groupBy("host", "h").agg(F.count("*").alias("n_docs"))), ["host", "h"])
+        .groupBy("host", "tid").agg(F.collect_list(F.struct("h", "n")).alias("lines"), F.sum("n").alias("n"), F.any_value("words").alias("words"))
+        .join(copies, ["host", "tid"])
     )
+    left = F.col("words") - F.col("n") / F.col("copies")
+    smallest = F.unhex(F.hex(F.array_min("lines.h")))
+    hits = staged(hits.select("host", "tid", "lines", "copies", F.when(left < F.col("words") * min_left, smallest).otherwise(F.col("tid")).alias("context")), "quality_hits")
+    contexts = hits.select("host", "context", F.explode("lines.h").alias("h")).distinct()
+    sure = small_side(staged(above(contexts.groupBy("host", "h").agg(F.count("*").alias("n_docs"))), "quality_lines"), 64)
     return (
-        lines.join(above, ["host", "h"]).groupBy("host", "tid")
-        .agg(F.collect_set("h").alias("hashes"), F.sum("n").alias("n"))
-        .join(copies, ["host", "tid"])
-        .select("host", "tid", "hashes", (F.col("n") / F.col("copies")).cast("long").alias("n_removed_words"))
+        hits.select("host", "tid", "copies", F.inline("lines")).join(sure, ["host", "h"]).groupBy("host", "tid")
+        .agg(F.collect_set("h").alias("hashes"), (F.sum("n") / F.any_value("copies")).cast("long").alias("n_removed_words"))
     )
 
 
@@ -122,7 +137,7 @@ def assess(docs: DataFrame, text_col: str = "text", host_col: str = "source", ma
     """
     name = free_name(docs, "quality")
     text, host = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(host_col).cast("string"), F.lit(""))
-    removed = removed_lines(docs, host, text, max_share, min_docs).select(F.struct("host", "tid").alias("key"), F.struct("hashes", "n_removed_words").alias("removed"))
+    removed = removed_lines(docs, host, text, max_share, min_docs, min_left).select(F.struct("host", "tid").alias("key"), F.struct("hashes", "n_removed_words").alias("removed"))
     removed = removed.withColumnsRenamed({"key": f"{name}_key", "removed": f"{name}_removed"})
     own = docs.withColumn(f"{name}_key", F.struct(host.alias("host"), F.unhex(F.md5(text)).alias("tid")))
     joined = with_metrics(own, text, name).join(removed, f"{name}_key", "left")
