@@ -101,6 +101,28 @@ def test_site_template_goes(spark):
     assert html_extraction.extract_main_text(frame.limit(0)).collect() == []
 
 
+def test_copies_of_an_article_stay(spark):
+    """Pages with the same article, or nearly the same, don't make it the site's template."""
+    rng = random.Random(4)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    base = [words(12) for _ in range(8)]
+    promo = "Read all our other news every day"
+    texts = {}
+    for i in range(30):
+        texts["copies.example", i] = base
+        texts["near.example", i] = [words(12) if j == i % 8 else x for j, x in enumerate(base)]
+        texts["bare.example", i] = base
+        texts["mixed.example", i] = [words(12) for _ in range(4)] if i % 3 else base
+    around = {"copies.example": "article", "near.example": "article", "bare.example": "section", "mixed.example": "main"}
+    rows = []
+    for (host, i), blocks in texts.items():
+        inner = "".join(f"<p>{x}</p>" for x in blocks) + (f"<div><p>{promo}</p></div>" if host == "mixed.example" else "")
+        page = f"<body><script>track({i})</script><div><div class=ad>buy {words(2)}</div><{around[host]}>{inner}</{around[host]}></div></body>"
+        rows.append((len(rows), f"http://{host}/{i}", page))
+    got = {r.page_id: r.text for r in html_extraction.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {n: "\n\n".join(blocks) for n, blocks in enumerate(texts.values())}
+
+
 # --- language model
 
 

@@ -1,10 +1,10 @@
 """Main text of web pages by site template removal.
 
 A page is read into its element tree; every element's subtree has a hash of its tags
-and texts. Spark counts, per host, the distinct pages that hold each subtree, and
-subtrees that recur on many pages of the host are its template: they are deleted,
-together with elements that by tag, role or class are no part of an article. The
-main text is what is left of the article (or main) elements, else of the body.
+and texts. The article are the article (or main) elements, else the body, without elements
+that by tag, role or class are no part of it. Spark counts, per host, the otherwise
+different articles that hold each subtree, and subtrees that recur in many of them
+are the host's template. The main text is the article without its template.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.text import list_column, small_side, staged
 
-#: A subtree is template if more than this many distinct pages of the host, and more
-#: than this share of them, hold it; within the article the second share holds.
+#: A subtree is template if more than this many distinct articles of the host, and more
+#: than this share of them, hold it; within article or main elements the second share holds.
 MIN_PAGES = 5
 SHARE = 0.3
 ARTICLE_SHARE = 0.6
+#: Articles of whose text less than this share is left are taken for copies of each other.
+MIN_LEFT = 0.3
 
 #: HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -172,17 +174,31 @@ def outside_article(e: Element) -> bool:
     return not words.isdisjoint(NO_TEXT_NAMES) or not e.inside_main and not words.isdisjoint(OUTSIDE_NAMES)
 
 
-def main_text(page: Page, template: set[int]) -> str:
-    """The page's article without ``template`` subtrees, its blocks joined by two line feeds."""
-    dropped: list[bool] = []
-    kept_root: list[bool] = []
+def content(page: Page) -> tuple[list[bool], list[bool], list[bool]]:
+    """For each element: whether it is no part of an article, whether it is in the
+    page's article, and whether it may be template there, as the article itself can't."""
+    gone: list[bool] = []
+    inside: list[bool] = []
+    part: list[bool] = []
     for e in page.elements:
-        gone = e.parent >= 0 and dropped[e.parent] or outside_article(e) or e.hash in template and e.tag not in ("html", "body")
-        dropped.append(gone)
-    roots = {e.tag for e, gone in zip(page.elements, dropped) if not gone}
+        gone.append(e.parent >= 0 and gone[e.parent] or outside_article(e))
+    roots = {e.tag for e, out in zip(page.elements, gone) if not out}
     wanted = "article" if "article" in roots else "main" if "main" in roots else None
-    for e in page.elements:
-        kept_root.append(e.parent >= 0 and kept_root[e.parent] or wanted is None or e.tag == wanted)
+    for e, out in zip(page.elements, gone):
+        inner = e.parent >= 0 and inside[e.parent]
+        inside.append(inner or wanted is None or e.tag == wanted)
+        part.append(not out and (e.tag not in ("html", "body") if wanted is None else inner))
+    return gone, inside, part
+
+
+def main_text(page: Page, template: set[int]) -> str:
+    """The page's article without ``template`` subtrees, its blocks joined by two line
+    feeds. An article that would be left empty keeps them."""
+    gone, kept_root, part = content(page)
+    wanted = not all(kept_root)
+    dropped: list[bool] = []
+    for e, out, can in zip(page.elements, gone, part):
+        dropped.append(out or e.parent >= 0 and dropped[e.parent] or can and e.hash in template)
     blocks: list[str] = []
     line: list[str] = []
 
@@ -195,7 +211,7 @@ def main_text(page: Page, template: set[int]) -> str:
     stack: list[int] = []
     for event in page.events:
         if isinstance(event, str):
-            if (not stack and wanted is None) or stack and kept_root[stack[-1]] and not dropped[stack[-1]]:
+            if (not stack and not wanted) or stack and kept_root[stack[-1]] and not dropped[stack[-1]]:
                 line.append(references.unescape(event))
             continue
         i = event if event >= 0 else ~event
@@ -208,43 +224,104 @@ def main_text(page: Page, template: set[int]) -> str:
         else:
             stack.pop()
     flush()
-    return "\n\n".join(blocks)
+    return "\n\n".join(blocks) if blocks or not template else main_text(page, set())
 
 
 def host_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit(""))
 
 
-def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, digest, subtrees): each page's distinct subtrees that hold a text, and whether inside the article."""
+def article_trees(page: Page) -> tuple[int, int, list[tuple[int, bool, int, int, int]]]:
+    """The article's digest and size, and its subtrees that may be template: (hash,
+    within article or main elements, digest of the article without them, size, place
+    of the enclosing one or -1). A subtree that is the whole article is none of them.
+    A digest is the sum of its texts' hashes."""
+    gone, inside, part = content(page)
+    n = len(page.elements)
+    digests, sizes = [0] * n, [0] * n
+    total = size = 0
+    for i in range(n - 1, -1, -1):
+        e = page.elements[i]
+        if inside[i] and not gone[i]:
+            for text in e.parts:
+                if text[:1] != b"\2":
+                    digests[i] += xxhash.xxh3_64_intdigest(text)
+                    sizes[i] += len(text)
+            if e.parent >= 0 and inside[e.parent]:
+                digests[e.parent] += digests[i]
+                sizes[e.parent] += sizes[i]
+            else:
+                total, size = total + digests[i], size + sizes[i]
+    same: Counter[int] = Counter()
+    for i, e in enumerate(page.elements):
+        if part[i]:
+            same[e.hash] += digests[i]
+    place: dict[int, int] = {}
+    trees = []
+    for i, e in enumerate(page.elements):
+        if part[i] and 0 < sizes[i] < size:
+            place[i] = len(trees)
+            trees.append((e.hash, e.inside_main or e.tag in ("article", "main"), total - same[e.hash] & (1 << 64) - 1, sizes[i], place.get(e.parent, -1)))
+    return total & (1 << 64) - 1, size, trees
+
+
+def signed(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+def _article_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, article, size, trees) of (host, html): see ``article_trees``."""
+    for batch in batches:
+        pages = [article_trees(parse(source.as_py())) for source in batch.column(1)]
+        hashes, inside, rests, sizes, places = zip(*[t for _, _, trees in pages for t in trees]) if any(t for _, _, t in pages) else ([],) * 5
+        trees = pa.StructArray.from_arrays([signed(hashes), pa.array(inside, pa.bool_()), signed(rests), pa.array(sizes, pa.int32()), pa.array(places, pa.int32())], ["h", "inside", "rest", "size", "place"])
+        article, size = signed([a for a, _, _ in pages]), pa.array([n for _, n, _ in pages], pa.int64())
+        yield pa.record_batch([batch.column(0), article, size, list_column(trees, np.array([len(t) for _, _, t in pages], np.int64))], ["host", "article", "size", "trees"])
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, h, inside, rest) of (host, size, trees, template): for the article's subtrees in
+    ``template``, the digest of the rest, or if little is left their smallest hash."""
     for batch in batches:
-        values, inside, counts = [], [], []
-        for source in batch.column(2):
-            seen = {}
-            for e in parse(source.as_py()).elements:
-                if e.parts and e.tag not in ("html", "body", "head"):
-                    seen[e.hash] = e.inside_main or e.tag in ("article", "main")
-            values.extend(seen)
-            inside.extend(seen.values())
-            counts.append(len(seen))
-        trees = pa.StructArray.from_arrays([pa.array(np.array(values, np.uint64).view(np.int64)), pa.array(inside, pa.bool_())], ["h", "inside"])
-        yield pa.record_batch([batch.column(0), batch.column(1), list_column(trees, np.array(counts, np.int64))], ["host", "digest", "trees"])
+        out = []
+        for host, size, trees, template in zip(*(c.to_pylist() for c in batch.columns)):
+            template = set(template)
+            covered: list[bool] = []
+            lost = 0
+            for t in trees:
+                above = t["place"] >= 0 and covered[t["place"]]
+                lost += t["size"] if t["h"] in template and not above else 0
+                covered.append(above or t["h"] in template)
+            found = [t for t in trees if t["h"] in template]
+            alone = min((t["h"] for t in found), default=0) if size - lost < MIN_LEFT * size else None
+            out.extend((host, t["h"], t["inside"], t["rest"] if alone is None else alone) for t in found)
+        columns = zip(*out) if out else ([],) * 4
+        kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64()]
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "h", "inside", "rest"])
 
 
 def site_templates(pages: DataFrame, min_pages: int, share: float, article_share: float) -> DataFrame:
     """(host, template: hashes) of a table (host, html). A host has at most as many as
-    its pages have subtrees on average, divided by the share. Counting is by partial
-    sums over distinct pages, so a host with a third of all pages is combined first."""
-    texts = pages.select("host", F.md5("html").alias("digest"), "html").filter("length(html) > 0")
-    trees = texts.mapInArrow(_subtree_rows, "host string, digest string, trees array<struct<h:long,inside:boolean>>")
-    seen = trees.select("host", "digest", F.inline("trees"))
-    counted = seen.groupBy("host", "h").agg(F.countDistinct("digest").alias("n"), F.max("inside").alias("inside"))
-    hosts = texts.groupBy("host").agg(F.countDistinct("digest").alias("pages"))
+    its articles have subtrees on average, divided by the share.
+
+    A subtree is counted once for each different rest of the articles that hold it, so
+    pages with the same article count once, whatever surrounds it. Articles that the
+    subtrees so found would leave with less than MIN_LEFT of their text may be near
+    copies: they are counted again as one for each smallest hash of those subtrees.
+    Counting is by partial sums, so a host with a third of all pages is combined first."""
+    articles = pages.filter("length(html) > 0").mapInArrow(_article_rows, "host string, article long, size long, trees array<struct<h:long,inside:boolean,rest:long,size:int,place:int>>")
+    articles = staged(articles, "site_articles")
+    hosts = articles.groupBy("host").agg(F.countDistinct("article").alias("pages"))
     least = F.when(F.col("inside"), article_share).otherwise(share)
-    return (
-        counted.filter(F.col("n") > min_pages).join(hosts, "host").filter(F.col("n") > F.col("pages") * least)
-        .groupBy("host").agg(F.collect_set("h").alias("template"))
-    )
+
+    def above(seen: DataFrame) -> DataFrame:
+        counted = seen.groupBy("host", "h").agg(F.countDistinct("rest").alias("n"), F.max("inside").alias("inside"))
+        common = counted.filter(F.col("n") > min_pages).join(hosts, "host").filter(F.col("n") > F.col("pages") * least)
+        return common.groupBy("host").agg(F.collect_set("h").alias("template"))
+
+    first = small_side(staged(above(articles.select("host", F.inline("trees"))), "site_subtrees"), 4096)
+    held = articles.join(first, "host").select("host", "size", "trees", "template")
+    return above(held.mapInArrow(_contexts, "host string, h long, inside boolean, rest long"))
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE, article_share: float = ARTICLE_SHARE) -> DataFrame:
@@ -254,7 +331,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     are joined in page order by two line feeds; nothing is shortened. A null or empty
     page, or one without an article's text, has the text "". A null or relative url
     has the host "". Repeated pages are extracted each and counted once as templates,
-    an empty table gives an empty result, other columns are ignored.
+    as are pages with the same article; an empty table gives an empty result, other columns are ignored.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     templates = staged(site_templates(rows.select("host", "html"), min_pages, share, article_share), "site_templates")
