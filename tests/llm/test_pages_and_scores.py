@@ -61,6 +61,16 @@ def test_lists_as_of_the_fetch_time(spark):
     assert not any(r.n_block for r in url_filter.filter_urls(captures, entries.limit(0)).collect())
 
 
+def test_prefixes_that_end_inside_a_path(spark):
+    patterns = ["site.test/a", "Site.Test/a/page.html", "site.test/a/pa", "WWW.other.test", "third.test/x/", "third.test/X/"]
+    urls = ["http://site.test/a", "http://site.test/ab/c", "http://SITE.test/a/page.html?q", "http://site.test/a/b/page.html", "http://site.test/b/a", "http://site.test/A", "http://site.test",
+            "http://www.other.test", "http://www.other.test/x/y", "http://www.other.test.org/", "http://third.test/x/y", "http://third.test/x", "http://sub.site.test/a", "/a", ""]
+    entries = spark.createDataFrame([("block", "prefix", x, "add", days(0)) for x in patterns], "list string, kind string, pattern string, action string, at timestamp")
+    captures = spark.createDataFrame([(x, days(1)) for x in urls], "url string, fetched_at timestamp")
+    got = {r.url: r.n_block for r in url_filter.filter_urls(captures, entries).collect()}
+    assert got == dict(zip(urls, [1, 1, 3, 1, 0, 0, 0, 1, 1, 0, 1, 0, 0, 0, 0]))
+
+
 # --- pages
 
 

@@ -34,11 +34,21 @@ def domains(host: Column) -> Column:
     return F.when(F.length(host) > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))).otherwise(F.array().cast("array<string>"))
 
 
-def prefixes(host: Column, path: Column, depth: int) -> Column:
-    """``host/``, ``host/a/``, ... down to ``depth`` path folders (entries have no more)."""
-    parts = F.slice(F.split(path, "/"), 1, depth + 1)
-    n = F.size(parts) - F.when(F.size(F.split(path, "/")) > depth + 1, 0).otherwise(1)
-    return F.when((F.length(host) > 0) & (n > 0), F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(host, F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))).otherwise(F.array().cast("array<string>"))
+def prefixes(host: Column, path: Column, depth: int, stubs: list[int]) -> Column:
+    """``host/``, ``host/a/``, ... down to ``depth`` path folders (entries have no more),
+    each also with as many characters of what follows up to the next "/" as ``stubs`` has."""
+    whole = F.split(path, "/")
+    parts = F.slice(whole, 1, depth + 1)
+    n = F.size(parts) - F.when(F.size(whole) > depth + 1, 0).otherwise(1)
+    folder = lambda i: F.concat(host, F.array_join(F.slice(parts, 1, i), "/"), F.lit("/"))
+
+    def cut(i: Column) -> Column:
+        fitting = F.filter(F.array(*map(F.lit, stubs)), lambda k: k <= F.length(F.get(whole, i)))
+        return F.transform(fitting, lambda k: F.concat(folder(i), F.left(F.get(whole, i), k)))
+
+    places = F.sequence(F.lit(1), n)
+    found = F.concat(F.transform(places, folder), F.flatten(F.transform(places, cut))) if stubs else F.transform(places, folder)
+    return F.when((F.length(host) > 0) & (n > 0), found).otherwise(F.array().cast("array<string>"))
 
 
 def entry_intervals(entries: DataFrame) -> DataFrame:
@@ -48,9 +58,12 @@ def entry_intervals(entries: DataFrame) -> DataFrame:
     including, the next entry of the same list, kind and pattern (null: still valid).
     If it is added and removed at one time, it is added. Repeated entries count once;
     rows with a null in any of these columns are no entries. Patterns are compared
-    in lower case for domains, as they stand for path prefixes.
+    in lower case for domains and for the host of path prefixes, whose path is taken
+    as it stands. A prefix may end anywhere in a path; one without "/" is a whole host.
     """
-    pattern = F.when(F.col("kind") == "domain", F.lower("pattern")).otherwise(F.col("pattern"))
+    host = F.substring_index("pattern", "/", 1)
+    path = F.right("pattern", F.length("pattern") - F.length(host))
+    pattern = F.when(F.col("kind") == "domain", F.lower("pattern")).otherwise(F.concat(F.lower(host), path))
     dated = (
         entries.select("list", "kind", pattern.alias("pattern"), "action", "at").dropna()
         .groupBy("list", "kind", "pattern", "at").agg(F.max(F.col("action") == "add").alias("added"))
@@ -72,14 +85,19 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", a
     own = captures.drop("host", "n_block", "n_allow", "blocked")
     url, at = F.col(url_col), F.col(at_col)
     valid = entry_intervals(entries)
-    depth = valid.filter("kind = 'prefix'").agg(F.max(F.size(F.split("pattern", "/")) - 2)).first()[0]
+    last_part = F.when(F.contains("pattern", F.lit("/")), F.length(F.substring_index("pattern", "/", -1)))
+    shape = F.max(F.size(F.split("pattern", "/")) - 2), F.collect_set(last_part), F.coalesce(F.max(last_part.isNull()), F.lit(False))
+    depth, stubs, hosts_only = valid.filter("kind = 'prefix'").agg(*shape).first()
     seen = own.select(url.alias("u"), at.alias("t")).dropna().distinct()
     last = seen.agg(F.max("t")).first()[0]
     bucket = lambda t: F.floor(F.unix_timestamp(t) / BUCKET_SECONDS)
     host, path = host_of(F.col("u")), path_of(F.col("u"))
     keys = F.transform(domains(host), lambda p: F.struct(F.lit("domain").alias("kind"), p.alias("pattern")))
     if depth is not None:
-        keys = F.concat(keys, F.transform(prefixes(host, path, depth), lambda p: F.struct(F.lit("prefix").alias("kind"), p.alias("pattern"))))
+        asked_prefixes = prefixes(host, path, max(depth, 0), sorted(set(stubs) - {0}))
+        if hosts_only:
+            asked_prefixes = F.concat(asked_prefixes, F.filter(F.array(host), lambda h: F.length(h) > 0))
+        keys = F.concat(keys, F.transform(asked_prefixes, lambda p: F.struct(F.lit("prefix").alias("kind"), p.alias("pattern"))))
     asked = seen.select("u", "t", bucket(F.col("t")).alias("bucket"), F.explode(keys).alias("k")).select("u", "t", "bucket", "k.*")
     end = F.coalesce(F.col("valid_to"), F.lit(last)) if last is not None else F.col("valid_to")
     touched = valid.filter(F.col("valid_from") <= F.lit(last)).select(
