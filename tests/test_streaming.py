@@ -455,3 +455,17 @@ def test_job_flags_and_failing_query(spark, workdir):
     with pytest.raises(Exception, match="no"):
         SessionJob(good, bad).await_termination(60)
     assert not good.isActive
+
+
+def test_replayed_slices_are_written_by_many_tasks(spark, monkeypatch):
+    from tillflow.plans import queries
+
+    whole = queries.streamed_panes_two_feeds(spark, "/root/testdata/sf0.001").collect()
+    monkeypatch.setattr(queries, "REPLAY_FILE_ROWS", 50)
+    seen = []
+    feed = queries.read_event_feed
+    monkeypatch.setattr(queries, "read_event_feed", lambda spark, path, **kw: seen.append((path, kw["max_files_per_trigger"])) or feed(spark, path, **kw))
+    dealt = queries.streamed_panes_two_feeds(spark, "/root/testdata/sf0.001").collect()
+    assert whole and sorted(map(repr, dealt)) == sorted(map(repr, whole))
+    for (path, files), slices in zip(seen, (4, 5)):
+        assert files > 1 and len(spark.read.parquet(path).inputFiles()) == files * slices

@@ -32,6 +32,8 @@ from tillflow.streaming.sessions import closed_panes, closed_sessions
 # is checked as well to exercise merging.
 GAP = "10 minutes"
 LONG_GAP = "24 hours"
+#: Least number of time slices of a replay; rows of a slice, and of a file of it, when there are more.
+REPLAY_SLICES, REPLAY_ROWS, REPLAY_FILE_ROWS = 4, 20_000_000, 1_000_000
 
 
 def _ready(spark: SparkSession) -> None:
@@ -264,17 +266,25 @@ def streamed_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(_run_to_table(spark, out, "streamed_panes"), ("total_price",))
 
 
-def _replay(spark: SparkSession, sf_dir: str, types: str, empty_first: int = 0, files: int = 4) -> DataFrame:
-    """The events for which ``types`` holds as a stream of time-ordered files, one for each
-    trigger, after ``empty_first`` files without rows."""
+def _replay(spark: SparkSession, sf_dir: str, types: str, empty_first: int = 0) -> DataFrame:
+    """The events for which ``types`` holds as a stream of time slices, one for each
+    trigger, after ``empty_first`` slices without rows. Slices and the files of each
+    follow the input's size; a file is one task's, and each slice has as many."""
     path = scratch_path(spark, "replay")
     events = td.load(spark, sf_dir, "events")
-    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
-    for i in range(-empty_first, files):
-        at = lambda k: lo + (hi - lo) * k / files
-        part = F.lit(False) if i < 0 else (F.col("ts") >= F.lit(at(i)).cast("timestamp_ntz")) & ((F.col("ts") < F.lit(at(i + 1)).cast("timestamp_ntz")) | F.lit(i == files - 1))
-        events.where(F.expr(types) & part).coalesce(1).write.mode("append").parquet(path)
-    return read_event_feed(spark, path, max_files_per_trigger=1, schema=td.EVENTS_SCHEMA)
+    lo, hi, rows = events.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
+    slices = max(REPLAY_SLICES, -(-rows // REPLAY_ROWS))
+    files = max(1, -(-rows // (slices * REPLAY_FILE_ROWS)))
+    written = 0
+    for i in range(-empty_first, slices):
+        at = lambda k: lo + (hi - lo) * k / slices
+        part = F.lit(False) if i < 0 else (F.col("ts") >= F.lit(at(i)).cast("timestamp_ntz")) & ((F.col("ts") < F.lit(at(i + 1)).cast("timestamp_ntz")) | F.lit(i == slices - 1))
+        events.where(F.expr(types) & part).repartition(files).write.mode("append").parquet(path)
+        written += files
+        # tasks without rows write no file: empty ones keep the next slice out of this one's trigger
+        for _ in range(written - len(spark.read.schema(td.EVENTS_SCHEMA).parquet(path).inputFiles())):
+            events.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return read_event_feed(spark, path, max_files_per_trigger=files, schema=td.EVENTS_SCHEMA)
 
 
 def streamed_panes_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
