@@ -101,3 +101,41 @@ def quality(docs, max_share=0.05, min_docs=10, min_left=0.3):
         left = "\n".join(x for x in t.split("\n") if not (norm(x) and above(x)))
         out.append(((i, len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered), failed, gone, kept), left))
     return out
+
+
+def alignment(docs):
+    """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of (id, text)."""
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte_of = {chr(x): x for x in plain} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in plain)}
+    bytes_b = lambda p: bytes([int(p[3:5], 16)]) if re.fullmatch("<0x..>", p) else p.replace("▁", " ").encode()
+    rows, count = [], Counter()
+    for i, text in docs:
+        found, links = [], []
+        ids_a, ids_b = (a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)) if text else ([], [])
+        ends_a, ends_b = {}, {}
+        joined = [b"", b""]
+        for k, (ids, ends) in enumerate(((ids_a, ends_a), (ids_b, ends_b))):
+            for n, t in enumerate(ids):
+                joined[k] += bytes(byte_of[c] for c in a.id_to_token(t)) if k == 0 else bytes_b(b.id_to_piece(t))
+                ends[len(joined[k])] = n
+        if text and joined == [(" " + text).encode()] * 2:
+            at_a = at_b = 0
+            for end in sorted(set(ends_a) & set(ends_b)):
+                links.append((ids_a[ends_a[end]], ids_b[ends_b[end]]))
+                found.append(",".join(map(str, ids_a[at_a : ends_a[end] + 1])) + "|" + ",".join(map(str, ids_b[at_b : ends_b[end] + 1])))
+                at_a, at_b = ends_a[end] + 1, ends_b[end] + 1
+        else:
+            ids_a = ids_b = []
+        count.update(links)
+        rows.append((i, ids_a, ids_b, found, links))
+    most = defaultdict(int)
+    for (_, y), n in count.items():
+        most[y] = max(most[y], n)
+    return [(i, len(x), len(y), len(g), len(ls), sum(count[p] == most[p[1]] for p in ls), sum(count[p] for p in ls), hashlib.sha256(";".join(g).encode()).hexdigest() if g else "") for i, x, y, g, ls in rows]
