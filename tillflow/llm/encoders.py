@@ -21,7 +21,7 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 
 from tillflow.llm.token_counts import BYTE_LEVEL_PATTERN, Splitter, byte_alphabet, newer_letters
 
-KEPT_PIECES = 500_000
+KEPT_PIECES = 1_000_000
 KEPT_CHARS = 40
 PIECES_A_CALL = 8192
 

@@ -8,7 +8,7 @@ id in a range (count) and the place of its k-th occurrence (select) each follow
 one step a plane, reading only the blocks they touch.
 
 File format, little-endian: 8 bytes ``WVMATRX1``; the blocks of every plane, each
-``BLOCK_BITS`` bits (first bit in the highest place), as zlib data where that is
+``BLOCK_BITS`` bits (first bit in the highest place), as zstd data where that is
 shorter; for every plane its directory: the blocks' lengths (u32) and the ones before
 them (u64); the documents as an Arrow stream (id, number of tokens); a JSON footer
 with the places of these; the footer's length (u32); 8 bytes ``WVMATRX1``.
@@ -25,6 +25,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,15 +51,13 @@ def write_matrix(out, ids: np.ndarray, docs: pa.RecordBatch) -> int:
     at = len(MAGIC)
     out.write(MAGIC)
     planes, directory = [], []
-    rest = ids
+    rest, squeeze = ids, zstandard.ZstdCompressor(level=1).compress
     for level in range(levels - 1, -1, -1):
-        ones = (rest >> level) & 1 == 1
+        ones = (rest & rest.dtype.type(1 << level)).astype(bool)
         packed = np.packbits(ones)
         step = BLOCK_BITS // 8
         blocks = [packed[lo : lo + step].tobytes() for lo in range(0, len(packed), step)]
-        # a plane whose first block doesn't shrink is not worth the attempt
-        shrinks = bool(blocks) and len(zlib.compress(blocks[0], 1)) < 0.95 * len(blocks[0])
-        stored = [min(zlib.compress(b, 1), b, key=len) if shrinks else b for b in blocks]
+        stored = [min(b, squeeze(b), key=len) for b in blocks]  # as it is, unless shorter
         pad = np.zeros(len(blocks) * BLOCK_BITS, bool)
         pad[: len(ones)] = ones
         counts = pad.reshape(-1, BLOCK_BITS).sum(axis=1, dtype=np.uint64)
@@ -67,7 +66,7 @@ def write_matrix(out, ids: np.ndarray, docs: pa.RecordBatch) -> int:
         for b in stored:
             out.write(b)
             at += len(b)
-        rest = np.concatenate([rest[~ones], rest[ones]])
+        rest = np.concatenate([np.compress(~ones, rest), np.compress(ones, rest)])
     for plane, raw in zip(planes, directory):
         plane["directory"] = at
         out.write(raw)
@@ -75,7 +74,7 @@ def write_matrix(out, ids: np.ndarray, docs: pa.RecordBatch) -> int:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, docs.schema) as stream:
         stream.write_batch(docs)
-    raw = zlib.compress(sink.getvalue().to_pybytes(), 1)
+    raw = squeeze(sink.getvalue().to_pybytes())
     footer = json.dumps({"tokens": len(ids), "levels": levels, "planes": planes, "docs": [at, len(raw)]}).encode()
     out.write(raw)
     out.write(footer)
@@ -104,7 +103,7 @@ class MatrixFile:
         return self.stream.read(length)
 
     def documents(self) -> pa.RecordBatch:
-        raw = zlib.decompress(self._read(*self.footer["docs"]))
+        raw = zstandard.ZstdDecompressor().decompress(self._read(*self.footer["docs"]))
         return pa.ipc.open_stream(raw).read_all().combine_chunks().to_batches()[0]
 
     def _directory(self, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +121,7 @@ class MatrixFile:
         raw = self._read(int(places[block]), int(places[block + 1] - places[block]))
         n = min(BLOCK_BITS, self.tokens - block * BLOCK_BITS)
         if len(raw) < -(-n // 8):
-            raw = zlib.decompress(raw)
+            raw = zstandard.ZstdDecompressor().decompress(raw, max_output_size=BLOCK_BITS // 8)
         return np.unpackbits(np.frombuffer(raw, np.uint8), count=n)
 
     def _block(self, level: int, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,8 +204,8 @@ class MatrixFile:
             blocks = [self._bits(level, b) for b in range(self.footer["planes"][level]["blocks"])]
             ones = np.concatenate(blocks).view(bool) if blocks else np.zeros(0, bool)
             above = np.empty_like(out)
-            above[~ones] = out[: self.zeros[level]]
-            above[ones] = out[self.zeros[level] :] | np.uint32(1 << (self.levels - 1 - level))
+            above[np.flatnonzero(~ones)] = out[: self.zeros[level]]
+            above[np.flatnonzero(ones)] = out[self.zeros[level] :] | np.uint32(1 << (self.levels - 1 - level))
             out = above
         return out
 
