@@ -33,15 +33,14 @@ ROWS = [(1, "The cat's whiskers"), (7, "The cat's whiskers"), (7, "The cat's whi
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.one_of(st.text(max_size=80), st.text(alphabet=POOL + "\U0003d000՘\U00012550", max_size=80), st.text(alphabet="abt <|endofx>", max_size=60)))
+@given(st.one_of(st.text(max_size=80), st.text(alphabet=POOL + "\U0003d000՘\U00012550\U00013460\U000105c0", max_size=80), st.text(alphabet="abt <|endofx>", max_size=60)))
 def test_pieces_like_the_library(text):
     for name, encoder in ENCODERS.items():
         assert np.frombuffer(encoder([text])[0], "<u4").tolist() == LIBRARIES[name].encode(text, add_special_tokens=False).ids, name
 
 
-def test_kept_pieces_are_bounded(monkeypatch):
-    monkeypatch.setattr("tillflow.llm.encoders.KEPT_PIECES", 50)
-    encoder = PieceEncoder(WORD)
+def test_kept_pieces_are_bounded():
+    encoder = PieceEncoder(WORD, kept=50)
     for lo in range(0, 400, 40):
         texts = [f"word{i} and {'x' * 60}" for i in range(lo, lo + 40)]
         assert [np.frombuffer(r, "<u4").tolist() for r in encoder(texts)] == [WORD_LIB.encode(t, add_special_tokens=False).ids for t in texts]

@@ -24,8 +24,10 @@ from tillflow.llm.encoders import loaded_encoder
 from tillflow.llm.text import ragged, staged
 from tillflow.llm.token_counts import byte_alphabet, text_runs
 
-#: Bytes of text whose link counts go to the exchange together.
-BLOCK_BYTES = 32 << 20
+#: Bytes of text whose link counts go to the exchange together, and characters aligned at once.
+BLOCK_BYTES, SLICE_CHARS = 16 << 20, 1 << 19
+#: Pieces whose ids a worker keeps; the arrays of a slice need the room.
+KEPT_PIECES = 300_000
 #: A pair of ids as one long.
 _SHIFT = 32
 
@@ -73,7 +75,7 @@ class TokenPair:
         if not set(alphabet) <= vocab.keys():
             raise ValueError(f"{a_path}: not all bytes are tokens")
         byte_of = {c: b for b, c in enumerate(alphabet)}
-        self.encode_a = loaded_encoder(a_path, plain_special=True)
+        self.encode_a = loaded_encoder(a_path, plain_special=True, kept=KEPT_PIECES)
         self.length_a = np.zeros(max(vocab.values()) + 1, np.int64)
         self.bytes_a = [b""] * len(self.length_a)
         for token, t in vocab.items():
@@ -151,7 +153,7 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, text_col: str = "
         pair = _pair(a_path, b_path)
         for batch in batches:
             row = 0
-            for texts in text_runs(batch.column(1)):
+            for texts in text_runs(batch.column(1), SLICE_CHARS):
                 got = pair.align(texts)
                 a_starts, b_starts = np.cumsum(got["n_a"]) - got["n_a"], np.cumsum(got["n_b"]) - got["n_b"]
                 length_a, length_b = pair.length_a[got["a"]], pair.length_b[got["b"]]
@@ -197,7 +199,7 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, text_col: str =
 
         for batch in batches:
             id_arrow, row = batch.schema.field(0).type, 0
-            for texts in text_runs(batch.column(1)):
+            for texts in text_runs(batch.column(1), SLICE_CHARS):
                 got = pair.align(texts)
                 key = got["a"][got["links_a"]] << _SHIFT | got["b"][got["links_b"]]
                 if size >= block_bytes:
@@ -205,7 +207,8 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, text_col: str =
                     number, size = number + 1, 0
                 size += sum(len(t) for t in texts if t)
                 keys.append(key)
-                small = np.column_stack([key >> _SHIFT, key & ((1 << _SHIFT) - 1)]).astype(id_bytes)
+                small = np.empty((len(key), 2), id_bytes)
+                small[:, 0], small[:, 1] = key >> _SHIFT, key & ((1 << _SHIFT) - 1)
                 raw, ends = memoryview(small.tobytes()), np.cumsum(got["n_links"]) * small.itemsize * 2
                 yield rows(len(texts), False, {
                     "id": batch.column(0).slice(row, len(texts)), **{c: pa.array(got[c]) for c in _DOC},
@@ -213,6 +216,7 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, text_col: str =
                     "links": pa.array([raw[lo:hi] for lo, hi in zip([0, *ends[:-1].tolist()], ends.tolist())], pa.binary()),
                 })
                 row += len(texts)
+        pair.encode_a.known = {}  # the worker's next task may need the room for other work
         if keys:
             yield counted()
 

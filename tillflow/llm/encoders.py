@@ -12,14 +12,16 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import unicodedata
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from tillflow.llm.token_counts import BYTE_LEVEL_PATTERN, Splitter, byte_alphabet, newer_letters
+from tillflow.llm.token_counts import BYTE_LEVEL_PATTERN, byte_alphabet
 
 KEPT_PIECES = 1_000_000
 KEPT_CHARS = 40
@@ -32,6 +34,13 @@ _NUL = b"\x00"
 _END = b"\xff"
 
 
+def unknown_letters(splits: Callable[[str], list]) -> str:
+    """Letters and numbers of the ``regex`` module that the library's pre-tokenizer takes
+    for other characters, its Unicode tables being older; both kinds of file have their own."""
+    unassigned = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Cn")
+    return "".join(c for c in regex.findall(r"[\p{L}\p{N}]", unassigned) if len(splits(":" + c)) == 1)
+
+
 class PieceEncoder:
     """Encoder for one BPE file of the tokenizers library, without added begin or end tokens.
 
@@ -40,7 +49,7 @@ class PieceEncoder:
     special tokens as ordinary text, else they are found as the library does by default.
     """
 
-    def __init__(self, path: str, plain_special: bool = False):
+    def __init__(self, path: str, plain_special: bool = False, kept: int = KEPT_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side already
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -68,11 +77,15 @@ class PieceEncoder:
         alphabet = byte_alphabet()
         self.border = model["vocab"][alphabet[0] + self.suffix]
         self.shown = {b: c for b, c in enumerate(alphabet)} | {_END[0]: " "}
-        self.splitter = Splitter(pattern)
-        first_newer = chr(int(newer_letters()[2:10] or "10FFFF", 16))
-        self.maybe_newer = re.compile(f"[{first_newer}-\U0010ffff]").search  # much cheaper than the exact test
+        unknown = "".join(map(regex.escape, unknown_letters(self.library.pre_tokenizer.pre_tokenize_str))) or "\U0010ffff"
+        exact = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s[\p{{L}}\p{{N}}--[{unknown}]]]")
+        exact = exact.replace(r"[\p{L}]", rf"[\p{{L}}--[{unknown}]]").replace(r"[\p{N}]", rf"[\p{{N}}--[{unknown}]]")
+        self.quick, self.exact = regex.compile(pattern).findall, regex.compile(exact, regex.VERSION1).findall
+        self.has_unknown = re.compile(f"[{unknown}]").search
+        self.far = re.compile(f"[{min(unknown)}-\U0010ffff]").search  # much cheaper than the test itself
         self.pieces = str.split if self.lowers else re.compile(r"\s*\S+|\s+").findall
         self.known: dict[str, bytes] = {}
+        self.kept = kept
 
     def _alone(self, piece: str) -> bool:
         return "\0" in piece or bool(_OTHER_SPACE(piece)) or any(c in piece for c in self.special_starts) and bool(self.special(piece))
@@ -80,7 +93,7 @@ class PieceEncoder:
     def _words(self, run: list[str]) -> bytes:
         """The pre-tokens of the pieces, a NUL after each piece, with ends between them."""
         joined = "\n\0\n".join(run) if self.lowers else "".join(run)
-        find = self.splitter.exact if self.maybe_newer(joined) and self.splitter.newer(joined) else self.splitter.quick
+        find = self.exact if self.far(joined) and self.has_unknown(joined) else self.quick
         if not self.lowers:
             return _END.join([_END.join([*[w.encode() for w in find(p)], _NUL]) for p in run])
         # characters are lowered one by one (no final sigma); no pre-token holds white space here
@@ -116,18 +129,18 @@ class PieceEncoder:
         for p in new:
             if len(p) > KEPT_CHARS:
                 del known[p]
-        if len(known) > KEPT_PIECES:
+        if len(known) > self.kept:
             seen = set(chain.from_iterable(pieces))
-            self.known = {p: ids for p, ids in known.items() if p in seen} if len(seen) < KEPT_PIECES else {}
+            self.known = {p: ids for p, ids in known.items() if p in seen} if len(seen) < self.kept else {}
         return out
 
 
-_LOADED: dict[tuple[str, bool], PieceEncoder] = {}
+_LOADED: dict[tuple[str, bool, int], PieceEncoder] = {}
 
 
-def loaded_encoder(path: str, plain_special: bool = False) -> PieceEncoder:
-    """The encoder of a file, loaded once in a Python worker; what it keeps is bounded."""
-    key = (path, plain_special)
+def loaded_encoder(path: str, plain_special: bool = False, kept: int = KEPT_PIECES) -> PieceEncoder:
+    """The encoder of a file, loaded once in a Python worker; it keeps the ids of ``kept`` pieces at most."""
+    key = (path, plain_special, kept)
     if key not in _LOADED:
-        _LOADED[key] = PieceEncoder(path, plain_special)
+        _LOADED[key] = PieceEncoder(path, plain_special, kept)
     return _LOADED[key]
