@@ -11,6 +11,7 @@ REASON_NO_PRICE = "no price"
 REASON_BAD_TIME = "bad event time"
 REASON_BAD_MESSAGE = "bad message"
 REASON_NO_SESSION_TIME = "no session time"
+REASON_LATE = "late"
 
 
 def is_blank(col: Column) -> Column:

@@ -50,6 +50,42 @@ _DIRTY_FEED = _FEED.replace(
               ELSE {_TIME} END AS event_time""",
 ).replace("WHEN ts IS NULL THEN", "WHEN CAST(event_id AS BIGINT) % 20 < 3 THEN")
 
+# Only the books feed.
+_BOOK_FEED = _FEED.replace("WHERE reason IS NULL)", "WHERE reason IS NULL AND event_type = 'BOOK_SALE')")
+_HELD = "CAST(event_id AS BIGINT) % 10 = 3"
+ALLOWED = "INTERVAL 48 HOUR"
+
+
+def _late_panes_sql(gap: str, allowed: str) -> str:
+    """Closed panes and corrected ones when the held events come after all others: sessions of
+    the others, then those still kept together with the held events that are not too late."""
+    sessions = f"""SELECT user_id, sid, first(event_id ORDER BY ts, event_id) AS window_id, min(ts) AS window_start,
+         max(ts) AS last, max(ts) + {gap} AS ends, sum(CAST(price AS DOUBLE)) AS total, count(*) AS event_count, bool_or(held) AS held"""
+
+    def islands(rows: str, name: str) -> str:
+        return f"""{name}_marked AS (
+  SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= {gap} THEN 1 ELSE 0 END AS starts
+  FROM {rows} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+{name}_rows AS (
+  SELECT * EXCLUDE (starts), sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+  FROM {name}_marked),
+{name} AS ({sessions} FROM {name}_rows GROUP BY user_id, sid)"""
+
+    pane = "SELECT window_id, user_id, window_start, {} AS window_end, round(CAST(CAST(total AS FLOAT) AS DOUBLE), 2) AS total_price, {} AS window_open, event_count, {} AS timing"
+    closed = pane.format("ends - INTERVAL 1 MILLISECOND", "false", "'ON_TIME'")
+    return f"""WITH {_FEED},
+dealt AS (SELECT *, {_HELD} AS held FROM valid),
+marks AS (SELECT date_trunc('millisecond', max(ts) FILTER (NOT held)) AS w1, date_trunc('millisecond', max(ts)) AS w2 FROM dealt),
+others AS (SELECT * FROM dealt WHERE NOT held),
+{islands("others", "early")},
+kept AS (
+  SELECT r.* EXCLUDE (sid) FROM early_rows r JOIN early s USING (user_id, sid), marks WHERE s.ends + {allowed} > w1
+  UNION ALL SELECT dealt.* FROM dealt, marks WHERE held AND ts + {gap} + {allowed} > w1),
+{islands("kept", "final")}
+{closed} FROM early, marks WHERE ends <= w1
+UNION ALL {pane.format("last", "true", "'LATE'")} FROM final, marks WHERE held AND ends <= w1
+UNION ALL {closed} FROM final, marks WHERE ends > w1 AND ends <= w2"""
+
 
 def _islands(gap: str, feed: str = _FEED) -> str:
     return f"""{feed},
@@ -213,4 +249,13 @@ FROM sess WHERE window_end <= least((SELECT max(ts) FROM valid WHERE event_type
 SELECT window_id, user_id, window_start, window_end - INTERVAL 1 MILLISECOND AS window_end,
        round(CAST(CAST(total AS FLOAT) AS DOUBLE), 2) AS total_price, false AS window_open, event_count
 FROM sess WHERE window_end <= {_MAX_TS} - {GAP}""",
+    "streamed_panes_idle_feed": f"""WITH {_islands(LONG_GAP, _BOOK_FEED)}
+SELECT window_id, user_id, window_start, window_end - INTERVAL 1 MILLISECOND AS window_end,
+       round(CAST(CAST(total AS FLOAT) AS DOUBLE), 2) AS total_price, false AS window_open, event_count
+FROM sess WHERE window_end <= least({_MAX_TS}, (SELECT max(ts) FROM events WHERE event_type = 'error'))""",
+    "streamed_late_events": f"""WITH {_FEED},
+mark AS (SELECT date_trunc('millisecond', max(ts)) AS w FROM valid WHERE NOT {_HELD})
+SELECT event_id, event_time, user_id, round(CAST(price AS DOUBLE), 2) AS price, event_type, coalesce(reason, 'late') AS reason
+FROM checked, mark WHERE reason IS NOT NULL OR ({_HELD} AND ts + {LONG_GAP} <= w)""",
+    "streamed_panes_lateness": _late_panes_sql(LONG_GAP, ALLOWED),
 }

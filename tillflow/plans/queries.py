@@ -19,12 +19,12 @@ from tillflow.operators.sessions import running_totals, session_event_rows, sess
 from tillflow.operators.weekly import side_totals, weekly_sales, weekly_sales_union
 from tillflow.runtime import checkpoint_root, scratch_path, ship_package
 from tillflow.schemas import WEEKLY_SALES
-from tillflow.sinks.streams import write_files
+from tillflow.sinks.streams import read_output, write_batches_idempotent, write_files
 from tillflow.sources import testdata as td
 from tillflow.plans.weekly_job import run_weekly_job
-from tillflow.sources.streams import decode_events, read_event_feed, union_feeds
+from tillflow.sources.streams import decode_events, heartbeat_times, read_event_feed, union_feeds
 from tillflow.sources.tables import range_scan
-from tillflow.streaming.panes import as_messages, mark_feed, session_panes_stream
+from tillflow.streaming.panes import as_messages, mark_feed, session_panes_stream, with_rejects
 from tillflow.streaming.sessions import closed_panes, closed_sessions
 
 # Gaps of the session checks. The reference job's gap is 10
@@ -32,6 +32,7 @@ from tillflow.streaming.sessions import closed_panes, closed_sessions
 # is checked as well to exercise merging.
 GAP = "10 minutes"
 LONG_GAP = "24 hours"
+ALLOWED_LATENESS = "48 hours"
 #: Least number of time slices of a replay; rows of a slice, and of a file of it, when there are more.
 REPLAY_SLICES, REPLAY_ROWS, REPLAY_FILE_ROWS = 4, 20_000_000, 1_000_000
 
@@ -266,23 +267,24 @@ def streamed_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(_run_to_table(spark, out, "streamed_panes"), ("total_price",))
 
 
-def _replay(spark: SparkSession, sf_dir: str, types: str, empty_first: int = 0) -> DataFrame:
+def _replay(spark: SparkSession, sf_dir: str, types: str, empty_first: int = 0, held: str | None = None) -> DataFrame:
     """The events for which ``types`` holds as a stream of time slices, one for each
-    trigger, after ``empty_first`` slices without rows. Slices and the files of each
+    trigger, after ``empty_first`` slices without rows; those for which ``held`` holds come
+    in a slice of their own after all others. Slices and the files of each
     follow the input's size; a file is one task's, and each slice has as many."""
     path = scratch_path(spark, "replay")
     events = td.load(spark, sf_dir, "events")
     lo, hi, rows = events.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
-    slices = max(REPLAY_SLICES, -(-rows // REPLAY_ROWS))
+    slices = max(REPLAY_SLICES, -(-rows // REPLAY_ROWS)) if rows else 1
     files = max(1, -(-rows // (slices * REPLAY_FILE_ROWS)))
-    written = 0
-    for i in range(-empty_first, slices):
-        at = lambda k: lo + (hi - lo) * k / slices
-        part = F.lit(False) if i < 0 else (F.col("ts") >= F.lit(at(i)).cast("timestamp_ntz")) & ((F.col("ts") < F.lit(at(i + 1)).cast("timestamp_ntz")) | F.lit(i == slices - 1))
+    at = lambda k: F.lit(lo + (hi - lo) * k / slices).cast("timestamp_ntz")
+    inside = lambda k: (F.col("ts") >= at(k)) & ((F.col("ts") < at(k + 1)) | F.lit(k == slices - 1)) if rows else F.lit(False)
+    late = F.expr(held) if held else F.lit(False)
+    parts = [F.lit(False)] * empty_first + [inside(k) & ~late for k in range(slices)] + ([late] if held else [])
+    for written, part in enumerate(parts):
         events.where(F.expr(types) & part).repartition(files).write.mode("append").parquet(path)
-        written += files
         # tasks without rows write no file: empty ones keep the next slice out of this one's trigger
-        for _ in range(written - len(spark.read.schema(td.EVENTS_SCHEMA).parquet(path).inputFiles())):
+        for _ in range((written + 1) * files - len(spark.read.schema(td.EVENTS_SCHEMA).parquet(path).inputFiles())):
             events.limit(0).coalesce(1).write.mode("append").parquet(path)
     return read_event_feed(spark, path, max_files_per_trigger=files, schema=td.EVENTS_SCHEMA)
 
@@ -312,6 +314,40 @@ def streamed_panes_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(_run_to_table(spark, out, "streamed_two_feeds").where(~F.col("window_open")), ("total_price",))
 
 
+def streamed_panes_idle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed panes of a books feed beside a groceries feed that has heartbeats only."""
+    _ready(spark)
+    books = td.feed_rows(_replay(spark, sf_dir, f"event_type = '{td.BOOKS_EVENT_TYPE}'"))
+    groceries = td.feed_rows(_replay(spark, sf_dir, "false"))
+    beats = heartbeat_times(td.heartbeats(_replay(spark, sf_dir, f"event_type = '{td.NO_PAYLOAD_EVENT_TYPE}'")), "groceries")
+    valid = union_feeds(mark_feed(valid_events(books), LONG_GAP), mark_feed(valid_events(groceries), LONG_GAP, heartbeats=beats))
+    out = session_panes_stream(valid, LONG_GAP, per_event=False, marked=True).drop("events")
+    return _shape(_run_to_table(spark, out, "streamed_idle_feed").where(~F.col("window_open")), ("total_price",))
+
+
+def streamed_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine of one query that writes panes and quarantine together, over a replay
+    that delivers a tenth of the events after all others: invalid and late events."""
+    _ready(spark)
+    feed = td.feed_rows(_replay(spark, sf_dir, "true", held=td.LATE_DELIVERY))
+    panes = session_panes_stream(valid_events(feed), LONG_GAP, per_event=False, late_rows=True).drop("events")
+    both = with_rejects(panes, quarantined_events(feed))
+    base = scratch_path(spark, "streamed_late_events")
+    q = write_batches_idempotent(both, f"{base}/out", f"{base}/checkpoint", partition_by=("kind",))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return _shape(read_output(spark, f"{base}/out", "quarantine", both), ("price",))
+
+
+def streamed_panes_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed panes, and the corrected panes that events within the allowed lateness give, over the same replay."""
+    _ready(spark)
+    feed = td.feed_rows(_replay(spark, sf_dir, "true", held=td.LATE_DELIVERY))
+    out = session_panes_stream(valid_events(feed), LONG_GAP, per_event=False, allowed_lateness=ALLOWED_LATENESS).drop("events")
+    return _shape(_run_to_table(spark, out, "streamed_lateness").where("timing <> 'EARLY'"), ("total_price",))
+
+
 def streamed_closed_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed sessions of the fast path, in the shape of panes."""
     _ready(spark)
@@ -349,4 +385,7 @@ QUERIES = {
     "streamed_session_events": streamed_session_events,
     "streamed_panes_two_feeds": streamed_panes_two_feeds,
     "streamed_closed_panes": streamed_closed_panes,
+    "streamed_panes_idle_feed": streamed_panes_idle_feed,
+    "streamed_late_events": streamed_late_events,
+    "streamed_panes_lateness": streamed_panes_lateness,
 }

@@ -11,10 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.operators.cleaning import quarantined_events, valid_events
 from tillflow.operators.sessions import SESSION_GAP
-from tillflow.schemas import EVENT
-from tillflow.sinks.streams import write_files, write_kafka
-from tillflow.sources.streams import read_event_feed, read_kafka_feed, union_feeds
-from tillflow.streaming.panes import as_messages, mark_feed, session_panes_stream
+from tillflow.schemas import EVENT, HEARTBEAT
+from tillflow.sinks.streams import write_batches_idempotent, write_files, write_kafka
+from tillflow.sources.streams import clock_heartbeats, heartbeat_times, read_event_feed, read_heartbeats, read_kafka_feed, read_kafka_messages, union_feeds
+from tillflow.streaming.panes import as_messages, mark_feed, session_panes_stream, with_rejects
 from tillflow.streaming.sessions import closed_panes, closed_sessions, mark_feed_time
 
 
@@ -63,6 +63,10 @@ def start_session_job(
     schema=None,
     kafka: str | None = None,
     max_offsets_per_trigger: int | None = None,
+    allowed_lateness: str = "0 seconds",
+    late_rows: bool = False,
+    heartbeats: str | None = None,
+    idle_after: str | None = None,
 ) -> SessionJob:
     """Start the two streaming queries and return their handles (does not wait).
 
@@ -78,7 +82,21 @@ def start_session_job(
     (default: the event schema). With ``kafka`` (bootstrap servers; needs Spark's
     Kafka connector) the feeds and ``panes_path`` are topics; ``session_time`` may
     then be "message_time".
+
+    A feed without traffic holds all sessions open. ``heartbeats`` names a folder (with
+    ``kafka``: a topic) of (feed, event_time) rows, feed "books" or "groceries", up to which the
+    feed is complete; or ``idle_after`` lets a feed that has been silent for this long follow the
+    clock. ``allowed_lateness`` keeps closed sessions for corrected panes (column ``timing``). With
+    ``late_rows`` late events go to the quarantine with the reason "late", and one query writes both:
+    below ``panes_path``, read back with ``read_output`` as "panes" and "quarantine"
+    (``quarantine_path`` is not used, and each feed is read by one query only).
     """
+    if not early_panes and (late_rows or allowed_lateness != "0 seconds"):
+        raise ValueError("late rows and allowed lateness need the stateful panes (early_panes)")
+    if kafka and late_rows:
+        raise ValueError("late rows are written to files, not topics")
+    if heartbeats and idle_after:
+        raise ValueError("give heartbeats or idle_after, not both")
 
     def feed(source: str):
         if kafka:
@@ -88,16 +106,31 @@ def start_session_job(
     feeds = (book_feed, grocery_feed)
     time_col = session_time or "ts"
     mark = mark_feed if early_panes else mark_feed_time
-    valid = union_feeds(*[mark(valid_events(feed(f), session_time), gap, lateness, time_col) for f in feeds])
+
+    def beats(name: str):
+        if idle_after:
+            return clock_heartbeats(spark, idle_after)
+        if heartbeats and kafka:
+            return heartbeat_times(read_kafka_messages(spark, kafka, heartbeats, HEARTBEAT), name)
+        return read_heartbeats(spark, heartbeats, name, fmt, max_files_per_trigger) if heartbeats else None
+
+    names = ("books", "groceries")
+    raw = [feed(f) for f in feeds]
+    valid = union_feeds(*[mark(valid_events(f, session_time), gap, lateness, time_col, beats(name)) for name, f in zip(names, raw)])
+    rejected = quarantined_events(union_feeds(*raw), session_time)
     if early_panes:
-        out = session_panes_stream(valid, gap, lateness, per_event, include_events, time_col=time_col, engine=engine, order_col="ts", marked=True)
+        out = session_panes_stream(valid, gap, lateness, per_event, include_events, time_col=time_col, engine=engine, order_col="ts",
+                                   marked=True, allowed_lateness=allowed_lateness, late_rows=late_rows)
     else:
         out = closed_panes(closed_sessions(valid, gap, lateness, time_col=time_col, order_col="ts", marked=True))
+    if late_rows:
+        both = with_rejects(as_messages(out), rejected)
+        query = write_batches_idempotent(both, panes_path, f"{checkpoint}/panes", trigger=trigger, partition_by=("kind",))
+        return SessionJob(query, query)
     if kafka:
         panes = write_kafka(as_messages(out), kafka, panes_path, f"{checkpoint}/panes", trigger=trigger)
     else:
         panes = write_files(as_messages(out), panes_path, f"{checkpoint}/panes", trigger=trigger)
-    rejected = quarantined_events(union_feeds(*[feed(f) for f in feeds]), session_time)
     quarantine = write_files(rejected, quarantine_path, f"{checkpoint}/quarantine", trigger=trigger)
     return SessionJob(panes, quarantine)
 
@@ -125,6 +158,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--per-session", action="store_true", help="one open pane per touched session and batch, not per event")
     ap.add_argument("--max-files", type=int, default=100, help="files of each feed in a micro-batch")
     ap.add_argument("--kafka", default=None, help="bootstrap servers; the feeds and --panes are then topics")
+    ap.add_argument("--allowed-lateness", default="0 seconds", help="keep closed sessions this long for corrected panes")
+    ap.add_argument("--late-rows", action="store_true", help="late events to the quarantine, both outputs below --panes")
+    ap.add_argument("--heartbeats", default=None, help="folder or topic of (feed, event_time) rows")
+    ap.add_argument("--idle-after", default=None, help="a feed silent this long follows the clock")
     ap.add_argument("--max-offsets", type=int, default=None, help="messages of each topic in a micro-batch")
     args = ap.parse_args(argv)
     schema = EVENT
@@ -137,7 +174,8 @@ def main(argv: list[str] | None = None) -> None:
                             include_events=args.include_events, fmt=args.format, trigger=trigger,
                             engine=args.engine, session_time=args.session_time, per_event=not args.per_session,
                             max_files_per_trigger=args.max_files, schema=schema, kafka=args.kafka,
-                            max_offsets_per_trigger=args.max_offsets)
+                            max_offsets_per_trigger=args.max_offsets, allowed_lateness=args.allowed_lateness,
+                            late_rows=args.late_rows, heartbeats=args.heartbeats, idle_after=args.idle_after)
     job.await_termination()
 
 

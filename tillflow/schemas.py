@@ -33,6 +33,9 @@ EVENT = T.StructType(
     ]
 )
 
+# A feed's sign of life: no event before ``event_time`` (ISO-8601 text) is still to come on ``feed``.
+HEARTBEAT = T.StructType([T.StructField("feed", T.StringType(), True), T.StructField("event_time", T.StringType(), True)])
+
 # The two event types the feeds declare.
 BOOK_SALE = "BOOK_SALE"
 GROCERY_SALE = "GROCERY_SALE"

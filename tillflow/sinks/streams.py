@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -22,24 +23,35 @@ def write_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
     return _trigger(w, trigger).start()
 
 
-def batch_writer(path: str, fmt: str = "parquet"):
+def batch_writer(path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()):
     """The ``foreachBatch`` function: overwrite the folder of this batch id."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(os.path.join(path, f"batch_id={batch_id}"))
+        out = batch.write.mode("overwrite").format(fmt)
+        (out.partitionBy(*partition_by) if partition_by else out).save(os.path.join(path, f"batch_id={batch_id}"))
 
     return write
 
 
-def write_batches_idempotent(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                             trigger: dict | None = None) -> StreamingQuery:
+def write_batches_idempotent(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict | None = None,
+                             partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """``foreachBatch`` delivery: each micro-batch overwrites its own ``batch_id=N``
-    folder, so a batch replayed after a failure replaces, not duplicates, its rows."""
+    folder, so a batch replayed after a failure replaces, not duplicates, its rows.
+    ``partition_by`` columns become folders below it: several outputs of one query, each
+    batch of them written by one job and committed together."""
 
-    w = df.writeStream.foreachBatch(batch_writer(path, fmt)).option("checkpointLocation", checkpoint).outputMode("append")
+    w = df.writeStream.foreachBatch(batch_writer(path, fmt, partition_by)).option("checkpointLocation", checkpoint).outputMode("append")
     return _trigger(w, trigger).start()
 
 
+def read_output(spark: SparkSession, path: str, kind: str, stream: DataFrame) -> DataFrame:
+    """One output ("panes" or "quarantine") of a stream of ``with_rejects`` that
+    ``write_batches_idempotent(..., partition_by=("kind",))`` wrote."""
+    schema = T.StructType([*[f for f in stream.schema if f.name != "kind"], T.StructField("batch_id", T.LongType()), stream.schema["kind"]])
+    rows = spark.read.schema(schema).parquet(path).where(F.col("kind") == kind)
+    return rows.select("pane.*") if kind == "panes" else rows.select("event.*", "reason")
+
+
 def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str, key_col: str = "user_id",
                 trigger: dict | None = None) -> StreamingQuery:
     """Publish each row as a JSON message keyed by ``key_col`` (at-least-once, as Kafka

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tillflow.schemas import EVENT
+from tillflow.functions.time import parse_iso
+from tillflow.schemas import EVENT, HEARTBEAT
 
 
 def read_event_feed(spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None,
@@ -65,3 +66,28 @@ def read_kafka_feed(spark: SparkSession, bootstrap_servers: str, topic: str,
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
     return decode_events(reader.load(), "value", keep={"timestamp": "message_time"}, keep_payload=True)
+
+
+def read_kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str, schema: T.StructType) -> DataFrame:
+    """JSON messages of a topic in the given schema (needs the connector, as ``read_kafka_feed``)."""
+    raw = spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("subscribe", topic).option("startingOffsets", "earliest").load()
+    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("m")).select("m.*")
+
+
+def read_heartbeats(spark: SparkSession, path: str, feed: str, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Heartbeats (instants ``ts``) that the producers of ``feed`` publish as files of
+    (feed, event_time); those of other feeds or without a readable time are left out."""
+    return heartbeat_times(read_event_feed(spark, path, fmt, max_files_per_trigger, HEARTBEAT), feed)
+
+
+def heartbeat_times(beats: DataFrame, feed: str) -> DataFrame:
+    """The instants ``ts`` of one feed's heartbeats."""
+    return beats.where(F.col("feed") == feed).select(parse_iso(F.col("event_time")).alias("ts")).where(F.col("ts").isNotNull())
+
+
+def clock_heartbeats(spark: SparkSession, idle_after: str, rows_per_second: int = 1) -> DataFrame:
+    """Heartbeats by the clock, ``idle_after`` (an interval) behind it, for feeds whose events arrive
+    within that time: a feed silent for longer no longer holds the watermark. Events that arrive
+    later than ``idle_after`` may then be late, so it is not for replays of old events."""
+    clock = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    return clock.select((F.col("timestamp") - F.expr(f"INTERVAL {idle_after}")).alias("ts"))

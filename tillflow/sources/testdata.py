@@ -28,6 +28,7 @@ NOT_A_SALE_EVENT_TYPE = "click"
 EVENTS_WEEK_AS_OF = dt.date(2024, 1, 17)  # week [2024-01-10, 2024-01-17)
 ORDERS_BOOKS_PRIORITY = "1-URGENT"
 ORDERS_GROCERIES_PRIORITY = "2-HIGH"
+LATE_DELIVERY = "event_id % 10 = 3"  # delivered after all other events
 ORDERS_PERIOD = (dt.datetime(1996, 1, 1), dt.datetime(1997, 1, 1))
 
 
@@ -118,3 +119,9 @@ def messages(feed: DataFrame) -> DataFrame:
 def hot_user(feed: DataFrame) -> DataFrame:
     """A third of the rows on one user."""
     return feed.withColumn("user_id", F.when((F.col("event_id").cast("long") % 3 == 0) & (F.col("user_id") != ""), F.lit("1")).otherwise(F.col("user_id")))
+
+
+def heartbeats(events: DataFrame) -> DataFrame:
+    """Heartbeats of the groceries feed: an ``error`` event lost its payload and tells the time only."""
+    lost = events.where(F.col("event_type") == NO_PAYLOAD_EVENT_TYPE)
+    return lost.select(F.lit("groceries").alias("feed"), iso_micros_of_ntz("ts").alias("event_time"))

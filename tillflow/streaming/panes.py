@@ -16,11 +16,22 @@ Panes accumulate: each holds the whole session so far. The session is named by
 its oldest event (ties in time: smaller id); the total is summed in double and
 narrowed to float.
 
-Late rule: an event is dropped when ``ts + gap <= watermark`` (its own window is
-already behind), checked here against the current watermark; Spark's own filter
-uses the previous batch's. The watermark column is ``close_ts = ts + gap`` with
+Late rule: an event is late when ``ts + gap + allowed lateness <= watermark`` (its own
+window is already behind), checked here against the current watermark; Spark's own
+filter uses the previous batch's. The watermark column is ``close_ts = ts + gap`` with
 delay ``gap + lateness``, which makes the watermark the newest event time minus
-the lateness.
+the lateness. Late events are dropped, or come out as rows of their own with
+``late_rows``.
+
+Allowed lateness: a closed session stays in the state until its end plus
+``allowed_lateness``. An event that reaches it until then, or whose own window is past
+but not by that much, gives a corrected pane of the whole session. As in the
+reference such a pane is marked open (only the pane at the watermark isn't); its
+``timing`` is LATE. A session that such an event joins to one still open is open again
+and closes once more.
+
+Silent feeds: a feed without rows holds the watermark. ``mark_feed(..., heartbeats=...)``
+adds rows that carry only a time; they move the feed's watermark and leave before the state.
 
 State per user: the open sessions (a handful: they close as the watermark
 moves) and, only with ``include_events``, their events. Keyed state puts one
@@ -53,10 +64,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tillflow.functions.checks import REASON_LATE
 from tillflow.functions.time import iso_millis, micros
 from tillflow.operators.sessions import SESSION_GAP, gap_micros
 from tillflow.schemas import EVENT
@@ -70,6 +82,7 @@ _SESSION_STATE = T.StructType(
         T.StructField("n", T.LongType()),
         T.StructField("first_o_us", T.LongType()),  # order time: naming and pane bounds
         T.StructField("last_o_us", T.LongType()),
+        T.StructField("closed", T.BooleanType()),  # its closed pane is out; kept for allowed lateness
     ]
 )
 _EVENT_STATE = T.StructType(list(EVENT.fields) + [T.StructField("t_us", T.LongType()),
@@ -85,6 +98,8 @@ _RAW_PANE = T.StructType(
         T.StructField("window_open", T.BooleanType()),
         T.StructField("event_count", T.LongType()),
         T.StructField("events", T.ArrayType(EVENT), True),
+        T.StructField("timing", T.StringType()),
+        T.StructField("late", EVENT, True),  # a late event; no pane then
         T.StructField("total_nan", T.BooleanType()),  # pandas -> Arrow turns NaN into null
     ]
 )
@@ -116,7 +131,7 @@ def _py(v):
 class _SessionBook:
     """The session rules, shared by both stateful engines below.
 
-    A session is ``[start, last, first_id, total, n, first_o, last_o]``. Two
+    A session is ``[start, last, first_id, total, n, first_o, last_o, closed]``. Two
     times per event, as in the reference: the *session time* ``t`` (the message
     time there) places it in a session, drives lateness and the timer; the
     *order time* ``o`` (the payload's event time) orders the events, names the
@@ -125,19 +140,25 @@ class _SessionBook:
     window ``[start, last + gap)`` overlaps its own ``[t, t + gap)``, merging them.
     """
 
-    def __init__(self, gap_us: int, per_event: bool, include_events: bool):
+    def __init__(self, gap_us: int, per_event: bool, include_events: bool, allowed_us: int = 0, late_rows: bool = False):
         self.gap_us = gap_us
         self.per_event = per_event
         self.include_events = include_events
+        self.allowed_us = allowed_us
+        self.late_rows = late_rows
+
+    def due(self, s: list) -> int:
+        """When a session closes, or when a closed one leaves the state."""
+        return s[1] + self.gap_us + (self.allowed_us if s[7] else 0)
 
     def timer_ms(self, sessions: list[list]) -> int | None:
-        """Earliest end among the open sessions, in ms rounded up (the one timer of a user)."""
+        """Earliest time at which a session is due, in ms rounded up (the one timer of a user)."""
         if not sessions:
             return None
-        return -(-(min(s[1] for s in sessions) + self.gap_us) // 1000)
+        return -(-min(map(self.due, sessions)) // 1000)
 
     def pane(self, key, s: list, is_open: bool, events: list[dict]) -> tuple:
-        start, last, first_id, total, n, first_o, last_o = s
+        start, last, first_id, total, n, first_o, last_o, closed = s
         # open: newest order time so far; closed: the window's last instant (end - 1 ms)
         end_us = last_o if is_open else last + self.gap_us - 1000
         evs = None
@@ -145,15 +166,18 @@ class _SessionBook:
             mine = [e for e in events if start <= e["t_us"] <= last]
             mine.sort(key=lambda e: (e["o_us"], e["event_id"]))
             evs = [{c: e[c] for c in _EVENT_COLS} for e in mine]
-        return (first_id, key, first_o, end_us, total, is_open, n, evs)
+        timing = ("LATE" if closed else "EARLY") if is_open else "ON_TIME"
+        return (first_id, key, first_o, end_us, total, is_open, n, evs, timing, None)
 
     def close_due(self, key, due_us: int, sessions: list[list], events: list[dict], out: list[tuple]):
-        """Emit a closed pane for every session whose end is at or before ``due_us``."""
+        """Emit a closed pane for every open session whose end is at or before ``due_us``;
+        closed ones stay until the allowed lateness is over as well."""
         keep = []
         for s in sorted(sessions, key=lambda s: s[0]):
-            if s[1] + self.gap_us <= due_us:
+            if not s[7] and s[1] + self.gap_us <= due_us:
                 out.append(self.pane(key, s, False, events))
-            else:
+                s[7] = True
+            if self.due(s) > due_us:
                 keep.append(s)
         if self.include_events and len(keep) != len(sessions):
             events = [e for e in events if any(s[0] <= e["t_us"] <= s[1] for s in keep)]
@@ -162,7 +186,7 @@ class _SessionBook:
     def add(self, key, batch: pd.DataFrame, wm_us: int, sessions: list[list], events: list[dict],
             out: list[tuple]):
         """Apply a user's events of one micro-batch in (time, id) order; late ones
-        (``t + gap <= wm``) are dropped.
+        (``t + gap + allowed lateness <= wm``) are dropped or put out as they are.
 
         Open sessions never overlap, so they are kept sorted by start. The events are
         cut into runs (local sessions); a run that meets no open session, or only
@@ -171,7 +195,11 @@ class _SessionBook:
         gap = self.gap_us
         t_all, o_all = batch["t_us"].to_numpy(), batch["o_us"].to_numpy()
         ids_all, prices = batch["event_id"].to_numpy(), batch["price"].to_numpy()
-        keep_rows = np.flatnonzero(t_all + gap > wm_us)
+        in_time = t_all + gap + self.allowed_us > wm_us
+        keep_rows = np.flatnonzero(in_time)
+        if self.late_rows and len(keep_rows) < len(in_time):
+            rows = batch.loc[~in_time, _EVENT_COLS].astype(object).to_dict("records")
+            out.extend((None, key, *[None] * 7, {c: _py(v) for c, v in row.items()}) for row in rows)
         if not len(keep_rows):
             return sessions, events
         order = keep_rows[np.lexsort((ids_all[keep_rows], t_all[keep_rows]))]
@@ -184,15 +212,15 @@ class _SessionBook:
             run = order[lo:hi]
             j = bisect.bisect_left(starts, int(times[hi - 1]) + gap)  # sessions[:j] start before the run's end
             met = [s for s in sessions[max(0, j - 2) : j] if s[1] + gap > times[lo]]
-            later = len(met) > 1 or met and (met[0][1] > times[lo] or met[0][6] > o_all[run[0]])
+            later = len(met) > 1 or met and (met[0][1] > times[lo] or met[0][6] > o_all[run[0]] or met[0][7]) or times[lo] + gap <= wm_us
             if self.include_events or later or (o_all[run] != t_all[run]).any():
-                self._add_each(key, batch, run, sessions, starts, touched, events, out)
+                self._add_each(key, batch, run, wm_us, sessions, starts, touched, events, out)
                 continue
             if met:
                 s = met[0]
             else:
                 first = int(times[lo])
-                s = [first, first, _py(ids_all[run[0]]), 0.0, 0, first, first]
+                s = [first, first, _py(ids_all[run[0]]), 0.0, 0, first, first, False]
                 k = bisect.bisect_left(starts, first)
                 sessions.insert(k, s)
                 starts.insert(k, first)
@@ -201,7 +229,7 @@ class _SessionBook:
             totals = np.cumsum(np.r_[s[3], prices[run].astype(np.float64)])[1:]
             if self.per_event:
                 counts = range(s[4] + 1, s[4] + 1 + len(run))
-                out.extend((s[2], key, s[5], t, total, True, n, None) for t, total, n in zip(times[lo:hi].tolist(), totals.tolist(), counts))
+                out.extend((s[2], key, s[5], t, total, True, n, None, "EARLY", None) for t, total, n in zip(times[lo:hi].tolist(), totals.tolist(), counts))
             last = int(times[hi - 1])
             s[1], s[6], s[3], s[4] = max(s[1], last), max(s[6], last), float(totals[-1]), s[4] + len(run)
             touched[id(s)] = s
@@ -209,8 +237,8 @@ class _SessionBook:
             out.extend(self.pane(key, s, True, events) for s in touched.values())
         return sessions, events
 
-    def _add_each(self, key, batch: pd.DataFrame, run: np.ndarray, sessions: list[list], starts: list, touched: dict,
-                  events: list[dict], out: list[tuple]) -> None:
+    def _add_each(self, key, batch: pd.DataFrame, run: np.ndarray, wm_us: int, sessions: list[list], starts: list,
+                  touched: dict, events: list[dict], out: list[tuple]) -> None:
         """Apply sorted events one by one; each can only touch the (at most two)
         open sessions next to it, found by binary search."""
         gap = self.gap_us
@@ -218,7 +246,7 @@ class _SessionBook:
         ids_all, prices = batch["event_id"].to_numpy(), batch["price"].to_numpy()
         for i in run:
             t, o = int(t_all[i]), int(o_all[i])
-            merged = [t, t, _py(ids_all[i]), float(prices[i]), 1, o, o]
+            merged = [t, t, _py(ids_all[i]), float(prices[i]), 1, o, o, False]
             j = bisect.bisect_left(starts, t + gap)  # sessions[:j] start before t + gap
             hits = [h for h in (j - 2, j - 1) if h >= 0 and sessions[h][1] + gap > t]
             for h in hits:
@@ -234,6 +262,7 @@ class _SessionBook:
             for h in reversed(hits):
                 del sessions[h]
                 del starts[h]
+            merged[7] = merged[1] + gap <= wm_us  # past already: what it gives is a late pane
             k = bisect.bisect_left(starts, merged[0])
             sessions.insert(k, merged)
             starts.insert(k, merged[0])
@@ -251,9 +280,10 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 
 def _frames(rows: list[tuple], size: int = 50_000) -> Iterator[pd.DataFrame]:
-    """Output frames of bounded size."""
-    for i in range(0, len(rows), size):
-        yield _frame(rows[i : i + size])
+    """Output frames of bounded size; panes and late events apart, as an event has no pane's numbers."""
+    for part in ([r for r in rows if r[-1] is None], [r for r in rows if r[-1] is not None]):
+        for i in range(0, len(part), size):
+            yield _frame(part[i : i + size])
 
 
 def _whole(chunks) -> pd.DataFrame:
@@ -266,8 +296,8 @@ class SessionPanes(StatefulProcessor):
     """``transformWithStateInPandas`` engine: list state per user and one event-time timer
     at the earliest end among its open sessions."""
 
-    def __init__(self, gap_us: int, per_event: bool = True, include_events: bool = False):
-        self.book = _SessionBook(gap_us, per_event, include_events)
+    def __init__(self, book: _SessionBook):
+        self.book = book
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -316,9 +346,9 @@ class SessionPanes(StatefulProcessor):
         sessions, events = self._load()
         out: list[tuple] = []
         due = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
-        before = len(sessions)
+        before = [(len(sessions), s[7]) for s in sessions]
         sessions, events = self.book.close_due(user, due, sessions, events, out)
-        if len(sessions) != before:
+        if [(len(sessions), s[7]) for s in sessions] != before:
             self._save(sessions, events, None, fired=True)
         elif sessions:
             self.handle.registerTimer(self.book.timer_ms(sessions))
@@ -336,10 +366,10 @@ _GROUP_STATE = T.StructType(
 )
 
 
-def _group_state_fn(gap_us: int, per_event: bool, include_events: bool):
+def _group_state_fn(book: _SessionBook):
     """``applyInPandasWithState`` engine: state travels with the Arrow batches and the
     event-time timeout is the user's one timer."""
-    book = _SessionBook(gap_us, per_event, include_events)
+    include_events = book.include_events
 
     def run(key, frames, state):
         _quiet_pandas_concat()
@@ -367,12 +397,32 @@ def _group_state_fn(gap_us: int, per_event: bool, include_events: bool):
     return run
 
 
-def mark_feed(events: DataFrame, gap: str | int = SESSION_GAP, lateness: str | int = "0 seconds", time_col: str = "ts") -> DataFrame:
+def with_heartbeats(events: DataFrame, heartbeats: DataFrame, time_col: str = "ts") -> DataFrame:
+    """A feed's events and its heartbeats (rows with an instant ``ts``), which have nothing but
+    ``time_col``; ``beat_us`` is their time and null for events."""
+    beat = F.col("ts")
+    rows = heartbeats.select(*[(beat if f.name == time_col else F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema], micros(beat).alias("beat_us"))
+    return events.withColumn("beat_us", F.lit(None).cast("long")).unionByName(rows)
+
+
+def without_heartbeats(marked: DataFrame, time_us: Column) -> DataFrame:
+    """The events alone. The test reads the watermark's column (``time_us`` comes from it), so
+    the optimizer keeps it above the watermark, which has then seen the heartbeats."""
+    return marked.where(~F.col("beat_us").eqNullSafe(time_us)).drop("beat_us")
+
+
+def mark_feed(events: DataFrame, gap: str | int = SESSION_GAP, lateness: str | int = "0 seconds", time_col: str = "ts",
+              heartbeats: DataFrame | None = None) -> DataFrame:
     """One feed of valid events with its own watermark, for the union given to
-    ``session_panes_stream(..., marked=True)``."""
+    ``session_panes_stream(..., marked=True)``.
+
+    ``heartbeats`` is a stream of instants ``ts`` up to which the feed is known to be complete
+    (``read_heartbeats``, ``clock_heartbeats``): they move the watermark when no events come."""
     gap_us = gap_micros(gap)
     close = F.col(time_col) + F.expr(f"INTERVAL {gap_us} MICROSECONDS")
-    return events.withColumn("close_ts", close).withWatermark("close_ts", f"{gap_us + gap_micros(lateness)} microseconds")
+    feed = events if heartbeats is None else with_heartbeats(events, heartbeats, time_col)
+    marked = feed.withColumn("close_ts", close).withWatermark("close_ts", f"{gap_us + gap_micros(lateness)} microseconds")
+    return marked if heartbeats is None else without_heartbeats(marked, micros(F.col("close_ts")) - gap_us)
 
 
 def session_panes_stream(
@@ -385,6 +435,8 @@ def session_panes_stream(
     engine: str = "group_state",
     order_col: str | None = None,
     marked: bool = False,
+    allowed_lateness: str | int = "0 seconds",
+    late_rows: bool = False,
 ) -> DataFrame:
     """Open and closed panes of a stream of valid events (feed columns plus an instant ``ts``).
 
@@ -397,6 +449,11 @@ def session_panes_stream(
     (naming, pane bounds, event order; the payload's event time). ``order_col``
     defaults to ``time_col``. ``marked`` says that the events come from feeds marked
     with ``mark_feed`` (same gap, lateness and time column).
+
+    ``lateness`` holds the watermark back for all; ``allowed_lateness`` keeps closed sessions
+    for events that come after it, and adds the column ``timing`` (EARLY, ON_TIME, LATE).
+    With ``late_rows`` events beyond that come out as rows of their own, whose column ``late``
+    holds the event and whose pane columns but user_id are null.
     """
     from tillflow.runtime import require_rocksdb_state
 
@@ -406,19 +463,20 @@ def session_panes_stream(
         *[F.col(c) for c in _EVENT_COLS],
         micros(F.col(time_col)).alias("t_us"),
         micros(F.col(order_col or time_col)).alias("o_us"),
-        "close_ts",
+        _unfiltered("close_ts") if late_rows or gap_micros(allowed_lateness) else F.col("close_ts"),
     )
+    book = _SessionBook(gap_us, per_event, include_events, gap_micros(allowed_lateness), late_rows)
     grouped = prepared.groupBy("user_id")
     if engine == "transform_with_state":
         raw = grouped.transformWithStateInPandas(
-            statefulProcessor=SessionPanes(gap_us, per_event, include_events),
+            statefulProcessor=SessionPanes(book),
             outputStructType=_RAW_PANE,
             outputMode="Append",
             timeMode="EventTime",
         )
     else:
         raw = grouped.applyInPandasWithState(
-            _group_state_fn(gap_us, per_event, include_events),
+            _group_state_fn(book),
             outputStructType=_RAW_PANE,
             stateStructType=_GROUP_STATE,
             outputMode="append",
@@ -434,7 +492,32 @@ def session_panes_stream(
         "window_open",
         "event_count",
         "events",
+        *(["timing"] if gap_micros(allowed_lateness) else []),
+        *(["late"] if late_rows else []),
+    )
+
+
+def _unfiltered(close: str) -> Column:
+    """A null column that stands for the watermark's: the stateful operator knows of the
+    watermark by it, but Spark's filter finds no row late, so that all rows reach the operator,
+    which tells late ones by the current watermark."""
+    return F.lit(None).cast("timestamp").alias(close, metadata={"spark.watermarkDelayMs": 0})
+
+
+def with_rejects(panes: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Panes, late events (``session_panes_stream(..., late_rows=True)``) and rejected events
+    as one stream for one sink: kind ("panes" or "quarantine"), pane, event, reason."""
+    late = F.col("late").isNotNull()
+    pane = F.struct(*[c for c in panes.columns if c != "late"])
+    out = panes.select(
+        F.when(late, "quarantine").otherwise("panes").alias("kind"), F.when(~late, pane).alias("pane"),
+        F.col("late").alias("event"), F.when(late, REASON_LATE).alias("reason"),
+    )
+    others = rejected.select(
+        F.lit("quarantine").alias("kind"), F.lit(None).cast(out.schema["pane"].dataType).alias("pane"),
+        F.struct(*_EVENT_COLS).alias("event"), "reason",
     )
+    return out.unionByName(others)
 
 
 def as_messages(panes: DataFrame) -> DataFrame:

@@ -40,17 +40,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tillflow.functions.time import window_max_timestamp
+from tillflow.functions.time import micros, window_max_timestamp
 from tillflow.operators.sessions import SESSION_GAP, gap_micros
 from tillflow.schemas import EVENT
+from tillflow.streaming.panes import with_heartbeats, without_heartbeats
 
 LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
-def mark_feed_time(events: DataFrame, gap: str | int = SESSION_GAP, lateness: str | int = "0 seconds", time_col: str = "ts") -> DataFrame:
+def mark_feed_time(events: DataFrame, gap: str | int = SESSION_GAP, lateness: str | int = "0 seconds", time_col: str = "ts",
+                   heartbeats: DataFrame | None = None) -> DataFrame:
     """One feed with its own watermark, for the union given to ``closed_sessions(..., marked=True)``:
-    the slowest feed then holds the watermark."""
-    return events.withWatermark(time_col, f"{gap_micros(gap) + gap_micros(lateness)} microseconds")
+    the slowest feed then holds the watermark. ``heartbeats`` (instants ``ts``) move it when the feed is silent."""
+    feed = events if heartbeats is None else with_heartbeats(events, heartbeats, time_col)
+    marked = feed.withWatermark(time_col, f"{gap_micros(gap) + gap_micros(lateness)} microseconds")
+    return marked if heartbeats is None else without_heartbeats(marked, micros(F.col(time_col)))
 
 
 def closed_panes(sessions: DataFrame) -> DataFrame:
