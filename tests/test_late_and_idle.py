@@ -1,0 +1,221 @@
+"""Silent feeds, late events as an output, and corrected panes within an allowed lateness."""
+
+import datetime as dt
+import os
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import at, event, replay_dir
+from tillflow.operators.cleaning import quarantined_events, valid_events
+from tillflow.plans.session_job import main, start_session_job
+from tillflow.schemas import EVENT, HEARTBEAT
+from tillflow.sinks import streams as sinks
+from tillflow.sinks.streams import read_output, write_batches_idempotent, write_files
+from tillflow.sources.streams import clock_heartbeats, read_event_feed, read_heartbeats, union_feeds
+from tillflow.streaming.panes import _EVENT_COLS, _SessionBook, mark_feed, session_panes_stream, with_rejects
+from tillflow.streaming.sessions import closed_panes, closed_sessions, mark_feed_time
+
+ENGINES = ["group_state", "transform_with_state"]
+GAP_MIN = 10
+
+
+class PlainSessions:
+    """The rules one event at a time: (timing, user, ids, start, end or newest time) of panes, ("late", id) of late events."""
+
+    def __init__(self, gap, allowed):
+        self.gap, self.allowed, self.open, self.out = gap, allowed, {}, []
+
+    def pane(self, user, s, timing):
+        ids = sorted(s["events"])
+        self.out.append((timing, user, tuple(i for _, i in ids), ids[0][0], s["last"] + self.gap if timing == "ON_TIME" else s["last"]))
+
+    def batch(self, events, mark):
+        for user, sessions in self.open.items():
+            for s in sessions:
+                if not s["closed"] and s["last"] + self.gap <= mark:
+                    self.pane(user, s, "ON_TIME")
+                    s["closed"] = True
+            self.open[user] = [s for s in sessions if s["last"] + self.gap + (self.allowed if s["closed"] else 0) > mark]
+        for t, i, user in sorted(events):
+            if t + self.gap + self.allowed <= mark:
+                self.out.append(("late", i))
+                continue
+            mine = self.open.setdefault(user, [])
+            hits = [s for s in mine if s["start"] < t + self.gap and s["last"] + self.gap > t]
+            merged = {"start": min([t, *(s["start"] for s in hits)]), "last": max([t, *(s["last"] for s in hits)]), "events": [(t, i), *(e for s in hits for e in s["events"])]}
+            merged["closed"] = merged["last"] + self.gap <= mark
+            self.open[user] = [s for s in mine if s not in hits] + [merged]
+            self.pane(user, merged, "LATE" if merged["closed"] else "EARLY")
+
+
+def random_batches(seed, users, batches=6, size=25):
+    """(minute, id, user), later from batch to batch, with stragglers of all ages."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for b in range(batches):
+        t = b * 30 + rng.integers(0, 30, size) - np.where(rng.random(size) < 0.3, rng.integers(0, 90, size), 0)
+        out.append([(int(x) + 200, f"{b}-{n:02d}", f"u{rng.integers(users)}") for n, x in enumerate(t)])
+    return out
+
+
+@pytest.mark.parametrize("allowed", [0, 15, 40])
+@pytest.mark.parametrize("events_too", [False, True])
+def test_rules_against_one_event_at_a_time(allowed, events_too):
+    for seed in range(60):
+        plain, book = PlainSessions(GAP_MIN, allowed), _SessionBook(GAP_MIN, True, events_too, allowed, True)
+        sessions, events, got, mark = [], [], [], 0
+        for rows in random_batches(seed, 1):
+            plain.batch([(t, i, "u0") for t, i, _ in rows], mark)
+            sessions, events = book.close_due("u0", mark, sessions, events, got)
+            frame = pd.DataFrame({"event_id": [i for _, i, _ in rows], "event_time": "", "user_id": "u0", "price": np.float32(1), "event_type": "x",
+                                  "t_us": [t for t, _, _ in rows], "o_us": [t for t, _, _ in rows]})
+            sessions, events = book.add("u0", frame, mark, sessions, events, got)
+            mark = max(mark, max(t for t, _, _ in rows))
+        want = [("late", x[1]) if x[0] == "late" else (x[0], x[2][0], len(x[2]), x[3]) for x in plain.out]
+        have = [("late", r[9]["event_id"]) if r[9] else (r[8], r[0], r[6], r[2]) for r in got]
+        assert sorted(have, key=repr) == sorted(want, key=repr)
+        assert all(r[5] == (r[8] != "ON_TIME") for r in got if not r[9])  # only the pane at the watermark is not open
+        if events_too:
+            ids = sorted(tuple(e["event_id"] for e in r[7]) for r in got if r[8] == "LATE")
+            assert ids == sorted(x[2] for x in plain.out if x[0] == "LATE")
+
+
+@pytest.mark.parametrize("engine", ENGINES)
+@pytest.mark.parametrize("allowed", ["0 seconds", "50 minutes"])
+def test_all_rows_come_out_once(spark, workdir, engine, allowed):
+    """Open panes, late events and rejected events of one query add up to the input; all as the plain rules say."""
+    batches = random_batches(4, 3, size=40)
+    rows = [[event(i, at(t), user=u) for t, i, u in b] for b in batches]
+    rows[1].append(event("bad", "", user="u1"))
+    feed = read_event_feed(spark, replay_dir(spark, os.path.join(workdir, "src"), rows), max_files_per_trigger=1)
+    panes = session_panes_stream(valid_events(feed), engine=engine, allowed_lateness=allowed, late_rows=True).drop("events")
+    both = with_rejects(panes, quarantined_events(feed))
+    path = os.path.join(workdir, "out")
+    write_batches_idempotent(both, path, os.path.join(workdir, "chk"), partition_by=("kind",)).awaitTermination()
+    plain, mark = PlainSessions(GAP_MIN, 50 if allowed != "0 seconds" else 0), 0
+    for b in batches:
+        plain.batch(b, mark)
+        mark = max(mark, max(t for t, _, _ in b))
+    plain.batch([], mark)
+    quarantine = read_output(spark, path, "quarantine", both).collect()
+    assert sorted((r.event_id, r.reason) for r in quarantine) == sorted([("bad", "no event time"), *((x[1], "late") for x in plain.out if x[0] == "late")])
+    assert all(r.price == 1.0 and r.event_type == "GROCERY_SALE" and r.user_id for r in quarantine)
+    got = read_output(spark, path, "panes", both)
+    opens = got.where("window_open").count()
+    assert opens + len(quarantine) == sum(map(len, rows))
+    minutes = lambda t: (t - dt.datetime(1970, 1, 1)).total_seconds() / 60
+    have = [(r.window_open, r.user_id, r.window_id, r.event_count, minutes(r.window_start), minutes(r.window_end)) for r in got.collect()]
+    want = [(x[0] != "ON_TIME", x[1], x[2][0], len(x[2]), x[3], x[4] - (0.001 / 60 if x[0] == "ON_TIME" else 0)) for x in plain.out if x[0] != "late"]
+    assert len(have) == len(want) and np.allclose([h[4:] for h in sorted(have)], [w[4:] for w in sorted(want)]) and [h[:4] for h in sorted(have)] == [w[:4] for w in sorted(want)]
+    assert ("timing" in got.columns) == (allowed != "0 seconds")
+    if "timing" in got.columns:
+        assert {(r.timing, r["count"]) for r in got.groupBy("timing").count().collect()} == {(k, sum(x[0] == k for x in plain.out)) for k in ("EARLY", "ON_TIME", "LATE")}
+        assert sum(x[0] == "LATE" for x in plain.out) > 2
+
+
+def test_late_prices_keep_nan_and_nulls():
+    book = _SessionBook(10, True, False, 0, True)
+    frame = pd.DataFrame({"event_id": ["a", "b"], "event_time": ["x", "y"], "user_id": "u", "price": np.array([np.nan, 2], np.float32), "event_type": [None, "t"], "t_us": [1, 2], "o_us": [1, 2]})
+    out = []
+    assert book.add("u", frame, 100, [], [], out) == ([], [])
+    assert [list(r[9]) for r in out] == [_EVENT_COLS] * 2 and np.isnan(out[0][9]["price"]) and out[1][9] == {"event_id": "b", "event_time": "y", "user_id": "u", "price": 2.0, "event_type": "t"}
+
+
+def beats(spark, workdir, batches, feed="groceries"):
+    src = replay_dir(spark, os.path.join(workdir, "beats"), [[(feed, t if isinstance(t, str) else t.strftime("%Y-%m-%dT%H:%M:%SZ")) for t in b] for b in batches], schema=HEARTBEAT)
+    return src
+
+
+@pytest.mark.parametrize("engine", [*ENGINES, "session_window"])
+def test_a_silent_feed_with_heartbeats_closes_sessions(spark, workdir, engine):
+    books = replay_dir(spark, os.path.join(workdir, "b"), [[event("b1", at(1))], [event("b2", at(4))], [event("b3", at(200))], [event("b4", at(900))]])
+    quiet = replay_dir(spark, os.path.join(workdir, "g"), [[]])
+    said = beats(spark, workdir, [[at(0)], [at(2), "no time"], [at(100)], [at(600)]])
+    mark = mark_feed_time if engine == "session_window" else mark_feed
+
+    def run(name, heartbeats):
+        feeds = [mark(valid_events(read_event_feed(spark, books, max_files_per_trigger=1))), mark(valid_events(read_event_feed(spark, quiet)), heartbeats=heartbeats)]
+        valid = union_feeds(*feeds)
+        out = closed_panes(closed_sessions(valid, marked=True)) if engine == "session_window" else session_panes_stream(valid, engine=engine, marked=True)
+        write_files(out, os.path.join(workdir, name), os.path.join(workdir, name + "_chk")).awaitTermination()
+        return spark.read.schema(out.schema).parquet(os.path.join(workdir, name))
+
+    assert run("without", None).where("NOT window_open").count() == 0
+    rows = run("with", read_heartbeats(spark, said, "groceries", max_files_per_trigger=1))
+    assert [(r.window_id, r.event_count) for r in rows.where("NOT window_open").orderBy("window_start").collect()] == [("b1", 2), ("b3", 1)]
+    assert rows.where("user_id IS NULL").count() == 0 and rows.where("window_open").count() == (0 if engine == "session_window" else 4)
+    # those of another feed don't count
+    assert run("other", read_heartbeats(spark, said, "books", max_files_per_trigger=1)).where("NOT window_open").count() == 0
+
+
+def test_heartbeats_by_the_clock(spark, workdir):
+    q = clock_heartbeats(spark, "5 minutes", 20).writeStream.format("parquet").option("path", f"{workdir}/o").option("checkpointLocation", f"{workdir}/c").start()
+    try:
+        q.awaitTermination(6)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    age = spark.read.parquet(f"{workdir}/o").agg(F.min(F.unix_timestamp() - F.unix_seconds("ts")), F.count("*")).first()
+    assert 290 <= age[0] <= 330 and age[1] > 0
+
+
+def test_job_with_heartbeats_and_late_rows(spark, workdir):
+    books = replay_dir(spark, os.path.join(workdir, "b"), [[event("b1", at(1)), event("x", "", user="y")], [event("b2", at(60))], [event("b3", at(2)), event("b4", at(45))], [event("b5", at(300))]])
+    groceries = replay_dir(spark, os.path.join(workdir, "g"), [[]])
+    said = beats(spark, workdir, [[at(10)], [at(90)], [at(90)], [at(400)]])
+    base = os.path.join(workdir, "job")
+    args = ["--books", books, "--groceries", groceries, "--panes", f"{base}/p", "--quarantine", f"{base}/q", "--checkpoint", f"{base}/c", "--max-files", "1", "--heartbeats", said]
+    main([*args, "--late-rows", "--allowed-lateness", "30 minutes"])
+    rows = spark.read.parquet(f"{base}/p")
+    assert sorted((r.event.event_id, r.reason) for r in rows.where("kind = 'quarantine'").collect()) == [("b3", "late"), ("x", "no event time")]
+    panes = rows.where("kind = 'panes'").select("pane.*", "batch_id")
+    assert [(r.window_id, r.window_end) for r in panes.where("NOT window_open").orderBy("window_start").collect()] == [("b1", "1970-01-01T00:10:59.999Z"), ("b2", "1970-01-01T01:09:59.999Z")]
+    assert [(r.window_id, r.timing) for r in panes.where("timing = 'LATE'").collect()] == [("b4", "LATE")]
+    for bad in ({"early_panes": False, "late_rows": True}, {"heartbeats": said, "idle_after": "1 minute"}, {"kafka": "x", "late_rows": True}):
+        with pytest.raises(ValueError):
+            start_session_job(spark, books, groceries, "p", "q", "c", **bad)
+
+
+def test_a_batch_whose_commit_is_lost_is_written_once(spark, workdir, monkeypatch):
+    """A failure after a batch was written and before it was committed: the replay replaces both outputs of that batch."""
+    rows = [[event("a", at(1))], [event("b", at(60)), event("bad", "")], [event("c", at(5)), event("d", at(61))], [event("z", at(300))]]
+    src = replay_dir(spark, os.path.join(workdir, "src"), rows)
+    real, failing = sinks.batch_writer, {1, 2}
+
+    def writer(*a):
+        write = real(*a)
+
+        def run(batch, batch_id):
+            write(batch, batch_id)
+            if batch_id in failing:
+                failing.discard(batch_id)
+                raise RuntimeError("lost")
+
+        return run
+
+    monkeypatch.setattr(sinks, "batch_writer", writer)
+
+    def start(name):
+        feed = read_event_feed(spark, src, max_files_per_trigger=1)
+        both = with_rejects(session_panes_stream(valid_events(feed), late_rows=True).drop("events"), quarantined_events(feed))
+        write_batches_idempotent(both, os.path.join(workdir, name), os.path.join(workdir, name + "_chk"), partition_by=("kind",)).awaitTermination()
+        return [sorted(map(repr, read_output(spark, os.path.join(workdir, name), k, both).collect())) for k in ("panes", "quarantine")]
+
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            start("crashed")
+    got = start("crashed")
+    assert got == start("whole") and [len(x) for x in got] == [6, 2]
+
+
+def test_replay_of_an_empty_table(spark, workdir):
+    from tillflow.plans import queries
+    from tillflow.sources.testdata import EVENTS_SCHEMA
+
+    spark.createDataFrame([], EVENTS_SCHEMA).coalesce(1).write.parquet(f"{workdir}/events.parquet")
+    for name in ("streamed_panes_24h", "streamed_session_events", "streamed_panes_two_feeds", "streamed_panes_idle_feed", "streamed_late_events", "streamed_panes_lateness"):
+        assert queries.QUERIES[name](spark, workdir).collect() == []
+    assert EVENT.names == _EVENT_COLS

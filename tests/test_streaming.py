@@ -406,7 +406,7 @@ def test_runs_as_arrays_equal_events_one_by_one():
             run = [i for i in order if batch["t_us"].to_numpy()[i] + self.gap_us > wm_us]
             sessions = sorted(sessions, key=lambda s: s[0])
             touched = {}
-            self._add_each(key, batch, run, sessions, [s[0] for s in sessions], touched, events, out)
+            self._add_each(key, batch, run, wm_us, sessions, [s[0] for s in sessions], touched, events, out)
             if not self.per_event:
                 out.extend(self.pane(key, s, True, events) for s in touched.values())
             return sessions, events
