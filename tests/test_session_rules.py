@@ -10,7 +10,7 @@ from tillflow.streaming.panes import _SessionBook
 def _plain(gap, sessions, rows):
     out = []
     for t, o, eid, p in sorted(rows, key=lambda r: (r[0], r[2])):
-        merged = [t, t, eid, p, 1, o, o]
+        merged = [t, t, eid, p, 1, o, o, False]
         rest = []
         for s in sessions:
             if s[0] - gap < t < s[1] + gap:

@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -138,9 +139,12 @@ def test_session_plan_shuffles_events_once(spark):
     assert scan_plan.count("Exchange rangepartitioning") == 1 and "MapInArrow" in scan_plan
     for plan in (final_plan, event_plan, pane_plan):
         assert "FileScan parquet" in plan and "rangepartitioning" not in plan and "SortMergeJoin" not in plan
-    # the edges by user; for panes also one row for each session and partition
-    assert final_plan.count("Exchange hashpartitioning") == 1
-    assert "PartitionFilters: [isnotnull(edge" in event_plan
+    # only edges move, by user: once, or once for each of the two kinds of pane
+    assert final_plan.count("Exchange hashpartitioning") == event_plan.count("Exchange hashpartitioning") == 1
+    assert pane_plan.count("Exchange hashpartitioning") <= 2 and "Aggregate" not in pane_plan
+    for plan in (event_plan, pane_plan):
+        kinds = re.findall(r"PushedFilters: \[IsNotNull\(kind\), EqualTo\(kind,(\d)\)", plan)
+        assert set(kinds) == ({"0", "1"} if plan is event_plan else {"0", "1", "2"})
 
 
 def test_session_aggregates_are_hash_based(spark):
@@ -149,11 +153,10 @@ def test_session_aggregates_are_hash_based(spark):
     df = _to_spark(spark, pdf)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        for out in (sessions(df), session_panes(df)):
-            plan = out._jdf.queryExecution().executedPlan().toString()
-            assert "SortAggregate" not in plan and "HashAggregate" in plan
-        plan = session_event_rows(df)._jdf.queryExecution().executedPlan().toString()
-        assert "Aggregate" not in plan  # the scan sums up its own edges
+        plan = sessions(df)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+        for out in (session_event_rows(df), session_panes(df)):
+            assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()  # the scan sums up
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
@@ -187,8 +190,13 @@ def test_sessions_carry_across_arrow_batches(spark, batch_rows):
     try:
         got = sessions(df, gap, partitions=3).toPandas()
         rows = session_event_rows(df, gap, partitions=3).toPandas()
+        panes = session_panes(df, gap, partitions=3).toPandas()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    closed = panes[~panes.window_open]
+    assert sorted(zip(closed.user_id, closed.window_id, closed.event_count)) == sorted(zip(want.user_id, want.window_id, want.n))
+    last = panes[panes.window_open].sort_values("event_count").groupby(["user_id", "window_id"]).tail(1)
+    assert sorted(zip(closed.user_id, closed.window_id, closed.total_price)) == sorted(zip(last.user_id, last.window_id, last.total_price))
     assert sorted(zip(got.user_id, got.window_id, got.event_count)) == sorted(zip(want.user_id, want.window_id, want.n))
     assert np.allclose(sorted(got.total_price), sorted(want.total), atol=1e-6)
     for r in rows.itertuples(index=False):

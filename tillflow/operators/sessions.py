@@ -18,8 +18,8 @@ Plan, built so that no user's rows ever go to one task:
    local session (or the events tagged with their fragment, and at the end of the
    partition a summary of its first and last fragment). Memory is one batch, and
    ids, keys and extra columns never leave Arrow, so nulls and large integers stay.
-3. The scan's output is written once to the shared folder, edges and the rest
-   apart. Only the first and the last fragment of a partition can continue across
+3. The scan's output is written once to the shared folder, in the scan's order (a
+   column tells edges from the rest). Only the first and the last fragment of a partition can continue across
    a partition edge, so at most ``2P`` *edge* fragments are stitched with a window
    over the user's edges (a user spanning m partitions has at most 2m edges) and
    summed; inner fragments are already whole sessions and are not shuffled at all.
@@ -195,11 +195,29 @@ def _fragment_scan(gap_us: int):
     return run
 
 
-def _event_scan(gap_us: int, extra: tuple[str, ...]):
+#: Rows of the event scan: events, summaries of a partition's first and last fragment, of the others.
+_EVENT, _EDGE, _WHOLE = 0, 1, 2
+_EVENT_COLS = ["pid", "lsid", "k", "t_us", "eid", "p", "frag_first_t", "frag_first_eid", "frag_pos", "frag_running", "kind"]
+
+
+def _event_scan(gap_us: int, extra: tuple[str, ...], closings: bool):
     """Per sorted partition: every event tagged with its fragment, position and running
-    total; then a row ``edge`` for the partition's first and last fragment, with the
-    fragment's last time, size and total in these columns."""
-    names = ["pid", "lsid", "k", "t_us", "eid", "p", "frag_first_t", "frag_first_eid", "frag_pos", "frag_running", "edge", *extra]
+    total; with ``closings`` a summary of each inner fragment, a whole session, once it has ended; at
+    the end one of the partition's first and last fragment. In a summary the event columns
+    hold the fragment's last time, size and total."""
+    names = [*_EVENT_COLS, *extra]
+
+    def summary(kind: int, pid: int, lsid, k: pa.Array, last_t, first_t, first_e: pa.Array, n, total, kinds: list) -> pa.RecordBatch:
+        m = len(k)
+        return pa.record_batch(
+            [pa.array(np.full(m, pid, np.int32)), pa.array(lsid), k, pa.array(last_t), pa.nulls(m, first_e.type), pa.array(np.zeros(m)), pa.array(first_t),
+             first_e, pa.array(n), pa.array(total), pa.array(np.full(m, kind, np.int8)), *[pa.nulls(m, t) for t in kinds]],
+            names,
+        )
+
+    def ended(kind: int, pid: int, c: dict, kinds: list) -> pa.RecordBatch:
+        one = [np.array([c[x]]) for x in ("lsid", "last_t", "first_t", "n", "total")]
+        return summary(kind, pid, one[0], _one(c["k"]), one[1], one[2], _one(c["first_eid"]), one[3], one[4], kinds)
 
     def run(batches):
         carry = None
@@ -234,20 +252,23 @@ def _event_scan(gap_us: int, extra: tuple[str, ...]):
                 head_edge = _fragment_end(0, k, t, first_t, first_e, pos, running, int(starts[1]) - 1)
             yield pa.record_batch(
                 [pids, pa.array(frag), k, pa.array(t), e, p, pa.array(first_t), first_e, pa.array(pos), pa.array(running),
-                 pa.array(np.zeros(len(t), bool)), *passing],
+                 pa.array(np.full(len(t), _EVENT, np.int8)), *passing],
                 names,
             )
+            if closings:
+                if carry is not None and not cont and carry["lsid"] > 0:
+                    yield ended(_WHOLE, pid, carry, kinds)
+                last = starts[1:] - 1  # all fragments but the batch's last have ended here
+                last = last[frag[last] > 0]
+                if len(last):
+                    at = pa.array(last)
+                    yield summary(_WHOLE, pid, frag[last], k.take(at), t[last], first_t[last], first_e.take(at), pos[last], running[last], kinds)
             lsid = int(frag[-1])
             carry = _fragment_end(lsid, k, t, first_t, first_e, pos, running, len(t) - 1)
         if carry is None:
             return
         for c in [carry] if head_edge is None else [head_edge, carry]:
-            none = _one(pa.scalar(None, c["first_eid"].type))
-            yield pa.record_batch(
-                [pa.array([pid], pa.int32()), pa.array([c["lsid"]]), _one(c["k"]), pa.array([c["last_t"]]), none, pa.array([0.0]), pa.array([c["first_t"]]),
-                 _one(c["first_eid"]), pa.array([c["n"]]), pa.array([c["total"]]), pa.array([True]), *[pa.nulls(1, kind) for kind in kinds]],
-                names,
-            )
+            yield ended(_EDGE, pid, c, kinds)
 
     return run
 
@@ -276,23 +297,19 @@ def _event_schema(narrow: DataFrame, extra: tuple[str, ...]) -> T.StructType:
         T.StructField("frag_first_eid", s["eid"].dataType),
         T.StructField("frag_pos", T.LongType()),
         T.StructField("frag_running", T.DoubleType()),
-        T.StructField("edge", T.BooleanType()),
+        T.StructField("kind", T.ByteType()),
     ]
     return T.StructType(fields + [T.StructField(c, s[c].dataType) for c in extra])
 
 
-def _staged_scan(ranged: DataFrame, scan, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """The scan's output written once as Parquet, its edge rows in a folder of their own;
-    returns the other rows and the edges. A lost executor repeats no scan, and the
-    edges are read without the events."""
+def _staged_scan(ranged: DataFrame, scan, schema: T.StructType) -> DataFrame:
+    """The scan's output written once as Parquet, in its order and without another sort. A
+    lost executor repeats no scan; readers filter by the row kind, which Parquet's statistics prune."""
     from tillflow.runtime import scratch_path
 
-    spark = ranged.sparkSession
-    path = scratch_path(spark, "session_scan")
-    ranged.mapInArrow(scan, schema).write.partitionBy("edge").parquet(path)
-    rows = T.StructType([f for f in schema if f.name != "edge"])
-    read = spark.read.schema(T.StructType([*rows, schema["edge"]])).parquet(path)
-    return read.where(~F.col("edge")).drop("edge"), read.where(F.col("edge")).drop("edge")
+    path = scratch_path(ranged.sparkSession, "session_scan")
+    ranged.mapInArrow(scan, schema).write.parquet(path)
+    return ranged.sparkSession.read.schema(schema).parquet(path)
 
 
 def _edge_chains(edges: DataFrame, gap_us: int, partition_by: list[Column]) -> DataFrame:
@@ -344,7 +361,8 @@ def sessions(
     gap_us = gap_micros(gap)
     ntz = _is_ntz(events, time_col)
     narrow = _narrow(events, key, time_col, id_col, price_col, ())
-    whole, edges = _staged_scan(_ranged(narrow, partitions), _fragment_scan(gap_us), _fragment_schema(narrow))
+    scanned = _staged_scan(_ranged(narrow, partitions), _fragment_scan(gap_us), _fragment_schema(narrow))
+    whole, edges = scanned.where(~F.col("edge")), scanned.where(F.col("edge"))
     # Inner fragments are whole sessions: no shuffle.
     inner = whole.select(
         *_session_rows(F.col("k"), F.col("first_t"), F.col("first_eid"), F.col("last_t"), F.col("n"),
@@ -381,31 +399,37 @@ def session_event_rows(
     price, position (1-based, in (time, id) order) and running_total (sum so far).
 
     ``extra`` columns of the events are carried through. The tagged scan output is
-    written once to the shared folder, with the edge fragments apart from the events.
+    written once to the shared folder, with summaries of the edge fragments behind the events.
     """
-    gap_us = gap_micros(gap)
-    extra = tuple(extra)
+    ntz = _is_ntz(events, time_col)
+    scanned, edges = _event_parts(events, gap_micros(gap), key, time_col, id_col, price_col, tuple(extra), partitions, False)
+    return _event_rows(scanned, edges, key, time_col, id_col, price_col, tuple(extra), ntz)
+
+
+def _event_parts(events: DataFrame, gap_us: int, key: str, time_col: str, id_col: str, price_col: str, extra: tuple[str, ...],
+                 partitions: int | None, closings: bool) -> tuple[DataFrame, DataFrame]:
+    """The written event scan, and its edges with what the fragments before them in their session add up to."""
     narrow = _narrow(events, key, time_col, id_col, price_col, extra)
-    tagged, summaries = _staged_scan(_ranged(narrow, partitions), _event_scan(gap_us, extra), _event_schema(narrow, extra))
-    edges = summaries.select(
+    scanned = _staged_scan(_ranged(narrow, partitions), _event_scan(gap_us, extra, closings), _event_schema(narrow, extra))
+    edges = scanned.where(F.col("kind") == _EDGE).select(
         "pid", "lsid", "k", F.col("frag_first_t").alias("first_t"), F.col("t_us").alias("last_t"), F.col("frag_pos").alias("n"),
         F.col("frag_running").alias("total"), F.struct(F.col("frag_first_t").alias("t_us"), F.col("frag_first_eid").alias("eid")).alias("head"),
     )
-    chains = _edge_chains(edges, gap_us, [F.col("k")])
-
     chain_w = Window.partitionBy("k", "chain").orderBy("pid", "lsid")
     before = chain_w.rowsBetween(Window.unboundedPreceding, -1)
-    moved = (
-        chains.withColumn("off_n", F.sum("n").over(before))
-        .withColumn("off_total", F.sum("total").over(before))
+    return scanned, (
+        _edge_chains(edges, gap_us, [F.col("k")])
+        .withColumn("off_n", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .withColumn("off_total", F.coalesce(F.sum("total").over(before), F.lit(0.0)))
         .withColumn("chain_head", F.first("head").over(chain_w.rowsBetween(Window.unboundedPreceding, 0)))
-        .where(F.col("cont"))
-        .select("pid", "lsid", "off_n", "off_total",
-                F.col("chain_head.t_us").alias("h_first_t"), F.col("chain_head.eid").alias("h_first_eid"))
+        .withColumn("ends", F.lead("pid").over(chain_w).isNull())
     )
+
+
+def _event_rows(scanned: DataFrame, edges: DataFrame, key: str, time_col: str, id_col: str, price_col: str, extra: tuple[str, ...], ntz: bool) -> DataFrame:
+    moved = edges.where(F.col("cont")).select("pid", "lsid", "off_n", "off_total", F.col("chain_head.t_us").alias("h_first_t"), F.col("chain_head.eid").alias("h_first_eid"))
     moved = F.broadcast(moved)  # only first fragments of partitions: at most P - 1 rows
-    joined = tagged.join(moved, ["pid", "lsid"], "left")
-    ntz = _is_ntz(events, time_col)
+    joined = scanned.where(F.col("kind") == _EVENT).join(moved, ["pid", "lsid"], "left")
     return joined.select(
         F.col("k").alias(key),
         F.when(F.col("h_first_t").isNull(), F.col("frag_first_eid")).otherwise(F.col("h_first_eid")).alias("window_id"),  # an id may be null
@@ -462,27 +486,25 @@ def session_panes(
     Closed pane: window_end is the window's last instant, end - 1 ms.
     ``total_price`` is summed in double and narrowed to float.
     """
-    gap_us = gap_micros(gap)
-    rows = session_event_rows(events, gap_us, key, time_col, id_col, price_col, partitions=partitions)
-    open_panes = _open_panes(rows, key, time_col)
-    # Closed panes from the same (checkpointed) rows: the last event of each
-    # session carries its total. Partial aggregation collapses a hot session
-    # to one row per partition before the exchange.
-    closed = (
-        rows.groupBy(F.col(key).alias("user_id"), "window_id", "window_start")
-        .agg(
-            F.max(time_col).alias("last_event_time"),
-            F.max_by("running_total", "position").alias("total"),
-            F.max("position").alias("event_count"),
-        )
-        .select(
-            "window_id",
-            "user_id",
-            "window_start",
-            window_max_timestamp(F.col("last_event_time") + F.expr(f"INTERVAL {gap_us} MICROSECONDS")).alias("window_end"),
-            F.col("total").cast("float").alias("total_price"),
-            F.lit(False).alias("window_open"),
-            "event_count",
-        )
+    gap_us, ntz = gap_micros(gap), _is_ntz(events, time_col)
+    scanned, edges = _event_parts(events, gap_us, key, time_col, id_col, price_col, (), partitions, True)
+    open_panes = _open_panes(_event_rows(scanned, edges, key, time_col, id_col, price_col, (), ntz), key, time_col)
+    # Closed panes: the scan has summed up inner sessions; of those over partition edges the
+    # last fragment has what the others add up to. No event row is shuffled or grouped again.
+    inner = scanned.where(F.col("kind") == _WHOLE).select(
+        "k", F.col("frag_first_eid").alias("eid"), F.col("frag_first_t").alias("first"), F.col("t_us").alias("last"), F.col("frag_running").alias("total"), F.col("frag_pos").alias("n")
+    )
+    over_edges = edges.where("ends").select(
+        "k", F.col("chain_head.eid").alias("eid"), F.col("chain_head.t_us").alias("first"), F.col("last_t").alias("last"),
+        (F.col("total") + F.col("off_total")).alias("total"), (F.col("n") + F.col("off_n")).alias("n"),
+    )
+    closed = inner.unionByName(over_edges).select(
+        F.col("eid").alias("window_id"),
+        F.col("k").alias("user_id"),
+        _time_of(F.col("first"), ntz).alias("window_start"),
+        window_max_timestamp(_time_of(F.col("last") + F.lit(gap_us), ntz)).alias("window_end"),
+        F.col("total").cast("float").alias("total_price"),
+        F.lit(False).alias("window_open"),
+        F.col("n").alias("event_count"),
     )
     return open_panes.unionByName(closed)
