@@ -27,7 +27,7 @@ from tillflow.llm.token_counts import byte_alphabet, text_runs
 #: Bytes of text whose link counts go to the exchange together, and characters aligned at once.
 BLOCK_BYTES, SLICE_CHARS = 16 << 20, 1 << 19
 #: Pieces whose ids a worker keeps; the arrays of a slice need the room.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 150_000
 #: A pair of ids as one long.
 _SHIFT = 32
 
@@ -216,9 +216,11 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, text_col: str =
                     "links": pa.array([raw[lo:hi] for lo, hi in zip([0, *ends[:-1].tolist()], ends.tolist())], pa.binary()),
                 })
                 row += len(texts)
-        pair.encode_a.known = {}  # the worker's next task may need the room for other work
         if keys:
             yield counted()
+        # workers wait for their next task beside others that run: they keep the tokenizers only
+        pair.encode_a.known = {}
+        pa.default_memory_pool().release_unused()
 
     def looked_up(left: pa.Table, right: pa.Table) -> pa.Table:
         pairs, counts, best = right["pair"].to_numpy(), right["count"].to_numpy(), right["best"].to_numpy()
