@@ -27,7 +27,7 @@ def lib_count(text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.one_of(st.text(max_size=80), st.text(alphabet=POOL + "\U0003d000\u0558\U00012550", max_size=80), st.text(alphabet="abt<|endofx>", max_size=60)))
+@given(st.one_of(st.text(max_size=80), st.text(alphabet=POOL + "\U0003d000\u0558\U00012550\U00013460\U000105c0", max_size=80), st.text(alphabet="abt<|endofx>", max_size=60)))
 def test_texts_like_the_library(text):
     assert COUNTER.counts([text]) == [lib_count(text)]
     ids = WORD_LIB.encode(text, add_special_tokens=False).ids

@@ -55,8 +55,8 @@ class Splitter:
     texts are split again by set differences.
     """
 
-    def __init__(self, pattern: str):
-        newer = newer_letters()
+    def __init__(self, pattern: str, newer: str | None = None):
+        newer = newer_letters() if newer is None else newer
         self.quick = regex.compile(pattern).findall
         self.newer = regex.compile(f"[{newer}]" if newer else r"(?!)").search
         exact = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s[\p{{L}}\p{{N}}--[{newer}]]]")
