@@ -89,39 +89,45 @@ def removed_lines(docs: DataFrame, host: Column, text: Column, max_share: float,
     of the host's distinct texts hold it. Texts that such lines would leave with less
     than the share ``min_left`` of their words may be near copies of each other: they
     are counted again as one text for each smallest hash of their lines above the
-    limit, so a line goes only if it recurs in otherwise different texts. Counting is
-    by partial sums, so a host or a line with a third of all rows is combined before
-    it is shuffled.
+    limit, so a line goes only if it recurs in otherwise different texts.
+
+    Each text's line hashes are written once, as arrays, one row for each distinct text
+    of a host. Counting is by partial sums, so a host or a line with a third of all rows
+    is combined before it is shuffled. Single lines don't move: a host has at most
+    (lines of a text) / ``max_share`` lines above the limit on average, and these are
+    broadcast to the arrays if their counted rows fit (else Spark shuffles, with the same
+    result).
     """
-    texts = docs.select(host.alias("host"), F.unhex(F.md5(text)).alias("tid"), text.alias("text"))
-    copies = texts.groupBy("host", "tid").agg(F.count("*").alias("copies"))
-    hosts = copies.groupBy("host").agg(F.count("*").alias("n_texts"))
     line = F.filter(F.transform(F.split("text", "\n"), normal_line), lambda x: x != "")
-    counted_line = lambda x: F.struct(F.xxhash64(x).alias("h"), F.size(F.split(x, " ")).cast("long").alias("n"))
-    rows = texts.select("host", "tid", F.transform(line, counted_line).alias("lines"))
-    words = F.aggregate("lines", F.lit(0).cast("long"), lambda total, x: total + x["n"])
-    lines = (
-        rows.select("host", "tid", words.alias("words"), F.inline("lines"))
-        .groupBy("host", "tid", "h").agg(F.sum("n").alias("n"), F.any_value("words").alias("words"))
+    rows = docs.select(host.alias("host"), F.unhex(F.md5(text)).alias("tid"), text.alias("text")).select("host", "tid", line.alias("lines"))
+    arrays = F.struct(
+        F.transform("lines", lambda x: F.xxhash64(x)).alias("h"),
+        F.transform("lines", lambda x: F.size(F.split(x, " "))).alias("n"),
     )
+    texts = rows.select("host", "tid", arrays.alias("l")).groupBy("host", "tid").agg(F.any_value("l").alias("l"))
+    texts = staged(texts.select("host", "tid", "l.h", "l.n"), "quality_texts")
+    hosts = texts.groupBy("host").agg(F.count("*").alias("n_texts"))
 
     def above(counted: DataFrame) -> DataFrame:
         counted = counted.filter(F.col("n_docs") > min_docs).join(hosts, "host")
         return counted.filter(F.col("n_docs") > F.col("n_texts") * max_share).select("host", "h")
 
+    counted = texts.select("host", F.explode(F.array_distinct("h")).alias("h")).groupBy("host", "h").agg(F.count("*").alias("n_docs"))
+    frequent = small_side(staged(above(counted), "quality_frequent"), 64)
+    words = F.aggregate("n", F.lit(0).cast("long"), lambda total, x: total + x)
     hits = (
-        lines.join(above(lines.groupBy("host", "h").agg(F.count("*").alias("n_docs"))), ["host", "h"])
-        .groupBy("host", "tid").agg(F.collect_list(F.struct("h", "n")).alias("lines"), F.sum("n").alias("n"), F.any_value("words").alias("words"))
-        .join(copies, ["host", "tid"])
+        texts.select("host", "tid", words.alias("words"), F.inline(F.arrays_zip("h", "n")))
+        .join(frequent, ["host", "h"]).groupBy("host", "tid")
+        .agg(F.collect_list(F.struct("h", "n")).alias("lines"), F.sum("n").alias("n"), F.any_value("words").alias("words"))
     )
-    left = F.col("words") - F.col("n") / F.col("copies")
     smallest = F.unhex(F.hex(F.array_min("lines.h")))
-    hits = staged(hits.select("host", "tid", "lines", "copies", F.when(left < F.col("words") * min_left, smallest).otherwise(F.col("tid")).alias("context")), "quality_hits")
+    depleted = F.col("words") - F.col("n") < F.col("words") * min_left
+    hits = staged(hits.select("host", "tid", "lines", F.when(depleted, smallest).otherwise(F.col("tid")).alias("context")), "quality_hits")
     contexts = hits.select("host", "context", F.explode("lines.h").alias("h")).distinct()
     sure = small_side(staged(above(contexts.groupBy("host", "h").agg(F.count("*").alias("n_docs"))), "quality_lines"), 64)
     return (
-        hits.select("host", "tid", "copies", F.inline("lines")).join(sure, ["host", "h"]).groupBy("host", "tid")
-        .agg(F.collect_set("h").alias("hashes"), (F.sum("n") / F.any_value("copies")).cast("long").alias("n_removed_words"))
+        hits.select("host", "tid", F.inline("lines")).join(sure, ["host", "h"]).groupBy("host", "tid")
+        .agg(F.collect_set("h").alias("hashes"), F.sum("n").cast("long").alias("n_removed_words"))
     )
 
 
