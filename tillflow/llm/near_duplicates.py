@@ -7,7 +7,10 @@ The symbols are cut into so many chunks that two signatures within the limit hav
 some chunk with at most one differing symbol. A chunk stands in the index under
 each of its variants with one symbol left out, so that equal keys find every such
 pair: all pairs under the limit meet. Pairs that meet are filtered by their exact
-signature distance and then confirmed on the full shingle sets.
+signature distance, over these symbols and over CHECK_HASHES more that are not in the
+index (each with the same small chance of a miss), and then confirmed on the full
+shingle sets. The longer signature tells texts a little below the threshold from
+those above it, so a hot group of similar but unlinked texts costs few confirmations.
 
 Equal sets are one class, with one row in everything below. Links are wanted only
 up to connection, so no group is expanded into pairs: first each class is compared
@@ -31,6 +34,8 @@ from pyspark.sql import functions as F
 from tillflow.llm.text import LOWER, SPACED, gram_hashes, list_column, mix, small_side, staged, text_key, text_slices, word_hashes, word_spans
 
 HASHES = 128
+CHECK_HASHES = 128
+ALL_HASHES = HASHES + CHECK_HASHES
 SYMBOL_BITS = 8
 CHUNK_ERRORS = 1
 MISS = 1e-6
@@ -41,7 +46,7 @@ FIRST_CENTERS, CENTERS = 4, 64
 #: Links of up to so many rows are connected in one task, more of them by shuffles.
 GATHER_ROWS = 200_000
 _RNG = np.random.default_rng(41)
-MULTIPLIERS = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+MULTIPLIERS = _RNG.integers(0, 1 << 63, ALL_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SYMBOL_VALUES = _RNG.integers(0, 1 << 63, (HASHES, 1 << SYMBOL_BITS), dtype=np.uint64)
 KEY_SEEDS = _RNG.integers(0, 1 << 63, 2 * HASHES, dtype=np.uint64)
 #: Keys have 48 bits: fewer bytes to shuffle; two that are equal by chance cost a comparison.
@@ -81,22 +86,22 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> list[np.ndarray]
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of HASHES symbols for each non-empty set."""
+    """One row of ALL_HASHES symbols for each set, zeros for an empty one; the first HASHES stand in the index."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    out = np.zeros((len(sets), HASHES), np.uint8)
+    out = np.zeros((len(sets), ALL_HASHES), np.uint8)
     full = np.flatnonzero(sizes)
     if len(full):
         values = np.concatenate(sets)
         starts = (np.cumsum(sizes) - sizes)[full]
         product = np.empty_like(values)
-        for i in range(HASHES):
+        for i in range(ALL_HASHES):
             np.multiply(values, MULTIPLIERS[i], out=product)
             out[full, i] = mix(np.minimum.reduceat(product, starts)).astype(np.uint8)
     return out
 
 
 def bit_planes(symbols: np.ndarray) -> np.ndarray:
-    """Each signature as SYMBOL_BITS pairs of 64-bit words: bit i of plane b is bit b of symbol i."""
+    """Each signature as SYMBOL_BITS planes of 64-bit words: bit i of plane b is bit b of symbol i."""
     planes = [np.packbits((symbols >> b) & 1, axis=1, bitorder="little").view("<i8") for b in range(SYMBOL_BITS)]
     return np.concatenate(planes, axis=1)
 
@@ -131,7 +136,7 @@ def index_keys(classes: DataFrame, chunk: np.ndarray, errors: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            symbols = signature_matrix(batch.column(2))
+            symbols = signature_matrix(batch.column(2))[:, :HASHES]
             for i in range(0, len(symbols), 2000):
                 terms = SYMBOL_VALUES[np.arange(HASHES), symbols[i : i + 2000]]
                 totals = np.add.reduceat(terms, starts, axis=1)
@@ -146,7 +151,7 @@ def index_keys(classes: DataFrame, chunk: np.ndarray, errors: int) -> DataFrame:
 
 
 def signature_matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), ALL_HASHES)
 
 
 def mixed_buckets(rows: DataFrame) -> DataFrame:
@@ -233,17 +238,24 @@ def labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def difference(a: str, b: str) -> list[Column]:
-    """Two 64-bit words: which symbols of the signatures ``a`` and ``b`` (bit planes) differ."""
-    differ = [F.col(a)[i].bitwiseXOR(F.col(b)[i]) for i in range(2 * SYMBOL_BITS)]
-    return [reduce(lambda x, y: x.bitwiseOR(y), differ[half::2]) for half in (0, 1)]
+    """64-bit words: which symbols of the signatures ``a`` and ``b`` (bit planes) differ."""
+    words = ALL_HASHES // 64
+    differ = [F.col(a)[i].bitwiseXOR(F.col(b)[i]) for i in range(words * SYMBOL_BITS)]
+    return [reduce(lambda x, y: x.bitwiseOR(y), differ[part::words]) for part in range(words)]
+
+
+def within(words: list[Column], limit: int, percent: int) -> Column:
+    """Whether differing symbols are at most ``limit`` of the index's, and at most the limit of all."""
+    counts = [F.bit_count(w) for w in words]
+    few = lambda part, most: reduce(lambda x, y: x + y, part) <= most
+    return few(counts[: HASHES // 64], limit) & few(counts, distance_limit(percent, ALL_HASHES))
 
 
 def near_pairs(pairs: DataFrame, planes: DataFrame, limit: int, percent: int) -> DataFrame:
     """The pairs (a, b) within the distance limit and of similar size."""
     one = planes.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
     two = planes.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-    low, high = difference("pa", "pb")
-    return pairs.join(one, "a").join(two, "b").filter(similar_sizes(F.col("na"), F.col("nb"), percent) & (F.bit_count(low) + F.bit_count(high) <= limit)).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").filter(similar_sizes(F.col("na"), F.col("nb"), percent) & within(difference("pa", "pb"), limit, percent)).select("a", "b")
 
 
 def index_pairs(members: DataFrame, planes: DataFrame, chunk: np.ndarray, limit: int, percent: int) -> DataFrame:
@@ -252,8 +264,8 @@ def index_pairs(members: DataFrame, planes: DataFrame, chunk: np.ndarray, limit:
     met = members.join(planes, "cid")
     one = met.select("key", "pos", F.col("comp").alias("ca"), F.col("cid").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
     two = met.select("key", F.col("comp").alias("cb"), F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-    low, high = difference("pa", "pb")
-    near = F.bit_count(low) + F.bit_count(high) <= limit
+    words = difference("pa", "pb")
+    near, (low, high) = within(words, limit, percent), words[: HASHES // 64]
     # evaluated for near pairs only; in a lambda, so that the two words are computed once
     first = F.exists(F.array(F.struct(low.alias("low"), high.alias("high"))), lambda w: first_meeting(w["low"], w["high"], chunk) == F.col("pos"))
     return one.join(two, "key").filter((F.col("ca") < F.col("cb")) & similar_sizes(F.col("na"), F.col("nb"), percent) & near & first).select("a", "b")
