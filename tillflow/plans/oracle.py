@@ -239,6 +239,10 @@ FROM ev""",
     "streamed_session_events": f"""WITH {_islands(LONG_GAP)}
 SELECT ev.window_id, ev.user_id, position, event_id, event_time, round(CAST(price AS DOUBLE), 2) AS price, event_type
 FROM (SELECT ev.*, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time FROM ev) ev JOIN sess USING (user_id, sid)
+WHERE window_end <= {_MAX_TS}""",
+    "streamed_event_deltas": f"""WITH {_islands(LONG_GAP)}
+SELECT ev.window_id, ev.user_id, position, event_id, event_time, round(CAST(price AS DOUBLE), 2) AS price, event_type
+FROM (SELECT ev.*, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time FROM ev) ev JOIN sess USING (user_id, sid)
 WHERE window_end <= {_MAX_TS}""",
     "streamed_panes_two_feeds": f"""WITH {_islands(LONG_GAP)}
 SELECT window_id, user_id, window_start, window_end - INTERVAL 1 MILLISECOND AS window_end,

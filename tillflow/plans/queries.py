@@ -24,7 +24,7 @@ from tillflow.sources import testdata as td
 from tillflow.plans.weekly_job import run_weekly_job
 from tillflow.sources.streams import decode_events, heartbeat_times, read_event_feed, union_feeds
 from tillflow.sources.tables import range_scan
-from tillflow.streaming.panes import as_messages, mark_feed, session_panes_stream, with_rejects
+from tillflow.streaming.panes import as_messages, events_of_closed_panes, mark_feed, session_panes_stream, with_rejects
 from tillflow.streaming.sessions import closed_panes, closed_sessions
 
 # Gaps of the session checks. The reference job's gap is 10
@@ -304,6 +304,14 @@ def streamed_session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(closed.select("window_id", "user_id", F.posexplode("events").alias("place", "e")).select("window_id", "user_id", (F.col("place") + 1).alias("position"), "e.event_id", "e.event_time", "e.price", "e.event_type"), ("price",))
 
 
+def streamed_event_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closed sessions' events, rebuilt from panes that carry each event once."""
+    _ready(spark)
+    stream = session_panes_stream(valid_events(td.feed_rows(_replay(spark, sf_dir, "true"))), LONG_GAP, per_event=False, event_deltas=True)
+    rows = events_of_closed_panes(_run_to_table(spark, stream, "streamed_event_deltas"), LONG_GAP)
+    return _shape(rows.select("window_id", "user_id", "position", "event_id", "event_time", "price", "event_type"), ("price",))
+
+
 def streamed_panes_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed panes of two feeds, one of which lags a micro-batch behind: nothing is late."""
     _ready(spark)
@@ -383,6 +391,7 @@ QUERIES = {
     "hot_user_session_events": hot_user_session_events,
     "streamed_panes_24h": streamed_panes_24h,
     "streamed_session_events": streamed_session_events,
+    "streamed_event_deltas": streamed_event_deltas,
     "streamed_panes_two_feeds": streamed_panes_two_feeds,
     "streamed_closed_panes": streamed_closed_panes,
     "streamed_panes_idle_feed": streamed_panes_idle_feed,

@@ -57,6 +57,7 @@ both default to the event time. A NaN price gives a NaN total.
 from __future__ import annotations
 
 import bisect
+import itertools
 import sys
 import warnings
 from collections.abc import Iterator
@@ -69,8 +70,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tillflow.functions.checks import REASON_LATE
-from tillflow.functions.time import iso_millis, micros
-from tillflow.operators.sessions import SESSION_GAP, gap_micros
+from tillflow.functions.time import iso_millis, micros, parse_iso
+from tillflow.operators.sessions import SESSION_GAP, gap_micros, session_event_rows
 from tillflow.schemas import EVENT
 
 _SESSION_STATE = T.StructType(
@@ -140,12 +141,14 @@ class _SessionBook:
     window ``[start, last + gap)`` overlaps its own ``[t, t + gap)``, merging them.
     """
 
-    def __init__(self, gap_us: int, per_event: bool, include_events: bool, allowed_us: int = 0, late_rows: bool = False):
+    def __init__(self, gap_us: int, per_event: bool, include_events: bool, allowed_us: int = 0, late_rows: bool = False,
+                 deltas: bool = False):
         self.gap_us = gap_us
         self.per_event = per_event
         self.include_events = include_events
         self.allowed_us = allowed_us
         self.late_rows = late_rows
+        self.deltas = deltas
 
     def due(self, s: list) -> int:
         """When a session closes, or when a closed one leaves the state."""
@@ -157,11 +160,11 @@ class _SessionBook:
             return None
         return -(-min(map(self.due, sessions)) // 1000)
 
-    def pane(self, key, s: list, is_open: bool, events: list[dict]) -> tuple:
+    def pane(self, key, s: list, is_open: bool, events: list[dict], fresh: list[dict] | None = None) -> tuple:
         start, last, first_id, total, n, first_o, last_o, closed = s
         # open: newest order time so far; closed: the window's last instant (end - 1 ms)
         end_us = last_o if is_open else last + self.gap_us - 1000
-        evs = None
+        evs = (fresh or []) if self.deltas else None
         if self.include_events:
             mine = [e for e in events if start <= e["t_us"] <= last]
             mine.sort(key=lambda e: (e["o_us"], e["event_id"]))
@@ -207,6 +210,7 @@ class _SessionBook:
         sessions = sorted(sessions, key=lambda x: x[0])
         starts = [x[0] for x in sessions]
         touched: dict[int, list] = {}
+        fresh: dict[int, list[int]] = {}  # with deltas: the rows that each touched session got
         cuts = np.flatnonzero(np.diff(times) >= gap) + 1
         for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(order)]):
             run = order[lo:hi]
@@ -214,7 +218,7 @@ class _SessionBook:
             met = [s for s in sessions[max(0, j - 2) : j] if s[1] + gap > times[lo]]
             later = len(met) > 1 or met and (met[0][1] > times[lo] or met[0][6] > o_all[run[0]] or met[0][7]) or times[lo] + gap <= wm_us
             if self.include_events or later or (o_all[run] != t_all[run]).any():
-                self._add_each(key, batch, run, wm_us, sessions, starts, touched, events, out)
+                self._add_each(key, batch, run, wm_us, sessions, starts, touched, fresh, events, out)
                 continue
             if met:
                 s = met[0]
@@ -229,16 +233,27 @@ class _SessionBook:
             totals = np.cumsum(np.r_[s[3], prices[run].astype(np.float64)])[1:]
             if self.per_event:
                 counts = range(s[4] + 1, s[4] + 1 + len(run))
-                out.extend((s[2], key, s[5], t, total, True, n, None, "EARLY", None) for t, total, n in zip(times[lo:hi].tolist(), totals.tolist(), counts))
+                carried = ([e] for e in self.rows(batch, run)) if self.deltas else itertools.repeat(None)
+                out.extend((s[2], key, s[5], t, total, True, n, e, "EARLY", None) for t, total, n, e in zip(times[lo:hi].tolist(), totals.tolist(), counts, carried))
+            elif self.deltas:
+                fresh.setdefault(id(s), []).extend(run.tolist())
             last = int(times[hi - 1])
             s[1], s[6], s[3], s[4] = max(s[1], last), max(s[6], last), float(totals[-1]), s[4] + len(run)
             touched[id(s)] = s
         if not self.per_event:
-            out.extend(self.pane(key, s, True, events) for s in touched.values())
+            out.extend(self.pane(key, s, True, events, self.rows(batch, fresh.get(k, []))) for k, s in touched.items())
         return sessions, events
 
+    @staticmethod
+    def rows(batch: pd.DataFrame, at) -> list[dict]:
+        """The events in the given rows, in (time, id) order."""
+        if not len(at):
+            return []
+        part = batch.iloc[at].sort_values(["o_us", "event_id"], kind="stable")[_EVENT_COLS].astype(object)
+        return [{c: _py(v) for c, v in row.items()} for row in part.to_dict("records")]
+
     def _add_each(self, key, batch: pd.DataFrame, run: np.ndarray, wm_us: int, sessions: list[list], starts: list,
-                  touched: dict, events: list[dict], out: list[tuple]) -> None:
+                  touched: dict, fresh: dict, events: list[dict], out: list[tuple]) -> None:
         """Apply sorted events one by one; each can only touch the (at most two)
         open sessions next to it, found by binary search."""
         gap = self.gap_us
@@ -249,6 +264,7 @@ class _SessionBook:
             merged = [t, t, _py(ids_all[i]), float(prices[i]), 1, o, o, False]
             j = bisect.bisect_left(starts, t + gap)  # sessions[:j] start before t + gap
             hits = [h for h in (j - 2, j - 1) if h >= 0 and sessions[h][1] + gap > t]
+            mine = [int(i)]
             for h in hits:
                 s = sessions[h]
                 merged[0] = min(merged[0], s[0])
@@ -259,6 +275,7 @@ class _SessionBook:
                 merged[3] += s[3]
                 merged[4] += s[4]
                 touched.pop(id(s), None)
+                mine += fresh.pop(id(s), [])
             for h in reversed(hits):
                 del sessions[h]
                 del starts[h]
@@ -267,10 +284,12 @@ class _SessionBook:
             sessions.insert(k, merged)
             starts.insert(k, merged[0])
             touched[id(merged)] = merged
+            if self.deltas and not self.per_event:
+                fresh[id(merged)] = mine
             if self.include_events:
                 events.append({**{c: _py(batch[c].iat[i]) for c in _EVENT_COLS}, "t_us": t, "o_us": o})
             if self.per_event:
-                out.append(self.pane(key, merged, True, events))
+                out.append(self.pane(key, merged, True, events, self.rows(batch, mine[:1]) if self.deltas else None))
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
@@ -437,6 +456,7 @@ def session_panes_stream(
     marked: bool = False,
     allowed_lateness: str | int = "0 seconds",
     late_rows: bool = False,
+    event_deltas: bool = False,
 ) -> DataFrame:
     """Open and closed panes of a stream of valid events (feed columns plus an instant ``ts``).
 
@@ -444,6 +464,10 @@ def session_panes_stream(
     window_open, event_count, and ``events`` (array of events, null unless
     ``include_events``). Run it in append mode.
 
+    With ``event_deltas``, ``events`` holds only those that came since the session's pane before
+    (none in a closed pane), so that each event is put out once and none is kept in the state;
+    ``events_of_closed_panes`` rebuilds the sessions' events from the panes.
+
     ``time_col`` is the session time (sessions, lateness, watermark; in the
     reference, the message's publish time) and ``order_col`` the order time
     (naming, pane bounds, event order; the payload's event time). ``order_col``
@@ -457,6 +481,8 @@ def session_panes_stream(
     """
     from tillflow.runtime import require_rocksdb_state
 
+    if event_deltas and (include_events or (order_col or time_col) != time_col or gap_micros(allowed_lateness)):
+        raise ValueError("event_deltas takes the place of include_events, with one time for sessions and order and no allowed lateness")
     require_rocksdb_state(events.sparkSession)
     gap_us = gap_micros(gap)
     prepared = (events if marked else mark_feed(events, gap, lateness, time_col)).select(
@@ -465,7 +491,7 @@ def session_panes_stream(
         micros(F.col(order_col or time_col)).alias("o_us"),
         _unfiltered("close_ts") if late_rows or gap_micros(allowed_lateness) else F.col("close_ts"),
     )
-    book = _SessionBook(gap_us, per_event, include_events, gap_micros(allowed_lateness), late_rows)
+    book = _SessionBook(gap_us, per_event, include_events, gap_micros(allowed_lateness), late_rows, event_deltas)
     grouped = prepared.groupBy("user_id")
     if engine == "transform_with_state":
         raw = grouped.transformWithStateInPandas(
@@ -497,6 +523,28 @@ def session_panes_stream(
     )
 
 
+def events_of_closed_panes(panes: DataFrame, gap: str | int = SESSION_GAP) -> DataFrame:
+    """One row per event of each session that has a closed pane: window_id, user_id, window_start,
+    event_id, event_time, event_type, price, position (1-based, in (time, id) order) and running_total.
+
+    ``panes`` are all that a stream with ``event_deltas`` and this gap has written, read as a
+    table; an empty one gives an empty result. An event meets its session by (user, time bucket
+    of one gap); as a session has an event in each gap, it has about two buckets an event at most, and a hot user's
+    are many keys. The batch scan then numbers the events, so no session is a single task's.
+    """
+    gap_us = gap_micros(gap)
+    bucket = lambda us: F.floor(us / F.lit(gap_us))
+    first, last = micros(F.col("window_start")), micros(F.col("window_end")) + 1000 - gap_us
+    closed = panes.where(~F.col("window_open")).select("user_id", F.col("window_id").alias("head"), first.alias("first_us"), last.alias("last_us"))
+    closed = closed.withColumn("bucket", F.explode(F.sequence(bucket(F.col("first_us")), bucket(F.col("last_us")))))
+    carried = panes.select(F.explode("events").alias("e")).select("e.*").withColumn("ts", parse_iso(F.col("event_time")))
+    carried = carried.withColumn("bucket", bucket(micros(F.col("ts"))))
+    mine = carried.join(closed, ["user_id", "bucket"]).where(micros(F.col("ts")).between(F.col("first_us"), F.col("last_us")))
+    mine = mine.withColumn("session", F.to_json(F.struct("user_id", "first_us", "head")))
+    rows = session_event_rows(mine, gap, key="session", extra=("user_id", "event_time", "event_type"))
+    return rows.select("window_id", "user_id", "window_start", "event_id", "event_time", "event_type", "price", "position", "running_total")
+
+
 def _unfiltered(close: str) -> Column:
     """A null column that stands for the watermark's: the stateful operator knows of the
     watermark by it, but Spark's filter finds no row late, so that all rows reach the operator,
