@@ -23,6 +23,8 @@ Plan, built so that no user's rows ever go to one task:
    a partition edge, so at most ``2P`` *edge* fragments are stitched with a window
    over the user's edges (a user spanning m partitions has at most 2m edges) and
    summed; inner fragments are already whole sessions and are not shuffled at all.
+   Prices are added as whole numbers on a fixed grid (``functions.sums``), so that totals
+   have the same bits however the rows are cut into partitions and batches.
 4. For per-event results, each continued fragment (at most ``P - 1`` rows, a
    bound fixed by the plan, not by the data) is broadcast back to the events.
 
@@ -40,6 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from tillflow.functions.sums import PARTS, joined, joined_of, parts_of
 from tillflow.functions.time import micros, ntz_micros, window_max_timestamp
 
 # Fixed value: the session gap of the reference job.
@@ -142,12 +145,14 @@ def _columns(batch: pa.RecordBatch, *names: str) -> list[pa.Array]:
     return [batch.column(batch.schema.get_field_index(n)) for n in names]
 
 
-_FRAG_COLS = ["pid", "lsid", "k", "first_t", "last_t", "first_eid", "n", "total", "edge"]
+#: The summed parts of a total; ``total`` (or ``frag_running``) beside them holds what is outside their grid.
+_SUMS = [f"sum{j}" for j in range(PARTS)]
+_FRAG_COLS = ["pid", "lsid", "k", "first_t", "last_t", "first_eid", "n", "total", "edge", *_SUMS]
 
 
 def _fragment_batch(pid: int, rows: list[tuple]) -> pa.RecordBatch:
-    """Fragments (lsid, k, first_t, last_t, first_eid, n, total, edge) whose columns are arrays, one after the other."""
-    joined = [pa.concat_arrays([r[i] if isinstance(r[i], pa.Array) else pa.array(r[i]) for r in rows]) for i in range(8)]
+    """Fragments (lsid, k, first_t, last_t, first_eid, n, total, edge, summed parts) whose columns are arrays, one after the other."""
+    joined = [pa.concat_arrays([r[i] if isinstance(r[i], pa.Array) else pa.array(r[i]) for r in rows]) for i in range(len(rows[0]))]
     return pa.record_batch([pa.array(np.full(len(joined[0]), pid, np.int32)), *joined], _FRAG_COLS)
 
 
@@ -156,7 +161,7 @@ def _fragment_scan(gap_us: int):
 
     def closed(c: dict, edge: bool) -> tuple:
         return (np.array([c["lsid"]]), _one(c["k"]), np.array([c["first_t"]]), np.array([c["last_t"]]), _one(c["first_eid"]),
-                np.array([c["n"]]), np.array([c["total"]]), np.array([edge]))
+                np.array([c["n"]]), np.array([c["total"]]), np.array([edge]), *c["sums"].reshape(PARTS, 1))
 
     def run(batches):
         carry = None  # the fragment still open at the end of the previous batch
@@ -168,12 +173,14 @@ def _fragment_scan(gap_us: int):
             pid, t, p = pids[0].as_py(), t.to_numpy(), p.to_numpy()
             starts, cont = _segments(k, t, gap_us, carry)
             ends = np.r_[starts[1:], len(t)]
-            tot = np.add.reduceat(p, starts)
+            cut, beside = parts_of(p)
+            sums, tot = np.add.reduceat(cut, starts, axis=1), np.add.reduceat(beside, starts)
             first = int(cont)
             if cont:
                 carry["last_t"] = int(t[ends[0] - 1])
                 carry["n"] += int(ends[0])
                 carry["total"] += float(tot[0])
+                carry["sums"] = carry["sums"] + sums[:, 0]
             m = len(starts) - first
             if m == 0:
                 continue
@@ -183,12 +190,12 @@ def _fragment_scan(gap_us: int):
             if m > 1:
                 idx, end = starts[first:-1], ends[first:-1]
                 at = pa.array(idx)
-                rows.append((lsid[:-1], k.take(at), t[idx], t[end - 1], e.take(at), end - idx, tot[first:-1], lsid[:-1] == 0))
+                rows.append((lsid[:-1], k.take(at), t[idx], t[end - 1], e.take(at), end - idx, tot[first:-1], lsid[:-1] == 0, *sums[:, first:-1]))
             if rows:
                 yield _fragment_batch(pid, rows)
             last = int(starts[-1])
             carry = {"lsid": int(lsid[-1]), "k": k[last], "first_t": int(t[last]), "last_t": int(t[-1]), "first_eid": e[last],
-                     "n": len(t) - last, "total": float(tot[-1])}
+                     "n": len(t) - last, "total": float(tot[-1]), "sums": sums[:, -1].copy()}
         if carry is not None:
             yield _fragment_batch(pid, [closed(carry, True)])
 
@@ -197,27 +204,30 @@ def _fragment_scan(gap_us: int):
 
 #: Rows of the event scan: events, summaries of a partition's first and last fragment, of the others.
 _EVENT, _EDGE, _WHOLE = 0, 1, 2
-_EVENT_COLS = ["pid", "lsid", "k", "t_us", "eid", "p", "frag_first_t", "frag_first_eid", "frag_pos", "frag_running", "kind"]
+_EVENT_COLS = ["pid", "lsid", "k", "t_us", "eid", "p", "frag_first_t", "frag_first_eid", "frag_pos", "frag_running", "kind", *_SUMS]
 
 
 def _event_scan(gap_us: int, extra: tuple[str, ...], closings: bool):
     """Per sorted partition: every event tagged with its fragment, position and running
     total; with ``closings`` a summary of each inner fragment, a whole session, once it has ended; at
     the end one of the partition's first and last fragment. In a summary the event columns
-    hold the fragment's last time, size and total."""
+    hold the fragment's last time, size and total. Totals that may continue one of the partition
+    before are left as summed parts, the others have none."""
     names = [*_EVENT_COLS, *extra]
 
-    def summary(kind: int, pid: int, lsid, k: pa.Array, last_t, first_t, first_e: pa.Array, n, total, kinds: list) -> pa.RecordBatch:
+    def summary(kind: int, pid: int, lsid, k: pa.Array, last_t, first_t, first_e: pa.Array, n, total, sums: list, kinds: list) -> pa.RecordBatch:
         m = len(k)
         return pa.record_batch(
             [pa.array(np.full(m, pid, np.int32)), pa.array(lsid), k, pa.array(last_t), pa.nulls(m, first_e.type), pa.array(np.zeros(m)), pa.array(first_t),
-             first_e, pa.array(n), pa.array(total), pa.array(np.full(m, kind, np.int8)), *[pa.nulls(m, t) for t in kinds]],
+             first_e, pa.array(n), pa.array(total), pa.array(np.full(m, kind, np.int8)), *(sums or [pa.nulls(m, pa.int64())] * PARTS), *[pa.nulls(m, t) for t in kinds]],
             names,
         )
 
     def ended(kind: int, pid: int, c: dict, kinds: list) -> pa.RecordBatch:
         one = [np.array([c[x]]) for x in ("lsid", "last_t", "first_t", "n", "total")]
-        return summary(kind, pid, one[0], _one(c["k"]), one[1], one[2], _one(c["first_eid"]), one[3], one[4], kinds)
+        sums = c["sums"].reshape(PARTS, 1)
+        total, left = (one[4], list(map(pa.array, sums))) if kind == _EDGE else (joined_of(sums) + one[4], [])
+        return summary(kind, pid, one[0], _one(c["k"]), one[1], one[2], _one(c["first_eid"]), one[3], total, left, kinds)
 
     def run(batches):
         carry = None
@@ -235,24 +245,30 @@ def _event_scan(gap_us: int, extra: tuple[str, ...], closings: bool):
             seg_no = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(t)]))
             frag = (lsid if cont else lsid + 1) + seg_no
             pos = np.arange(len(t)) - starts[seg_no] + 1
+            cut, beside = parts_of(values)
             # a NaN price stays in its session's total from then on
-            running = pd.Series(values).groupby(seg_no).cumsum(skipna=False).to_numpy(copy=True)
+            running = pd.Series(beside).groupby(seg_no).cumsum(skipna=False).to_numpy(copy=True) if np.any(beside) else beside
+            sums = np.cumsum(cut, axis=1)
+            sums -= np.where(starts > 0, sums[:, starts - 1], 0)[:, seg_no]
             first_t = t[starts][seg_no]
             first_e = e.take(pa.array(starts[seg_no]))
             if cont:
                 head = seg_no == 0
                 pos[head] += carry["n"]
                 running[head] += carry["total"]
+                sums[:, head] += carry["sums"][:, None]
                 first_t[head] = carry["first_t"]
                 first_e = pa.concat_arrays([_one(carry["first_eid"]), e]).take(pa.array(np.where(head, 0, starts[seg_no] + 1)))
             if carry is not None and carry["lsid"] == 0 and (not cont or len(starts) > 1):
                 done = int(starts[1]) - 1 if cont else None
-                head_edge = carry if done is None else _fragment_end(0, k, t, first_t, first_e, pos, running, done)
+                head_edge = carry if done is None else _fragment_end(0, k, t, first_t, first_e, pos, running, sums, done)
             elif carry is None and len(starts) > 1:
-                head_edge = _fragment_end(0, k, t, first_t, first_e, pos, running, int(starts[1]) - 1)
+                head_edge = _fragment_end(0, k, t, first_t, first_e, pos, running, sums, int(starts[1]) - 1)
+            total = joined_of(sums) + running
+            open_left = frag == 0  # may continue the partition before
             yield pa.record_batch(
-                [pids, pa.array(frag), k, pa.array(t), e, p, pa.array(first_t), first_e, pa.array(pos), pa.array(running),
-                 pa.array(np.full(len(t), _EVENT, np.int8)), *passing],
+                [pids, pa.array(frag), k, pa.array(t), e, p, pa.array(first_t), first_e, pa.array(pos), pa.array(np.where(open_left, running, total)),
+                 pa.array(np.full(len(t), _EVENT, np.int8)), *[pa.array(x, mask=~open_left) for x in sums], *passing],
                 names,
             )
             if closings:
@@ -262,9 +278,9 @@ def _event_scan(gap_us: int, extra: tuple[str, ...], closings: bool):
                 last = last[frag[last] > 0]
                 if len(last):
                     at = pa.array(last)
-                    yield summary(_WHOLE, pid, frag[last], k.take(at), t[last], first_t[last], first_e.take(at), pos[last], running[last], kinds)
+                    yield summary(_WHOLE, pid, frag[last], k.take(at), t[last], first_t[last], first_e.take(at), pos[last], total[last], [], kinds)
             lsid = int(frag[-1])
-            carry = _fragment_end(lsid, k, t, first_t, first_e, pos, running, len(t) - 1)
+            carry = _fragment_end(lsid, k, t, first_t, first_e, pos, running, sums, len(t) - 1)
         if carry is None:
             return
         for c in [carry] if head_edge is None else [head_edge, carry]:
@@ -273,14 +289,14 @@ def _event_scan(gap_us: int, extra: tuple[str, ...], closings: bool):
     return run
 
 
-def _fragment_end(lsid: int, k: pa.Array, t, first_t, first_e: pa.Array, pos, running, at: int) -> dict:
+def _fragment_end(lsid: int, k: pa.Array, t, first_t, first_e: pa.Array, pos, running, sums, at: int) -> dict:
     """A fragment as its last event in this batch shows it."""
-    return {"lsid": lsid, "k": k[at], "last_t": int(t[at]), "first_t": int(first_t[at]), "first_eid": first_e[at], "n": int(pos[at]), "total": float(running[at])}
+    return {"lsid": lsid, "k": k[at], "last_t": int(t[at]), "first_t": int(first_t[at]), "first_eid": first_e[at], "n": int(pos[at]), "total": float(running[at]), "sums": sums[:, at].copy()}
 
 
 def _fragment_schema(narrow: DataFrame) -> T.StructType:
     s = narrow.schema
-    kinds = [T.IntegerType(), T.LongType(), s["k"].dataType, T.LongType(), T.LongType(), s["eid"].dataType, T.LongType(), T.DoubleType(), T.BooleanType()]
+    kinds = [T.IntegerType(), T.LongType(), s["k"].dataType, T.LongType(), T.LongType(), s["eid"].dataType, T.LongType(), T.DoubleType(), T.BooleanType(), *[T.LongType()] * PARTS]
     return T.StructType([T.StructField(c, kind) for c, kind in zip(_FRAG_COLS, kinds)])
 
 
@@ -298,6 +314,7 @@ def _event_schema(narrow: DataFrame, extra: tuple[str, ...]) -> T.StructType:
         T.StructField("frag_pos", T.LongType()),
         T.StructField("frag_running", T.DoubleType()),
         T.StructField("kind", T.ByteType()),
+        *[T.StructField(c, T.LongType()) for c in _SUMS],
     ]
     return T.StructType(fields + [T.StructField(c, s[c].dataType) for c in extra])
 
@@ -351,7 +368,7 @@ def sessions(
     partitions: int | None = None,
 ) -> DataFrame:
     """One row per session: user_id, window_id, window_start, window_end (exclusive,
-    last event + gap), last_event_time, total_price (double sum), event_count.
+    last event + gap), last_event_time, total_price (double, in the same bits at every partitioning), event_count.
 
     Rows with a null key or time are not sessionised. The scan's fragments are
     written once; inner fragments are final sessions (no shuffle), edge
@@ -366,7 +383,7 @@ def sessions(
     # Inner fragments are whole sessions: no shuffle.
     inner = whole.select(
         *_session_rows(F.col("k"), F.col("first_t"), F.col("first_eid"), F.col("last_t"), F.col("n"),
-                       F.col("total"), gap_us, ntz)
+                       joined([F.col(c) for c in _SUMS]) + F.col("total"), gap_us, ntz)
     )
     # Edge fragments (at most two per partition) are chained per user.
     chained = _edge_chains(edges, gap_us, [F.col("k")])
@@ -376,7 +393,7 @@ def sessions(
     )
     stitched = (
         chained.groupBy("k", "chain", F.col("head.first_t").alias("head_t"), F.col("head.first_eid").alias("head_eid"))
-        .agg(F.max("last_t").alias("last_t"), F.sum("n").alias("n"), F.sum("total").alias("total"))
+        .agg(F.max("last_t").alias("last_t"), F.sum("n").alias("n"), (joined([F.sum(c) for c in _SUMS]) + F.sum("total")).alias("total"))
         .select(
             *_session_rows(F.col("k"), F.col("head_t"), F.col("head_eid"), F.col("last_t"),
                            F.col("n"), F.col("total"), gap_us, ntz)
@@ -413,13 +430,14 @@ def _event_parts(events: DataFrame, gap_us: int, key: str, time_col: str, id_col
     scanned = _staged_scan(_ranged(narrow, partitions), _event_scan(gap_us, extra, closings), _event_schema(narrow, extra))
     edges = scanned.where(F.col("kind") == _EDGE).select(
         "pid", "lsid", "k", F.col("frag_first_t").alias("first_t"), F.col("t_us").alias("last_t"), F.col("frag_pos").alias("n"),
-        F.col("frag_running").alias("total"), F.struct(F.col("frag_first_t").alias("t_us"), F.col("frag_first_eid").alias("eid")).alias("head"),
+        F.col("frag_running").alias("total"), *_SUMS, F.struct(F.col("frag_first_t").alias("t_us"), F.col("frag_first_eid").alias("eid")).alias("head"),
     )
     chain_w = Window.partitionBy("k", "chain").orderBy("pid", "lsid")
     before = chain_w.rowsBetween(Window.unboundedPreceding, -1)
     return scanned, (
         _edge_chains(edges, gap_us, [F.col("k")])
         .withColumn("off_n", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .withColumns({f"off_{c}": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in _SUMS})
         .withColumn("off_total", F.coalesce(F.sum("total").over(before), F.lit(0.0)))
         .withColumn("chain_head", F.first("head").over(chain_w.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("ends", F.lead("pid").over(chain_w).isNull())
@@ -427,7 +445,7 @@ def _event_parts(events: DataFrame, gap_us: int, key: str, time_col: str, id_col
 
 
 def _event_rows(scanned: DataFrame, edges: DataFrame, key: str, time_col: str, id_col: str, price_col: str, extra: tuple[str, ...], ntz: bool) -> DataFrame:
-    moved = edges.where(F.col("cont")).select("pid", "lsid", "off_n", "off_total", F.col("chain_head.t_us").alias("h_first_t"), F.col("chain_head.eid").alias("h_first_eid"))
+    moved = edges.where(F.col("cont")).select("pid", "lsid", "off_n", "off_total", *[f"off_{c}" for c in _SUMS], F.col("chain_head.t_us").alias("h_first_t"), F.col("chain_head.eid").alias("h_first_eid"))
     moved = F.broadcast(moved)  # only first fragments of partitions: at most P - 1 rows
     joined = scanned.where(F.col("kind") == _EVENT).join(moved, ["pid", "lsid"], "left")
     return joined.select(
@@ -438,11 +456,17 @@ def _event_rows(scanned: DataFrame, edges: DataFrame, key: str, time_col: str, i
         _time_of(F.col("t_us"), ntz).alias(time_col),
         F.col("p").alias(price_col),
         (F.col("frag_pos") + F.coalesce(F.col("off_n"), F.lit(0))).alias("position"),
-        (F.col("frag_running") + F.coalesce(F.col("off_total"), F.lit(0.0))).alias("running_total"),
+        F.when(F.col(_SUMS[0]).isNull(), F.col("frag_running")).otherwise(_with_offsets("frag_running")).alias("running_total"),
         *extra,
     )
 
 
+def _with_offsets(total: str) -> Column:
+    """A fragment's total with what the fragments before it add up to, if there are any."""
+    sums = joined([F.col(c) + F.coalesce(F.col(f"off_{c}"), F.lit(0)) for c in _SUMS])
+    return sums + F.col(total) + F.coalesce(F.col("off_total"), F.lit(0.0))
+
+
 def _open_panes(rows: DataFrame, key: str, time_col: str) -> DataFrame:
     return rows.select(
         "window_id",
@@ -496,7 +520,7 @@ def session_panes(
     )
     over_edges = edges.where("ends").select(
         "k", F.col("chain_head.eid").alias("eid"), F.col("chain_head.t_us").alias("first"), F.col("last_t").alias("last"),
-        (F.col("total") + F.col("off_total")).alias("total"), (F.col("n") + F.col("off_n")).alias("n"),
+        _with_offsets("total").alias("total"), (F.col("n") + F.col("off_n")).alias("n"),
     )
     closed = inner.unionByName(over_edges).select(
         F.col("eid").alias("window_id"),

@@ -7,9 +7,16 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from tillflow.functions.sums import exact_sum
 from tillflow.functions.time import as_time_literal
 
 
+def _total(sales: DataFrame) -> Column:
+    """Sum of the prices: doubles and floats in the same bits at every partitioning; other types as Spark adds them."""
+    floating = isinstance(sales.schema["price"].dataType, (T.DoubleType, T.FloatType))
+    return exact_sum(F.col("price")) if floating else F.sum("price")
+
+
 def side_totals(sales: DataFrame, total_col: str = "total") -> DataFrame:
     """Total price per user of one table.
 
@@ -17,7 +24,7 @@ def side_totals(sales: DataFrame, total_col: str = "total") -> DataFrame:
     final ``sum``: a user with a third of all rows sends one partial row per
     input partition, never its rows.
     """
-    return sales.groupBy("user_id").agg(F.sum("price").alias(total_col))
+    return sales.groupBy("user_id").agg(_total(sales).alias(total_col))
 
 
 def _bound(value, dtype: T.DataType) -> Column:
@@ -63,5 +70,5 @@ def weekly_sales_union(
 ) -> DataFrame:
     """Same result as :func:`weekly_sales` with one exchange: union, then one grouped sum."""
     both = books.select("user_id", "price").unionByName(groceries.select("user_id", "price"))
-    totals = both.groupBy("user_id").agg(F.sum("price").alias("total"))
+    totals = both.groupBy("user_id").agg(_total(both).alias("total"))
     return totals.select(*_weekly_row(F.col("user_id"), F.col("total"), start, end, time_type))
