@@ -87,6 +87,20 @@ UNION ALL {pane.format("last", "true", "'LATE'")} FROM final, marks WHERE held A
 UNION ALL {closed} FROM final, marks WHERE ends > w1 AND ends <= w2"""
 
 
+def _exact(value: str) -> str:
+    """The sum of a double in the bits that ``functions.sums`` gives: whole numbers on its grid, joined once."""
+    amount = f"abs(CAST({value} AS DOUBLE))"
+    parts = [f"floor({amount})"]
+    left = f"({amount} - {parts[0]})"
+    for _ in range(3):
+        parts.append(f"floor({left} * 1048576)")
+        left = f"({left} * 1048576 - {parts[-1]})"
+    sums = [f"coalesce(sum(CAST(sign({value}) * {p} AS HUGEINT)), 0)" for p in parts]
+    units = " + ".join(f"{x} * CAST({1 << 20 * (3 - j)} AS HUGEINT)" for j, x in enumerate(sums))
+    one = f"CAST({1 << 60} AS HUGEINT)"
+    return f"sign({units}) * (CAST(abs({units}) // {one} AS DOUBLE) + CAST(abs({units}) % {one} AS DOUBLE) / {float(1 << 60)!r})"
+
+
 def _islands(gap: str, feed: str = _FEED) -> str:
     return f"""{feed},
 marked AS (
@@ -154,8 +168,8 @@ SELECT window_id, user_id, {iso.format("window_start")} AS window_start,
 FROM sess {closed_where}"""
 
 
-def _side(event_type: str) -> str:
-    return f"""SELECT user_id, sum(value) AS t FROM events
+def _side(event_type: str, total: str = "sum(value)") -> str:
+    return f"""SELECT user_id, {total} AS t FROM events
   WHERE event_type = '{event_type}' AND ts >= {WEEK_START} AND ts < {WEEK_END}
     AND user_id IS NOT NULL AND value IS NOT NULL
   GROUP BY user_id"""
@@ -188,6 +202,9 @@ WHERE event_type = 'purchase' AND ts >= {WEEK_START} AND ts < {WEEK_END}""",
 SELECT user_id, price FROM raw WHERE user_id IS NOT NULL AND price IS NOT NULL""",
     "book_totals": f"SELECT user_id, round(t, 2) AS total FROM ({_side('purchase')})",
     "grocery_totals": f"SELECT user_id, round(t, 2) AS total FROM ({_side('view')})",
+    "exact_book_totals": f"SELECT user_id, t AS total FROM ({_side('purchase', _exact('value'))})",
+    "exact_session_totals": f"""WITH {_islands(LONG_GAP)}
+SELECT user_id, window_id, {_exact('price')} AS total_price FROM ev GROUP BY user_id, sid, window_id""",
     "weekly_sales": _weekly(),
     "weekly_sales_union": _weekly(),
     "weekly_sales_orders": f"""WITH b AS ({_orders_side('1-URGENT')}), g AS ({_orders_side('2-HIGH')})

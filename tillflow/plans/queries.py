@@ -99,6 +99,18 @@ def grocery_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(side_totals(side, "total"), ("total",))
 
 
+def exact_book_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A week's totals bit by bit, not rounded."""
+    _ready(spark)
+    return side_totals(_week_side(_events(spark, sf_dir), td.BOOKS_EVENT_TYPE), "total")
+
+
+def exact_session_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions' totals bit by bit, not rounded."""
+    _ready(spark)
+    return sessions(_valid(spark, sf_dir), LONG_GAP).select("user_id", "window_id", "total_price")
+
+
 def weekly_sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
     start, end = _week()
@@ -368,6 +380,8 @@ QUERIES = {
     "valid_sales": valid_sales_rows,
     "book_totals": book_totals,
     "grocery_totals": grocery_totals,
+    "exact_book_totals": exact_book_totals,
+    "exact_session_totals": exact_session_totals,
     "weekly_sales": weekly_sales_events,
     "weekly_sales_union": weekly_sales_events_union,
     "weekly_sales_orders": weekly_sales_orders,
