@@ -1,0 +1,92 @@
+"""Users dealt into buckets: one call of the stateful function for many users, each as if alone."""
+
+import os
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from helpers import at, event, replay_dir
+from tillflow.operators.cleaning import valid_events
+from tillflow.sinks.streams import write_files
+from tillflow.sources.streams import read_event_feed
+from tillflow.streaming import panes
+from tillflow.streaming.panes import _group_state_fn, _SessionBook
+
+GAP = 10_000
+
+
+class State:
+    """What the stateful function uses of Spark's group state; a time-out needs a watermark past the timer."""
+
+    def __init__(self):
+        self.value, self.timer, self.wm_ms = None, None, 0
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def getCurrentWatermarkMs(self):
+        return self.wm_ms
+
+    def update(self, value):
+        assert len(value) == len(panes._GROUP_STATE)
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def setTimeoutTimestamp(self, ms):
+        assert ms >= self.wm_ms
+        self.timer = ms
+
+
+def batch(state, run, frame, wm_ms):
+    """One micro-batch of one key: rows, or a time-out, or nothing."""
+    state.wm_ms, state.hasTimedOut = wm_ms, not len(frame)
+    if not len(frame) and not (state.exists and state.timer < wm_ms):
+        return []
+    half = len(frame) // 2
+    chunks = iter([frame.iloc[:half], frame.iloc[half:].reset_index(drop=True)])
+    state.timer = None
+    return [repr(r) for out in run(("key",), chunks, state) for r in out.drop(columns="total_nan").astype(object).itertuples(index=False, name=None)]
+
+
+@pytest.mark.parametrize("options", [(True, False, 0, False, False), (False, True, 0, True, False), (False, True, 7000, False, False),
+                                     (True, False, 20_000, True, False), (False, False, 0, False, True), (True, False, 0, False, True)])
+def test_a_bucket_gives_what_its_users_give_alone(options):
+    per_event, events_too, allowed, late_rows, deltas = options
+    rng = np.random.default_rng(3)
+    rows = 0
+    for trial in range(25):
+        run = _group_state_fn(_SessionBook(GAP, per_event, events_too, allowed, late_rows, deltas))
+        users = [f"u{n}" for n in range(6)]
+        bucket, alone, got, want, wm = State(), {u: State() for u in users}, [], [], 0
+        for b in range(8):
+            n = int(rng.integers(0, 14)) if b < 7 else 0
+            t = rng.integers(max(0, b - 2) * 12, b * 12 + 20, n) * 1000  # whole ms: ends that meet the watermark exactly
+            o = t if trial % 2 or deltas else t + rng.integers(-3, 4, n) * 1000
+            frame = pd.DataFrame({"event_id": [f"{b}-{i}" for i in rng.permutation(n)], "event_time": "x", "user_id": rng.choice(users, n).astype(object),
+                                  "price": rng.integers(1, 9, n).astype(np.float32), "event_type": None, "t_us": t, "o_us": o})
+            got += batch(bucket, run, frame, wm)
+            for u in users:
+                want += batch(alone[u], run, frame[frame.user_id == u].reset_index(drop=True), wm)
+            wm = max(wm, int(t.max()) // 1000 if n else 0)
+        assert sorted(got) == sorted(want)
+        rows += len(got)
+    assert rows > 500
+
+
+def test_calls_do_not_grow_with_the_users(spark, workdir):
+    """Users by far outnumber the buckets; each call leaves one mark."""
+    rows = [[event(f"{b}-{u}", at(b * 5 + u / 300), user=f"u{u}") for u in range(300)] for b in range(2)] + [[event("z", at(900), user="flush")]]
+    feed = read_event_feed(spark, replay_dir(spark, os.path.join(workdir, "src"), rows), max_files_per_trigger=1)
+    seen = {}
+    for buckets in (3, None):
+        out = f"{workdir}/{buckets}"
+        query = write_files(panes.session_panes_stream(valid_events(feed), buckets=buckets), f"{out}/out", f"{out}/chk", trigger={"availableNow": True})
+        query.awaitTermination()
+        assert query.exception() is None
+        keys = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
+        assert max(keys) <= (buckets or 301)
+        seen[buckets] = sorted(map(repr, spark.read.parquet(f"{out}/out").collect()))
+    assert len(seen[3]) == 601 + 300 and seen[3] == seen[None]

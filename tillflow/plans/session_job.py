@@ -14,7 +14,7 @@ from tillflow.operators.sessions import SESSION_GAP
 from tillflow.schemas import EVENT, HEARTBEAT
 from tillflow.sinks.streams import write_batches_idempotent, write_files, write_kafka
 from tillflow.sources.streams import clock_heartbeats, heartbeat_times, read_event_feed, read_heartbeats, read_kafka_feed, read_kafka_messages, union_feeds
-from tillflow.streaming.panes import as_messages, mark_feed, session_panes_stream, with_rejects
+from tillflow.streaming.panes import BUCKETS, as_messages, mark_feed, session_panes_stream, with_rejects
 from tillflow.streaming.sessions import closed_panes, closed_sessions, mark_feed_time
 
 
@@ -67,6 +67,7 @@ def start_session_job(
     late_rows: bool = False,
     heartbeats: str | None = None,
     idle_after: str | None = None,
+    buckets: int | None = BUCKETS,
 ) -> SessionJob:
     """Start the two streaming queries and return their handles (does not wait).
 
@@ -89,7 +90,8 @@ def start_session_job(
     clock. ``allowed_lateness`` keeps closed sessions for corrected panes (column ``timing``). With
     ``late_rows`` late events go to the quarantine with the reason "late", and one query writes both:
     below ``panes_path``, read back with ``read_output`` as "panes" and "quarantine"
-    (``quarantine_path`` is not used, and each feed is read by one query only).
+    (``quarantine_path`` is not used, and each feed is read by one query only). ``buckets``: state
+    keys of the panes (``session_panes_stream``), fixed for the life of ``checkpoint``.
     """
     if not early_panes and (late_rows or allowed_lateness != "0 seconds"):
         raise ValueError("late rows and allowed lateness need the stateful panes (early_panes)")
@@ -120,7 +122,7 @@ def start_session_job(
     rejected = quarantined_events(union_feeds(*raw), session_time)
     if early_panes:
         out = session_panes_stream(valid, gap, lateness, per_event, include_events, time_col=time_col, engine=engine, order_col="ts",
-                                   marked=True, allowed_lateness=allowed_lateness, late_rows=late_rows)
+                                   marked=True, allowed_lateness=allowed_lateness, late_rows=late_rows, buckets=buckets)
     else:
         out = closed_panes(closed_sessions(valid, gap, lateness, time_col=time_col, order_col="ts", marked=True))
     if late_rows:

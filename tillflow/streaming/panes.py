@@ -3,9 +3,9 @@
 Spark's ``session_window`` cannot run in update mode, so early panes come from
 one stateful operator keyed by user, with one event-time timer per user (at the
 earliest end among its open sessions). Two engines run the same rules:
-``applyInPandasWithState`` (default; the state travels with the Arrow batches)
-and ``transformWithStateInPandas`` (list state and timers through the state
-server, needs the RocksDB state store). Output:
+``applyInPandasWithState`` (default; the state travels with the Arrow batches, and
+the users are dealt into buckets, see below) and ``transformWithStateInPandas`` (list
+state and timers through the state server, needs the RocksDB state store; one user a key). Output:
 
 * an **open** pane for every new event (``per_event=True``) or for every session
   a micro-batch touched: window_end is the newest event time so far;
@@ -37,7 +37,16 @@ State per user: the open sessions (a handful: they close as the watermark
 moves) and, only with ``include_events``, their events. Keyed state puts one
 user on one task; what that task holds is bounded by the user's open sessions,
 and what it reads per batch by the trigger size (``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``). A user's rows of one micro-batch are sorted as a whole
+``maxOffsetsPerTrigger``).
+
+Buckets: a call of the stateful function costs milliseconds, whatever it gets, so the
+default engine's key is one of ``buckets`` hash buckets of users, not the user: calls
+per micro-batch are bounded however many users there are. Inside a call each user has
+sessions, rows and due time of their own, as if alone. A bucket's state is read and
+written as a whole when one of its users gets rows or is due, so a stream of small
+triggers over many open users wants more buckets, or ``buckets=None`` (one user a key). The
+number is fixed for the life of a checkpoint.
+ A user's rows of one micro-batch are sorted as a whole
 before they are applied, so panes don't depend on how Arrow cuts them. Rows that
 follow the open sessions in time are applied as arrays; only a run that reaches
 into or bridges open sessions is applied event by event. The events array
@@ -112,6 +121,9 @@ _PANE_COLS = [f.name for f in _RAW_PANE.fields][:-1]
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _EVENT_COLS = [f.name for f in EVENT.fields]
 
+#: Keys of the default engine's state. Fixed value: a checkpoint holds the users by it.
+BUCKETS = 4096
+
 
 _QUIET = []
 
@@ -129,6 +141,11 @@ def _py(v):
     return v.item() if isinstance(v, np.generic) else v
 
 
+def _columns(batch) -> dict[str, np.ndarray]:
+    """The rows' columns as arrays (pandas costs more than the work on a user's few rows)."""
+    return batch if isinstance(batch, dict) else {c: batch[c].to_numpy() for c in batch.columns}
+
+
 class _SessionBook:
     """The session rules, shared by both stateful engines below.
 
@@ -186,7 +203,7 @@ class _SessionBook:
             events = [e for e in events if any(s[0] <= e["t_us"] <= s[1] for s in keep)]
         return keep, events
 
-    def add(self, key, batch: pd.DataFrame, wm_us: int, sessions: list[list], events: list[dict],
+    def add(self, key, batch: pd.DataFrame | dict[str, np.ndarray], wm_us: int, sessions: list[list], events: list[dict],
             out: list[tuple]):
         """Apply a user's events of one micro-batch in (time, id) order; late ones
         (``t + gap + allowed lateness <= wm``) are dropped or put out as they are.
@@ -195,14 +212,12 @@ class _SessionBook:
         cut into runs (local sessions); a run that meets no open session, or only
         the one it continues in time, is applied as arrays.
         """
-        gap = self.gap_us
-        t_all, o_all = batch["t_us"].to_numpy(), batch["o_us"].to_numpy()
-        ids_all, prices = batch["event_id"].to_numpy(), batch["price"].to_numpy()
+        gap, batch = self.gap_us, _columns(batch)
+        t_all, o_all, ids_all, prices = (batch[c] for c in ("t_us", "o_us", "event_id", "price"))
         in_time = t_all + gap + self.allowed_us > wm_us
         keep_rows = np.flatnonzero(in_time)
         if self.late_rows and len(keep_rows) < len(in_time):
-            rows = batch.loc[~in_time, _EVENT_COLS].astype(object).to_dict("records")
-            out.extend((None, key, *[None] * 7, {c: _py(v) for c, v in row.items()}) for row in rows)
+            out.extend((None, key, *[None] * 7, row) for row in self._records(batch, np.flatnonzero(~in_time)))
         if not len(keep_rows):
             return sessions, events
         order = keep_rows[np.lexsort((ids_all[keep_rows], t_all[keep_rows]))]
@@ -218,7 +233,7 @@ class _SessionBook:
             met = [s for s in sessions[max(0, j - 2) : j] if s[1] + gap > times[lo]]
             later = len(met) > 1 or met and (met[0][1] > times[lo] or met[0][6] > o_all[run[0]] or met[0][7]) or times[lo] + gap <= wm_us
             if self.include_events or later or (o_all[run] != t_all[run]).any():
-                self._add_each(key, batch, run, wm_us, sessions, starts, touched, fresh, events, out)
+                self._add_each(key, batch, run, wm_us, sessions, starts, touched, events, out, fresh)
                 continue
             if met:
                 s = met[0]
@@ -245,20 +260,23 @@ class _SessionBook:
         return sessions, events
 
     @staticmethod
-    def rows(batch: pd.DataFrame, at) -> list[dict]:
+    def _records(batch: dict[str, np.ndarray], at: np.ndarray) -> list[dict]:
+        return [dict(zip(_EVENT_COLS, row)) for row in zip(*(batch[c][at].tolist() for c in _EVENT_COLS))]
+
+    @classmethod
+    def rows(cls, batch: dict[str, np.ndarray], at) -> list[dict]:
         """The events in the given rows, in (time, id) order."""
         if not len(at):
             return []
-        part = batch.iloc[at].sort_values(["o_us", "event_id"], kind="stable")[_EVENT_COLS].astype(object)
-        return [{c: _py(v) for c, v in row.items()} for row in part.to_dict("records")]
+        at = np.asarray(at)
+        return cls._records(batch, at[np.lexsort((batch["event_id"][at], batch["o_us"][at]))])
 
-    def _add_each(self, key, batch: pd.DataFrame, run: np.ndarray, wm_us: int, sessions: list[list], starts: list,
-                  touched: dict, fresh: dict, events: list[dict], out: list[tuple]) -> None:
+    def _add_each(self, key, batch: pd.DataFrame | dict[str, np.ndarray], run: np.ndarray, wm_us: int, sessions: list[list],
+                  starts: list, touched: dict, events: list[dict], out: list[tuple], fresh: dict | None = None) -> None:
         """Apply sorted events one by one; each can only touch the (at most two)
         open sessions next to it, found by binary search."""
-        gap = self.gap_us
-        t_all, o_all = batch["t_us"].to_numpy(), batch["o_us"].to_numpy()
-        ids_all, prices = batch["event_id"].to_numpy(), batch["price"].to_numpy()
+        gap, batch, fresh = self.gap_us, _columns(batch), {} if fresh is None else fresh
+        t_all, o_all, ids_all, prices = (batch[c] for c in ("t_us", "o_us", "event_id", "price"))
         for i in run:
             t, o = int(t_all[i]), int(o_all[i])
             merged = [t, t, _py(ids_all[i]), float(prices[i]), 1, o, o, False]
@@ -287,7 +305,7 @@ class _SessionBook:
             if self.deltas and not self.per_event:
                 fresh[id(merged)] = mine
             if self.include_events:
-                events.append({**{c: _py(batch[c].iat[i]) for c in _EVENT_COLS}, "t_us": t, "o_us": o})
+                events.append({**{c: _py(batch[c][i]) for c in _EVENT_COLS}, "t_us": t, "o_us": o})
             if self.per_event:
                 out.append(self.pane(key, merged, True, events, self.rows(batch, mine[:1]) if self.deltas else None))
 
@@ -377,38 +395,65 @@ class SessionPanes(StatefulProcessor):
         pass
 
 
+#: A bucket's sessions and events as one array for each of their fields, beside the sessions' users.
 _GROUP_STATE = T.StructType(
-    [
-        T.StructField("sessions", T.ArrayType(_SESSION_STATE)),
-        T.StructField("events", T.ArrayType(_EVENT_STATE)),
-    ]
+    [T.StructField("owner", T.ArrayType(T.StringType()))]
+    + [T.StructField(f.name, T.ArrayType(f.dataType)) for f in [*_SESSION_STATE, *_EVENT_STATE]]
 )
 
 
+def _from_state(columns: tuple) -> tuple[dict, dict]:
+    """Each user's sessions and events."""
+    sessions: dict = {}
+    events: dict = {}
+    n = len(_SESSION_STATE) + 1
+    for user, *session in zip(*columns[:n]):
+        sessions.setdefault(user, []).append(session)
+    for event in zip(*columns[n:]):
+        e = dict(zip(_EVENT_STATE.names, event))
+        events.setdefault(e["user_id"], []).append(e)
+    return sessions, events
+
+
+def _to_state(sessions: dict, events: dict) -> tuple:
+    rows = [(user, *s) for user, mine in sessions.items() for s in mine]
+    kept = [e for mine in events.values() for e in mine]
+    return (*map(list, zip(*rows)), *([e[c] for e in kept] for c in _EVENT_STATE.names))
+
+
+def _by_user(batch: pd.DataFrame) -> dict:
+    """Each user's rows, in the order they came, as column arrays."""
+    codes, users = pd.factorize(batch["user_id"].to_numpy(), use_na_sentinel=False)
+    order = np.argsort(codes, kind="stable")
+    cuts = np.searchsorted(codes[order], np.arange(len(users) + 1))
+    columns = {c: batch[c].to_numpy()[order] for c in [*_EVENT_COLS, "t_us", "o_us"]}
+    return {u if isinstance(u, str) else None: {c: v[lo:hi] for c, v in columns.items()} for u, lo, hi in zip(users, cuts, cuts[1:])}
+
+
 def _group_state_fn(book: _SessionBook):
-    """``applyInPandasWithState`` engine: state travels with the Arrow batches and the
-    event-time timeout is the user's one timer."""
-    include_events = book.include_events
+    """``applyInPandasWithState`` engine: a key holds one bucket of users (or one user), the
+    state travels with the Arrow batches and the event-time timeout is the first of the
+    bucket's due times. Every user gets what they would get alone: their own rows, and
+    without rows a call once the watermark is past (not at) their first due time."""
 
     def run(key, frames, state):
         _quiet_pandas_concat()
-        user = key[0]
-        sessions, events = [], []
-        if state.exists:
-            raw_sessions, raw_events = state.get
-            sessions = [list(s) for s in (raw_sessions or [])]
-            events = [dict(zip(_EVENT_STATE.names, e)) for e in (raw_events or [])]
+        sessions, events = _from_state(state.get) if state.exists else ({}, {})
         wm_ms = state.getCurrentWatermarkMs()
+        rows = {} if state.hasTimedOut else _by_user(_whole(frames))
         out: list[tuple] = []
-        if state.hasTimedOut:  # the watermark passed the earliest session end
-            sessions, events = book.close_due(user, wm_ms * 1000, sessions, events, out)
-        else:
-            sessions, events = book.close_due(user, wm_ms * 1000, sessions, events, out)
-            sessions, events = book.add(user, _whole(frames), wm_ms * 1000, sessions, events, out)
+        for user in dict.fromkeys([*sessions, *rows]):
+            mine, own = sessions.get(user, []), events.get(user, [])
+            if user not in rows and book.timer_ms(mine) >= wm_ms:
+                continue
+            mine, own = book.close_due(user, wm_ms * 1000, mine, own, out)
+            if user in rows:
+                mine, own = book.add(user, rows[user], wm_ms * 1000, mine, own, out)
+            sessions[user], events[user] = mine, own
+        sessions = {user: mine for user, mine in sessions.items() if mine}
         if sessions:
-            state.update(([tuple(s) for s in sessions],
-                          [tuple(e[c] for c in _EVENT_STATE.names) for e in events] if include_events else []))
-            state.setTimeoutTimestamp(book.timer_ms(sessions))
+            state.update(_to_state(sessions, events))
+            state.setTimeoutTimestamp(min(map(book.timer_ms, sessions.values())))
         else:
             state.remove()
         yield from _frames(out)
@@ -457,6 +502,7 @@ def session_panes_stream(
     allowed_lateness: str | int = "0 seconds",
     late_rows: bool = False,
     event_deltas: bool = False,
+    buckets: int | None = BUCKETS,
 ) -> DataFrame:
     """Open and closed panes of a stream of valid events (feed columns plus an instant ``ts``).
 
@@ -478,6 +524,9 @@ def session_panes_stream(
     for events that come after it, and adds the column ``timing`` (EARLY, ON_TIME, LATE).
     With ``late_rows`` events beyond that come out as rows of their own, whose column ``late``
     holds the event and whose pane columns but user_id are null.
+
+    ``buckets`` is the number of state keys that the users are dealt to (None: one user a
+    key); it can't change while a checkpoint lives. The results don't depend on it.
     """
     from tillflow.runtime import require_rocksdb_state
 
@@ -492,16 +541,16 @@ def session_panes_stream(
         _unfiltered("close_ts") if late_rows or gap_micros(allowed_lateness) else F.col("close_ts"),
     )
     book = _SessionBook(gap_us, per_event, include_events, gap_micros(allowed_lateness), late_rows, event_deltas)
-    grouped = prepared.groupBy("user_id")
     if engine == "transform_with_state":
-        raw = grouped.transformWithStateInPandas(
+        raw = prepared.groupBy("user_id").transformWithStateInPandas(
             statefulProcessor=SessionPanes(book),
             outputStructType=_RAW_PANE,
             outputMode="Append",
             timeMode="EventTime",
         )
     else:
-        raw = grouped.applyInPandasWithState(
+        key = F.col("user_id") if buckets is None else F.pmod(F.xxhash64("user_id"), F.lit(buckets))
+        raw = prepared.withColumn("bucket", key).groupBy("bucket").applyInPandasWithState(
             _group_state_fn(book),
             outputStructType=_RAW_PANE,
             stateStructType=_GROUP_STATE,
