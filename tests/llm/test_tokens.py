@@ -69,3 +69,22 @@ def test_empty_tables(docs_of):
 def test_files_of_the_other_kind_are_refused(path):
     with pytest.raises((ValueError, KeyError, TypeError)):
         (MergeTable if path == WORD else WordBpe)(path)
+
+
+def test_plain_words_are_not_searched_for_newer_letters_and_pairs_share_places(monkeypatch):
+    """New words cost no search through the long class of letters, and pairs that fall on one
+    place of the small table are told apart."""
+    from tillflow.llm import bpe_codec
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefghijé中"), int(rng.integers(1, 12)))) for _ in range(400)]
+    want = bpe_codec.TextCodec(bpe_codec.WordBpe(path)).ids([" ".join(words), "\U00013460x y\U000105c0"])
+    monkeypatch.setattr(bpe_codec, "PAIR_PLACES", 4)
+    bpe = bpe_codec.WordBpe(path)
+    calls, newer = [], bpe.splitter.newer
+    bpe.splitter.newer = lambda w: calls.append(w) or newer(w)
+    codec = bpe_codec.TextCodec(bpe)
+    assert len(bpe.seen_pairs) == 4
+    assert codec.ids(["été " + " ".join(w.replace("中", "") for w in words)]) and not calls
+    assert codec.ids([" ".join(words), "\U00013460x y\U000105c0"]) == want

@@ -10,6 +10,7 @@ nothing is shuffled: every task counts its own rows.
 from __future__ import annotations
 
 import json
+import re
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -58,7 +59,9 @@ class Splitter:
     def __init__(self, pattern: str, newer: str | None = None):
         newer = newer_letters() if newer is None else newer
         self.quick = regex.compile(pattern).findall
-        self.newer = regex.compile(f"[{newer}]" if newer else r"(?!)").search
+        # ``re`` looks a character of a large class up in a table, ``regex`` goes through the class
+        self.newer = re.compile(f"[{newer}]" if newer else r"(?!)").search
+        self.far = re.compile(f"[{min(newer)}-\U0010ffff]" if newer else r"(?!)").search
         exact = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s[\p{{L}}\p{{N}}--[{newer}]]]")
         exact = exact.replace(r"[\p{L}]", rf"[\p{{L}}--[{newer}]]").replace(r"[\p{N}]", rf"[\p{{N}}--[{newer}]]")
         self.exact = regex.compile(exact, regex.VERSION1).findall
@@ -67,7 +70,7 @@ class Splitter:
         """Words of each text, those not in ``known``, and which of these must not be kept there."""
         out = [self.quick(t) for t in texts]
         new = {w for words in out for w in words}.difference(known)
-        odd = {w for w in new if self.newer(w)}
+        odd = {w for w in new if self.far(w) and self.newer(w)}
         if odd:
             out = [words if odd.isdisjoint(words) else self.exact(t) for t, words in zip(texts, out)]
             new = {w for words in out for w in words}.difference(known)
