@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm.encoders import loaded_encoder
-from tillflow.llm.text import ragged, staged
+from tillflow.llm.text import ragged, release_memory, staged
 from tillflow.llm.token_counts import byte_alphabet, text_runs
 
 #: Bytes of text whose link counts go to the exchange together, and characters aligned at once.
@@ -220,7 +220,7 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, text_col: str =
             yield counted()
         # workers wait for their next task beside others that run: they keep the tokenizers only
         pair.encode_a.known = {}
-        pa.default_memory_pool().release_unused()
+        release_memory()
 
     def looked_up(left: pa.Table, right: pa.Table) -> pa.Table:
         pairs, counts, best = right["pair"].to_numpy(), right["count"].to_numpy(), right["best"].to_numpy()
