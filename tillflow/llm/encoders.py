@@ -15,12 +15,13 @@ import re
 import sys
 import unicodedata
 from collections.abc import Callable
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+from tillflow.llm.text import SPACED, ragged, utf8, word_spans
 from tillflow.llm.token_counts import BYTE_LEVEL_PATTERN, byte_alphabet
 
 KEPT_PIECES = 1_000_000
@@ -29,9 +30,14 @@ PIECES_A_CALL = 8192
 
 #: Python counts these as white space, the library's patterns don't: such texts are encoded whole.
 _OTHER_SPACE = re.compile("[\x1c-\x1f]").search
+#: White space but for the six ASCII characters that texts are cut at as bytes.
+RARE_SPACE = "\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_RARE_SPACE = re.compile(f"[{RARE_SPACE}]").search
 _NUL = b"\x00"
 #: Ends a pre-token among others; no byte of UTF-8.
 _END = b"\xff"
+#: The character that is written as that byte.
+_END_CHAR = "\udcff"
 
 
 def unknown_letters(splits: Callable[[str], list]) -> str:
@@ -94,13 +100,27 @@ class PieceEncoder:
         """The pre-tokens of the pieces, a NUL after each piece, with ends between them."""
         joined = "\n\0\n".join(run) if self.lowers else "".join(run)
         find = self.exact if self.far(joined) and self.has_unknown(joined) else self.quick
-        if not self.lowers:
+        if not self.lowers and not self._bounded(run[0]):
             return _END.join([_END.join([*[w.encode() for w in find(p)], _NUL]) for p in run])
+        if not self.lowers:
+            # sorted, so all are bounded: no pre-token reaches from one into the next, and they are split as one text
+            words = find(joined)
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+            for i in np.searchsorted(ends, np.cumsum([len(p) for p in run])).tolist():
+                words[i] += _END_CHAR + "\0"
+            return _END_CHAR.join(words).encode("utf-8", "surrogateescape")
         # characters are lowered one by one (no final sigma); no pre-token holds white space here
         words = find(unicodedata.normalize("NFC", joined).replace("Σ", "σ").lower())
         return "\n".join(words).encode().replace(b"\n", _END) + _END + _NUL
 
+    @staticmethod
+    def _bounded(piece: str) -> bool:
+        """Whether a piece starts with white space and ends with another character."""
+        return piece[0].isspace() and not piece[-1].isspace()
+
     def _learn(self, new: list[str]) -> None:
+        if not self.lowers:
+            new.sort(key=self._bounded)
         for lo in range(0, len(new), PIECES_A_CALL):
             run = new[lo : lo + PIECES_A_CALL]
             joined = "\n".join(run)
@@ -120,19 +140,53 @@ class PieceEncoder:
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers; null reads as empty."""
-        pieces = [([t] if _OTHER_SPACE(t) else self.pieces(t)) if t else [] for t in texts]
-        found = [list(map(self.known.get, ps)) for ps in pieces]
-        new = list({p for ps, ids in zip(pieces, found) if None in ids for p, x in zip(ps, ids) if x is None})
-        self._learn(new)
+        rare = [i for i, t in enumerate(texts) if t and (any(c in t for c in RARE_SPACE[:4]) if t.isascii() else _RARE_SPACE(t))]
+        column, counts = self._cut(texts, rare)
+        coded = column.dictionary_encode()
+        pieces, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         known = self.known
-        out = [b"".join([known[p] if x is None else x for p, x in zip(ps, ids)] if None in ids else ids) for ps, ids in zip(pieces, found)]
+        new = [p for p in pieces if p not in known]
+        self._learn(new)
+        found = list(map(known.__getitem__, pieces))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        sizes = lengths[at]
+        ids = np.frombuffer(b"".join(found), "<u4")[ragged((np.cumsum(lengths) - lengths)[at], sizes)]
+        ends = (np.r_[0, np.cumsum(sizes)][np.cumsum(counts)] * 4).tolist()
+        raw = ids.tobytes()
+        out = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        for i, ids_of in zip(rare, out[len(texts) :]):
+            out[i] = ids_of
         for p in new:
             if len(p) > KEPT_CHARS:
                 del known[p]
         if len(known) > self.kept:
-            seen = set(chain.from_iterable(pieces))
+            seen = set(pieces)
             self.known = {p: ids for p, ids in known.items() if p in seen} if len(seen) < self.kept else {}
-        return out
+        return out[: len(texts)]
+
+    def _cut(self, texts: list[str | None], rare: list[int]) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of all texts and how many each text has. Texts are cut as bytes; the
+        ``rare`` ones, with white space of other kinds, count as empty and follow at the end."""
+        apart = [[texts[i]] if _OTHER_SPACE(texts[i]) else self.pieces(texts[i]) for i in rare]
+        plain = list(texts)
+        for i in rare:
+            plain[i] = None
+        data, offs = utf8(pa.array(plain, pa.large_string()))
+        data = data[: offs[-1]]
+        if self.lowers:
+            starts, ends, first = word_spans(data, offs, SPACED)
+            data, places = data[SPACED[data]], np.r_[0, np.cumsum(ends - starts)]
+        else:
+            space = ~SPACED[data]
+            begins = space.copy()
+            begins[1:] &= ~space[:-1]
+            begins[offs[:-1][np.diff(offs) > 0]] = True
+            starts = np.flatnonzero(begins)
+            first, places = np.searchsorted(starts, offs), np.r_[starts, len(data)]
+        column = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+        if apart:
+            column = pa.concat_arrays([column, pa.array([p for ps in apart for p in ps], pa.large_string())])
+        return column, np.r_[np.diff(first), [len(ps) for ps in apart]].astype(np.int64)
 
 
 _LOADED: dict[tuple[str, bool, int], PieceEncoder] = {}
