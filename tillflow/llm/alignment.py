@@ -87,8 +87,11 @@ class TokenPair:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
         # ids as text, each with what may follow it
-        self.shown = [b"%d%b" % (i, end) for end in (b",", b"|", b";") for i in range(max(len(self.length_a), len(pieces)))]
-        self.width = len(self.shown) // 3
+        shown = [b"%d%b" % (i, end) for end in (b",", b"|", b";") for i in range(max(len(self.length_a), len(pieces)))]
+        self.width = len(shown) // 3
+        self.shown_length = np.array([len(x) for x in shown], np.int64)
+        #: One row each, NULs after it.
+        self.shown = np.array(shown, f"S{-(-self.shown_length.max() // 8) * 8}")
 
     def align(self, texts: list[str | None]) -> dict:
         """Arrays for a slice of texts: for each text n_a, n_b, n_groups, n_links and groups (bytes);
@@ -122,8 +125,10 @@ class TokenPair:
         codes = np.empty(len(a) + len(b), np.int64)
         codes[np.arange(len(a)) + b_before[groups.a]] = a + self.width * last_a
         codes[np.arange(len(b)) + a_before[groups.b]] = b + 2 * self.width * last_b
-        parts = list(map(self.shown.__getitem__, codes.tolist()))
-        return [b"".join(parts[lo:hi])[:-1] for lo, hi in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        rows = self.shown[codes].view(np.uint8)
+        raw = rows[rows != 0].tobytes()
+        places = np.r_[0, np.cumsum(self.shown_length[codes])][ends].tolist()
+        return [raw[lo : max(hi - 1, lo)] for lo, hi in zip([0, *places[:-1]], places)]
 
 
 _LOADED: dict[tuple[str, str], TokenPair] = {}
