@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.text import LOWER, SPACED, gram_hashes, list_column, mix, small_side, staged, text_key, text_slices, word_hashes, word_spans
+from tillflow.llm.text import LOWER, SPACED, gram_hashes, list_column, mix, release_memory, small_side, staged, text_key, text_slices, word_hashes, word_spans
 
 HASHES = 128
 CHECK_HASHES = 128
@@ -124,6 +124,7 @@ def signed_documents(docs: DataFrame, id_col: str, text_col: str, k: int) -> Dat
                     ],
                     ["id", "tk", "n", "cid", "sig"],
                 )
+        release_memory()  # the worker waits beside others that run
 
     rows = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("tk"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, tk long, n long, cid long, sig binary")
@@ -191,6 +192,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
                 sets = shingle_sets(data, offs, k)
                 values = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), list_column(pa.array(values), np.array([len(s) for s in sets]))], ["cid", "items"])
+        release_memory()
 
     sets = texts.mapInArrow(run, "cid long, items array<long>").dropDuplicates(["cid"])
     left, right = sets.withColumnsRenamed({"cid": "a", "items": "xs"}), sets.withColumnsRenamed({"cid": "b", "items": "ys"})

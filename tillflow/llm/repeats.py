@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.text import SLICE_BYTES, inverse_powers, list_column, mix, prefix_hashes, sliding_min, small_side, span_hashes, staged, text_key, text_slices, utf8
+from tillflow.llm.text import SLICE_BYTES, inverse_powers, list_column, mix, prefix_hashes, release_memory, sliding_min, small_side, span_hashes, staged, text_key, text_slices, utf8
 
 LENGTH = 200
 GRAM = 32
@@ -94,6 +94,7 @@ def run_rows(docs: DataFrame, length: int) -> DataFrame:
                 runs = pa.StructArray.from_arrays(fields, ["start", "strings", "g", "d"])
                 counts = np.bincount(owner, minlength=hi - lo)
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), list_column(runs, counts)], ["id", "tk", "runs"])
+        release_memory()  # the worker waits beside others that run
 
     kind = docs.schema["id"].dataType.simpleString()
     rows = docs.mapInArrow(run, f"id {kind}, tk long, runs array<struct<start:long,strings:long,g:long,d:long>>")
@@ -254,6 +255,8 @@ def _in_blocks(length: int, block_bytes: int):
                 size += len(row[-1])
         if held:
             yield spans()
+        held.clear()
+        release_memory()
 
     return run
 

@@ -21,12 +21,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.text import SLICE_BYTES
-
 #: Fixed value: how the byte-level tokenizers split a text before merging.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _FAR = np.int64(1 << 60)
 CACHE_WORDS = 300_000
+#: Characters whose words are looked up together.
+RUN_CHARS = 2 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -155,7 +155,7 @@ class TokenCounter:
         return [sum(next(sums) for _ in ps) + max(len(ps) - 1, 0) for ps in pieces]
 
 
-def text_runs(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[list[str | None]]:
+def text_runs(column: pa.Array, limit: int = RUN_CHARS) -> Iterator[list[str | None]]:
     """The column's texts in lists of about ``limit`` characters."""
     out: list[str | None] = []
     size = 0
