@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from brute import groups, leaks, lettered, quality, repeats
 
@@ -142,6 +143,47 @@ def test_a_large_group_without_a_common_center(spark, docs_of):
     assert {r.component_id for r in rows} == {0}
 
 
+def test_a_group_in_many_blocks(docs_of, monkeypatch):
+    """Similar texts around the threshold: groups as by brute force, however few classes a block has."""
+    rng = random.Random(9)
+    base = prose(rng, 120, 5000).split()
+    docs = []
+    for i in range(150):
+        new = list(base)
+        for _ in range(rng.randint(1, 6)):
+            new[rng.randrange(len(new))] = f"z{rng.randrange(99999)}"
+        docs.append((i, " ".join(new)))
+    docs += [(200 + i, prose(rng, 40, 900)) for i in range(20)]
+    group, sizes = groups(docs, 2)
+    assert 20 < len(set(group)) < 165 and max(group.count(g) for g in set(group)) > 30
+    want = [(i, n, min(x for (x, _), h in zip(docs, group) if h == g)) for (i, _), g, n in zip(docs, group, sizes)]
+    monkeypatch.setattr(near_duplicates, "FIRST_CENTERS", 1)
+    for most in (7, 4096):
+        monkeypatch.setattr(near_duplicates, "BLOCK_CLASSES", most)
+        got = near_duplicates.near_duplicates(docs_of(docs), k=2).collect()
+        assert ordered((r.doc_id, r.n_shingles, r.component_id) for r in got) == ordered(want)
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_links_of_two_blocks_only_connect(same):
+    """A hot group gives fewer links than it has classes, not its pairs."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(np.r_[rng.choice(100, 97 if i < 40 else 60, replace=False), rng.integers(100, 999, 3)]) for i in range(80)]
+    values = [near_duplicates.mix(s.astype(np.uint64) + np.uint64(1)) for s in sets]
+    planes = near_duplicates.bit_planes(near_duplicates.signatures(values)).view(np.uint64)
+    every = near_duplicates.Block(planes, np.array([len(s) for s in sets]), np.arange(80) // 2)
+    one, two = (np.arange(80), np.arange(80)) if same else (np.arange(0, 80, 2), np.arange(1, 80, 2))
+    links = near_duplicates.new_links(near_duplicates._at(every, one), near_duplicates._at(every, two), [sets[i] for i in one], [sets[i] for i in two], near_duplicates.distance_limit(80), 80)
+    pairs = [(one[i], two[j]) for i, j in links]
+    assert all(100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b])) for a, b in pairs)
+    root = {i // 2: i // 2 for i in range(80)}
+    for a, b in pairs:
+        a, b = root[a // 2], root[b // 2]
+        assert a != b  # no ring
+        root = {x: a if r == b else r for x, r in root.items()}
+    assert len({root[i // 2] for i in range(40)}) == 1 and len(pairs) < 40
+
+
 # --- repeated strings
 
 

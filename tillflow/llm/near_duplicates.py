@@ -13,11 +13,12 @@ shingle sets. The longer signature tells texts a little below the threshold from
 those above it, so a hot group of similar but unlinked texts costs few confirmations.
 
 Equal sets are one class, with one row in everything below. Links are wanted only
-up to connection, so no group is expanded into pairs: first each class is compared
-with a few classes that share many keys with it, which joins the bulk of a group, in
-some rounds; then all pairs of the index are compared except those already
-connected, each pair once. The rounds only save comparisons: what they miss, the
-last step finds.
+up to connection, so no group is expanded into pairs, neither of candidates nor of
+links: first each class is compared with a few classes that share whole chunks with
+it, which joins the bulk of a group; then classes that share keys of the full index
+are put into blocks of bounded size, and every two blocks that share a key are
+compared class by class as arrays in a task. Such a comparison gives back only the
+links that connect what is not connected yet, fewer than it has classes.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.text import LOWER, SPACED, gram_hashes, list_column, mix, release_memory, small_side, staged, text_key, text_slices, word_hashes, word_spans
+from tillflow.llm.text import LOWER, SPACED, gram_hashes, list_column, mix, ragged, release_memory, small_side, staged, text_key, text_slices, word_hashes, word_spans
 
 HASHES = 128
 CHECK_HASHES = 128
@@ -39,10 +40,12 @@ ALL_HASHES = HASHES + CHECK_HASHES
 SYMBOL_BITS = 8
 CHUNK_ERRORS = 1
 MISS = 1e-6
-#: Rounds of comparing each class with few others before all remaining pairs are
-#: compared, and how many others: by whole chunks first, then by the full index.
-STAR_ROUNDS = 1
-FIRST_CENTERS, CENTERS = 4, 64
+#: With how many others each class is compared before the blocks are.
+FIRST_CENTERS = 4
+#: Classes and set items in a block, as expected; a single larger set is a block's least.
+BLOCK_CLASSES, BLOCK_ITEMS = 4096, 1 << 20
+#: Set items of the blocks that a task compares at once, as expected, and pairs of signatures.
+BIN_ITEMS, PAIRS_AT_ONCE = 1 << 21, 1 << 15
 #: Links of up to so many rows are connected in one task, more of them by shuffles.
 GATHER_ROWS = 200_000
 _RNG = np.random.default_rng(41)
@@ -175,14 +178,9 @@ def star_pairs(rows: DataFrame, seed: int, centers: int) -> DataFrame:
     return met.withColumn("place", place).filter(F.col("place") <= centers).select(F.col("cid").alias("a"), "b")
 
 
-def similar_sizes(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(classes.select("cid", "id", "tk"), "cid")
-    wanted = staged(wanted, "near_wanted").withColumnsRenamed({"id": "wid", "tk": "wtk"})
+def full_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(cid, items): the shingle sets of the wanted classes (cid), from one text of each."""
+    wanted = staged(wanted.join(classes.select("cid", "id", "tk"), "cid"), "near_wanted").withColumnsRenamed({"id": "wid", "tk": "wtk"})
     rows = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("tk"), F.col(text_col).alias("text"))
     texts = rows.join(small_side(wanted, 40), rows["id"].eqNullSafe(F.col("wid")) & (rows["tk"] == F.col("wtk"))).select("cid", "text")
 
@@ -194,7 +192,12 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), list_column(pa.array(values), np.array([len(s) for s in sets]))], ["cid", "items"])
         release_memory()
 
-    sets = texts.mapInArrow(run, "cid long, items array<long>").dropDuplicates(["cid"])
+    return texts.mapInArrow(run, "cid long, items array<long>").dropDuplicates(["cid"])
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are similar."""
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), classes, docs, id_col, text_col, k)
     left, right = sets.withColumnsRenamed({"cid": "a", "items": "xs"}), sets.withColumnsRenamed({"cid": "b", "items": "ys"})
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("xs", "ys"))
@@ -239,38 +242,155 @@ def labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
     return classes.join(roots, classes["cid"] == roots["node"], "left").select(*[classes[c] for c in classes.columns], F.coalesce("root", "cid").alias("comp"))
 
 
-def difference(a: str, b: str) -> list[Column]:
-    """64-bit words: which symbols of the signatures ``a`` and ``b`` (bit planes) differ."""
-    words = ALL_HASHES // 64
-    differ = [F.col(a)[i].bitwiseXOR(F.col(b)[i]) for i in range(words * SYMBOL_BITS)]
-    return [reduce(lambda x, y: x.bitwiseOR(y), differ[part::words]) for part in range(words)]
+def placed_in_blocks(members: DataFrame, planes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cid, n, p, comp, label, block) for the classes of the index rows, and the pairs (x, y),
+    x <= y, of blocks to compare: all two classes of different components that share a key
+    are in some pair. A label is a key that many of its classes share, found through the most
+    shared key of each component, and has one block or more."""
+    shared = members.groupBy("key").agg(F.count("*").alias("times"))
+    tops = members.join(shared, "key").groupBy("comp").agg(F.max(F.struct("times", "key")).alias("top"))
+    tops = staged(tops, "near_tops")
+    best = members.join(tops, "comp").groupBy("key").agg(F.max("top").alias("best"))
+    labels = tops.select("comp", F.col("top.key").alias("key")).join(best, "key").select("comp", F.col("best.key").alias("label"))
+    comps = members.select("cid", "comp").distinct()
+    rows = planes.join(comps, "cid").join(labels, "comp")
+    size = F.greatest(F.count("*") / BLOCK_CLASSES, F.sum("n") / BLOCK_ITEMS)
+    parts = rows.groupBy("label").agg(F.ceil(size).cast("long").alias("parts"), (F.min("comp") < F.max("comp")).alias("mixed"))
+    parts = staged(parts, "near_parts")
+    number = lambda part: F.xxhash64("label", part)
+    rows = rows.join(parts.select("label", "parts"), "label").withColumn("block", number(F.pmod(F.xxhash64("cid"), F.col("parts"))))
+    rows = staged(rows.select("cid", "n", "p", "comp", "label", "block"), "near_blocks")
+
+    within = parts.filter("mixed").select("label", "parts", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("i"))
+    within = within.select("label", "i", F.explode(F.sequence("i", F.col("parts") - 1)).alias("j")).select(number("i").alias("x"), number("j").alias("y"))
+    # keys whose classes have the same blocks count once
+    met = members.join(rows.select("cid", "label", "block"), "cid").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("label", "block"))).alias("met"))
+    met = met.filter(F.size("met") > 1).select("met").distinct().filter(F.element_at("met", 1)["label"] < F.element_at("met", -1)["label"])
+    across = met.select("met", F.explode("met").alias("one")).select("one", F.explode(F.filter("met", lambda two: two["label"] > F.col("one.label"))).alias("two"))
+    across = across.select(F.col("one.block").alias("x"), F.col("two.block").alias("y"))
+    pairs = within.unionAll(across).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    return rows, staged(pairs, "near_block_pairs")
+
+
+class Block:
+    """Classes of a block as arrays: planes, set sizes, component numbers."""
+
+    def __init__(self, planes: np.ndarray, n: np.ndarray, comp: np.ndarray):
+        self.planes, self.n, self.comp = planes, n, comp
+
+    def near(self, other: Block, limit: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(first row, matrix of which of the next rows are near which rows of ``other``): of different
+        components, of similar sizes, and within the limits of the index's symbols and of all."""
+        words, step = ALL_HASHES // 64, max(1, PAIRS_AT_ONCE // max(1, len(other.n)))
+        for lo in range(0, len(self.n), step):
+            mine = slice(lo, lo + step)
+            small, large = np.minimum.outer(self.n[mine], other.n), np.maximum.outer(self.n[mine], other.n)
+            fits = (small * 100 >= large * percent) & (self.comp[mine, None] != other.comp)
+            if not fits.any():
+                continue
+            counts = np.zeros(fits.shape, np.int64)
+            for part in range(words):
+                differ = np.zeros(fits.shape, np.uint64)
+                for plane in range(part, words * SYMBOL_BITS, words):
+                    differ |= np.bitwise_xor.outer(self.planes[mine, plane], other.planes[:, plane])
+                counts += np.bitwise_count(differ)
+                if part == HASHES // 64 - 1:
+                    fits &= counts <= limit
+                    if not fits.any():
+                        break
+            else:
+                yield lo, fits & (counts <= distance_limit(percent, ALL_HASHES))
+
+
+def _block_pairs(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows of the two blocks of each pair (x, y) in a table (x, y, block, ..)."""
+    x, y, block = (rows[c].to_numpy() for c in ("x", "y", "block"))
+    order = np.lexsort((block, y, x))
+    x, y, block = x[order], y[order], block[order]
+    cuts = np.flatnonzero((np.diff(x) != 0) | (np.diff(y) != 0)) + 1
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(order)]):
+        if x[lo] == y[lo]:
+            yield order[lo:hi], order[lo:hi]
+        else:
+            first = block[lo:hi] == x[lo]
+            yield order[lo:hi][first], order[lo:hi][~first]
+
+
+def _blocks(rows: pa.Table) -> Block:
+    planes = rows["p"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, -1)
+    return Block(planes, rows["n"].to_numpy(), rows["comp"].to_numpy())
 
 
-def within(words: list[Column], limit: int, percent: int) -> Column:
-    """Whether differing symbols are at most ``limit`` of the index's, and at most the limit of all."""
-    counts = [F.bit_count(w) for w in words]
-    few = lambda part, most: reduce(lambda x, y: x + y, part) <= most
-    return few(counts[: HASHES // 64], limit) & few(counts, distance_limit(percent, ALL_HASHES))
+def _at(block: Block, rows: np.ndarray) -> Block:
+    return Block(block.planes[rows], block.n[rows], block.comp[rows])
 
 
-def near_pairs(pairs: DataFrame, planes: DataFrame, limit: int, percent: int) -> DataFrame:
-    """The pairs (a, b) within the distance limit and of similar size."""
-    one = planes.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
-    two = planes.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-    return pairs.join(one, "a").join(two, "b").filter(similar_sizes(F.col("na"), F.col("nb"), percent) & within(difference("pa", "pb"), limit, percent)).select("a", "b")
+def new_links(one: Block, two: Block, ids_one: list[np.ndarray], ids_two: list[np.ndarray], limit: int, percent: int) -> list[tuple[int, int]]:
+    """Links (row in one, row in two) of similar sets that connect the components, without rings.
+    The sets are arrays of numbers from 0."""
+    sizes = np.array([len(s) for s in ids_two], np.int64)
+    starts, flat = np.cumsum(sizes) - sizes, np.concatenate(ids_two)
+    inside = np.zeros(1 + max(int(flat.max()), max(int(s.max()) for s in ids_one)), bool)
+    _, numbers = np.unique(np.concatenate([one.comp, two.comp]), return_inverse=True)
+    mine, others = numbers[: len(one.comp)], numbers[len(one.comp) :]
+    out = []
+    for lo, near in one.near(two, limit, percent):
+        for i, row in enumerate(near, lo):
+            found = np.flatnonzero(row)
+            found = found[others[found] != mine[i]]
+            if not len(found):
+                continue
+            inside[ids_one[i]] = True
+            counts = sizes[found]
+            shared = np.add.reduceat(inside[flat[ragged(starts[found], counts)]], np.cumsum(counts) - counts, dtype=np.int64)
+            inside[ids_one[i]] = False
+            for j in found[shared * 100 >= (len(ids_one[i]) + counts - shared) * percent].tolist():
+                if others[j] != mine[i]:
+                    out.append((i, j))
+                    old = others[j]
+                    mine[mine == old], others[others == old] = mine[i], mine[i]
+    return out
 
 
-def index_pairs(members: DataFrame, planes: DataFrame, chunk: np.ndarray, limit: int, percent: int) -> DataFrame:
-    """All pairs (a, b) of different components that meet in the index and are within the
-    limit, each once: where it meets first."""
-    met = members.join(planes, "cid")
-    one = met.select("key", "pos", F.col("comp").alias("ca"), F.col("cid").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
-    two = met.select("key", F.col("comp").alias("cb"), F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-    words = difference("pa", "pb")
-    near, (low, high) = within(words, limit, percent), words[: HASHES // 64]
-    # evaluated for near pairs only; in a lambda, so that the two words are computed once
-    first = F.exists(F.array(F.struct(low.alias("low"), high.alias("high"))), lambda w: first_meeting(w["low"], w["high"], chunk) == F.col("pos"))
-    return one.join(two, "key").filter((F.col("ca") < F.col("cb")) & similar_sizes(F.col("na"), F.col("nb"), percent) & near & first).select("a", "b")
+def block_links(members: DataFrame, planes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, limit: int, percent: int) -> DataFrame:
+    """Links (a, b) of classes, confirmed on full sets, that connect all similar classes which share
+    a key and are not in one component yet; by block pairs, with fewer links each than classes."""
+    rows, pairs = placed_in_blocks(members, planes)
+    ends = pairs.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    least = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(rows: DataFrame, items: int) -> DataFrame:
+        return rows.withColumn("bin", F.pmod(F.xxhash64("x", "y"), F.lit(max(least, items // BIN_ITEMS))))
+
+    def with_partners(rows: pa.Table) -> pa.Table:
+        every, found = _blocks(rows), []
+        for a, b in _block_pairs(rows):
+            near_a, near_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+            for lo, near in _at(every, a).near(_at(every, b), limit, percent):
+                near_a[lo : lo + len(near)] = near.any(axis=1)
+                near_b |= near.any(axis=0)
+            found += [np.union1d(a[near_a], b[near_b])]
+        return rows.select(["x", "y", "block", "cid"]).take(pa.array(np.concatenate(found)))
+
+    def linked(rows: pa.Table) -> pa.Table:
+        every, items = _blocks(rows), rows["items"].combine_chunks()
+        values, offs = items.flatten().to_numpy(), np.r_[0, np.cumsum(items.value_lengths().to_numpy())]
+        links, cids = [], rows["cid"].to_numpy()
+        for a, b in _block_pairs(rows):
+            if not len(a) or not len(b):
+                continue
+            used = np.unique(np.r_[a, b])
+            _, numbers = np.unique(np.concatenate([values[offs[r] : offs[r + 1]] for r in used]), return_inverse=True)
+            sets = dict(zip(used.tolist(), np.split(numbers, np.cumsum(offs[used + 1] - offs[used])[:-1])))
+            links += [(cids[a[i]], cids[b[j]]) for i, j in new_links(_at(every, a), _at(every, b), [sets[r] for r in a.tolist()], [sets[r] for r in b.tolist()], limit, percent)]
+        return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    near = dealt(ends.join(rows, "block").select("x", "y", "block", "cid", "n", "p", "comp"), rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    near = staged(near.groupBy("bin").applyInArrow(with_partners, "x long, y long, block long, cid long"), "near_partners")
+    near = near.join(rows.select("cid", "n", "p", "comp"), "cid")
+    sets = full_sets(near.select("cid").distinct(), classes, docs, id_col, text_col, k)
+    near = dealt(near, near.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    return near.join(sets, "cid").groupBy("bin").applyInArrow(linked, "a long, b long")
 
 
 def first_meeting(low: Column, high: Column, chunk: np.ndarray) -> Column:
@@ -309,20 +429,11 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     stars = staged(star_pairs(staged(mixed_buckets(keys), "near_shared"), 0, FIRST_CENTERS), "near_stars")
     links = staged(confirmed(stars, classes, docs, id_col, text_col, k, percent), "near_links")
 
-    # what meets in the index and is not connected yet: again some for each, then all
+    # what meets in the index and is not connected yet
     grouped = staged(labelled(classes.select("cid", "sig", "n"), links), "near_grouped")
     members = staged(mixed_buckets(index_keys(grouped, chunk, 1)), "near_members")
     planes = staged(grouped.join(members.select("cid").distinct(), "cid", "left_semi").select("cid", "n", "sig").mapInArrow(_plane_rows, "cid long, n long, p array<long>"), "near_planes")
-    for seed in range(1, STAR_ROUNDS + 1):
-        stars = staged(near_pairs(star_pairs(members, seed, CENTERS), planes, limit, percent), "near_stars")
-        more = staged(confirmed(stars, classes, docs, id_col, text_col, k, percent), "near_links")
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        comps = labelled(classes.select("cid"), links)
-        members = staged(mixed_buckets(members.drop("comp").join(comps, "cid")), "near_members")
-    pairs = staged(index_pairs(members, planes, chunk, limit, percent), "near_pairs")
-    links = links.unionByName(confirmed(pairs, classes, docs, id_col, text_col, k, percent))
+    links = links.unionByName(block_links(members, planes, classes, docs, id_col, text_col, k, limit, percent))
 
     final = staged(labelled(classes.select("cid", "least"), links), "near_final")
     names = final.groupBy("comp").agg(F.min("least").alias("component"))
