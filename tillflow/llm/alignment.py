@@ -25,9 +25,11 @@ from tillflow.llm.text import ragged, release_memory, staged
 from tillflow.llm.token_counts import byte_alphabet, text_runs
 
 #: Bytes of text whose link counts go to the exchange together, and characters aligned at once.
-BLOCK_BYTES, SLICE_CHARS = 16 << 20, 1 << 19
+BLOCK_BYTES, SLICE_CHARS = 16 << 20, 1 << 18
 #: Pieces whose ids a worker keeps; the arrays of a slice need the room.
-KEPT_PIECES = 150_000
+KEPT_PIECES = 100_000
+#: Characters after which a worker gives its freed memory back to the system.
+RELEASE_CHARS = 4 << 20
 #: A pair of ids as one long.
 _SHIFT = 32
 
@@ -190,7 +192,8 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(a_path, b_path)
         pid, number, size = TaskContext.get().partitionId(), 0, 0
-        keys: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # each slice's distinct pairs and their counts
+        freed = 0
 
         def rows(n: int, kind: bool, values: dict) -> pa.RecordBatch:
             none = {"id": pa.nulls(n, id_arrow), "links": pa.nulls(n, pa.binary()), "groups_sha256": pa.nulls(n, pa.string()), **{c: pa.nulls(n, pa.int64()) for c in [*_DOC, "pair", "n"]}}
@@ -198,8 +201,10 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, text_col: str =
             return pa.record_batch([values[c] for c in names], names)
 
         def counted() -> pa.RecordBatch:
-            pairs, n = np.unique(np.concatenate(keys), return_counts=True)
-            keys.clear()
+            pairs, place = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            n = np.zeros(len(pairs), np.int64)
+            np.add.at(n, place, np.concatenate([x for _, x in held]))
+            held.clear()
             return rows(len(pairs), True, {"pair": pa.array(pairs), "n": pa.array(n)})
 
         for batch in batches:
@@ -211,7 +216,7 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, text_col: str =
                     yield counted()
                     number, size = number + 1, 0
                 size += sum(len(t) for t in texts if t)
-                keys.append(key)
+                held.append(np.unique(key, return_counts=True))
                 small = np.empty((len(key), 2), id_bytes)
                 small[:, 0], small[:, 1] = key >> _SHIFT, key & ((1 << _SHIFT) - 1)
                 raw, ends = memoryview(small.tobytes()), np.cumsum(got["n_links"]) * small.itemsize * 2
@@ -221,7 +226,12 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, text_col: str =
                     "links": pa.array([raw[lo:hi] for lo, hi in zip([0, *ends[:-1].tolist()], ends.tolist())], pa.binary()),
                 })
                 row += len(texts)
-        if keys:
+                freed += sum(len(t) for t in texts if t)
+                del got, key, small, raw, ends
+                if freed >= RELEASE_CHARS:
+                    release_memory()
+                    freed = 0
+        if held:
             yield counted()
         # workers wait for their next task beside others that run: they keep the tokenizers only
         pair.encode_a.known = {}
