@@ -164,6 +164,58 @@ def test_a_group_in_many_blocks(docs_of, monkeypatch):
         assert ordered((r.doc_id, r.n_shingles, r.component_id) for r in got) == ordered(want)
 
 
+def test_rows_grow_with_classes_and_not_with_pairs(docs_of, monkeypatch):
+    """Similar texts that are not linked stand once under their label, not once under each key they share."""
+    kept, staged = {}, near_duplicates.staged
+
+    def keeping(df, *parts):
+        kept[parts[0]] = staged(df, *parts)
+        return kept[parts[0]]
+
+    monkeypatch.setattr(near_duplicates, "staged", keeping)
+    rng = random.Random(12)
+    base = prose(rng, 150, 5000).split()
+    docs = []
+    for i in range(160):
+        new = list(base)
+        for at in rng.sample(range(len(new)), 10):
+            new[at] = f"z{rng.randrange(99999)}"
+        docs.append((i, " ".join(new)))
+    group, _ = groups(docs, 2)
+    got = near_duplicates.near_duplicates(docs_of(docs), k=2).collect()
+    assert ordered(r.component_id for r in got) == ordered(min(j for j, h in enumerate(group) if h == g) for g in group)
+    assert len(set(group)) > 100
+    assert 100 < kept["near_members"].count() < 5 * len(docs)
+
+
+def test_rows_with_partners():
+    """Against each pair one by one, under keys of one block and of two."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    symbols = np.repeat(rng.integers(0, 256, (12, near_duplicates.ALL_HASHES), dtype=np.uint8), 5, axis=0)
+    changed = rng.random(symbols.shape) < rng.uniform(0.05, 0.3, (len(symbols), 1))
+    symbols[changed] = rng.integers(0, 256, int(changed.sum()))
+    symbols = symbols[rng.integers(0, len(symbols), 300)]
+    key, two = rng.integers(0, 9, 300), rng.integers(0, 2, 300)
+    x, y = np.zeros(300, int), key % 2  # an odd key's rows stand in two blocks, an even one's in one
+    part = np.where(y > x, two, 0)
+    n, comp = rng.integers(70, 100, 300), rng.integers(0, 60, 300)
+    planes = [row.tolist() for row in near_duplicates.bit_planes(symbols)]
+    rows = pa.table({"key": key, "x": x, "y": y, "part": part, "comp": comp, "n": n, "p": pa.array(planes, pa.list_(pa.int64()))})
+    limit, all_limit = near_duplicates.distance_limit(80), near_duplicates.distance_limit(80, near_duplicates.ALL_HASHES)
+    want = set()
+    for i in range(300):
+        for j in range(300):
+            differ = symbols[i] != symbols[j]
+            met = key[i] == key[j] and comp[i] != comp[j] and (x[i] == y[i] or part[i] != part[j])
+            if met and min(n[i], n[j]) * 100 >= max(n[i], n[j]) * 80 and differ[: near_duplicates.HASHES].sum() <= limit and differ.sum() <= all_limit:
+                want |= {i, j}
+    assert 20 < len(want) < 280
+    assert near_duplicates.near_rows(rows, limit, 80).tolist() == sorted(want)
+    assert near_duplicates.near_rows(rows.slice(0, 0), limit, 80).tolist() == []
+
+
 @pytest.mark.parametrize("same", [False, True])
 def test_links_of_two_blocks_only_connect(same):
     """A hot group gives fewer links than it has classes, not its pairs."""

@@ -15,10 +15,14 @@ those above it, so a hot group of similar but unlinked texts costs few confirmat
 Equal sets are one class, with one row in everything below. Links are wanted only
 up to connection, so no group is expanded into pairs, neither of candidates nor of
 links: first each class is compared with a few classes that share whole chunks with
-it, which joins the bulk of a group; then classes that share keys of the full index
-are put into blocks of bounded size, and every two blocks that share a key are
-compared class by class as arrays in a task. Such a comparison gives back only the
-links that connect what is not connected yet, fewer than it has classes.
+it, which joins the bulk of a group; then each class gets a label, a much shared
+chunk, and the classes of a label, and those of each key of the full index with
+more than one label, are compared as arrays in a task. So a pair is compared under
+its label or under the keys it shares. Only classes with a partner are taken on to
+the full sets, and of the links only those that connect what is not connected come
+back. The rows are one for each class and one for each of its keys with other labels;
+only a label or key with more classes than a block holds is cut into blocks, and its
+classes are repeated for each block they are compared with.
 """
 
 from __future__ import annotations
@@ -43,9 +47,9 @@ MISS = 1e-6
 #: With how many others each class is compared before the blocks are.
 FIRST_CENTERS = 4
 #: Classes and set items in a block, as expected; a single larger set is a block's least.
-BLOCK_CLASSES, BLOCK_ITEMS = 4096, 1 << 20
-#: Set items of the blocks that a task compares at once, as expected, and pairs of signatures.
-BIN_ITEMS, PAIRS_AT_ONCE = 1 << 21, 1 << 15
+BLOCK_CLASSES, BLOCK_ITEMS = 4096, 1 << 21
+#: Index rows and set items that a task compares at once, as expected, and pairs of signatures.
+BIN_ROWS, BIN_ITEMS, PAIRS_AT_ONCE = 1 << 15, 1 << 21, 1 << 15
 #: Links of up to so many rows are connected in one task, more of them by shuffles.
 GATHER_ROWS = 200_000
 _RNG = np.random.default_rng(41)
@@ -159,9 +163,9 @@ def signature_matrix(column: pa.Array) -> np.ndarray:
 
 
 def mixed_buckets(rows: DataFrame) -> DataFrame:
-    """The rows (key, cid, comp, ...) whose key stands in more than one component."""
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    return rows.join(small_side(staged(mixed, "near_mixed"), 16), "key")
+    """The rows (key, cid, comp, ...) whose key stands in more than one component, with the key's number of rows (classes)."""
+    mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("classes")).filter("lo < hi")
+    return rows.join(small_side(staged(mixed.select("key", "classes"), "near_mixed"), 24), "key")
 
 
 def star_pairs(rows: DataFrame, seed: int, centers: int) -> DataFrame:
@@ -242,34 +246,37 @@ def labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
     return classes.join(roots, classes["cid"] == roots["node"], "left").select(*[classes[c] for c in classes.columns], F.coalesce("root", "cid").alias("comp"))
 
 
-def placed_in_blocks(members: DataFrame, planes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cid, n, p, comp, label, block) for the classes of the index rows, and the pairs (x, y),
-    x <= y, of blocks to compare: all two classes of different components that share a key
-    are in some pair. A label is a key that many of its classes share, found through the most
-    shared key of each component, and has one block or more."""
-    shared = members.groupBy("key").agg(F.count("*").alias("times"))
-    tops = members.join(shared, "key").groupBy("comp").agg(F.max(F.struct("times", "key")).alias("top"))
-    tops = staged(tops, "near_tops")
-    best = members.join(tops, "comp").groupBy("key").agg(F.max("top").alias("best"))
+def with_labels(grouped: DataFrame, shared: DataFrame) -> DataFrame:
+    """``grouped`` with ``label``, the same for the classes of a component: a chunk (key of the rows
+    ``shared``) that many classes share, found through the most shared one of each component,
+    or the component's own number if it shares none with another."""
+    rows = staged(mixed_buckets(shared.select("key", "cid").join(grouped.select("cid", "comp"), "cid")), "near_chunks")
+    tops = staged(rows.groupBy("comp").agg(F.max(F.struct("classes", "key")).alias("top")), "near_tops")
+    best = rows.join(tops, "comp").groupBy("key").agg(F.max("top").alias("best"))
     labels = tops.select("comp", F.col("top.key").alias("key")).join(best, "key").select("comp", F.col("best.key").alias("label"))
-    comps = members.select("cid", "comp").distinct()
-    rows = planes.join(comps, "cid").join(labels, "comp")
+    return grouped.join(labels, "comp", "left").withColumn("label", F.coalesce("label", "comp"))
+
+
+def to_compare(marked: DataFrame, chunk: np.ndarray) -> DataFrame:
+    """(key, cid): what is compared with each other, the classes of each label with more than one
+    component and those of each key of the full index with more than one label. All two classes
+    of different components that share a key have a label or that key in common."""
+    mixed = marked.groupBy("label").agg((F.min("comp") < F.max("comp")).alias("mixed")).filter("mixed")
+    within = marked.join(mixed, "label").select(F.col("label").alias("key"), "cid")
+    across = mixed_buckets(index_keys(marked.select("cid", F.col("label").alias("comp"), "sig"), chunk, 1))
+    return within.unionByName(across.select("key", "cid"))
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """The rows (key, cid, n, ..) with (x, y, part): the classes of a key are dealt to as many blocks
+    (part) as their number and items ask for, one as a rule, and stand in each pair x <= y of
+    blocks that their own is in."""
     size = F.greatest(F.count("*") / BLOCK_CLASSES, F.sum("n") / BLOCK_ITEMS)
-    parts = rows.groupBy("label").agg(F.ceil(size).cast("long").alias("parts"), (F.min("comp") < F.max("comp")).alias("mixed"))
-    parts = staged(parts, "near_parts")
-    number = lambda part: F.xxhash64("label", part)
-    rows = rows.join(parts.select("label", "parts"), "label").withColumn("block", number(F.pmod(F.xxhash64("cid"), F.col("parts"))))
-    rows = staged(rows.select("cid", "n", "p", "comp", "label", "block"), "near_blocks")
-
-    within = parts.filter("mixed").select("label", "parts", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("i"))
-    within = within.select("label", "i", F.explode(F.sequence("i", F.col("parts") - 1)).alias("j")).select(number("i").alias("x"), number("j").alias("y"))
-    # keys whose classes have the same blocks count once
-    met = members.join(rows.select("cid", "label", "block"), "cid").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("label", "block"))).alias("met"))
-    met = met.filter(F.size("met") > 1).select("met").distinct().filter(F.element_at("met", 1)["label"] < F.element_at("met", -1)["label"])
-    across = met.select("met", F.explode("met").alias("one")).select("one", F.explode(F.filter("met", lambda two: two["label"] > F.col("one.label"))).alias("two"))
-    across = across.select(F.col("one.block").alias("x"), F.col("two.block").alias("y"))
-    pairs = within.unionAll(across).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    return rows, staged(pairs, "near_block_pairs")
+    parts = rows.groupBy("key").agg(F.ceil(size).cast("int").alias("parts")).filter("parts > 1")
+    rows = rows.join(small_side(staged(parts, "near_wide"), 12), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return rows.withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")}).drop("parts", "other")
 
 
 class Block:
@@ -302,22 +309,59 @@ class Block:
                 yield lo, fits & (counts <= distance_limit(percent, ALL_HASHES))
 
 
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """The end of the run of equal rows that each row of the sorted columns is in."""
+    new = np.flatnonzero(reduce(np.logical_or, [np.diff(c) != 0 for c in columns])) + 1
+    ends = np.append(new, len(columns[0]))
+    return np.repeat(ends, np.diff(ends, prepend=0))
+
+
+def near_rows(rows: pa.Table, limit: int, percent: int) -> np.ndarray:
+    """Which rows (key, x, y, part, comp, n, p, ..) have a partner: under the same key in the other block,
+    of another component and of similar size, within the limits of signatures."""
+    key, x, y, part, comp = (rows[c].to_numpy() for c in ("key", "x", "y", "part", "comp"))
+    order = np.lexsort((comp, part, y, x, key))
+    key, x, y, part, comp = (c[order] for c in (key, x, y, part, comp))
+    every = _blocks(rows)
+    n, planes = every.n[order], np.ascontiguousarray(every.planes[order].T)
+    end = _runs(key, x, y)
+    start = np.where(x == y, _runs(key, x, y, comp), np.where(part == x, _runs(key, x, y, part), end))
+    before = np.append(0, np.cumsum(end - start))
+    near, words, limit_all = np.zeros(len(order), bool), ALL_HASHES // 64, distance_limit(percent, ALL_HASHES)
+    lo = 0
+    while lo < len(order):
+        hi = max(lo + 1, int(np.searchsorted(before, before[lo] + PAIRS_AT_ONCE, "right")) - 1)
+        counts = (end - start)[lo:hi]
+        a, b = np.repeat(np.arange(lo, hi), counts), ragged(start[lo:hi], counts)
+        fits = (np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent) & (comp[a] != comp[b])
+        a, b, distance = a[fits], b[fits], np.zeros(int(fits.sum()), np.int64)
+        for word in range(words):
+            distance += np.bitwise_count(reduce(np.bitwise_or, [plane[a] ^ plane[b] for plane in planes[word::words]]))
+            if word == HASHES // 64 - 1:
+                fits = distance <= limit
+                a, b, distance = a[fits], b[fits], distance[fits]
+        fits = distance <= limit_all
+        near[a[fits]] = near[b[fits]] = True
+        lo = hi
+    return np.sort(order[near])
+
+
 def _block_pairs(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The rows of the two blocks of each pair (x, y) in a table (x, y, block, ..)."""
-    x, y, block = (rows[c].to_numpy() for c in ("x", "y", "block"))
-    order = np.lexsort((block, y, x))
-    x, y, block = x[order], y[order], block[order]
-    cuts = np.flatnonzero((np.diff(x) != 0) | (np.diff(y) != 0)) + 1
-    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(order)]):
-        if x[lo] == y[lo]:
-            yield order[lo:hi], order[lo:hi]
+    """The rows of the two blocks of each (key, x, y) in a table (key, x, y, part, ..)."""
+    key, x, y, part = (rows[c].to_numpy() for c in ("key", "x", "y", "part"))
+    order = np.lexsort((part, y, x, key))
+    cuts = np.unique(_runs(key[order], x[order], y[order])).tolist()
+    for lo, hi in zip([0, *cuts], cuts):
+        at = order[lo:hi]
+        if x[at[0]] == y[at[0]]:
+            yield at, at
         else:
-            first = block[lo:hi] == x[lo]
-            yield order[lo:hi][first], order[lo:hi][~first]
+            first = part[at] == x[at[0]]
+            yield at[first], at[~first]
 
 
 def _blocks(rows: pa.Table) -> Block:
-    planes = rows["p"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, -1)
+    planes = rows["p"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, SYMBOL_BITS * ALL_HASHES // 64)
     return Block(planes, rows["n"].to_numpy(), rows["comp"].to_numpy())
 
 
@@ -352,25 +396,16 @@ def new_links(one: Block, two: Block, ids_one: list[np.ndarray], ids_two: list[n
     return out
 
 
-def block_links(members: DataFrame, planes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, limit: int, percent: int) -> DataFrame:
+def new_class_links(members: DataFrame, planes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, limit: int, percent: int) -> DataFrame:
     """Links (a, b) of classes, confirmed on full sets, that connect all similar classes which share
-    a key and are not in one component yet; by block pairs, with fewer links each than classes."""
-    rows, pairs = placed_in_blocks(members, planes)
-    ends = pairs.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    a key (members) and are not in one component yet; for each two blocks fewer than their classes."""
     least = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def dealt(rows: DataFrame, items: int) -> DataFrame:
-        return rows.withColumn("bin", F.pmod(F.xxhash64("x", "y"), F.lit(max(least, items // BIN_ITEMS))))
+    def dealt(rows: DataFrame, bins: int) -> DataFrame:
+        return rows.withColumn("bin", F.pmod(F.xxhash64("key", "x", "y"), F.lit(max(least, bins))))
 
     def with_partners(rows: pa.Table) -> pa.Table:
-        every, found = _blocks(rows), []
-        for a, b in _block_pairs(rows):
-            near_a, near_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
-            for lo, near in _at(every, a).near(_at(every, b), limit, percent):
-                near_a[lo : lo + len(near)] = near.any(axis=1)
-                near_b |= near.any(axis=0)
-            found += [np.union1d(a[near_a], b[near_b])]
-        return rows.select(["x", "y", "block", "cid"]).take(pa.array(np.concatenate(found)))
+        return rows.select(["key", "x", "y", "part", "cid"]).take(pa.array(near_rows(rows, limit, percent)))
 
     def linked(rows: pa.Table) -> pa.Table:
         every, items = _blocks(rows), rows["items"].combine_chunks()
@@ -385,11 +420,11 @@ def block_links(members: DataFrame, planes: DataFrame, classes: DataFrame, docs:
             links += [(cids[a[i]], cids[b[j]]) for i, j in new_links(_at(every, a), _at(every, b), [sets[r] for r in a.tolist()], [sets[r] for r in b.tolist()], limit, percent)]
         return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    near = dealt(ends.join(rows, "block").select("x", "y", "block", "cid", "n", "p", "comp"), rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    near = staged(near.groupBy("bin").applyInArrow(with_partners, "x long, y long, block long, cid long"), "near_partners")
-    near = near.join(rows.select("cid", "n", "p", "comp"), "cid")
+    near = dealt(in_blocks(members.join(planes, "cid")), members.count() // BIN_ROWS)
+    near = staged(near.groupBy("bin").applyInArrow(with_partners, "key long, x int, y int, part int, cid long"), "near_partners")
     sets = full_sets(near.select("cid").distinct(), classes, docs, id_col, text_col, k)
-    near = dealt(near, near.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    near = near.join(planes, "cid")
+    near = dealt(near, near.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // BIN_ITEMS)
     return near.join(sets, "cid").groupBy("bin").applyInArrow(linked, "a long, b long")
 
 
@@ -426,14 +461,17 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     # each class with some that share whole chunks
     keys = index_keys(classes.withColumn("comp", F.col("cid")), chunk, 0).drop("pos")
-    stars = staged(star_pairs(staged(mixed_buckets(keys), "near_shared"), 0, FIRST_CENTERS), "near_stars")
+    shared = staged(mixed_buckets(keys), "near_shared")
+    stars = staged(star_pairs(shared, 0, FIRST_CENTERS), "near_stars")
     links = staged(confirmed(stars, classes, docs, id_col, text_col, k, percent), "near_links")
 
     # what meets in the index and is not connected yet
     grouped = staged(labelled(classes.select("cid", "sig", "n"), links), "near_grouped")
-    members = staged(mixed_buckets(index_keys(grouped, chunk, 1)), "near_members")
-    planes = staged(grouped.join(members.select("cid").distinct(), "cid", "left_semi").select("cid", "n", "sig").mapInArrow(_plane_rows, "cid long, n long, p array<long>"), "near_planes")
-    links = links.unionByName(block_links(members, planes, classes, docs, id_col, text_col, k, limit, percent))
+    marked = staged(with_labels(grouped, shared), "near_labels")
+    members = staged(to_compare(marked, chunk), "near_members")
+    met = marked.join(members.select("cid").distinct(), "cid", "left_semi").select("cid", "comp", "n", "sig")
+    planes = staged(met.mapInArrow(_plane_rows, "cid long, comp long, n long, p array<long>"), "near_planes")
+    links = links.unionByName(new_class_links(members, planes, classes, docs, id_col, text_col, k, limit, percent))
 
     final = staged(labelled(classes.select("cid", "least"), links), "near_final")
     names = final.groupBy("comp").agg(F.min("least").alias("component"))
@@ -444,8 +482,9 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 def _plane_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        planes = bit_planes(signature_matrix(batch.column(2)))
-        yield pa.record_batch([batch.column(0), batch.column(1), list_column(pa.array(planes.reshape(-1)), np.full(batch.num_rows, planes.shape[1]))], ["cid", "n", "p"])
+        planes = bit_planes(signature_matrix(batch.column(3)))
+        lists = list_column(pa.array(planes.reshape(-1)), np.full(batch.num_rows, planes.shape[1]))
+        yield pa.record_batch([*batch.columns[:3], lists], ["cid", "comp", "n", "p"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
